@@ -1,0 +1,25 @@
+"""End-to-end compositions: career tables and the graph, from one fact table."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from stintwise.operators import careers, graph
+
+
+def career_tables(a: DataFrame, midseason: bool = False) -> dict[str, DataFrame]:
+    """The four tables of the transfer-graph job (SNK-3), spans shared."""
+    s = careers.spans(a)
+    transfers = (careers.transfers_with_midseason(a, s) if midseason
+                 else careers.transfers_consecutive(a, s))
+    return {"debuts": careers.debuts(a),
+            "retirements": careers.retirements(a),
+            "transfers": transfers,
+            "breaks": careers.breaks(a, midseason, s)}
+
+
+def career_graph(a: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Nodes and edges as the notebook loads them (transfers incl. same season)."""
+    t = career_tables(a, midseason=True)
+    edges = graph.graph_edges(t["debuts"], t["transfers"], t["breaks"])
+    return graph.graph_nodes(edges), edges

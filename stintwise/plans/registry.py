@@ -239,3 +239,265 @@ def q_breaks_nearest7(spark, sf):
 @register("breaks_midseason", _breaks_sql("transfer7", "breaks"))
 def q_breaks7(spark, sf):
     return careers.breaks(appearances(spark, sf), midseason=True)
+
+
+# ---------------------------------------------------------------- normalisation
+from stintwise.operators import graph, normalise, schema  # noqa: E402
+from stintwise.sources import csv as csv_io  # noqa: E402
+from stintwise.sources import documents  # noqa: E402
+from stintwise.sources import nested_bindings as nb  # noqa: E402
+from stintwise.sources.bindings import table  # noqa: E402
+from stintwise.session import scratch_path  # noqa: E402
+
+
+@register("dense_id", """
+SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber) - 1 AS id, l_orderkey, l_linenumber
+FROM lineitem""")
+def q_dense_id(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    return normalise.with_dense_id(li, ["l_orderkey", "l_linenumber"])
+
+
+@register("child_scalar", """
+SELECT row_number() OVER (ORDER BY partkey, pos) - 1 AS id, partkey, name
+FROM (SELECT p_partkey AS partkey, unnest(string_split(p_name, ' ')) AS name,
+             generate_subscripts(string_split(p_name, ' '), 1) AS pos
+      FROM part WHERE p_size >= 10) t""")
+def q_child_scalar(spark, sf):
+    return normalise.explode_child(nb.part_documents(spark, sf), "p_partkey", "names",
+                                   out_parent="partkey", item="name")
+
+
+@register("normalise_parent", """
+SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part""")
+def q_normalise_parent(spark, sf):
+    return schema.drop_nested(nb.part_documents(spark, sf), "names")
+
+
+@register("child_struct", """
+SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS id, conv_id, role, text
+FROM conversations""")
+def q_child_struct(spark, sf):
+    return normalise.explode_child(nb.conversation_documents(spark, sf), "conv_id", "turns",
+                                   out_parent="conv_id", fields={"role": "role", "text": "text"})
+
+
+@register("chain_edges", """
+SELECT conv_id, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS roleFrom,
+       role AS roleTo, turn
+FROM conversations""")
+def q_chain_edges(spark, sf):
+    return (normalise.chain_edges(nb.conversation_documents(spark, sf), "turns", "role", ["turn"],
+                                  from_col="roleFrom", to_col="roleTo", keep=["conv_id"])
+            .select("conv_id", "roleFrom", "roleTo", "turn"))
+
+
+@register("chain_dedupe", """
+WITH li AS (
+  SELECT l_orderkey, l_linenumber, CAST(l_suppkey AS VARCHAR) AS c,
+         CAST(year(l_shipdate) AS INTEGER) AS yf,
+         CASE WHEN l_linestatus <> 'O' THEN CAST(year(l_shipdate) AS INTEGER) END AS yt
+  FROM lineitem),
+chains AS (
+  SELECT l_orderkey, min(l_orderkey * 10 + l_linenumber) AS owner,
+         list(struct_pack(c := c, yf := yf, yt := yt)
+              ORDER BY l_linenumber, c, yf NULLS FIRST, yt NULLS FIRST) AS chain
+  FROM li GROUP BY l_orderkey),
+uniq AS (SELECT chain, min(owner) AS chain_id FROM chains GROUP BY chain),
+items AS (SELECT chain_id, unnest(chain) AS e, generate_subscripts(chain, 1) - 1 AS pos FROM uniq)
+SELECT chain_id, lag(e.c) OVER (PARTITION BY chain_id ORDER BY pos) AS constructorIdFrom,
+       e.c AS constructorIdTo, e.yf AS yearFrom, e.yt AS yearTo, pos
+FROM items""")
+def q_chain_dedupe(spark, sf):
+    chains = normalise.dedupe_chains(nb.order_chains(spark, sf), "owner", "chain")
+    return (normalise.chain_edges(chains, "chain", "constructorId", ["yearFrom", "yearTo"],
+                                  from_col="constructorIdFrom", to_col="constructorIdTo",
+                                  keep=["chain_id"])
+            .withColumnRenamed("_pos", "pos"))
+
+
+@register("flatten_entries", nb.SEASON_FLAT_SQL)
+def q_flatten_entries(spark, sf):
+    return normalise.flatten_entries(nb.season_entries(spark, sf))
+
+
+# ---------------------------------------------------------------- schema discovery
+_PART_KEYS = """k AS (
+  SELECT p_partkey AS d, list_filter(['p_partkey', 'p_name', 'p_brand',
+           CASE WHEN NOT (p_brand LIKE 'Brand#1%') THEN 'p_type' END,
+           CASE WHEN p_size >= 25 THEN 'p_size' END, 'p_retailprice'], lambda x: x IS NOT NULL) AS ks
+  FROM part),
+kp AS (SELECT d, unnest(ks) AS key, generate_subscripts(ks, 1) - 1 AS pos FROM k)"""
+
+
+@register("discover_keys", f"""WITH {_PART_KEYS},
+f AS (SELECT key, min(d * 1000 + pos) AS first FROM kp GROUP BY key)
+SELECT key, row_number() OVER (ORDER BY first) - 1 AS ordinal FROM f""")
+def q_discover_keys(spark, sf):
+    return schema.discover_keys(nb.part_key_maps(spark, sf), ["_doc"])
+
+
+@register("widest_keys", f"""WITH {_PART_KEYS},
+w AS (SELECT ks FROM k ORDER BY len(ks) DESC, d DESC LIMIT 1)
+SELECT unnest(ks) AS key, generate_subscripts(ks, 1) - 1 AS ordinal FROM w""")
+def q_widest_keys(spark, sf):
+    return schema.widest_keys(nb.part_key_maps(spark, sf), ["_doc"])
+
+
+@register("project_record", """
+SELECT p_partkey, p_name, p_brand, CASE WHEN NOT (p_brand LIKE 'Brand#1%') THEN p_type END AS p_type,
+       CASE WHEN p_size >= 25 THEN p_size END AS p_size, p_retailprice
+FROM part""")
+def q_project_record(spark, sf):
+    docs = nb.part_key_maps(spark, sf)
+    keys = schema.key_list(schema.discover_keys(docs, ["_doc"]))
+    rec = schema.project_record(docs, keys, on_missing="null")
+    types = {"p_partkey": "bigint", "p_size": "int", "p_retailprice": "double"}
+    return rec.select(*[F.col(k).cast(types.get(k, "string")).alias(k) for k in keys])
+
+
+@register("missing_keys", """
+SELECT p_partkey AS _doc, 'p_type' AS key FROM part WHERE p_brand LIKE 'Brand#1%'
+UNION ALL
+SELECT p_partkey AS _doc, 'p_size' AS key FROM part WHERE p_size < 25""")
+def q_missing_keys(spark, sf):
+    docs = nb.part_key_maps(spark, sf)
+    keys = schema.key_list(schema.discover_keys(docs, ["_doc"]))
+    return schema.missing_keys(docs, keys, "_doc")
+
+
+@register("case_select", """
+SELECT s_suppkey AS S_SUPPKEY, s_name AS S_Name, s_nationkey AS s_NationKey, s_acctbal
+FROM supplier""")
+def q_case_select(spark, sf):
+    return schema.case_select(table(spark, sf, "supplier"),
+                              ["S_SUPPKEY", "S_Name", "s_NationKey", "s_acctbal"])
+
+
+# ---------------------------------------------------------------- sources / sinks
+_SUPPLIER_SCHEMA = "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double"
+
+
+@register("csv_roundtrip", "SELECT * FROM supplier")
+def q_csv_roundtrip(spark, sf):
+    path = scratch_path(spark, "csv-supplier")
+    csv_io.write_csv(table(spark, sf, "supplier"), path)
+    from pyspark.sql.types import _parse_datatype_string
+    return csv_io.read_csv(spark, path, _parse_datatype_string(_SUPPLIER_SCHEMA))
+
+
+@register("appearances_csv", "SELECT * FROM (" + APPEARANCES_SQL + ") t")
+def q_appearances_csv(spark, sf):
+    path = scratch_path(spark, "csv-appearances")
+    csv_io.write_csv(appearances(spark, sf).withColumnRenamed("driverId", "driverID"), path)
+    return csv_io.read_appearances(spark, path)
+
+
+@register("career_tables", with_appearances(",\n".join([
+    _DEBUT, _RETIREMENT, _SPANS_OUT, _SPANS_IN, _T6, _GAP, _filtered_gap("transfer6"), _NEAREST,
+    _BREAKS]) + """
+SELECT 'debuts' AS table_name, count(*) AS row_count
+  FROM appearances dr JOIN debut db ON db.debut_year = dr.year AND db.driverId = dr.driverId
+UNION ALL SELECT 'retirements', count(*)
+  FROM appearances dr JOIN retirement db ON db.retirement_year = dr.year AND db.driverId = dr.driverId
+UNION ALL SELECT 'transfers', count(*) FROM transfer6
+UNION ALL SELECT 'breaks', count(*) FROM breaks"""))
+def q_career_tables(spark, sf):
+    from stintwise.plans.pipeline import career_tables
+    a = appearances(spark, sf)
+    paths = csv_io.write_career_tables(career_tables(a), scratch_path(spark, "career"))
+    counts = [csv_io.read_csv(spark, p, spark.read.option("header", True).csv(p).schema)
+              .agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"),
+                                                                "row_count")
+              for n, p in paths.items()]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out
+
+
+@register("doc_scan", "SELECT * FROM supplier")
+def q_doc_scan(spark, sf):
+    path = scratch_path(spark, "yaml-supplier")
+    documents.write_yaml(nb.supplier_yaml(spark, sf), path)
+    from pyspark.sql.types import _parse_datatype_string
+    docs = documents.read_documents(spark, path, _parse_datatype_string(_SUPPLIER_SCHEMA))
+    return docs.drop("_path", "_doc")
+
+
+@register("season_scan", nb.SEASON_FLAT_SQL)
+def q_season_scan(spark, sf):
+    path = scratch_path(spark, "yaml-seasons")
+    documents.write_yaml(nb.season_yaml(nb.season_entries(spark, sf)), path, partition_by="year")
+    return documents.read_season_documents(spark, path, pattern="*/*.txt")
+
+
+# ---------------------------------------------------------------- graph
+_GRAPH_CTES = ",\n".join([_DEBUT, _SPANS_OUT, _SPANS_IN, _T7, _GAP, _filtered_gap("transfer7"),
+                          _NEAREST, _BREAKS]) + """,
+debuts AS (SELECT db.driverId, dr.constructorId, db.debut_year
+           FROM appearances dr JOIN debut db ON db.debut_year = dr.year AND db.driverId = dr.driverId),
+e_debut AS (SELECT 'Driver' AS src_label, driverId AS src, 'DEBUT' AS type, 'Team' AS dst_label,
+                   constructorId AS dst, debut_year AS year FROM debuts),
+e_transfer AS (SELECT 'Team' AS src_label, const_out AS src, 'TRANSFER_OUT' AS type,
+                      'Driver' AS dst_label, driverId AS dst, transfer_out AS year FROM transfer7
+               UNION ALL
+               SELECT 'Driver', driverId, 'TRANSFER_IN', 'Team', const_in, transfer_in FROM transfer7),
+e_break AS (SELECT 'Team' AS src_label, const_out AS src, 'BREAK' AS type,
+                   'Driver' AS dst_label, driverId AS dst, break_year AS year FROM breaks
+            UNION ALL
+            SELECT 'Driver', driverId, 'RETURN', 'Team', const_in, return_year FROM breaks),
+edges AS (SELECT DISTINCT * FROM (SELECT * FROM e_debut UNION ALL SELECT * FROM e_transfer
+                                  UNION ALL SELECT * FROM e_break) u
+          WHERE src IS NOT NULL AND dst IS NOT NULL AND year IS NOT NULL)"""
+
+
+def _graph_inputs(spark, sf):
+    a = appearances(spark, sf)
+    s = careers.spans(a)
+    return careers.debuts(a), careers.transfers_with_midseason(a, s), careers.breaks(a, True, s)
+
+
+@register("edges_debut", with_appearances(_GRAPH_CTES + "\nSELECT DISTINCT * FROM e_debut"))
+def q_edges_debut(spark, sf):
+    return graph.edges_debut(careers.debuts(appearances(spark, sf)))
+
+
+@register("edges_transfer", with_appearances(_GRAPH_CTES + "\nSELECT DISTINCT * FROM e_transfer"))
+def q_edges_transfer(spark, sf):
+    return graph.edges_transfer(careers.transfers_with_midseason(appearances(spark, sf)))
+
+
+@register("edges_break", with_appearances(_GRAPH_CTES + "\nSELECT DISTINCT * FROM e_break"))
+def q_edges_break(spark, sf):
+    return graph.edges_break(careers.breaks(appearances(spark, sf), midseason=True))
+
+
+@register("graph_edges", with_appearances(_GRAPH_CTES + "\nSELECT * FROM edges"))
+def q_graph_edges(spark, sf):
+    return graph.graph_edges(*_graph_inputs(spark, sf))
+
+
+@register("graph_nodes", with_appearances(_GRAPH_CTES + """
+SELECT DISTINCT * FROM (SELECT src_label AS label, src AS name FROM edges
+                        UNION ALL SELECT dst_label, dst FROM edges) n"""))
+def q_graph_nodes(spark, sf):
+    return graph.graph_nodes(graph.graph_edges(*_graph_inputs(spark, sf)))
+
+
+@register("graph_merge", with_appearances(_GRAPH_CTES + "\nSELECT * FROM edges"))
+def q_graph_merge(spark, sf):
+    d, t, b = _graph_inputs(spark, sf)
+    existing = graph.edges_debut(d)
+    return graph.merge_graph(existing, graph.graph_edges(d, t, b), graph.EDGE_COLUMNS)
+
+
+@register("edge_batches", with_appearances(_GRAPH_CTES + """
+SELECT batch, count(*) AS n_rows FROM (
+  SELECT (row_number() OVER (ORDER BY type, src, dst, year, src_label, dst_label) - 1) // 500
+         AS batch FROM edges) b GROUP BY batch"""))
+def q_edge_batches(spark, sf):
+    edges = graph.graph_edges(*_graph_inputs(spark, sf))
+    batches = graph.edge_batches(edges, ["type", "src", "dst", "year", "src_label", "dst_label"])
+    return batches.select(F.col("batch").cast("bigint").alias("batch"),
+                          F.size("rows").cast("bigint").alias("n_rows"))
