@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 
 def is_active(flag: str = "tookPart") -> Column:
-    """``tookPart = True``: a null flag is not active (SQL three-valued logic)."""
-    return F.col(flag) == F.lit(True)
+    """``tookPart = True``: a null flag is not active (SQL three-valued logic).
+
+    The bare boolean column is used so that a derived flag is pushed into the scan.
+    """
+    return F.col(flag)
 
 
 def took_part(rounds: Column | str = "rounds") -> Column:

@@ -52,6 +52,17 @@ def spans(a: DataFrame) -> DataFrame:
             .agg(F.min(Y).alias("first_year"), F.max(Y).alias("last_year")))
 
 
+def shared_spans(a: DataFrame) -> DataFrame:
+    """Spans written once to the shared checkpoint folder, for relations that read them 2-5 times.
+
+    Column pruning gives each consumer a different plan, so Spark cannot
+    reuse the span shuffle; without this, every consumer re-runs the scan and
+    joins behind ``a``.  Spans are one row per (driver, constructor), far
+    fewer than appearances, and a reliable checkpoint survives lost executors.
+    """
+    return spans(a).checkpoint(eager=True)
+
+
 def debut_years(a: DataFrame) -> DataFrame:
     """Q-1: per driver, the first active year."""
     return active(a).groupBy(D).agg(F.min(Y).alias("debut_year")).select("debut_year", D)

@@ -9,7 +9,7 @@ from stintwise.operators import careers, graph
 
 def career_tables(a: DataFrame, midseason: bool = False) -> dict[str, DataFrame]:
     """The four tables of the transfer-graph job (SNK-3), spans shared."""
-    s = careers.spans(a)
+    s = careers.shared_spans(a)
     transfers = (careers.transfers_with_midseason(a, s) if midseason
                  else careers.transfers_consecutive(a, s))
     return {"debuts": careers.debuts(a),
@@ -23,3 +23,99 @@ def career_graph(a: DataFrame) -> tuple[DataFrame, DataFrame]:
     t = career_tables(a, midseason=True)
     edges = graph.graph_edges(t["debuts"], t["transfers"], t["breaks"])
     return graph.graph_nodes(edges), edges
+
+
+# ----------------------------------------------------------------- ingest
+import os  # noqa: E402
+
+from pyspark.sql import SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
+
+from stintwise.operators import normalise, schema  # noqa: E402
+from stintwise.schemas import CHRONOLOGY_ITEM  # noqa: E402
+from stintwise.sources import csv as csv_io  # noqa: E402
+from stintwise.sources.documents import read_document_maps, read_season_documents  # noqa: E402
+
+# Folder names of the entity documents and the tables made from them.
+SIMPLE_ENTITIES = ["chassis", "continents", "countries", "engine-manufacturers", "engines",
+                   "entrants", "grands-prix", "tyre-manufacturers"]
+RELATION = T.StructType([T.StructField("driverId", T.StringType()), T.StructField("type", T.StringType())])
+
+
+def _entity_table(spark: SparkSession, folder: str, nested: str | None, strict: bool):
+    docs = read_document_maps(spark, f"{folder}/*")
+    keys = schema.key_list(schema.discover_keys(docs, ["_path", "_doc"]))
+    flat = [k for k in keys if k != nested]
+    record = schema.project_record(docs, keys if nested else flat,
+                                   on_missing="error" if strict else "null")
+    return docs, record, flat
+
+
+def ingest_entities(spark: SparkSession, source_dir: str, out_dir: str,
+                    strict: bool = False) -> dict[str, str]:
+    """YAML entity folders -> CSV tables (SRC-1, SCH-1..5, NRM-1..5, SNK-1)."""
+    out: dict[str, str] = {}
+
+    def write(name, df):
+        path = f"{out_dir.rstrip('/')}/{name}"
+        csv_io.write_csv(df, path)
+        out[name] = path
+
+    for name in SIMPLE_ENTITIES:
+        folder = os.path.join(source_dir, name)
+        if os.path.isdir(folder):
+            _, rec, flat = _entity_table(spark, folder, None, strict)
+            write(name, rec.select(*flat))
+
+    folder = os.path.join(source_dir, "circuits")
+    if os.path.isdir(folder):
+        _, rec, flat = _entity_table(spark, folder, "previousNames", strict)
+        write("circuits", schema.drop_nested(rec, "previousNames").select(*flat))
+        names = rec.select("id", F.from_json("previousNames", T.ArrayType(T.StringType())).alias("pn"))
+        write("previous_circuits_names",
+              normalise.explode_child(names, "id", "pn", out_parent="circuitId", item="previousName"))
+
+    folder = os.path.join(source_dir, "drivers")
+    if os.path.isdir(folder):
+        _, rec, flat = _entity_table(spark, folder, "familyRelationships", strict)
+        write("drivers", schema.drop_nested(rec, "familyRelationships").select(*flat))
+        rel = rec.select("id", F.from_json("familyRelationships", T.ArrayType(RELATION)).alias("fr"))
+        write("drivers_relationships",
+              normalise.explode_child(rel, "id", "fr", out_parent="driverId",
+                                      fields={"relationId": "driverId", "type": "type"}))
+
+    folder = os.path.join(source_dir, "constructors")
+    if os.path.isdir(folder):
+        _, rec, flat = _entity_table(spark, folder, "chronology", strict)
+        write("constructors", schema.drop_nested(rec, "chronology").select(*flat))
+        chains = normalise.dedupe_chains(
+            rec.select("id", F.from_json("chronology", T.ArrayType(CHRONOLOGY_ITEM)).alias("chain")),
+            "id", "chain")
+        write("rebranding_history",
+              normalise.chain_edges(chains, "chain", "constructorId", ["yearFrom", "yearTo"],
+                                    from_col="constructorIdFrom", to_col="constructorIdTo")
+              .select("constructorIdFrom", "constructorIdTo", "yearFrom", "yearTo"))
+
+    seasons = os.path.join(source_dir, "seasons")
+    if os.path.isdir(seasons):
+        apps = read_season_documents(spark, seasons)
+        write("driversAllYears", apps.withColumnRenamed("driverId", "driverID"))
+    return out
+
+
+def build_all(spark: SparkSession, source_dir: str, out_dir: str) -> dict[str, str]:
+    """Ingest -> flat tables -> career tables -> graph, all as Spark jobs."""
+    out = ingest_entities(spark, source_dir, out_dir)
+    if "driversAllYears" in out:
+        a = csv_io.read_appearances(spark, out["driversAllYears"])
+        tables = career_tables(a)
+        for name, path in csv_io.write_career_tables(
+                tables, f"{out_dir.rstrip('/')}/transferGraph").items():
+            out[f"transferGraph/{name}"] = path
+        nodes, edges = career_graph(a)
+        for name, df in (("nodes", nodes), ("edges", edges)):
+            path = f"{out_dir.rstrip('/')}/graph/{name}"
+            csv_io.write_csv(df, path)
+            out[f"graph/{name}"] = path
+    return out

@@ -191,13 +191,15 @@ def q_not_in_null_aware(spark, sf):
 @register("transfers_consecutive", with_appearances(",\n".join([_SPANS_OUT, _SPANS_IN, _T6]) +
                                                     "\nSELECT * FROM transfer6"))
 def q_transfers_consecutive(spark, sf):
-    return careers.transfers_consecutive(appearances(spark, sf))
+    a = appearances(spark, sf)
+    return careers.transfers_consecutive(a, careers.shared_spans(a))
 
 
 @register("transfers_with_midseason", with_appearances(",\n".join([_SPANS_OUT, _SPANS_IN, _T7]) +
                                                        "\nSELECT * FROM transfer7"))
 def q_transfers_midseason(spark, sf):
-    return careers.transfers_with_midseason(appearances(spark, sf))
+    a = appearances(spark, sf)
+    return careers.transfers_with_midseason(a, careers.shared_spans(a))
 
 
 @register("transfers_of_driver", with_appearances(",\n".join([_SPANS_OUT, _SPANS_IN, _T7]) +
@@ -208,37 +210,44 @@ def q_transfers_of_driver(spark, sf):
 
 @register("gap_pairs", with_appearances(_GAP + "\nSELECT * FROM gap_break"))
 def q_gap_pairs(spark, sf):
-    return careers.gap_pairs(appearances(spark, sf))
+    a = appearances(spark, sf)
+    return careers.gap_pairs(a, careers.shared_spans(a))
 
 
 @register("gaps_unexplained", _breaks_sql("transfer6", "filtered_gap"))
 def q_gaps_unexplained(spark, sf):
-    return careers.gaps_unexplained(appearances(spark, sf), midseason=False)
+    a = appearances(spark, sf)
+    return careers.gaps_unexplained(a, False, careers.shared_spans(a))
 
 
 @register("breaks_nearest_return", _breaks_sql("transfer6", "nearest"))
 def q_breaks_nearest(spark, sf):
-    return careers.breaks_nearest_return(appearances(spark, sf), midseason=False)
+    a = appearances(spark, sf)
+    return careers.breaks_nearest_return(a, False, careers.shared_spans(a))
 
 
 @register("breaks", _breaks_sql("transfer6", "breaks"))
 def q_breaks(spark, sf):
-    return careers.breaks(appearances(spark, sf), midseason=False)
+    a = appearances(spark, sf)
+    return careers.breaks(a, False, careers.shared_spans(a))
 
 
 @register("gaps_unexplained_midseason", _breaks_sql("transfer7", "filtered_gap"))
 def q_gaps_unexplained7(spark, sf):
-    return careers.gaps_unexplained(appearances(spark, sf), midseason=True)
+    a = appearances(spark, sf)
+    return careers.gaps_unexplained(a, True, careers.shared_spans(a))
 
 
 @register("breaks_nearest_return_midseason", _breaks_sql("transfer7", "nearest"))
 def q_breaks_nearest7(spark, sf):
-    return careers.breaks_nearest_return(appearances(spark, sf), midseason=True)
+    a = appearances(spark, sf)
+    return careers.breaks_nearest_return(a, True, careers.shared_spans(a))
 
 
 @register("breaks_midseason", _breaks_sql("transfer7", "breaks"))
 def q_breaks7(spark, sf):
-    return careers.breaks(appearances(spark, sf), midseason=True)
+    a = appearances(spark, sf)
+    return careers.breaks(a, True, careers.shared_spans(a))
 
 
 # ---------------------------------------------------------------- normalisation
@@ -454,7 +463,7 @@ edges AS (SELECT DISTINCT * FROM (SELECT * FROM e_debut UNION ALL SELECT * FROM
 
 def _graph_inputs(spark, sf):
     a = appearances(spark, sf)
-    s = careers.spans(a)
+    s = careers.shared_spans(a)
     return careers.debuts(a), careers.transfers_with_midseason(a, s), careers.breaks(a, True, s)
 
 
@@ -465,12 +474,14 @@ def q_edges_debut(spark, sf):
 
 @register("edges_transfer", with_appearances(_GRAPH_CTES + "\nSELECT DISTINCT * FROM e_transfer"))
 def q_edges_transfer(spark, sf):
-    return graph.edges_transfer(careers.transfers_with_midseason(appearances(spark, sf)))
+    a = appearances(spark, sf)
+    return graph.edges_transfer(careers.transfers_with_midseason(a, careers.shared_spans(a)))
 
 
 @register("edges_break", with_appearances(_GRAPH_CTES + "\nSELECT DISTINCT * FROM e_break"))
 def q_edges_break(spark, sf):
-    return graph.edges_break(careers.breaks(appearances(spark, sf), midseason=True))
+    a = appearances(spark, sf)
+    return graph.edges_break(careers.breaks(a, True, careers.shared_spans(a)))
 
 
 @register("graph_edges", with_appearances(_GRAPH_CTES + "\nSELECT * FROM edges"))
