@@ -125,6 +125,18 @@ def flag_listed(df: DataFrame, key: str, values: DataFrame, value_col: str) -> D
     return df.join(keys, key, "left")
 
 
+def year_summary(a: DataFrame) -> DataFrame:
+    """One row per year with the announced-only counts, written once (tiny: years).
+
+    The latest and second-latest year and the NOT IN guards all read this
+    instead of scanning the fact table again for every scalar subquery.
+    """
+    announced = F.col("tookPart") == F.lit(False)
+    return (a.groupBy(Y).agg(F.count_if(announced).alias("n_announced"),
+                             F.count_if(announced & F.col(D).isNull()).alias("n_announced_null"))
+            .checkpoint(eager=True))
+
+
 def retirements_announced(a: DataFrame) -> DataFrame:
     """Q-5: retirements where the latest season may be announced only.
 
@@ -133,14 +145,19 @@ def retirements_announced(a: DataFrame) -> DataFrame:
     announced-only list of the latest season.  The NOT IN under OR becomes a
     left join to the distinct list plus a null-aware flag, not a nested loop.
     """
-    mx = latest_year(a)
-    before = a.filter(F.col(Y) < mx)
-    act = active(before)
+    ys = year_summary(a)
+    mx = ys.select(F.max(Y)).scalar()
+    second = ys.filter(F.col(Y) < mx).select(F.max(Y)).scalar()
+    latest = ys.filter(F.col(Y) == mx)
+    n_all = latest.select(F.coalesce(F.sum("n_announced"), F.lit(0))).scalar()
+    n_null = latest.select(F.coalesce(F.sum("n_announced_null"), F.lit(0))).scalar()
+    act = active(a.filter(F.col(Y) < mx))
     last = act.groupBy(D).agg(F.max(Y).alias(Y))
     rows = act.select(D, C, Y).join(last, [D, Y], "inner")
-    announced = announced_only(a)
+    announced = a.filter((F.col(Y) == mx) & (F.col("tookPart") == F.lit(False))).select(D)
     flagged = flag_listed(rows, D, announced, D)
-    keep = (F.col(Y) < second_latest_year(a)) | not_in(flagged, D, announced, D)
+    listed_out = F.col(D).isNotNull() & F.col("_listed").isNull() & (n_null == 0)
+    keep = (F.col(Y) < second) | (n_all == 0) | listed_out
     return flagged.filter(keep).select(D, C, F.col(Y).alias("retirement_year"))
 
 

@@ -60,27 +60,26 @@ def order_chains(spark: SparkSession, sf: str) -> DataFrame:
     return owners.join(chains, "l_orderkey").select("owner", "chain")
 
 
-def _season_lines(spark: SparkSession, sf: str) -> DataFrame:
+def season_entries(spark: SparkSession, sf: str) -> DataFrame:
+    """``(year, entry)`` with ``entry`` shaped like ``schemas.SEASON_ENTRY``.
+
+    Lines are grouped per order before ``orders`` is joined, so that join sees
+    one row per order instead of one per line.
+    """
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                                              "l_returnflag", "l_linestatus")
-    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     s = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
-    return (li.join(o, li.l_orderkey == o.o_orderkey).join(s, li.l_suppkey == s.s_suppkey)
-            .select(F.year("o_orderdate").cast("int").alias("year"),
-                    F.col("o_custkey").cast("string").alias("entrantId"),
-                    F.col("l_orderkey"), F.col("l_linenumber"),
-                    F.col("s_nationkey").cast("string").alias("constructorId"),
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    line = F.struct(F.col("s_nationkey").cast("string").alias("constructorId"),
+                    F.col("l_linenumber"),
                     F.col("l_partkey").cast("string").alias("driverId"),
                     F.nullif(F.col("l_returnflag"), F.lit("R")).alias("rounds"),
-                    F.when(F.col("l_linestatus") == F.lit("O"), F.lit(True)).alias("testDriver")))
-
-
-def season_entries(spark: SparkSession, sf: str) -> DataFrame:
-    """``(year, entry)`` with ``entry`` shaped like ``schemas.SEASON_ENTRY``."""
-    lines = _season_lines(spark, sf)
-    line = F.struct("constructorId", "l_linenumber", "driverId", "rounds", "testDriver")
-    docs = lines.groupBy("year", "entrantId", "l_orderkey").agg(
-        F.sort_array(F.collect_list(line)).alias("_lines"))
+                    F.when(F.col("l_linestatus") == F.lit("O"), F.lit(True)).alias("testDriver"))
+    per_order = (li.join(s, li.l_suppkey == s.s_suppkey)
+                 .groupBy("l_orderkey").agg(F.sort_array(F.collect_list(line)).alias("_lines")))
+    docs = per_order.join(o, per_order.l_orderkey == o.o_orderkey).select(
+        F.year("o_orderdate").cast("int").alias("year"),
+        F.col("o_custkey").cast("string").alias("entrantId"), "_lines")
     ls = F.col("_lines")
 
     def drivers_of(c: Column) -> Column:
