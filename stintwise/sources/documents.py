@@ -74,7 +74,12 @@ def read_season_documents(spark: SparkSession, root: str, pattern: str = "*/entr
     The year is the folder name (``1995`` or ``year=1995``), cast to int.
     With ``flatten`` the two nesting levels are expanded (NRM-6..9).
     """
-    parsed = parse_yaml(document_text(spark, f"{root.rstrip('/')}/{pattern}"))
+    return season_rows(document_text(spark, f"{root.rstrip('/')}/{pattern}"), flatten)
+
+
+def season_rows(files: DataFrame, flatten: bool = True) -> DataFrame:
+    """``(_path, _text)`` of season files (batch or stream) -> entries or appearances."""
+    parsed = parse_yaml(files)
     entries = parsed.select(year_from_path("_path").alias("year"),
                             F.explode(F.from_json("_json", T.ArrayType(SEASON_ENTRY))).alias("entry"))
     return flatten_entries(entries) if flatten else entries
