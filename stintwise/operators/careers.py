@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from stintwise.functions.columns import is_active
 from stintwise.schemas import BREAK_COLUMNS, TRANSFER_COLUMNS
+from stintwise.session import reliable_checkpoint
 
 D, C, Y = "driverId", "constructorId", "year"
 
@@ -60,7 +61,7 @@ def shared_spans(a: DataFrame) -> DataFrame:
     joins behind ``a``.  Spans are one row per (driver, constructor), far
     fewer than appearances, and a reliable checkpoint survives lost executors.
     """
-    return spans(a).checkpoint(eager=True)
+    return reliable_checkpoint(spans(a))
 
 
 def debut_years(a: DataFrame) -> DataFrame:
@@ -132,9 +133,9 @@ def year_summary(a: DataFrame) -> DataFrame:
     instead of scanning the fact table again for every scalar subquery.
     """
     announced = F.col("tookPart") == F.lit(False)
-    return (a.groupBy(Y).agg(F.count_if(announced).alias("n_announced"),
-                             F.count_if(announced & F.col(D).isNull()).alias("n_announced_null"))
-            .checkpoint(eager=True))
+    return reliable_checkpoint(
+        a.groupBy(Y).agg(F.count_if(announced).alias("n_announced"),
+                         F.count_if(announced & F.col(D).isNull()).alias("n_announced_null")))
 
 
 def retirements_announced(a: DataFrame) -> DataFrame:

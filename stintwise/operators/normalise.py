@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stintwise.functions.columns import flag_or_false, took_part
+from stintwise.session import reliable_checkpoint
 
 _LOCAL_BITS = 33  # monotonically_increasing_id = (partition id << 33) + row index
 
@@ -34,7 +35,7 @@ def with_dense_id(df: DataFrame, order: Sequence[str | Column], id_col: str = "i
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    ordered = reliable_checkpoint(df.repartitionByRange(n, *order).sortWithinPartitions(*order))
     pid = F.spark_partition_id()
     tagged = (ordered.withColumn("_pid", pid)
               .withColumn("_local", F.monotonically_increasing_id()

@@ -54,3 +54,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused folder under the shared checkpoint directory."""
     base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/stintwise-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def reliable_checkpoint(df):
+    """``df.checkpoint(eager=True)`` into the shared checkpoint folder (never a local checkpoint)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
