@@ -69,13 +69,17 @@ def debut_years(a: DataFrame) -> DataFrame:
     return active(a).groupBy(D).agg(F.min(Y).alias("debut_year")).select("debut_year", D)
 
 
-def debuts(a: DataFrame) -> DataFrame:
+def debuts(a: DataFrame, s: DataFrame | None = None) -> DataFrame:
     """Q-2: debut year joined back to *all* appearances of that driver and year.
 
     Duplicated entries stay duplicated and test entries of the debut year are
-    kept, as in the reference.
+    kept, as in the reference.  With materialised spans ``s`` the debut year is
+    the smallest span start, which saves a pass over ``a``.
     """
-    first = active(a).groupBy(D).agg(F.min(Y).alias(Y))
+    if s is None:
+        first = active(a).groupBy(D).agg(F.min(Y).alias(Y))
+    else:
+        first = s.groupBy(D).agg(F.min("first_year").alias(Y))
     return (a.select(D, C, Y).join(first, [D, Y], "inner")
             .select(D, C, F.col(Y).alias("debut_year")))
 

@@ -12,7 +12,7 @@ def career_tables(a: DataFrame, midseason: bool = False) -> dict[str, DataFrame]
     s = careers.shared_spans(a)
     transfers = (careers.transfers_with_midseason(a, s) if midseason
                  else careers.transfers_consecutive(a, s))
-    return {"debuts": careers.debuts(a),
+    return {"debuts": careers.debuts(a, s),
             "retirements": careers.retirements(a),
             "transfers": transfers,
             "breaks": careers.breaks(a, midseason, s)}

@@ -464,7 +464,7 @@ edges AS (SELECT DISTINCT * FROM (SELECT * FROM e_debut UNION ALL SELECT * FROM
 def _graph_inputs(spark, sf):
     a = appearances(spark, sf)
     s = careers.shared_spans(a)
-    return careers.debuts(a), careers.transfers_with_midseason(a, s), careers.breaks(a, True, s)
+    return careers.debuts(a, s), careers.transfers_with_midseason(a, s), careers.breaks(a, True, s)
 
 
 @register("edges_debut", with_appearances(_GRAPH_CTES + "\nSELECT DISTINCT * FROM e_debut"))

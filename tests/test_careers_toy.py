@@ -30,3 +30,7 @@ def test_debut_years(toy):
 
 def test_transfers_of_driver(toy):
     assert set(rows(careers.transfers_of_driver(toy, "d1"))) == {("d1", "A", 2019, "B", 2019)}
+
+
+def test_debuts_from_shared_spans(toy):
+    assert set(rows(careers.debuts(toy, careers.shared_spans(toy)))) == EXPECTED["debuts"]
