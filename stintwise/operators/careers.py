@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from stintwise.functions.columns import is_active
 from stintwise.schemas import BREAK_COLUMNS, TRANSFER_COLUMNS
-from stintwise.session import reliable_checkpoint
+from stintwise.session import materialize
 
 D, C, Y = "driverId", "constructorId", "year"
 
@@ -54,14 +54,14 @@ def spans(a: DataFrame) -> DataFrame:
 
 
 def shared_spans(a: DataFrame) -> DataFrame:
-    """Spans written once to the shared checkpoint folder, for relations that read them 2-5 times.
+    """Spans written once (parquet, shared checkpoint folder) for relations reading them 2-5 times.
 
     Column pruning gives each consumer a different plan, so Spark cannot
     reuse the span shuffle; without this, every consumer re-runs the scan and
     joins behind ``a``.  Spans are one row per (driver, constructor), far
-    fewer than appearances, and a reliable checkpoint survives lost executors.
+    fewer than appearances, and a table on shared storage survives lost executors.
     """
-    return reliable_checkpoint(spans(a))
+    return materialize(spans(a), "spans")
 
 
 def debut_years(a: DataFrame) -> DataFrame:
@@ -137,9 +137,10 @@ def year_summary(a: DataFrame) -> DataFrame:
     instead of scanning the fact table again for every scalar subquery.
     """
     announced = F.col("tookPart") == F.lit(False)
-    return reliable_checkpoint(
+    return materialize(
         a.groupBy(Y).agg(F.count_if(announced).alias("n_announced"),
-                         F.count_if(announced & F.col(D).isNull()).alias("n_announced_null")))
+                         F.count_if(announced & F.col(D).isNull()).alias("n_announced_null")),
+        "year-summary")
 
 
 def retirements_announced(a: DataFrame) -> DataFrame:

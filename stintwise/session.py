@@ -60,3 +60,15 @@ def reliable_checkpoint(df):
     """``df.checkpoint(eager=True)`` into the shared checkpoint folder (never a local checkpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as a parquet table in the shared checkpoint folder and read it back.
+
+    Cuts the lineage like a checkpoint; the table is columnar and its file
+    sizes let the planner size joins against it.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
