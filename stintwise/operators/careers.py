@@ -286,38 +286,60 @@ def gaps_unexplained(a: DataFrame, midseason: bool = False,
     return _gap_join(_break_side(s), unexplained_returns(s, midseason))
 
 
+def _nearest_ends(s: DataFrame, midseason: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Returns, span ends, and per (driver, return year) the latest end >= 2 years earlier.
+
+    The as-of lookup runs over *distinct* (driver, year) rows only, so a
+    window partition holds at most two rows per period of one driver - its
+    size is bounded by the period domain, not by rows or by the driver's
+    number of groups.  Null keys drop out as in the reference's equality
+    self-joins.
+    """
+    returns = (unexplained_returns(s, midseason)
+               .filter(F.col("const_in").isNotNull() & F.col("return_year").isNotNull()))
+    ends = _break_side(s).filter(F.col("break_year").isNotNull())
+    end_years = ends.select(D, F.col("break_year").alias("_y")).distinct() \
+        .withColumn("_end", F.col("_y"))
+    return_years = returns.select(D, F.col("return_year").alias("_y")).distinct() \
+        .withColumn("_end", F.lit(None).cast("int"))
+    w = Window.partitionBy(D).orderBy("_y").rangeBetween(Window.unboundedPreceding, -2)
+    nearest = (end_years.unionByName(return_years)
+               .withColumn("break_year", F.max("_end").over(w))
+               .filter(F.col("_end").isNull() & F.col("break_year").isNotNull())
+               .select(D, F.col("_y").alias("return_year"), "break_year"))
+    return returns, ends, nearest
+
+
+def _with_gap(df: DataFrame) -> DataFrame:
+    return df.select(D, "const_out", "break_year", "const_in", "return_year",
+                     (F.col("return_year") - F.col("break_year")).alias("gap"))
+
+
 def breaks_nearest_return(a: DataFrame, midseason: bool = False,
                           s: DataFrame | None = None) -> DataFrame:
     """Q-10: of Q-9, per (driver, const_in, return_year) the pairs with minimal gap.
 
     The minimal gap of a return is the one to the latest span end at least two
-    years earlier, found as a running max over the driver's span ends ordered
-    by year (no pair set is built); a join on (driverId, year) then attaches
-    every span ending that year (ties kept).  Null keys drop out as in the
-    reference's equality self-join.
+    years earlier (an as-of lookup, no pair set); joins on (driverId, year)
+    then attach the return's constructors and every span ending that year
+    (ties kept).
     """
     s = spans(a) if s is None else s
-    returns = (unexplained_returns(s, midseason)
-               .filter(F.col("const_in").isNotNull() & F.col("return_year").isNotNull()))
-    ends = _break_side(s).filter(F.col("break_year").isNotNull())
-    events = (ends.select(D, F.col("break_year").alias("_y"), F.col("break_year").alias("_end"),
-                          F.lit(None).cast("string").alias("const_in"))
-              .unionByName(returns.select(D, F.col("return_year").alias("_y"),
-                                          F.lit(None).cast("int").alias("_end"), "const_in")))
-    w = (Window.partitionBy(D).orderBy("_y")
-         .rangeBetween(Window.unboundedPreceding, -2))
-    nearest = (events.withColumn("break_year", F.max("_end").over(w))
-               .filter(F.col("const_in").isNotNull() & F.col("break_year").isNotNull())
-               .select(D, "const_in", F.col("_y").alias("return_year"), "break_year"))
-    return (nearest.join(ends, [D, "break_year"], "inner")
-            .select(D, "const_out", "break_year", "const_in", "return_year",
-                    (F.col("return_year") - F.col("break_year")).alias("gap")))
+    returns, ends, nearest = _nearest_ends(s, midseason)
+    return _with_gap(returns.join(nearest, [D, "return_year"], "inner")
+                     .join(ends, [D, "break_year"], "inner"))
 
 
 def breaks(a: DataFrame, midseason: bool = False, s: DataFrame | None = None) -> DataFrame:
-    """Q-11: of Q-10, per (driver, const_out, break_year) the pairs with minimal gap."""
-    n = breaks_nearest_return(a, midseason, s).filter(F.col("const_out").isNotNull())
-    w = Window.partitionBy(D, "const_out", "break_year")
-    return (n.withColumn("_min", F.min("gap").over(w))
-            .filter(F.col("gap") == F.col("_min"))
-            .select(*BREAK_COLUMNS))
+    """Q-11: of Q-10, per (driver, const_out, break_year) the pairs with minimal gap.
+
+    Every return whose nearest end is year ``y`` pairs with every span ending
+    in ``y``, so the minimal gap of an out-span is reached by the earliest
+    return year mapped to ``y`` - a partial aggregate per (driver, year)
+    instead of a window over pairs.
+    """
+    s = spans(a) if s is None else s
+    returns, ends, nearest = _nearest_ends(s, midseason)
+    first = nearest.groupBy(D, "break_year").agg(F.min("return_year").alias("return_year"))
+    return _with_gap(returns.join(first, [D, "return_year"], "inner")
+                     .join(ends.filter(F.col("const_out").isNotNull()), [D, "break_year"], "inner"))

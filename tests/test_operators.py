@@ -117,7 +117,7 @@ def _brute_breaks(rows, midseason):
             if d1 is not None and d1 == d2 and l1 < f2 - 1 and (d2, c2, f2) not in trans]
     near = [g for g in gaps if g[3] is not None and g[5] == min(
         h[5] for h in gaps if (h[0], h[3], h[4]) == (g[0], g[3], g[4]))]
-    return {g for g in near if g[1] is not None and g[5] == min(
+    return set(near), {g for g in near if g[1] is not None and g[5] == min(
         h[5] for h in near if (h[0], h[1], h[2]) == (g[0], g[1], g[2]))}
 
 
@@ -125,8 +125,10 @@ def _brute_breaks(rows, midseason):
 @pytest.mark.parametrize("midseason", [False, True])
 def test_breaks_match_brute_force_with_nulls(spark, seed, midseason):
     rows, a = _random_appearances(spark, seed)
-    got = {tuple(r) for r in careers.breaks(a, midseason).collect()}
-    assert got == _brute_breaks(rows, midseason)
+    near, brk = _brute_breaks(rows, midseason)
+    assert {tuple(r) for r in careers.breaks(a, midseason).collect()} == brk
+    got_near = [tuple(r) for r in careers.breaks_nearest_return(a, midseason).collect()]
+    assert len(got_near) == len(set(got_near)) and set(got_near) == near
 
 
 def test_properties(spark):
