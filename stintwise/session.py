@@ -72,3 +72,24 @@ def materialize(df, name: str):
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def cluster_conf(input_bytes: int, total_cores: int,
+                 partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Session settings for a large cluster, sized from the bytes the jobs read.
+
+    Shuffle partitions start at about ``input / partition_bytes`` (at least two
+    per core) and AQE coalesces them at run time; AQE also splits skewed join
+    partitions and turns a join into a broadcast only when the measured side
+    is under the threshold.
+    """
+    partitions = max(2 * total_cores, input_bytes // partition_bytes)
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes // 2),
+        "spark.sql.autoBroadcastJoinThreshold": str(32 << 20),
+    }
