@@ -15,8 +15,9 @@ Scale notes
   ``(driverId, year)`` instead of ``driverId`` plus an OR residual, so the
   work is proportional to the output, not to spans² of a driver.
 * ``breaks`` never materialises the break/return pairs: the nearest earlier
-  span end is found with a running max over the driver's span ends (an as-of
-  lookup), then joined on ``(driverId, year)``.
+  span end is a running max over the distinct (driverId, year) rows (an as-of
+  lookup whose window is bounded by the period domain), then joined on
+  ``(driverId, year)``.
 * Global maxima are scalar subqueries (one row, computed once).
 """
 
@@ -58,8 +59,9 @@ def shared_spans(a: DataFrame) -> DataFrame:
 
     Column pruning gives each consumer a different plan, so Spark cannot
     reuse the span shuffle; without this, every consumer re-runs the scan and
-    joins behind ``a``.  Spans are one row per (driver, constructor), far
-    fewer than appearances, and a table on shared storage survives lost executors.
+    joins behind ``a``.  Spans have at most one row per (driver, constructor)
+    and four narrow columns, and a table on shared storage survives lost
+    executors.
     """
     return materialize(spans(a), "spans")
 

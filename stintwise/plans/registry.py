@@ -158,9 +158,9 @@ def q_retirements_top(spark, sf):
     return careers.retirements_top(appearances(spark, sf), 1500)
 
 
-@register("second_latest_year", with_appearances("""x AS (SELECT 1)
+@register("second_latest_year", f"""WITH appearances AS ({APPEARANCES_SQL})
 SELECT MAX(year) AS second_latest_year FROM appearances
-WHERE year < (SELECT MAX(year) FROM appearances)"""))
+WHERE year < (SELECT MAX(year) FROM appearances)""")
 def q_second_latest(spark, sf):
     a = appearances(spark, sf)
     return a.filter(F.col("year") < careers.latest_year(a)).agg(

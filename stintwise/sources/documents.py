@@ -68,13 +68,17 @@ def read_document_maps(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_season_documents(spark: SparkSession, root: str, pattern: str = "*/entrants.yml",
-                          flatten: bool = True) -> DataFrame:
+                          flatten: bool = True, ordered: bool = False) -> DataFrame:
     """SRC-2: ``<root>/<year>/entrants.yml`` (a list of entries) -> appearances.
 
     The year is the folder name (``1995`` or ``year=1995``), cast to int.
     With ``flatten`` the two nesting levels are expanded (NRM-6..9).
+    ``ordered`` (SRT-1) sorts the output by numeric year, as the reference
+    writes seasons in folder order; it costs a range-partitioned sort, so it is
+    off unless the row order of the written table matters.
     """
-    return season_rows(document_text(spark, f"{root.rstrip('/')}/{pattern}"), flatten)
+    rows = season_rows(document_text(spark, f"{root.rstrip('/')}/{pattern}"), flatten)
+    return rows.orderBy("year") if ordered else rows
 
 
 def season_rows(files: DataFrame, flatten: bool = True) -> DataFrame:

@@ -167,3 +167,25 @@ def test_season_yaml_roundtrip(spark):
         spark, path, pattern="*/*.txt").collect())
     assert got == [(1999, "e1", "c1", "d1", True, False), (1999, "e1", "c1", "d2", False, True),
                    (1999, "e2", "c2", "d3", True, False)]
+
+
+def test_chain_that_revisits_an_id(spark):
+    chain = [("sauber", 1993, 2005), ("bmw-sauber", 2006, 2010), ("sauber", 2011, 2018),
+             ("alfa-romeo", 2019, 2023), ("kick-sauber", 2024, None)]
+    item = "array<struct<constructorId:string,yearFrom:int,yearTo:int>>"
+    df = spark.createDataFrame([(c[0], chain) for c in chain], f"id string, chain {item}")
+    uniq = normalise.dedupe_chains(df, "id", "chain")
+    edges = [(r["f"], r["t"]) for r in normalise.chain_edges(
+        uniq, "chain", "constructorId", from_col="f", to_col="t").orderBy("_pos").collect()]
+    assert edges == [(None, "sauber"), ("sauber", "bmw-sauber"), ("bmw-sauber", "sauber"),
+                     ("sauber", "alfa-romeo"), ("alfa-romeo", "kick-sauber")]
+
+
+def test_season_output_ordered_by_year(spark):
+    path = scratch_path(spark, "season-order")
+    rows = [(y, f"- entrantId: e{y}\n  constructorId: c\n  driverId: d\n  rounds: 1")
+            for y in (2010, 1999, 2005)]
+    spark.createDataFrame(rows, "year int, yaml string").write.partitionBy("year").text(path)
+    got = [r["year"] for r in documents.read_season_documents(
+        spark, path, pattern="*/*.txt", ordered=True).collect()]
+    assert got == [1999, 2005, 2010]
