@@ -24,24 +24,6 @@ from stintwise.schemas import SEASON_ENTRY
 PARSED = "_path string, _doc int, _json string"
 
 
-def _yaml_to_json(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import json
-
-    import yaml
-
-    loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
-    for pdf in batches:
-        paths, idx, docs = [], [], []
-        for path, text in zip(pdf["_path"], pdf["_text"]):
-            for i, doc in enumerate(yaml.load_all(text, Loader=loader)):
-                if doc is None:
-                    continue
-                paths.append(path)
-                idx.append(i)
-                docs.append(json.dumps(doc, default=str, ensure_ascii=False))
-        yield pd.DataFrame({"_path": paths, "_doc": pd.array(idx, dtype="int32"), "_json": docs})
-
-
 def document_text(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: ``(_path, _text)``."""
     return (spark.read.text(path, wholetext=True)
@@ -49,8 +31,32 @@ def document_text(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_yaml(files: DataFrame) -> DataFrame:
-    """``(_path, _text)`` -> ``(_path, _doc, _json)``: one row per document."""
-    return files.mapInPandas(_yaml_to_json, PARSED)
+    """``(_path, _text)`` -> ``(_path, _doc, _json)``: one row per document.
+
+    The parser is defined here so it is shipped to the Python workers by
+    value: they need ``yaml`` and ``pandas``, not this package on their path.
+    """
+
+    def yaml_to_json(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import json
+
+        import pandas
+        import yaml
+
+        loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
+        for pdf in batches:
+            paths, idx, docs = [], [], []
+            for path, text in zip(pdf["_path"], pdf["_text"]):
+                for i, doc in enumerate(yaml.load_all(text, Loader=loader)):
+                    if doc is None:
+                        continue
+                    paths.append(path)
+                    idx.append(i)
+                    docs.append(json.dumps(doc, default=str, ensure_ascii=False))
+            yield pandas.DataFrame({"_path": paths, "_doc": pandas.array(idx, dtype="int32"),
+                                    "_json": docs})
+
+    return files.mapInPandas(yaml_to_json, PARSED)
 
 
 def read_documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -80,33 +80,36 @@ def season_entries(spark: SparkSession, sf: str) -> DataFrame:
     docs = per_order.join(o, per_order.l_orderkey == o.o_orderkey).select(
         F.year("o_orderdate").cast("int").alias("year"),
         F.col("o_custkey").cast("string").alias("entrantId"), "_lines")
+    # Staged projections: each list is computed once per row (higher-order
+    # functions are interpreted, so repeating one inside a struct repeats the work).
     ls = F.col("_lines")
-
-    def drivers_of(c: Column) -> Column:
-        return F.transform(F.filter(ls, lambda x: x.constructorId == c),
-                           lambda x: F.struct(x.driverId.alias("driverId"), x.rounds.alias("rounds"),
-                                              x.testDriver.alias("testDriver")))
-
-    def constructor(c: Column) -> Column:
-        ds = drivers_of(c)
-        one = F.size(ds) == 1
-        return F.struct(c.alias("constructorId"),
-                        F.when(one, ds[0].driverId).alias("driverId"),
-                        F.when(one, ds[0].rounds).alias("rounds"),
-                        F.when(one, ds[0].testDriver).alias("testDriver"),
-                        F.when(~one, ds).alias("drivers"))
-
-    cons = F.transform(F.array_distinct(F.transform(ls, lambda x: x.constructorId)), constructor)
-    one_c = F.size(cons) == 1
-    first = cons[0]
+    groups = docs.select("year", "entrantId", F.transform(
+        F.array_distinct(F.transform(ls, lambda x: x.constructorId)),
+        lambda c: F.struct(c.alias("constructorId"), F.transform(
+            F.filter(ls, lambda x: x.constructorId == c),
+            lambda x: F.struct(x.driverId.alias("driverId"), x.rounds.alias("rounds"),
+                               x.testDriver.alias("testDriver"))).alias("ds"))).alias("_groups"))
+
+    def constructor(g: Column) -> Column:
+        one = F.size(g.ds) == 1
+        return F.struct(g.constructorId.alias("constructorId"),
+                        F.when(one, g.ds[0].driverId).alias("driverId"),
+                        F.when(one, g.ds[0].rounds).alias("rounds"),
+                        F.when(one, g.ds[0].testDriver).alias("testDriver"),
+                        F.when(~one, g.ds).alias("drivers"))
+
+    cons = groups.select("year", "entrantId",
+                         F.transform("_groups", constructor).alias("_cons"))
+    c = F.col("_cons")
+    one_c = F.size(c) == 1
     entry = F.struct(F.col("entrantId"),
-                     F.when(one_c, first.constructorId).alias("constructorId"),
-                     F.when(one_c, first.driverId).alias("driverId"),
-                     F.when(one_c, first.rounds).alias("rounds"),
-                     F.when(one_c, first.testDriver).alias("testDriver"),
-                     F.when(one_c, first.drivers).alias("drivers"),
-                     F.when(~one_c, cons).alias("constructors"))
-    return docs.select("year", entry.alias("entry"))
+                     F.when(one_c, c[0].constructorId).alias("constructorId"),
+                     F.when(one_c, c[0].driverId).alias("driverId"),
+                     F.when(one_c, c[0].rounds).alias("rounds"),
+                     F.when(one_c, c[0].testDriver).alias("testDriver"),
+                     F.when(one_c, c[0].drivers).alias("drivers"),
+                     F.when(~one_c, c).alias("constructors"))
+    return cons.select("year", entry.alias("entry"))
 
 
 def _kv(indent: str, key: str, value: Column) -> Column:
