@@ -26,8 +26,7 @@ def career_graph(a: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 # ----------------------------------------------------------------- ingest
-import os  # noqa: E402
-
+from pyspark.errors import AnalysisException  # noqa: E402
 from pyspark.sql import SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
@@ -43,13 +42,25 @@ SIMPLE_ENTITIES = ["chassis", "continents", "countries", "engine-manufacturers",
 RELATION = T.StructType([T.StructField("driverId", T.StringType()), T.StructField("type", T.StringType())])
 
 
+def _has_files(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path pattern matches files, on any filesystem Spark can read."""
+    try:
+        spark.read.format("binaryFile").load(pattern).select("path")
+        return True
+    except AnalysisException:
+        return False
+
+
 def _entity_table(spark: SparkSession, folder: str, nested: str | None, strict: bool):
     docs = read_document_maps(spark, f"{folder}/*")
     keys = schema.key_list(schema.discover_keys(docs, ["_path", "_doc"]))
     flat = [k for k in keys if k != nested]
-    record = schema.project_record(docs, keys if nested else flat,
-                                   on_missing="error" if strict else "null")
-    return docs, record, flat
+    record = schema.project_record(docs, flat, on_missing="error" if strict else "null",
+                                   keep=["doc"])
+    if nested:
+        # The nested list is optional in every document (and may be absent in all).
+        record = record.withColumn(nested, F.element_at("doc", F.lit(nested)))
+    return docs, record.drop("doc"), flat
 
 
 def ingest_entities(spark: SparkSession, source_dir: str, out_dir: str,
@@ -62,22 +73,23 @@ def ingest_entities(spark: SparkSession, source_dir: str, out_dir: str,
         csv_io.write_csv(df, path)
         out[name] = path
 
+    root = source_dir.rstrip("/")
     for name in SIMPLE_ENTITIES:
-        folder = os.path.join(source_dir, name)
-        if os.path.isdir(folder):
+        folder = f"{root}/{name}"
+        if _has_files(spark, f"{folder}/*"):
             _, rec, flat = _entity_table(spark, folder, None, strict)
             write(name, rec.select(*flat))
 
-    folder = os.path.join(source_dir, "circuits")
-    if os.path.isdir(folder):
+    folder = f"{root}/circuits"
+    if _has_files(spark, f"{folder}/*"):
         _, rec, flat = _entity_table(spark, folder, "previousNames", strict)
         write("circuits", schema.drop_nested(rec, "previousNames").select(*flat))
         names = rec.select("id", F.from_json("previousNames", T.ArrayType(T.StringType())).alias("pn"))
         write("previous_circuits_names",
               normalise.explode_child(names, "id", "pn", out_parent="circuitId", item="previousName"))
 
-    folder = os.path.join(source_dir, "drivers")
-    if os.path.isdir(folder):
+    folder = f"{root}/drivers"
+    if _has_files(spark, f"{folder}/*"):
         _, rec, flat = _entity_table(spark, folder, "familyRelationships", strict)
         write("drivers", schema.drop_nested(rec, "familyRelationships").select(*flat))
         rel = rec.select("id", F.from_json("familyRelationships", T.ArrayType(RELATION)).alias("fr"))
@@ -85,8 +97,8 @@ def ingest_entities(spark: SparkSession, source_dir: str, out_dir: str,
               normalise.explode_child(rel, "id", "fr", out_parent="driverId",
                                       fields={"relationId": "driverId", "type": "type"}))
 
-    folder = os.path.join(source_dir, "constructors")
-    if os.path.isdir(folder):
+    folder = f"{root}/constructors"
+    if _has_files(spark, f"{folder}/*"):
         _, rec, flat = _entity_table(spark, folder, "chronology", strict)
         write("constructors", schema.drop_nested(rec, "chronology").select(*flat))
         chains = normalise.dedupe_chains(
@@ -97,8 +109,8 @@ def ingest_entities(spark: SparkSession, source_dir: str, out_dir: str,
                                     from_col="constructorIdFrom", to_col="constructorIdTo")
               .select("constructorIdFrom", "constructorIdTo", "yearFrom", "yearTo"))
 
-    seasons = os.path.join(source_dir, "seasons")
-    if os.path.isdir(seasons):
+    seasons = f"{root}/seasons"
+    if _has_files(spark, f"{seasons}/*/entrants.yml"):
         apps = read_season_documents(spark, seasons)
         write("driversAllYears", apps.withColumnRenamed("driverId", "driverID"))
     return out

@@ -73,3 +73,11 @@ def test_career_outputs(spark, built):
     assert breaks == [("d1", "c2", "2020", "c3", "2023")]
     edges = read(spark, built["graph/edges"])
     assert edges.count() == edges.dropDuplicates().count() > 0
+
+
+def test_nested_list_absent_everywhere(spark, tmp_path):
+    (tmp_path / "constructors").mkdir()
+    (tmp_path / "constructors" / "a.yml").write_text("id: a\nname: A\n")
+    out = build_all(spark, str(tmp_path), scratch_path(spark, "build-no-chain"))
+    assert read(spark, out["constructors"]).count() == 1
+    assert read(spark, out["rebranding_history"]).count() == 0
