@@ -107,9 +107,14 @@ def announced_only(a: DataFrame) -> DataFrame:
 
 
 def filter_not_in(df: DataFrame, key: str, values: DataFrame, value_col: str) -> DataFrame:
-    """FLT-4: rows of ``df`` whose ``key`` is NOT IN ``values.value_col`` (null-aware)."""
-    return (flag_listed(df, key, values, value_col)
-            .filter(not_in(df, key, values, value_col)).drop("_listed"))
+    """FLT-4: rows of ``df`` whose ``key`` is NOT IN ``values.value_col`` (null-aware).
+
+    The distinct list is written once, so the join and the two guards (empty
+    list, null in list) read it instead of recomputing ``values`` three times.
+    """
+    listed = materialize(values.select(F.col(value_col).alias(value_col)).distinct(), "not-in")
+    return (flag_listed(df, key, listed, value_col)
+            .filter(not_in(df, key, listed, value_col)).drop("_listed"))
 
 
 def not_in(df: DataFrame, key: str, values: DataFrame, value_col: str) -> Column:

@@ -83,7 +83,7 @@ def chain_edges(df: DataFrame, chain_col: str, id_field: str, extra: Sequence[st
     def edge(x: Column, i: Column) -> Column:
         prev = F.when(i > 0, F.element_at(chain, i.cast("int")).getField(id_field))
         return F.struct(prev.alias(from_col), x.getField(id_field).alias(to_col),
-                        *[x.getField(e).alias(e) for e in extra], i.alias("_pos"))
+                        *[x.getField(e).alias(e) for e in extra], i.cast("bigint").alias("_pos"))
 
     return (df.select(*keep, F.explode(F.transform(chain, edge)).alias("_e"))
             .select(*keep, "_e.*"))

@@ -25,14 +25,16 @@ def discover_keys(docs: DataFrame, order: Sequence[str], doc_col: str = "doc") -
     exploded = docs.select(*order, F.posexplode(F.map_keys(doc_col)).alias("_pos", "key"))
     first = exploded.groupBy("key").agg(F.min(F.struct(*order, "_pos")).alias("_first"))
     # One row per distinct key: an unpartitioned window over the schema width only.
-    return first.select("key", (F.row_number().over(Window.orderBy("_first")) - 1).alias("ordinal"))
+    return first.select("key", (F.row_number().over(Window.orderBy("_first")) - 1)
+                        .cast("bigint").alias("ordinal"))
 
 
 def widest_keys(docs: DataFrame, order: Sequence[str], doc_col: str = "doc") -> DataFrame:
     """SCH-2: ``(key, ordinal)`` of the document with most keys; the last one wins ties."""
     keys = F.map_keys(doc_col)
     widest = docs.agg(F.max_by(keys, F.struct(F.size(keys), *order)).alias("_keys"))
-    return widest.select(F.posexplode("_keys").alias("ordinal", "key")).select("key", "ordinal")
+    return (widest.select(F.posexplode("_keys").alias("ordinal", "key"))
+            .select("key", F.col("ordinal").cast("bigint").alias("ordinal")))
 
 
 def key_list(keys: DataFrame) -> list[str]:

@@ -45,6 +45,18 @@ def canon(columns, rows):
     return cols, len(body), hashlib.sha256("\n".join(body).encode()).hexdigest()
 
 
+_SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE",
+                  "boolean": "BOOLEAN", "smallint": "SMALLINT", "float": "FLOAT", "date": "DATE"}
+
+
+def types(spark_df, rel):
+    """Column -> (Spark type as DuckDB name, DuckDB type) where they differ."""
+    s = {f.name: _SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+         for f in spark_df.schema.fields}
+    d = dict(zip(rel.columns, (str(t) for t in rel.types)))
+    return {c: (s.get(c), d.get(c)) for c in set(s) | set(d) if s.get(c) != d.get(c)}
+
+
 def compare(spark_df, con, sql):
     s_rows = [tuple(r) for r in spark_df.collect()]
     s = canon(spark_df.columns, s_rows)
@@ -53,6 +65,10 @@ def compare(spark_df, con, sql):
     return s, d
 
 
+def type_diff(spark_df, con, sql):
+    return types(spark_df, con.sql(sql))
+
+
 if __name__ == "__main__":
     import sys
     import time
@@ -74,7 +90,10 @@ if __name__ == "__main__":
         df = qs[name](spark, sf)
         if name in oracle:
             s, d = compare(df, con, oracle[name])
-            ok = s == d
+            td = type_diff(df, con, oracle[name])
+            if td:
+                print(f"{name:40s} TYPE DIFF {td}")
+            ok = s == d and not td
             bad += not ok
             print(f"{name:40s} rows={s[1]:8d} oracle={d[1]:8d} {'OK' if ok else 'MISMATCH ' + str(s[0]) + str(d[0])} {time.time() - t0:.1f}s", flush=True)
         else:
