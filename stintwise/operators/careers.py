@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stintwise.functions.columns import is_active
-from stintwise.schemas import BREAK_COLUMNS, TRANSFER_COLUMNS
+from stintwise.schemas import TRANSFER_COLUMNS
 from stintwise.session import materialize
 
 D, C, Y = "driverId", "constructorId", "year"

@@ -34,30 +34,42 @@ def _finish(edges: DataFrame) -> DataFrame:
             .dropDuplicates(EDGE_COLUMNS))
 
 
+def _debut_rows(debuts: DataFrame) -> DataFrame:
+    e = _edge(DRIVER, "driverId", DEBUT, TEAM, "constructorId", "debut_year")
+    return debuts.select(e.alias("e")).select("e.*")
+
+
+def _transfer_rows(transfers: DataFrame) -> DataFrame:
+    pair = F.array(_edge(TEAM, "const_out", TRANSFER_OUT, DRIVER, "driverId", "transfer_out"),
+                   _edge(DRIVER, "driverId", TRANSFER_IN, TEAM, "const_in", "transfer_in"))
+    return transfers.select(F.explode(pair).alias("e")).select("e.*")
+
+
+def _break_rows(breaks: DataFrame) -> DataFrame:
+    pair = F.array(_edge(TEAM, "const_out", BREAK, DRIVER, "driverId", "break_year"),
+                   _edge(DRIVER, "driverId", RETURN, TEAM, "const_in", "return_year"))
+    return breaks.select(F.explode(pair).alias("e")).select("e.*")
+
+
 def edges_debut(debuts: DataFrame) -> DataFrame:
     """GR-2: (Driver)-[DEBUT {year}]->(Team)."""
-    e = _edge(DRIVER, "driverId", DEBUT, TEAM, "constructorId", "debut_year")
-    return _finish(debuts.select(e.alias("e")).select("e.*"))
+    return _finish(_debut_rows(debuts))
 
 
 def edges_transfer(transfers: DataFrame) -> DataFrame:
     """GR-3: (Team)-[TRANSFER_OUT]->(Driver) and (Driver)-[TRANSFER_IN]->(Team) per row."""
-    pair = F.array(_edge(TEAM, "const_out", TRANSFER_OUT, DRIVER, "driverId", "transfer_out"),
-                   _edge(DRIVER, "driverId", TRANSFER_IN, TEAM, "const_in", "transfer_in"))
-    return _finish(transfers.select(F.explode(pair).alias("e")).select("e.*"))
+    return _finish(_transfer_rows(transfers))
 
 
 def edges_break(breaks: DataFrame) -> DataFrame:
     """GR-4: (Team)-[BREAK]->(Driver) and (Driver)-[RETURN]->(Team) per row."""
-    pair = F.array(_edge(TEAM, "const_out", BREAK, DRIVER, "driverId", "break_year"),
-                   _edge(DRIVER, "driverId", RETURN, TEAM, "const_in", "return_year"))
-    return _finish(breaks.select(F.explode(pair).alias("e")).select("e.*"))
+    return _finish(_break_rows(breaks))
 
 
 def graph_edges(debuts: DataFrame, transfers: DataFrame, breaks: DataFrame) -> DataFrame:
-    """GR-5: all edges, each (src, type, year, dst) once."""
-    return _finish(edges_debut(debuts).unionByName(edges_transfer(transfers))
-                   .unionByName(edges_break(breaks)))
+    """GR-5: all edges, each (src, type, year, dst) once: one dedupe over the union."""
+    return _finish(_debut_rows(debuts).unionByName(_transfer_rows(transfers))
+                   .unionByName(_break_rows(breaks)))
 
 
 def graph_nodes(edges: DataFrame) -> DataFrame:

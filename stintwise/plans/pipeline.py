@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from stintwise.operators import careers, graph
+from stintwise.operators import careers, graph, normalise, schema
+from stintwise.schemas import CHRONOLOGY_ITEM
+from stintwise.sources import csv as csv_io
+from stintwise.sources.documents import read_document_maps, read_season_documents
 
 
 def career_tables(a: DataFrame, midseason: bool = False) -> dict[str, DataFrame]:
@@ -26,16 +32,6 @@ def career_graph(a: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 # ----------------------------------------------------------------- ingest
-from pyspark.errors import AnalysisException  # noqa: E402
-from pyspark.sql import SparkSession  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
-from pyspark.sql import types as T  # noqa: E402
-
-from stintwise.operators import normalise, schema  # noqa: E402
-from stintwise.schemas import CHRONOLOGY_ITEM  # noqa: E402
-from stintwise.sources import csv as csv_io  # noqa: E402
-from stintwise.sources.documents import read_document_maps, read_season_documents  # noqa: E402
-
 # Folder names of the entity documents and the tables made from them.
 SIMPLE_ENTITIES = ["chassis", "continents", "countries", "engine-manufacturers", "engines",
                    "entrants", "grands-prix", "tyre-manufacturers"]

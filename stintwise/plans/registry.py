@@ -12,8 +12,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stintwise.operators import careers
-from stintwise.sources.bindings import APPEARANCES_SQL, appearances
+from pyspark.sql import types as T
+
+from stintwise.operators import careers, graph, normalise, schema
+from stintwise.plans.pipeline import career_tables
+from stintwise.session import scratch_path
+from stintwise.sources import csv as csv_io
+from stintwise.sources import documents
+from stintwise.sources import nested_bindings as nb
+from stintwise.sources.bindings import APPEARANCES_SQL, appearances, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -251,12 +258,6 @@ def q_breaks7(spark, sf):
 
 
 # ---------------------------------------------------------------- normalisation
-from stintwise.operators import graph, normalise, schema  # noqa: E402
-from stintwise.sources import csv as csv_io  # noqa: E402
-from stintwise.sources import documents  # noqa: E402
-from stintwise.sources import nested_bindings as nb  # noqa: E402
-from stintwise.sources.bindings import table  # noqa: E402
-from stintwise.session import scratch_path  # noqa: E402
 
 
 @register("dense_id", """
@@ -384,15 +385,16 @@ def q_case_select(spark, sf):
 
 
 # ---------------------------------------------------------------- sources / sinks
-_SUPPLIER_SCHEMA = "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double"
+_SUPPLIER_SCHEMA = T.StructType([
+    T.StructField("s_suppkey", T.LongType()), T.StructField("s_name", T.StringType()),
+    T.StructField("s_nationkey", T.IntegerType()), T.StructField("s_acctbal", T.DoubleType())])
 
 
 @register("csv_roundtrip", "SELECT * FROM supplier")
 def q_csv_roundtrip(spark, sf):
     path = scratch_path(spark, "csv-supplier")
     csv_io.write_csv(table(spark, sf, "supplier"), path)
-    from pyspark.sql.types import _parse_datatype_string
-    return csv_io.read_csv(spark, path, _parse_datatype_string(_SUPPLIER_SCHEMA))
+    return csv_io.read_csv(spark, path, _SUPPLIER_SCHEMA)
 
 
 @register("appearances_csv", "SELECT * FROM (" + APPEARANCES_SQL + ") t")
@@ -412,7 +414,6 @@ UNION ALL SELECT 'retirements', count(*)
 UNION ALL SELECT 'transfers', count(*) FROM transfer6
 UNION ALL SELECT 'breaks', count(*) FROM breaks"""))
 def q_career_tables(spark, sf):
-    from stintwise.plans.pipeline import career_tables
     a = appearances(spark, sf)
     paths = csv_io.write_career_tables(career_tables(a), scratch_path(spark, "career"))
     counts = [csv_io.read_csv(spark, p, spark.read.option("header", True).csv(p).schema)
@@ -429,8 +430,7 @@ def q_career_tables(spark, sf):
 def q_doc_scan(spark, sf):
     path = scratch_path(spark, "yaml-supplier")
     documents.write_yaml(nb.supplier_yaml(spark, sf), path)
-    from pyspark.sql.types import _parse_datatype_string
-    docs = documents.read_documents(spark, path, _parse_datatype_string(_SUPPLIER_SCHEMA))
+    docs = documents.read_documents(spark, path, _SUPPLIER_SCHEMA)
     return docs.drop("_path", "_doc")
 
 

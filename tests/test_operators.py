@@ -145,7 +145,6 @@ def test_properties(spark):
 
 
 def test_season_yaml_roundtrip(spark):
-    from tests.fixtures import TOY_ROWS  # noqa: F401  (shape reference only)
     path = scratch_path(spark, "season-test")
     sample = """- entrantId: e1
   constructorId: c1
