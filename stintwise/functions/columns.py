@@ -27,6 +27,10 @@ def flag_or_false(flag: Column | str) -> Column:
 
 
 def year_from_path(path: Column | str) -> Column:
-    """Integer year of the folder that holds a file: ``.../<year>/f`` or ``.../year=<year>/f``."""
+    """Integer year of the folder that holds a file: ``.../<year>/f`` or ``.../year=<year>/f``.
+
+    Null for any other path (``try_cast``: under ANSI mode a plain cast of the
+    empty match would fail the job).
+    """
     c = F.col(path) if isinstance(path, str) else path
-    return F.regexp_extract(c, r"/(?:year=)?(\d+)/[^/]*$", 1).cast("int")
+    return F.regexp_extract(c, r"/(?:year=)?(\d+)/[^/]*$", 1).try_cast("int")

@@ -188,3 +188,10 @@ def test_season_output_ordered_by_year(spark):
     got = [r["year"] for r in documents.read_season_documents(
         spark, path, pattern="*/*.txt", ordered=True).collect()]
     assert got == [1999, 2005, 2010]
+
+
+def test_year_from_path(spark):
+    from stintwise.functions import year_from_path
+    df = spark.createDataFrame([("s3://b/seasons/1998/entrants.yml",), ("/x/year=2001/part-0.txt",),
+                                ("/x/misc/readme.yml",)], "p string")
+    assert [r[0] for r in df.select(year_from_path("p")).collect()] == [1998, 2001, None]
