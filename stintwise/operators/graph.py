@@ -100,5 +100,21 @@ def edge_batches(df: DataFrame, order: list[str], size: int = 500) -> DataFrame:
             .select("batch", F.transform("rows", lambda r: r.dropFields("_row")).alias("rows")))
 
 
+
+
+def import_tables(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Node and relationship tables in the header-typed layout graph bulk importers read.
+
+    Node ids are ``label:name``, so a driver and a team of the same name stay
+    distinct; the MERGE semantics are already applied (both tables deduplicated).
+    """
+    node_id = F.concat_ws(":", F.col("label"), F.col("name"))
+    n = nodes.select(node_id.alias("id:ID"), F.col("name"), F.col("label").alias(":LABEL"))
+    e = edges.select(F.concat_ws(":", "src_label", "src").alias(":START_ID"),
+                     F.concat_ws(":", "dst_label", "dst").alias(":END_ID"),
+                     F.col("type").alias(":TYPE"), F.col("year").alias("year:int"))
+    return n, e
+
+
 __all__ = ["graph_nodes", "graph_edges", "edges_debut", "edges_transfer", "edges_break",
-           "merge_graph", "edge_batches"]
+           "merge_graph", "edge_batches", "import_tables"]

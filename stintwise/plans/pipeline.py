@@ -122,7 +122,9 @@ def build_all(spark: SparkSession, source_dir: str, out_dir: str) -> dict[str, s
                 tables, f"{out_dir.rstrip('/')}/transferGraph").items():
             out[f"transferGraph/{name}"] = path
         nodes, edges = career_graph(a)
-        for name, df in (("nodes", nodes), ("edges", edges)):
+        import_nodes, import_edges = graph.import_tables(nodes, edges)
+        for name, df in (("nodes", nodes), ("edges", edges), ("import/nodes", import_nodes),
+                         ("import/relationships", import_edges)):
             path = f"{out_dir.rstrip('/')}/graph/{name}"
             csv_io.write_csv(df, path)
             out[f"graph/{name}"] = path

@@ -512,3 +512,20 @@ def q_edge_batches(spark, sf):
     batches = graph.edge_batches(edges, ["type", "src", "dst", "year", "src_label", "dst_label"])
     return batches.select(F.col("batch").cast("bigint").alias("batch"),
                           F.size("rows").cast("bigint").alias("n_rows"))
+
+
+@register("graph_import_nodes", with_appearances(_GRAPH_CTES + """
+SELECT label || ':' || name AS "id:ID", name, label AS ":LABEL" FROM (
+  SELECT DISTINCT * FROM (SELECT src_label AS label, src AS name FROM edges
+                          UNION ALL SELECT dst_label, dst FROM edges) n) nodes"""))
+def q_graph_import_nodes(spark, sf):
+    edges = graph.graph_edges(*_graph_inputs(spark, sf))
+    return graph.import_tables(graph.graph_nodes(edges), edges)[0]
+
+
+@register("graph_import_relationships", with_appearances(_GRAPH_CTES + """
+SELECT src_label || ':' || src AS ":START_ID", dst_label || ':' || dst AS ":END_ID",
+       type AS ":TYPE", year AS "year:int" FROM edges"""))
+def q_graph_import_relationships(spark, sf):
+    edges = graph.graph_edges(*_graph_inputs(spark, sf))
+    return graph.import_tables(graph.graph_nodes(edges), edges)[1]

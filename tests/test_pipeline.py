@@ -81,3 +81,13 @@ def test_nested_list_absent_everywhere(spark, tmp_path):
     out = build_all(spark, str(tmp_path), scratch_path(spark, "build-no-chain"))
     assert read(spark, out["constructors"]).count() == 1
     assert read(spark, out["rebranding_history"]).count() == 0
+
+
+def test_graph_import_tables(spark, built):
+    nodes = read(spark, built["graph/import/nodes"])
+    rels = read(spark, built["graph/import/relationships"])
+    assert nodes.columns == ["id:ID", "name", ":LABEL"]
+    assert rels.columns == [":START_ID", ":END_ID", ":TYPE", "year:int"]
+    ids = {r[0] for r in nodes.collect()}
+    assert {r[0] for r in rels.collect()} | {r[1] for r in rels.collect()} <= ids
+    assert ("Driver:d1", "Team:c3", "RETURN", "2023") in {tuple(r) for r in rels.collect()}
