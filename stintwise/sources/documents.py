@@ -22,6 +22,7 @@ from stintwise.operators.normalise import flatten_entries
 from stintwise.schemas import SEASON_ENTRY
 
 PARSED = "_path string, _doc int, _json string"
+YAML_CHUNK_DOCS = 4096  # parsed documents per Arrow batch handed back to the JVM
 
 
 def document_text(spark: SparkSession, path: str) -> DataFrame:
@@ -44,8 +45,15 @@ def parse_yaml(files: DataFrame) -> DataFrame:
         import yaml
 
         loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
+        paths, idx, docs = [], [], []
+
+        def flush():
+            out = pandas.DataFrame({"_path": paths, "_doc": pandas.array(idx, dtype="int32"),
+                                    "_json": docs})
+            paths.clear(), idx.clear(), docs.clear()
+            return out
+
         for pdf in batches:
-            paths, idx, docs = [], [], []
             for path, text in zip(pdf["_path"], pdf["_text"]):
                 for i, doc in enumerate(yaml.load_all(text, Loader=loader)):
                     if doc is None:
@@ -53,8 +61,10 @@ def parse_yaml(files: DataFrame) -> DataFrame:
                     paths.append(path)
                     idx.append(i)
                     docs.append(json.dumps(doc, default=str, ensure_ascii=False))
-            yield pandas.DataFrame({"_path": paths, "_doc": pandas.array(idx, dtype="int32"),
-                                    "_json": docs})
+                    if len(docs) >= YAML_CHUNK_DOCS:
+                        yield flush()
+        if docs:
+            yield flush()
 
     return files.mapInPandas(yaml_to_json, PARSED)
 
