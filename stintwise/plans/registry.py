@@ -41,57 +41,56 @@ def with_appearances(body: str) -> str:
 
 
 # ---------------------------------------------------------------- SQL pieces
-_DEBUT = "debut AS (SELECT MIN(year) AS debut_year, driverId FROM appearances WHERE tookPart = TRUE GROUP BY driverId)"
-_SPANS_OUT = ("transfer_out_side AS (SELECT MAX(year) AS transfer_out, driverId, constructorId AS const_out "
-              "FROM appearances WHERE tookPart = TRUE GROUP BY driverId, constructorId)")
-_SPANS_IN = ("transfer_in_side AS (SELECT MIN(year) AS transfer_in, driverId, constructorId AS const_in "
-             "FROM appearances WHERE tookPart = TRUE GROUP BY driverId, constructorId)")
-_T6 = """transfer6 AS (
-  SELECT o.driverId, const_out, transfer_out, const_in, transfer_in
-  FROM transfer_out_side o JOIN transfer_in_side i
-    ON o.driverId = i.driverId AND o.transfer_out = i.transfer_in - 1)"""
-_T7 = """transfer7 AS (
-  SELECT o.driverId, const_out, transfer_out, const_in, transfer_in
-  FROM transfer_out_side o JOIN transfer_in_side i
-    ON o.driverId = i.driverId AND o.const_out != i.const_in
-   AND (o.transfer_out = i.transfer_in - 1
-        OR (o.transfer_out = i.transfer_in AND o.const_out != i.const_in)))"""
-_GAP = """gap_break AS (
-  SELECT b.driverId, const_out, break_year, const_in, return_year, return_year - break_year AS gap
-  FROM (SELECT MAX(year) AS break_year, driverId, constructorId AS const_out
-        FROM appearances WHERE tookPart = TRUE GROUP BY driverId, constructorId) b
-  JOIN (SELECT MIN(year) AS return_year, driverId, constructorId AS const_in
-        FROM appearances WHERE tookPart = TRUE GROUP BY driverId, constructorId) r
-    ON b.driverId = r.driverId AND b.break_year < r.return_year - 1
-  GROUP BY b.driverId, const_out, break_year, const_in, return_year)"""
-
-
-def _filtered_gap(transfer: str) -> str:
-    return f"""filtered_gap AS (
-  SELECT gb.* FROM gap_break gb
-  WHERE NOT EXISTS (SELECT 1 FROM {transfer} t
-                    WHERE gb.driverId = t.driverId AND gb.const_in = t.const_in
-                      AND gb.return_year = t.transfer_in))"""
-
-
-_NEAREST = """nearest AS (
-  SELECT fg.* FROM filtered_gap fg
-  JOIN (SELECT driverId, const_in, return_year, MIN(gap) AS act
-        FROM filtered_gap GROUP BY driverId, const_in, return_year) ab
-    ON ab.driverId = fg.driverId AND ab.const_in = fg.const_in
-   AND ab.return_year = fg.return_year AND fg.gap = ab.act)"""
-_BREAKS = """breaks AS (
-  SELECT fg.* FROM nearest fg
-  JOIN (SELECT driverId, const_out, break_year, MIN(gap) AS act
-        FROM nearest GROUP BY driverId, const_out, break_year) ab
-    ON ab.driverId = fg.driverId AND ab.const_out = fg.const_out
-   AND ab.break_year = fg.break_year AND fg.gap = ab.act)"""
-
-
-def _breaks_sql(transfer: str, final: str) -> str:
-    tdef = _T6 if transfer == "transfer6" else _T7
-    return with_appearances(",\n".join([_SPANS_OUT, _SPANS_IN, tdef, _GAP, _filtered_gap(transfer),
-                                        _NEAREST, _BREAKS]) + f"\nSELECT * FROM {final}")
+# The oracle is an independent formulation: one span table, arithmetic on its
+# ends, NOT EXISTS for the anti-join, MIN() OVER for the arg-min steps.
+_SP = """sp AS (
+  SELECT driverId, constructorId, MIN(year) AS first_year, MAX(year) AS last_year
+  FROM appearances WHERE tookPart GROUP BY driverId, constructorId)"""
+_FIRST = """first_seen AS (
+  SELECT driverId, MIN(year) AS debut_year FROM appearances WHERE tookPart GROUP BY driverId)"""
+_LAST = """last_seen AS (
+  SELECT driverId, MAX(year) AS retirement_year FROM appearances WHERE tookPart GROUP BY driverId
+  HAVING MAX(year) < (SELECT MAX(year) FROM appearances))"""
+_TNEXT = """t_next AS (
+  SELECT p.driverId, p.constructorId AS const_out, p.last_year AS transfer_out,
+         q.constructorId AS const_in, q.first_year AS transfer_in
+  FROM sp p JOIN sp q ON q.driverId = p.driverId AND q.first_year = p.last_year + 1)"""
+_TANY = """t_any AS (
+  SELECT p.driverId, p.constructorId AS const_out, p.last_year AS transfer_out,
+         q.constructorId AS const_in, q.first_year AS transfer_in
+  FROM sp p JOIN sp q ON q.driverId = p.driverId AND q.constructorId <> p.constructorId
+                     AND q.first_year IN (p.last_year, p.last_year + 1))"""
+_GAPS = """gaps AS (
+  SELECT DISTINCT p.driverId, p.constructorId AS const_out, p.last_year AS break_year,
+         q.constructorId AS const_in, q.first_year AS return_year,
+         q.first_year - p.last_year AS gap
+  FROM sp p JOIN sp q ON q.driverId = p.driverId AND q.first_year - p.last_year >= 2)"""
+
+
+def _unexplained(transfers: str) -> str:
+    return f"""unexplained AS (
+  SELECT g.* FROM gaps g
+  WHERE NOT EXISTS (SELECT 1 FROM {transfers} x
+                    WHERE x.driverId = g.driverId AND x.const_in = g.const_in
+                      AND x.transfer_in = g.return_year))"""
+
+
+_NEAR = """near AS (
+  SELECT driverId, const_out, break_year, const_in, return_year, gap FROM (
+    SELECT u.*, MIN(gap) OVER (PARTITION BY driverId, const_in, return_year) AS best
+    FROM unexplained u WHERE const_in IS NOT NULL) w
+  WHERE gap = best)"""
+_BRK = """brk AS (
+  SELECT driverId, const_out, break_year, const_in, return_year, gap FROM (
+    SELECT n.*, MIN(gap) OVER (PARTITION BY driverId, const_out, break_year) AS best
+    FROM near n WHERE const_out IS NOT NULL) w
+  WHERE gap = best)"""
+
+
+def _breaks_sql(transfers: str, final: str) -> str:
+    tdef = _TNEXT if transfers == "t_next" else _TANY
+    return with_appearances(",\n".join([_SP, tdef, _GAPS, _unexplained(transfers), _NEAR, _BRK])
+                            + f"\nSELECT * FROM {final}")
 
 
 # ---------------------------------------------------------------- career queries
@@ -100,58 +99,58 @@ def q_appearances(spark, sf):
     return appearances(spark, sf)
 
 
-@register("spans", with_appearances(
-    "s AS (SELECT driverId, constructorId, MIN(year) AS first_year, MAX(year) AS last_year "
-    "FROM appearances WHERE tookPart = TRUE GROUP BY driverId, constructorId)\nSELECT * FROM s"))
+@register("spans", with_appearances(_SP + "\nSELECT * FROM sp"))
 def q_spans(spark, sf):
     return careers.spans(appearances(spark, sf))
 
 
-@register("debut_years", with_appearances(_DEBUT + "\nSELECT * FROM debut"))
+@register("debut_years", with_appearances(_FIRST + "\nSELECT debut_year, driverId FROM first_seen"))
 def q_debut_years(spark, sf):
     return careers.debut_years(appearances(spark, sf))
 
 
-@register("debuts", with_appearances(_DEBUT + """
-SELECT db.driverId, dr.constructorId, db.debut_year
-FROM appearances dr JOIN debut db ON db.debut_year = dr.year AND db.driverId = dr.driverId"""))
-def q_debuts(spark, sf):
-    return careers.debuts(appearances(spark, sf))
+_DEBUT_ROWS = """
+SELECT x.driverId, x.constructorId, f.debut_year
+FROM appearances x JOIN first_seen f USING (driverId)
+WHERE x.year = f.debut_year"""
 
 
-_RETIREMENT = """retirement AS (
-  SELECT * FROM (SELECT MAX(year) AS retirement_year, driverId FROM appearances
-                 WHERE tookPart = TRUE GROUP BY driverId) temp_ret
-  WHERE retirement_year < (SELECT MAX(year) AS maximum FROM appearances))"""
+@register("debuts", with_appearances(_FIRST + _DEBUT_ROWS))
+def q_debuts(spark, sf):
+    return careers.debuts(appearances(spark, sf))
 
 
-@register("last_seen_before_max", with_appearances(_RETIREMENT + "\nSELECT * FROM retirement"))
+@register("last_seen_before_max", with_appearances(
+    _LAST + "\nSELECT retirement_year, driverId FROM last_seen"))
 def q_last_seen(spark, sf):
     return careers.last_seen_before_max(appearances(spark, sf))
 
 
-@register("retirements", with_appearances(_RETIREMENT + """
-SELECT db.driverId, dr.constructorId, db.retirement_year
-FROM appearances dr JOIN retirement db ON db.retirement_year = dr.year AND db.driverId = dr.driverId"""))
+_RETIREMENT_ROWS = """
+SELECT x.driverId, x.constructorId, l.retirement_year
+FROM appearances x JOIN last_seen l USING (driverId)
+WHERE x.year = l.retirement_year"""
+
+
+@register("retirements", with_appearances(_LAST + _RETIREMENT_ROWS))
 def q_retirements(spark, sf):
     return careers.retirements(appearances(spark, sf))
 
 
-_ANNOUNCED = """announced AS (
-  SELECT * FROM (
-    SELECT years.driverId, constructors.constructorId, years.retirement_year
-    FROM (SELECT MAX(year) AS retirement_year, driverId FROM appearances
-          WHERE tookPart = TRUE AND year < (SELECT MAX(year) AS maximum FROM appearances)
-          GROUP BY driverId) years
-    JOIN (SELECT year, driverId, constructorId FROM appearances
-          WHERE tookPart = TRUE AND year < (SELECT MAX(year) AS maximum FROM appearances)) constructors
-      ON years.retirement_year = constructors.year AND years.driverId = constructors.driverId
-  ) AS temp_ret
-  WHERE retirement_year < (SELECT MAX(year) AS maximum FROM appearances
-                           WHERE year < (SELECT MAX(year) AS maximum FROM appearances))
-     OR driverId NOT IN (SELECT DISTINCT driverId FROM appearances
-                         WHERE year = (SELECT MAX(year) AS maximum FROM appearances)
-                           AND tookPart = FALSE))"""
+_ANNOUNCED = """latest AS (SELECT MAX(year) AS y FROM appearances),
+before_latest AS (SELECT * FROM appearances WHERE year < (SELECT y FROM latest)),
+previous AS (SELECT MAX(year) AS y FROM before_latest),
+active_before AS (SELECT driverId, constructorId, year FROM before_latest WHERE tookPart),
+last_active AS (SELECT driverId, MAX(year) AS y FROM active_before GROUP BY driverId),
+candidates AS (
+  SELECT b.driverId, b.constructorId, b.year AS retirement_year
+  FROM active_before b JOIN last_active l ON l.driverId = b.driverId AND l.y = b.year),
+listed AS (SELECT driverId FROM appearances
+           WHERE year = (SELECT y FROM latest) AND tookPart = FALSE),
+announced AS (
+  SELECT * FROM candidates
+  WHERE retirement_year < (SELECT y FROM previous)
+     OR driverId NOT IN (SELECT driverId FROM listed))"""
 
 
 @register("retirements_announced", with_appearances(_ANNOUNCED + "\nSELECT * FROM announced"))
@@ -195,63 +194,61 @@ def q_not_in_null_aware(spark, sf):
     return careers.filter_not_in(a.select("driverId").distinct(), "driverId", listed, "driverId")
 
 
-@register("transfers_consecutive", with_appearances(",\n".join([_SPANS_OUT, _SPANS_IN, _T6]) +
-                                                    "\nSELECT * FROM transfer6"))
+@register("transfers_consecutive", with_appearances(",\n".join([_SP, _TNEXT]) + "\nSELECT * FROM t_next"))
 def q_transfers_consecutive(spark, sf):
     a = appearances(spark, sf)
     return careers.transfers_consecutive(a, careers.shared_spans(a))
 
 
-@register("transfers_with_midseason", with_appearances(",\n".join([_SPANS_OUT, _SPANS_IN, _T7]) +
-                                                       "\nSELECT * FROM transfer7"))
+@register("transfers_with_midseason", with_appearances(",\n".join([_SP, _TANY]) + "\nSELECT * FROM t_any"))
 def q_transfers_midseason(spark, sf):
     a = appearances(spark, sf)
     return careers.transfers_with_midseason(a, careers.shared_spans(a))
 
 
-@register("transfers_of_driver", with_appearances(",\n".join([_SPANS_OUT, _SPANS_IN, _T7]) +
-                                                  "\nSELECT * FROM transfer7 WHERE driverId = '1'"))
+@register("transfers_of_driver", with_appearances(
+    ",\n".join([_SP, _TANY]) + "\nSELECT * FROM t_any WHERE driverId = '1'"))
 def q_transfers_of_driver(spark, sf):
     return careers.transfers_of_driver(appearances(spark, sf), "1")
 
 
-@register("gap_pairs", with_appearances(_GAP + "\nSELECT * FROM gap_break"))
+@register("gap_pairs", with_appearances(",\n".join([_SP, _GAPS]) + "\nSELECT * FROM gaps"))
 def q_gap_pairs(spark, sf):
     a = appearances(spark, sf)
     return careers.gap_pairs(a, careers.shared_spans(a))
 
 
-@register("gaps_unexplained", _breaks_sql("transfer6", "filtered_gap"))
+@register("gaps_unexplained", _breaks_sql("t_next", "unexplained"))
 def q_gaps_unexplained(spark, sf):
     a = appearances(spark, sf)
     return careers.gaps_unexplained(a, False, careers.shared_spans(a))
 
 
-@register("breaks_nearest_return", _breaks_sql("transfer6", "nearest"))
+@register("breaks_nearest_return", _breaks_sql("t_next", "near"))
 def q_breaks_nearest(spark, sf):
     a = appearances(spark, sf)
     return careers.breaks_nearest_return(a, False, careers.shared_spans(a))
 
 
-@register("breaks", _breaks_sql("transfer6", "breaks"))
+@register("breaks", _breaks_sql("t_next", "brk"))
 def q_breaks(spark, sf):
     a = appearances(spark, sf)
     return careers.breaks(a, False, careers.shared_spans(a))
 
 
-@register("gaps_unexplained_midseason", _breaks_sql("transfer7", "filtered_gap"))
+@register("gaps_unexplained_midseason", _breaks_sql("t_any", "unexplained"))
 def q_gaps_unexplained7(spark, sf):
     a = appearances(spark, sf)
     return careers.gaps_unexplained(a, True, careers.shared_spans(a))
 
 
-@register("breaks_nearest_return_midseason", _breaks_sql("transfer7", "nearest"))
+@register("breaks_nearest_return_midseason", _breaks_sql("t_any", "near"))
 def q_breaks_nearest7(spark, sf):
     a = appearances(spark, sf)
     return careers.breaks_nearest_return(a, True, careers.shared_spans(a))
 
 
-@register("breaks_midseason", _breaks_sql("transfer7", "breaks"))
+@register("breaks_midseason", _breaks_sql("t_any", "brk"))
 def q_breaks7(spark, sf):
     a = appearances(spark, sf)
     return careers.breaks(a, True, careers.shared_spans(a))
@@ -405,14 +402,13 @@ def q_appearances_csv(spark, sf):
 
 
 @register("career_tables", with_appearances(",\n".join([
-    _DEBUT, _RETIREMENT, _SPANS_OUT, _SPANS_IN, _T6, _GAP, _filtered_gap("transfer6"), _NEAREST,
-    _BREAKS]) + """
+    _FIRST, _LAST, _SP, _TNEXT, _GAPS, _unexplained("t_next"), _NEAR, _BRK]) + """
 SELECT 'debuts' AS table_name, count(*) AS row_count
-  FROM appearances dr JOIN debut db ON db.debut_year = dr.year AND db.driverId = dr.driverId
+  FROM appearances x JOIN first_seen f USING (driverId) WHERE x.year = f.debut_year
 UNION ALL SELECT 'retirements', count(*)
-  FROM appearances dr JOIN retirement db ON db.retirement_year = dr.year AND db.driverId = dr.driverId
-UNION ALL SELECT 'transfers', count(*) FROM transfer6
-UNION ALL SELECT 'breaks', count(*) FROM breaks"""))
+  FROM appearances x JOIN last_seen l USING (driverId) WHERE x.year = l.retirement_year
+UNION ALL SELECT 'transfers', count(*) FROM t_next
+UNION ALL SELECT 'breaks', count(*) FROM brk"""))
 def q_career_tables(spark, sf):
     a = appearances(spark, sf)
     paths = csv_io.write_career_tables(career_tables(a), scratch_path(spark, "career"))
@@ -442,20 +438,18 @@ def q_season_scan(spark, sf):
 
 
 # ---------------------------------------------------------------- graph
-_GRAPH_CTES = ",\n".join([_DEBUT, _SPANS_OUT, _SPANS_IN, _T7, _GAP, _filtered_gap("transfer7"),
-                          _NEAREST, _BREAKS]) + """,
-debuts AS (SELECT db.driverId, dr.constructorId, db.debut_year
-           FROM appearances dr JOIN debut db ON db.debut_year = dr.year AND db.driverId = dr.driverId),
+_GRAPH_CTES = ",\n".join([_FIRST, _SP, _TANY, _GAPS, _unexplained("t_any"), _NEAR, _BRK]) + """,
+debut_rows AS (""" + _DEBUT_ROWS + """),
 e_debut AS (SELECT 'Driver' AS src_label, driverId AS src, 'DEBUT' AS type, 'Team' AS dst_label,
-                   constructorId AS dst, debut_year AS year FROM debuts),
+                   constructorId AS dst, debut_year AS year FROM debut_rows),
 e_transfer AS (SELECT 'Team' AS src_label, const_out AS src, 'TRANSFER_OUT' AS type,
-                      'Driver' AS dst_label, driverId AS dst, transfer_out AS year FROM transfer7
+                      'Driver' AS dst_label, driverId AS dst, transfer_out AS year FROM t_any
                UNION ALL
-               SELECT 'Driver', driverId, 'TRANSFER_IN', 'Team', const_in, transfer_in FROM transfer7),
+               SELECT 'Driver', driverId, 'TRANSFER_IN', 'Team', const_in, transfer_in FROM t_any),
 e_break AS (SELECT 'Team' AS src_label, const_out AS src, 'BREAK' AS type,
-                   'Driver' AS dst_label, driverId AS dst, break_year AS year FROM breaks
+                   'Driver' AS dst_label, driverId AS dst, break_year AS year FROM brk
             UNION ALL
-            SELECT 'Driver', driverId, 'RETURN', 'Team', const_in, return_year FROM breaks),
+            SELECT 'Driver', driverId, 'RETURN', 'Team', const_in, return_year FROM brk),
 edges AS (SELECT DISTINCT * FROM (SELECT * FROM e_debut UNION ALL SELECT * FROM e_transfer
                                   UNION ALL SELECT * FROM e_break) u
           WHERE src IS NOT NULL AND dst IS NOT NULL AND year IS NOT NULL)"""
