@@ -91,3 +91,17 @@ def test_graph_import_tables(spark, built):
     ids = {r[0] for r in nodes.collect()}
     assert {r[0] for r in rels.collect()} | {r[1] for r in rels.collect()} <= ids
     assert ("Driver:d1", "Team:c3", "RETURN", "2023") in {tuple(r) for r in rels.collect()}
+
+
+def test_cluster_conf_sizes_partitions():
+    from stintwise.session import cluster_conf
+    conf = cluster_conf(100 * 2**40, 8000)
+    assert conf["spark.sql.adaptive.enabled"] == "true"
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 << 20)
+    assert int(cluster_conf(1 << 20, 16)["spark.sql.shuffle.partitions"]) == 32
+
+
+def test_command_line_build(spark, capsys):
+    from stintwise.__main__ import main
+    main(["build", SOURCE, scratch_path(spark, "cli-build")])
+    assert '"transferGraph/breaks"' in capsys.readouterr().out
