@@ -1,4 +1,6 @@
-"""Command line: ``spark-submit -m stintwise build <source_dir> <out_dir>`` (or ``python -m``).
+"""Command line: ``python -m stintwise build <source_dir> <out_dir>``.
+
+On a cluster: ``spark-submit --py-files stintwise.zip stintwise/__main__.py build <src> <out>``.
 
 Runs the whole chain - YAML folders -> flat tables -> career tables -> graph -
 as Spark jobs in the session that spark-submit configures.
