@@ -8,7 +8,7 @@ the driver.  Modules:
 * ``stintwise.operators.schema``    key discovery and record projection
 * ``stintwise.operators.graph``     node/edge tables, merge, batches, import layout
 * ``stintwise.sources``             YAML documents, CSV tables, test bindings
-* ``stintwise.plans``               pipeline (``build_all``), SQL views, query registry
+* ``stintwise.plans``               end-to-end build (``build_all``), SQL views, query registry
 * ``stintwise.streaming``           incremental season ingest
 """
 

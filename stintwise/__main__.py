@@ -13,7 +13,7 @@ import json
 
 from pyspark.sql import SparkSession
 
-from stintwise.plans.pipeline import build_all
+from stintwise.plans.build import build_all
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -1 +1 @@
-"""Compositions: the query registry and the end-to-end pipeline."""
+"""Compositions: the query registry, SQL views and the end-to-end build."""

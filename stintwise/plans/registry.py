@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stintwise.operators import careers, graph, normalise, schema
-from stintwise.plans.pipeline import career_tables
+from stintwise.plans.build import career_tables
 from stintwise.session import scratch_path
 from stintwise.sources import csv as csv_io
 from stintwise.sources import documents

@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from stintwise.plans.pipeline import build_all
+from stintwise.plans.build import build_all
 from stintwise.session import scratch_path
 
 SOURCE = os.path.join(os.path.dirname(__file__), "data", "source")
