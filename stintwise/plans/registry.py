@@ -21,6 +21,7 @@ from stintwise.sources import csv as csv_io
 from stintwise.sources import documents
 from stintwise.sources import nested_bindings as nb
 from stintwise.sources.bindings import APPEARANCES_SQL, appearances, table
+from stintwise.streaming import season_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -523,3 +524,12 @@ SELECT src_label || ':' || src AS ":START_ID", dst_label || ':' || dst AS ":END_
 def q_graph_import_relationships(spark, sf):
     edges = graph.graph_edges(*_graph_inputs(spark, sf))
     return graph.import_tables(graph.graph_nodes(edges), edges)[1]
+
+
+@register("season_stream", nb.SEASON_FLAT_SQL)
+def q_season_stream(spark, sf):
+    src, sink, ckpt = (scratch_path(spark, x) for x in ("stream-src", "stream-sink", "stream-ckpt"))
+    documents.write_yaml(nb.season_yaml(nb.season_entries(spark, sf)), src, partition_by="year")
+    query = season_stream(spark, src, sink, ckpt, pattern="*/*.txt", available_now=True)
+    query.awaitTermination()
+    return spark.read.parquet(sink)
