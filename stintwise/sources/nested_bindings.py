@@ -72,43 +72,36 @@ def order_chains(spark: SparkSession, sf: str) -> DataFrame:
 def season_entries(spark: SparkSession, sf: str) -> DataFrame:
     """``(year, entry)`` with ``entry`` shaped like ``schemas.SEASON_ENTRY``.
 
-    Lines are grouped per order before ``orders`` is joined, so that join sees
-    one row per order instead of one per line.
+    Lines are hash-partitioned once by order; both nesting levels are
+    ``collect_list`` aggregates over that partitioning (drivers per
+    constructor, then constructors per order), so the work is linear in the
+    lines and there is one shuffle.  ``orders`` is joined per order, not per line.
     """
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                                              "l_returnflag", "l_linestatus")
     s = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    line = F.struct(F.col("s_nationkey").cast("string").alias("constructorId"),
-                    F.col("l_linenumber"),
-                    F.col("l_partkey").cast("string").alias("driverId"),
-                    F.nullif(F.col("l_returnflag"), F.lit("R")).alias("rounds"),
-                    F.when(F.col("l_linestatus") == F.lit("O"), F.lit(True)).alias("testDriver"))
-    per_order = (li.join(s, li.l_suppkey == s.s_suppkey)
-                 .groupBy("l_orderkey").agg(F.sort_array(F.collect_list(line)).alias("_lines")))
+    lines = li.join(s, li.l_suppkey == s.s_suppkey).select(
+        "l_orderkey", F.col("s_nationkey").cast("string").alias("constructorId"),
+        F.struct(F.col("l_linenumber"), F.col("l_partkey").cast("string").alias("driverId"),
+                 F.nullif(F.col("l_returnflag"), F.lit("R")).alias("rounds"),
+                 F.when(F.col("l_linestatus") == F.lit("O"), F.lit(True)).alias("testDriver"))
+        .alias("line"))
+    per_constructor = (lines.repartition("l_orderkey")
+                       .groupBy("l_orderkey", "constructorId")
+                       .agg(F.sort_array(F.collect_list("line")).alias("_ds")))
+    ds = F.transform("_ds", lambda x: x.dropFields("l_linenumber"))
+    one = F.size("_ds") == 1
+    constructor = F.struct(F.col("constructorId"),
+                           F.when(one, ds[0].driverId).alias("driverId"),
+                           F.when(one, ds[0].rounds).alias("rounds"),
+                           F.when(one, ds[0].testDriver).alias("testDriver"),
+                           F.when(~one, ds).alias("drivers"))
+    per_order = (per_constructor.groupBy("l_orderkey")
+                 .agg(F.sort_array(F.collect_list(constructor)).alias("_cons")))
     docs = per_order.join(o, per_order.l_orderkey == o.o_orderkey).select(
         F.year("o_orderdate").cast("int").alias("year"),
-        F.col("o_custkey").cast("string").alias("entrantId"), "_lines")
-    # Staged projections: each list is computed once per row (higher-order
-    # functions are interpreted, so repeating one inside a struct repeats the work).
-    ls = F.col("_lines")
-    groups = docs.select("year", "entrantId", F.transform(
-        F.array_distinct(F.transform(ls, lambda x: x.constructorId)),
-        lambda c: F.struct(c.alias("constructorId"), F.transform(
-            F.filter(ls, lambda x: x.constructorId == c),
-            lambda x: F.struct(x.driverId.alias("driverId"), x.rounds.alias("rounds"),
-                               x.testDriver.alias("testDriver"))).alias("ds"))).alias("_groups"))
-
-    def constructor(g: Column) -> Column:
-        one = F.size(g.ds) == 1
-        return F.struct(g.constructorId.alias("constructorId"),
-                        F.when(one, g.ds[0].driverId).alias("driverId"),
-                        F.when(one, g.ds[0].rounds).alias("rounds"),
-                        F.when(one, g.ds[0].testDriver).alias("testDriver"),
-                        F.when(~one, g.ds).alias("drivers"))
-
-    cons = groups.select("year", "entrantId",
-                         F.transform("_groups", constructor).alias("_cons"))
+        F.col("o_custkey").cast("string").alias("entrantId"), "_cons")
     c = F.col("_cons")
     one_c = F.size(c) == 1
     entry = F.struct(F.col("entrantId"),
@@ -118,7 +111,7 @@ def season_entries(spark: SparkSession, sf: str) -> DataFrame:
                      F.when(one_c, c[0].testDriver).alias("testDriver"),
                      F.when(one_c, c[0].drivers).alias("drivers"),
                      F.when(~one_c, c).alias("constructors"))
-    return cons.select("year", entry.alias("entry"))
+    return docs.select("year", entry.alias("entry"))
 
 
 def _kv(indent: str, key: str, value: Column) -> Column:
