@@ -195,3 +195,18 @@ def test_year_from_path(spark):
     df = spark.createDataFrame([("s3://b/seasons/1998/entrants.yml",), ("/x/year=2001/part-0.txt",),
                                 ("/x/misc/readme.yml",)], "p string")
     assert [r[0] for r in df.select(year_from_path("p")).collect()] == [1998, 2001, None]
+
+
+def test_merge_graph_adds_only_absent_edges(spark):
+    cols = "src_label string, src string, type string, dst_label string, dst string, year int"
+    existing = spark.createDataFrame([("Driver", "a", "DEBUT", "Team", "x", 2000),
+                                      ("Team", "x", "BREAK", "Driver", "a", 2003)], cols)
+    new = spark.createDataFrame([("Driver", "a", "DEBUT", "Team", "x", 2000),
+                                 ("Driver", "a", "RETURN", "Team", "y", 2006),
+                                 ("Driver", "a", "RETURN", "Team", "y", 2006)], cols)
+    merged = sorted(tuple(r) for r in graph.merge_graph(existing, new).collect())
+    assert merged == sorted([("Driver", "a", "DEBUT", "Team", "x", 2000),
+                             ("Team", "x", "BREAK", "Driver", "a", 2003),
+                             ("Driver", "a", "RETURN", "Team", "y", 2006)])
+    nodes = sorted(tuple(r) for r in graph.graph_nodes(graph.merge_graph(existing, new)).collect())
+    assert nodes == [("Driver", "a"), ("Team", "x"), ("Team", "y")]
