@@ -8,6 +8,7 @@ import pytest
 from stintwise.operators import careers
 from stintwise.schemas import APPEARANCES
 from tests.test_operators import _brute_breaks
+from tests.test_plans import plan_text
 
 SKEW_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -53,7 +54,7 @@ def test_hot_driver_debuts_split_and_exact(spark, skew_conf):
             first[d] = min(first.get(d, y), y)
     want = Counter((d, c, y) for y, _, c, d, _, _ in rows if d in first and first[d] == y)
     assert got == want
-    assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    assert "skew=true" in plan_text(df)  # the final adaptive plan, after the action
 
 
 def test_hot_driver_breaks_exact(spark):
