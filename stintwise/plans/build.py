@@ -11,6 +11,7 @@ from stintwise.operators import careers, graph, normalise, schema
 from stintwise.schemas import CHRONOLOGY_ITEM
 from stintwise.sources import csv as csv_io
 from stintwise.sources.documents import read_document_maps, read_season_documents
+from stintwise.sources.tables import read_fact_table, write_fact_table
 
 
 def career_tables(a: DataFrame, midseason: bool = False) -> dict[str, DataFrame]:
@@ -113,10 +114,18 @@ def ingest_entities(spark: SparkSession, source_dir: str, out_dir: str,
 
 
 def build_all(spark: SparkSession, source_dir: str, out_dir: str) -> dict[str, str]:
-    """Ingest -> flat tables -> career tables -> graph, all as Spark jobs."""
+    """Ingest -> flat tables -> career tables -> graph, all as Spark jobs.
+
+    The appearance table is written as CSV (the ingest output) and as parquet
+    partitioned by year; the career relations read the parquet copy, so their
+    ``year < latest`` filters prune partitions and scans read only used columns.
+    """
     out = ingest_entities(spark, source_dir, out_dir)
     if "driversAllYears" in out:
-        a = csv_io.read_appearances(spark, out["driversAllYears"])
+        fact = f"{out_dir.rstrip('/')}/appearances"
+        write_fact_table(csv_io.read_appearances(spark, out["driversAllYears"]), fact)
+        out["appearances"] = fact
+        a = read_fact_table(spark, fact)
         tables = career_tables(a)
         for name, path in csv_io.write_career_tables(
                 tables, f"{out_dir.rstrip('/')}/transferGraph").items():

@@ -21,6 +21,7 @@ from stintwise.sources import csv as csv_io
 from stintwise.sources import documents
 from stintwise.sources import nested_bindings as nb
 from stintwise.sources.bindings import APPEARANCES_SQL, appearances, table
+from stintwise.sources.tables import read_fact_table, write_fact_table
 from stintwise.streaming import season_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -533,3 +534,10 @@ def q_season_stream(spark, sf):
     query = season_stream(spark, src, sink, ckpt, pattern="*/*.txt", available_now=True)
     query.awaitTermination()
     return spark.read.parquet(sink)
+
+
+@register("fact_table", "SELECT * FROM (" + APPEARANCES_SQL + ") t")
+def q_fact_table(spark, sf):
+    path = scratch_path(spark, "fact-table")
+    write_fact_table(appearances(spark, sf), path)
+    return read_fact_table(spark, path)

@@ -105,3 +105,13 @@ def test_command_line_build(spark, capsys):
     from stintwise.__main__ import main
     main(["build", SOURCE, scratch_path(spark, "cli-build")])
     assert '"transferGraph/breaks"' in capsys.readouterr().out
+
+
+def test_fact_table_partitioned_by_year(spark, built):
+    from stintwise.sources.tables import read_fact_table
+    a = read_fact_table(spark, built["appearances"])
+    assert a.columns == ["year", "entrantId", "constructorId", "driverId", "tookPart", "testDriver"]
+    assert sorted(r[0] for r in a.select("year").distinct().collect()) == [2019, 2020, 2023]
+    files = [r[0] for r in spark.read.format("binaryFile").load(built["appearances"])
+             .select("path").collect()]
+    assert files and all("/year=" in f for f in files)

@@ -50,3 +50,16 @@ def test_breaks_window_is_per_driver_over_distinct_years(spark):
     assert len(windows) == 1
     # Partition spec is the driver alone; the rows are distinct (driver, year) pairs.
     assert re.search(r"\], \[driverId#\d+\], \[_y#\d+ ASC", windows[0])
+
+
+def test_year_partitions_pruned_by_latest_year(spark):
+    from stintwise.operators import careers
+    from stintwise.session import scratch_path
+    from stintwise.sources.bindings import appearances
+    from stintwise.sources.tables import read_fact_table, write_fact_table
+    path = scratch_path(spark, "fact-plan")
+    write_fact_table(appearances(spark, SF001), path)
+    df = careers.retirements_announced(read_fact_table(spark, path))
+    filters = [line for line in plan_text(df).splitlines() if "PartitionFilters" in line]
+    assert any("year" in f and "< " in f and "Subquery" in f for f in filters)
+    assert any("year" in f and "= " in f and "Subquery" in f for f in filters)
