@@ -533,7 +533,7 @@ def q_season_stream(spark, sf):
     documents.write_yaml(nb.season_yaml(nb.season_entries(spark, sf)), src, partition_by="year")
     query = season_stream(spark, src, sink, ckpt, pattern="*/*.txt", available_now=True)
     query.awaitTermination()
-    return spark.read.parquet(sink)
+    return read_fact_table(spark, sink)
 
 
 @register("fact_table", "SELECT * FROM (" + APPEARANCES_SQL + ") t")

@@ -14,6 +14,9 @@ def season_stream(spark: SparkSession, root: str, sink_path: str, checkpoint_loc
                   max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start a stream that appends the flattened entries of every new season file.
 
+    The sink has the fact-table layout (parquet partitioned by year), so
+    ``sources.tables.read_fact_table`` reads it.
+
     ``checkpoint_location`` must be on shared storage; a restarted query
     continues where it stopped and never appends a file twice.
     """
@@ -23,6 +26,7 @@ def season_stream(spark: SparkSession, root: str, sink_path: str, checkpoint_loc
     files = reader.load(f"{root.rstrip('/')}/{pattern}").select(
         F.col("_metadata.file_path").alias("_path"), F.col("value").alias("_text"))
     writer = (season_rows(files).writeStream.format("parquet").outputMode("append")
+              .partitionBy("year")
               .option("path", sink_path).option("checkpointLocation", checkpoint_location))
     if available_now:
         writer = writer.trigger(availableNow=True)

@@ -1,4 +1,5 @@
 from stintwise.session import scratch_path
+from stintwise.sources.tables import read_fact_table
 from stintwise.streaming import season_stream
 
 SEASON = """- entrantId: e{n}
@@ -21,10 +22,10 @@ def test_stream_appends_new_seasons_once(spark):
     _write_season(spark, root, 2001, 1)
     q = season_stream(spark, root, sink, ckpt, pattern="*/*.txt", available_now=True)
     q.awaitTermination(120)
-    assert spark.read.parquet(sink).count() == 2
+    assert read_fact_table(spark, sink).count() == 2
     _write_season(spark, root, 2002, 2)
     q = season_stream(spark, root, sink, ckpt, pattern="*/*.txt", available_now=True)
     q.awaitTermination(120)
-    rows = sorted(tuple(r) for r in spark.read.parquet(sink).collect())
+    rows = sorted(tuple(r) for r in read_fact_table(spark, sink).collect())
     assert rows == [(2001, "e1", "c1", "d1", True, False), (2001, "e1", "c1", "d2", False, False),
                     (2002, "e2", "c1", "d1", True, False), (2002, "e2", "c1", "d2", False, False)]
