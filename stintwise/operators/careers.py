@@ -114,15 +114,15 @@ def filter_not_in(df: DataFrame, key: str, values: DataFrame, value_col: str) ->
     """
     listed = materialize(values.select(F.col(value_col).alias(value_col)).distinct(), "not-in")
     return (flag_listed(df, key, listed, value_col)
-            .filter(not_in(df, key, listed, value_col)).drop("_listed"))
+            .filter(not_in(key, listed, value_col)).drop("_listed"))
 
 
-def not_in(df: DataFrame, key: str, values: DataFrame, value_col: str) -> Column:
+def not_in(key: str, values: DataFrame, value_col: str) -> Column:
     """FLT-4 / JN-7 helper: a Column equal to SQL ``key NOT IN (SELECT value_col FROM values)``.
 
     Three-valued: true when the list is empty; unknown (false in a filter) when
-    ``key`` is null, or when it is absent but the list holds a null.  ``df`` must
-    already carry the boolean ``_listed`` from ``flag_listed``.
+    ``key`` is null, or when it is absent but the list holds a null.  The
+    filtered DataFrame must already carry ``_listed`` from ``flag_listed``.
     """
     n_all = values.select(F.count(F.lit(1))).scalar()
     n_null = values.select(F.count(F.lit(1)) - F.count(value_col)).scalar()
@@ -217,7 +217,11 @@ def transfers_with_midseason(a: DataFrame, s: DataFrame | None = None) -> DataFr
 
 
 def transfers_of_driver(a: DataFrame, driver_id: str) -> DataFrame:
-    """Q-12 / FLT-6: Q-7 for one driver (the filter reaches the scan)."""
+    """Q-12 / FLT-6: Q-7 for one driver.
+
+    The filter is applied before the spans, so on a stored fact table it is a
+    pushed parquet filter and only that driver's rows are aggregated.
+    """
     return transfers_with_midseason(a.filter(F.col(D) == F.lit(driver_id)))
 
 
