@@ -12,8 +12,9 @@ Scale notes
   the big side of such a join.
 * Every pair relation is built from spans, which are unique per
   ``(driverId, constructorId)``.  Transfers use an equi-join on
-  ``(driverId, year)`` instead of ``driverId`` plus an OR residual, so the
-  work is proportional to the output, not to spans² of a driver.
+  ``(driverId, year)`` instead of ``driverId`` plus an OR residual, and gap
+  pairs evaluate their range condition on distinct years only, so the work
+  is proportional to the output, not to spans² of a driver.
 * ``breaks`` never materialises the break/return pairs: the nearest earlier
   span end is a running max over the distinct (driverId, year) rows (an as-of
   lookup whose window is bounded by the period domain), then joined on
@@ -228,7 +229,7 @@ def transfers_of_driver(a: DataFrame, driver_id: str) -> DataFrame:
 def gap_pairs(a: DataFrame, s: DataFrame | None = None) -> DataFrame:
     """Q-8: span pairs of one driver with ``out.last < in.first - 1``.
 
-    The pairs are the output, so this is a range join inside a driver.  The
+    The range condition runs on distinct years only (see ``_gap_join``).  The
     reference's GROUP BY is a no-op here (spans are unique per constructor,
     so a pair is unique per (driver, const_out, const_in)) and is not planned.
     """
@@ -247,12 +248,24 @@ def _return_side(s: DataFrame) -> DataFrame:
 
 
 def _gap_join(out: DataFrame, inn: DataFrame) -> DataFrame:
-    o, i = out.alias("o"), inn.alias("i")
-    cond = (F.col("o.driverId") == F.col("i.driverId")) & (
-        F.col("o.break_year") < F.col("i.return_year") - 1)
-    return (o.join(i, cond, "inner")
-            .select(F.col("o.driverId").alias(D), "const_out", "break_year", "const_in",
-                    "return_year", (F.col("return_year") - F.col("break_year")).alias("gap")))
+    """Pairs (out-span, in-span) of one driver with ``break_year < return_year - 1``.
+
+    The range condition is evaluated on the distinct (driver, year) values of
+    each side only - at most (periods)^2 per driver, whatever the number of
+    groups a driver had - and the spans are attached by equi-joins on
+    (driverId, year), so work beyond that follows the output.
+    """
+    end_years = out.select(D, "break_year").distinct()
+    start_years = inn.select(D, "return_year").distinct()
+    e, r = end_years.alias("e"), start_years.alias("r")
+    cond = (F.col("e.driverId") == F.col("r.driverId")) & (
+        F.col("e.break_year") < F.col("r.return_year") - 1)
+    year_pairs = e.join(r, cond, "inner").select(F.col("e.driverId").alias(D), "break_year",
+                                                 "return_year")
+    return (year_pairs.join(out, [D, "break_year"], "inner")
+            .join(inn, [D, "return_year"], "inner")
+            .select(D, "const_out", "break_year", "const_in", "return_year",
+                    (F.col("return_year") - F.col("break_year")).alias("gap")))
 
 
 def unexplained_returns(s: DataFrame, midseason: bool) -> DataFrame:
