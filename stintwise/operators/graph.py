@@ -102,6 +102,26 @@ def edge_batches(df: DataFrame, order: list[str], size: int = 500) -> DataFrame:
 
 
 
+def send_batches(batches: DataFrame, open_sink) -> None:
+    """GR-7 sink side: hand every batch of ``edge_batches`` to a client, from the executors.
+
+    ``open_sink()`` runs once per partition and returns ``send(batch, rows)``
+    (rows as a list of dicts) and optionally a ``close`` attribute - one
+    connection per task, never one per row and never through the driver.
+    """
+    def run(partition):
+        send = open_sink()
+        try:
+            for r in partition:
+                send(r["batch"], [row.asDict() for row in r["rows"]])
+        finally:
+            close = getattr(send, "close", None)
+            if close is not None:
+                close()
+
+    batches.foreachPartition(run)
+
+
 def import_tables(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Node and relationship tables in the header-typed layout graph bulk importers read.
 
@@ -117,4 +137,4 @@ def import_tables(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFr
 
 
 __all__ = ["graph_nodes", "graph_edges", "edges_debut", "edges_transfer", "edges_break",
-           "merge_graph", "edge_batches", "import_tables"]
+           "merge_graph", "edge_batches", "send_batches", "import_tables"]

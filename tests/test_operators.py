@@ -210,3 +210,23 @@ def test_merge_graph_adds_only_absent_edges(spark):
                              ("Driver", "a", "RETURN", "Team", "y", 2006)])
     nodes = sorted(tuple(r) for r in graph.graph_nodes(graph.merge_graph(existing, new)).collect())
     assert nodes == [("Driver", "a"), ("Team", "x"), ("Team", "y")]
+
+
+def test_send_batches_reaches_every_edge_once(spark):
+    _, a = _random_appearances(spark, 4, 600)
+    edges = graph.graph_edges(careers.debuts(a), careers.transfers_with_midseason(a),
+                              careers.breaks(a, True))
+    batches = graph.edge_batches(edges, graph.EDGE_COLUMNS, size=7)
+    sent_rows = spark.sparkContext.accumulator(0)
+    sent_batches = spark.sparkContext.accumulator(0)
+
+    def open_sink():
+        def send(batch, rows):
+            assert len(rows) <= 7 and set(rows[0]) == set(graph.EDGE_COLUMNS)
+            sent_rows.add(len(rows))
+            sent_batches.add(1)
+        return send
+
+    graph.send_batches(batches, open_sink)
+    assert sent_rows.value == edges.count()
+    assert sent_batches.value == batches.count()
