@@ -22,9 +22,11 @@ def main(argv: list[str] | None = None) -> None:
     build = sub.add_parser("build", help="ingest YAML folders and derive career tables and graph")
     build.add_argument("source_dir")
     build.add_argument("out_dir")
+    build.add_argument("--strict", action="store_true",
+                       help="fail on a document that lacks a key other documents have")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("stintwise").getOrCreate()
-    written = build_all(spark, args.source_dir, args.out_dir)
+    written = build_all(spark, args.source_dir, args.out_dir, strict=args.strict)
     print(json.dumps(written, indent=2, sort_keys=True))
 
 

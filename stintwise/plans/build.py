@@ -113,14 +113,17 @@ def ingest_entities(spark: SparkSession, source_dir: str, out_dir: str,
     return out
 
 
-def build_all(spark: SparkSession, source_dir: str, out_dir: str) -> dict[str, str]:
+def build_all(spark: SparkSession, source_dir: str, out_dir: str,
+              strict: bool = False) -> dict[str, str]:
     """Ingest -> flat tables -> career tables -> graph, all as Spark jobs.
 
     The appearance table is written as CSV (the ingest output) and as parquet
     partitioned by year; the career relations read the parquet copy, so their
     ``year < latest`` filters prune partitions and scans read only used columns.
+    ``strict`` fails the job on a document that lacks a discovered key, as the
+    reference does; by default the cell is null.
     """
-    out = ingest_entities(spark, source_dir, out_dir)
+    out = ingest_entities(spark, source_dir, out_dir, strict=strict)
     if "driversAllYears" in out:
         fact = f"{out_dir.rstrip('/')}/appearances"
         write_fact_table(csv_io.read_appearances(spark, out["driversAllYears"]), fact)

@@ -115,3 +115,14 @@ def test_fact_table_partitioned_by_year(spark, built):
     files = [r[0] for r in spark.read.format("binaryFile").load(built["appearances"])
              .select("path").collect()]
     assert files and all("/year=" in f for f in files)
+
+
+def test_strict_build_fails_on_missing_key(spark, tmp_path):
+    (tmp_path / "continents").mkdir()
+    (tmp_path / "continents" / "a.yml").write_text("id: a\ncode: AA\n")
+    (tmp_path / "continents" / "b.yml").write_text("id: b\n")
+    with pytest.raises(Exception, match="lacks key"):
+        build_all(spark, str(tmp_path), scratch_path(spark, "strict"), strict=True)
+    out = build_all(spark, str(tmp_path), scratch_path(spark, "lenient"))
+    rows = {r["id"]: r["code"] for r in read(spark, out["continents"]).collect()}
+    assert rows == {"a": "AA", "b": None}
