@@ -37,15 +37,24 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint directory, creating a local one only if unset."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    """Return the shared checkpoint directory, creating a local one only if unset.
+
+    Reads ``spark.checkpoint.dir`` from the session.  Without a SparkContext
+    (Spark Connect) the server applies that setting itself.
+    """
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no driver-side context
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="stintwise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
