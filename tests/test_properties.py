@@ -111,3 +111,45 @@ def test_debuts_and_announced_retirements(spark, rows):
     a = spark.createDataFrame(rows, APPEARANCES)
     assert got(careers.debuts(a)) == debuts_bf(rows)
     assert got(careers.retirements_announced(a)) == announced_bf(rows)
+
+
+DRIVER = st.fixed_dictionaries({"driverId": st.sampled_from(["d1", "d2", None]),
+                                "rounds": st.sampled_from(["1", "1-3", None]),
+                                "testDriver": st.sampled_from([True, False, None])})
+LEVEL2 = st.one_of(
+    DRIVER,
+    st.fixed_dictionaries({"drivers": st.lists(DRIVER, max_size=3)}),
+)
+CONSTRUCTOR = st.builds(lambda cid, body: {"constructorId": cid, **body},
+                        st.sampled_from(["c1", "c2"]), LEVEL2)
+ENTRY = st.one_of(
+    st.builds(lambda e, c: {"entrantId": e, **c}, st.sampled_from(["e1", "e2"]), CONSTRUCTOR),
+    st.builds(lambda e, cs: {"entrantId": e, "constructors": cs},
+              st.sampled_from(["e1", "e2"]), st.lists(CONSTRUCTOR, max_size=3)),
+)
+
+
+def flatten_bf(year, entry):
+    level1 = ([entry] if entry.get("constructorId") is not None or entry.get("constructors") is None
+              else entry["constructors"])
+    out = []
+    for c in level1:
+        level2 = ([c] if c.get("driverId") is not None or c.get("drivers") is None
+                  else c["drivers"])
+        for d in level2:
+            out.append((year, entry["entrantId"], c.get("constructorId"), d.get("driverId"),
+                        d.get("rounds") is not None, bool(d.get("testDriver") or False)))
+    return out
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(1990, 1995), ENTRY), min_size=1, max_size=8))
+def test_flatten_entries(spark, entries):
+    from pyspark.sql import types as T
+
+    from stintwise.operators.normalise import flatten_entries
+    from stintwise.schemas import SEASON_ENTRY
+    df = spark.createDataFrame(entries, T.StructType([T.StructField("year", T.IntegerType()),
+                                                      T.StructField("entry", SEASON_ENTRY)]))
+    want = Counter(r for y, e in entries for r in flatten_bf(y, e))
+    assert got(flatten_entries(df)) == want
