@@ -9,14 +9,16 @@ from pyspark.sql import types as T
 
 from stintwise.operators import careers, graph, normalise, schema
 from stintwise.schemas import CHRONOLOGY_ITEM
+from stintwise.session import materialize
 from stintwise.sources import csv as csv_io
 from stintwise.sources.documents import read_document_maps, read_season_documents
 from stintwise.sources.tables import read_fact_table, write_fact_table
 
 
-def career_tables(a: DataFrame, midseason: bool = False) -> dict[str, DataFrame]:
+def career_tables(a: DataFrame, midseason: bool = False,
+                  s: DataFrame | None = None) -> dict[str, DataFrame]:
     """The four tables of the transfer-graph job (SNK-3), spans shared."""
-    s = careers.shared_spans(a)
+    s = careers.shared_spans(a) if s is None else s
     transfers = (careers.transfers_with_midseason(a, s) if midseason
                  else careers.transfers_consecutive(a, s))
     return {"debuts": careers.debuts(a, s),
@@ -25,9 +27,9 @@ def career_tables(a: DataFrame, midseason: bool = False) -> dict[str, DataFrame]
             "breaks": careers.breaks(a, midseason, s)}
 
 
-def career_graph(a: DataFrame) -> tuple[DataFrame, DataFrame]:
+def career_graph(a: DataFrame, s: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Nodes and edges as the notebook loads them (transfers incl. same season)."""
-    t = career_tables(a, midseason=True)
+    t = career_tables(a, midseason=True, s=s)
     edges = graph.graph_edges(t["debuts"], t["transfers"], t["breaks"])
     return graph.graph_nodes(edges), edges
 
@@ -49,7 +51,8 @@ def _has_files(spark: SparkSession, pattern: str) -> bool:
 
 
 def _entity_table(spark: SparkSession, folder: str, nested: str | None, strict: bool):
-    docs = read_document_maps(spark, f"{folder}/*")
+    # Parse every document once: key discovery and all table writes read this copy.
+    docs = materialize(read_document_maps(spark, f"{folder}/*"), "documents")
     keys = schema.key_list(schema.discover_keys(docs, ["_path", "_doc"]))
     flat = [k for k in keys if k != nested]
     record = schema.project_record(docs, flat, on_missing="error" if strict else "null",
@@ -129,11 +132,12 @@ def build_all(spark: SparkSession, source_dir: str, out_dir: str,
         write_fact_table(csv_io.read_appearances(spark, out["driversAllYears"]), fact)
         out["appearances"] = fact
         a = read_fact_table(spark, fact)
-        tables = career_tables(a)
+        s = careers.shared_spans(a)
+        tables = career_tables(a, s=s)
         for name, path in csv_io.write_career_tables(
                 tables, f"{out_dir.rstrip('/')}/transferGraph").items():
             out[f"transferGraph/{name}"] = path
-        nodes, edges = career_graph(a)
+        nodes, edges = career_graph(a, s)
         import_nodes, import_edges = graph.import_tables(nodes, edges)
         for name, df in (("nodes", nodes), ("edges", edges), ("import/nodes", import_nodes),
                          ("import/relationships", import_edges)):

@@ -126,3 +126,11 @@ def test_strict_build_fails_on_missing_key(spark, tmp_path):
     out = build_all(spark, str(tmp_path), scratch_path(spark, "lenient"))
     rows = {r["id"]: r["code"] for r in read(spark, out["continents"]).collect()}
     assert rows == {"a": "AA", "b": None}
+
+
+def test_column_order_follows_documents(spark, built):
+    assert read(spark, built["continents"]).columns == ["id", "code", "name", "demonym"]
+    assert read(spark, built["countries"]).columns == [
+        "id", "alpha2Code", "alpha3Code", "name", "demonym", "continentId"]
+    assert read(spark, built["circuits"]).columns == [
+        "id", "name", "fullName", "type", "latitude", "longitude"]
