@@ -541,3 +541,22 @@ def q_fact_table(spark, sf):
     path = scratch_path(spark, "fact-table")
     write_fact_table(appearances(spark, sf), path)
     return read_fact_table(spark, path)
+
+
+_NULL_LISTED = """appearances_n AS (
+  SELECT year, entrantId, constructorId,
+         CASE WHEN testDriver AND year = (SELECT MAX(year) FROM appearances) THEN NULL
+              ELSE driverId END AS driverId,
+         tookPart, testDriver
+  FROM appearances)"""
+
+
+@register("retirements_null_listed", with_appearances(
+    _NULL_LISTED + ",\n" + _ANNOUNCED.replace("FROM appearances", "FROM appearances_n")
+    + "\nSELECT * FROM announced"))
+def q_retirements_null_listed(spark, sf):
+    """Q-5 when the latest season's list holds nulls: NOT IN is never true, the OR still keeps rows."""
+    a = appearances(spark, sf)
+    latest_test = (F.col("year") == careers.latest_year(a)) & F.col("testDriver")
+    return careers.retirements_announced(
+        a.withColumn("driverId", F.when(latest_test, F.lit(None)).otherwise(F.col("driverId"))))
