@@ -532,7 +532,9 @@ def q_season_stream(spark, sf):
     src, sink, ckpt = (scratch_path(spark, x) for x in ("stream-src", "stream-sink", "stream-ckpt"))
     documents.write_yaml(nb.season_yaml(nb.season_entries(spark, sf)), src, partition_by="year")
     query = season_stream(spark, src, sink, ckpt, pattern="*/*.txt", available_now=True)
-    query.awaitTermination()
+    if not query.awaitTermination(1800):
+        query.stop()
+        raise TimeoutError("season stream did not drain its available files")
     return read_fact_table(spark, sink)
 
 
