@@ -153,3 +153,24 @@ def test_flatten_entries(spark, entries):
                                                       T.StructField("entry", SEASON_ENTRY)]))
     want = Counter(r for y, e in entries for r in flatten_bf(y, e))
     assert got(flatten_entries(df)) == want
+
+
+KEYS = ["id", "name", "code", "year", "note"]
+
+
+@SETTINGS
+@given(st.lists(st.permutations(KEYS).flatmap(
+    lambda ks: st.integers(1, len(ks)).map(lambda n: ks[:n])), min_size=1, max_size=8))
+def test_key_discovery(spark, docs):
+    import json
+
+    from pyspark.sql import functions as F
+
+    from stintwise.operators import schema
+    rows = [(i, json.dumps({k: str(j) for j, k in enumerate(keys)})) for i, keys in enumerate(docs)]
+    df = spark.createDataFrame(rows, "_doc int, j string").select(
+        "_doc", F.from_json("j", "map<string,string>").alias("doc"))
+    first_seen = list(dict.fromkeys(k for keys in docs for k in keys))
+    assert schema.key_list(schema.discover_keys(df, ["_doc"])) == first_seen
+    widest = max(range(len(docs)), key=lambda i: (len(docs[i]), i))
+    assert schema.key_list(schema.widest_keys(df, ["_doc"])) == docs[widest]
