@@ -174,3 +174,29 @@ def test_key_discovery(spark, docs):
     assert schema.key_list(schema.discover_keys(df, ["_doc"])) == first_seen
     widest = max(range(len(docs)), key=lambda i: (len(docs[i]), i))
     assert schema.key_list(schema.widest_keys(df, ["_doc"])) == docs[widest]
+
+
+CHAIN = st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(1990, 1999),
+                           st.one_of(st.none(), st.integers(1990, 1999))), min_size=1, max_size=4)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 50), st.one_of(st.none(), CHAIN)), min_size=1, max_size=10))
+def test_chain_dedupe_and_edges(spark, owned):
+    from stintwise.operators.normalise import chain_edges, dedupe_chains
+    item = "array<struct<constructorId:string,yearFrom:int,yearTo:int>>"
+    df = spark.createDataFrame(owned, f"owner int, chain {item}")
+    uniq = dedupe_chains(df, "owner", "chain")
+    want_ids = {}
+    for owner, chain in owned:
+        if chain is not None:
+            key = tuple(chain)
+            want_ids[key] = min(want_ids.get(key, owner), owner)
+    got_ids = {tuple(tuple(x) for x in r["chain"]): r["chain_id"] for r in uniq.collect()}
+    assert got_ids == want_ids
+    edges = chain_edges(uniq, "chain", "constructorId", ["yearFrom", "yearTo"],
+                        from_col="f", to_col="t", keep=["chain_id"])
+    want_edges = Counter((cid, chain[i - 1][0] if i else None, c, yf, yt, i)
+                         for chain, cid in want_ids.items()
+                         for i, (c, yf, yt) in enumerate(chain))
+    assert got(edges.select("chain_id", "f", "t", "yearFrom", "yearTo", "_pos")) == want_edges
