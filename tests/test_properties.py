@@ -200,3 +200,16 @@ def test_chain_dedupe_and_edges(spark, owned):
                          for chain, cid in want_ids.items()
                          for i, (c, yf, yt) in enumerate(chain))
     assert got(edges.select("chain_id", "f", "t", "yearFrom", "yearTo", "_pos")) == want_edges
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.text("abc", min_size=1, max_size=3),
+                          st.one_of(st.none(), st.lists(st.sampled_from(["x", "y", "z"]), max_size=4))),
+                min_size=1, max_size=10, unique_by=lambda t: t[0]))
+def test_explode_child_ids(spark, parents):
+    from stintwise.operators.normalise import explode_child
+    df = spark.createDataFrame(parents, "id string, names array<string>")
+    rows = sorted(tuple(r) for r in explode_child(df, "id", "names", "pid", item="name").collect())
+    items = [(p, i, n) for p, names in parents for i, n in enumerate(names or [])]
+    want = [(k, p, n) for k, (p, _, n) in enumerate(sorted(items, key=lambda t: (t[0], t[1])))]
+    assert rows == want
