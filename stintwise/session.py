@@ -1,9 +1,9 @@
 """Session helpers.
 
 ``local_session`` is for tests and the bench only; on a cluster the caller
-owns the session.  ``scratch_path`` hands out a fresh folder under the shared
-checkpoint directory the cluster names in ``spark.checkpoint.dir``; a
-machine-local fallback is created only when that setting is absent (tests).
+owns the session.  Intermediate tables go to a fresh folder under the shared
+directory that the cluster names in ``spark.checkpoint.dir``.  The library never
+makes up such a directory: without the setting it raises one clear error.
 """
 
 from __future__ import annotations
@@ -15,7 +15,9 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: int = 8, shuffle_partitions: int | None = None,
-                  app: str = "stintwise", driver_memory: str = "8g") -> SparkSession:
+                  app: str = "stintwise", driver_memory: str = "8g",
+                  checkpoint_dir: str | None = None) -> SparkSession:
+    """A local session; ``checkpoint_dir`` (a new temporary folder unless given) is its shared folder."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -29,58 +31,66 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", checkpoint_dir or tempfile.mkdtemp(prefix="stintwise-local-"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint directory, creating a local one only if unset.
-
-    Reads ``spark.checkpoint.dir`` from the session.  Without a SparkContext
-    (Spark Connect) the server applies that setting itself.
-    """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # Spark Connect: no driver-side context
-        sc = None
-    current = sc.getCheckpointDir() if sc is not None else None
-    if current:
-        return current
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names; an error if the session has none."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="stintwise-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if sc is None:
-        return configured
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir()
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and "
+                           "all executors share when the session is built")
+    return configured.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused folder under the shared checkpoint directory."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/stintwise-scratch/{name}-{uuid.uuid4().hex}"
+    """A new, unused folder under the shared directory; ``clear_scratch`` removes it."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    app = spark.conf.get("spark.app.id", "app")
+    return f"{shared_dir(spark)}/stintwise-scratch/{app}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Remove the intermediate tables that this application wrote; results that read them must be done.
+
+    True if there was anything to remove.
+    """
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def reliable_checkpoint(df):
-    """``df.checkpoint(eager=True)`` into the shared checkpoint folder (never a local checkpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
+    """``df.checkpoint(eager=True)`` into the shared folder (never a local checkpoint)."""
+    spark = df.sparkSession
+    configured = shared_dir(spark)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server applies the setting itself
+        sc = None
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(configured)
     return df.checkpoint(eager=True)
 
 
 def materialize(df, name: str):
-    """Write ``df`` once as a parquet table in the shared checkpoint folder and read it back.
+    """Write ``df`` once as a parquet table in the shared folder and read it back.
 
     Cuts the lineage like a checkpoint; the table is columnar and its file
-    sizes let the planner size joins against it.
+    sizes let the planner size joins against it.  The write runs at once, while
+    the caller's plan is built.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def cluster_conf(input_bytes: int, total_cores: int,

@@ -11,7 +11,7 @@ def test_entry_runs(spark):
 
 def test_registry_is_complete():
     qs, oracle = entry.queries(), entry.oracle_sql()
-    assert set(qs) == set(oracle)
+    assert set(qs) - set(entry.ROWS_ONLY) == set(oracle)
     for name in ["debuts", "retirements_announced", "transfers_with_midseason", "breaks",
                  "graph_edges", "graph_nodes", "flatten_entries", "chain_dedupe", "dense_id",
                  "discover_keys", "doc_scan", "season_scan", "csv_roundtrip", "career_tables"]:
