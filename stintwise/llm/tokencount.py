@@ -22,6 +22,7 @@ import uuid
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
@@ -32,28 +33,17 @@ from sentencepiece import sentencepiece_model_pb2 as model_pb2
 from stintwise.llm.common import slices
 
 MARK = "▁"
-_UNIT = re.compile(r"\n| *[^ \n]+| +")
-
-
-class _Tiers(dict):
-    """Tier one is loaded at the start; tier two fills from misses and is emptied when full."""
-
-    def __init__(self, length, frequent: dict[str, int], cache_entries: int):
-        super().__init__(frequent)
-        self.length, self.frequent, self.most = length, frequent, cache_entries + len(frequent)
-
-    def __missing__(self, unit: str) -> int:
-        if len(self) >= self.most:
-            self.clear()
-            self.update(self.frequent)
-        n = self[unit] = self.length(unit)
-        return n
+_UNIT = re.compile(r" ?[^ \n]+|\n| +[^ \n]*")
 
 
 class Pretokens:
-    """Lengths of pre-tokens under one sentencepiece model, with a bounded cache."""
+    """Lengths of pre-tokens under one sentencepiece model.
 
-    def __init__(self, path: str, frequent: dict[str, int] | None = None, cache_entries: int = 300_000):
+    Tier one (``frequent``) stays; tier two takes the misses of this process and
+    is emptied when it holds ``cache_entries``.
+    """
+
+    def __init__(self, path: str, frequent: dict[str, int] | None = None, cache_entries: int = 400_000):
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         proto = model_pb2.ModelProto()
         with open(path, "rb") as f:
@@ -65,21 +55,47 @@ class Pretokens:
         if not plain or any("\n" in p.piece or re.search(f"[^{MARK}]{MARK}", p.piece)
                             or p.type == model_pb2.ModelProto.SentencePiece.USER_DEFINED for p in proto.pieces):
             raise ValueError(f"{path}: pre-token lengths do not add up under this model")
-        self.tiers = _Tiers(self.length, frequent or {}, cache_entries)
-
-    def length(self, unit: str) -> int:
-        """Tokens of one pre-token, by the library."""
-        n = lambda s: len(self.model.encode(s, num_threads=1))
-        if unit[0] == " " and unit.strip(" "):
-            return n(unit[1:])           # the model itself puts the first space mark
-        if unit[0] == " ":
-            return n("a" + unit) - n("a")
-        return n("\n" + unit) - n("\n") if unit != "\n" else n("\n") - n("a \n") + n("a ")
-
-    def count(self, text: str) -> int:
-        if not text:
-            return 0
-        return sum(map(self.tiers.__getitem__, _UNIT.findall(" " + text.replace(MARK, " "))))
+        self.known = dict(frequent or {})
+        self.frequent, self.most = frequent or {}, cache_entries + len(self.known)
+
+    def lengths(self, units: list[str]) -> list[int]:
+        """Tokens of each pre-token, by the library.
+
+        A pre-token is cut out by encoding it in a place where it stands alone:
+        after the space mark that the model puts first, or after a line feed.
+        """
+        def framed(u: str) -> tuple[str, str]:
+            if u[0] == " " and u.strip(" "):
+                return u[1:], ""
+            return ("a" + u, "a") if u[0] == " " else ("\n" + u, "\n")
+
+        frames = [framed(u) for u in units]
+        size = {f: len(self.model.encode(f, num_threads=1)) for f in ("", "a", "\n")}
+        got = self.model.encode([whole for whole, _ in frames], num_threads=1)
+        return [len(g) - size[f] for g, (_, f) in zip(got, frames)]
+
+    def counts(self, texts: list[str]) -> np.ndarray:
+        """Tokens of each text."""
+        units: list[str] = []
+        ends = []
+        for text in texts:
+            if text:
+                units += pretokens(text)
+            ends.append(len(units))
+        missing = [u for u in set(units) if u not in self.known]
+        if missing:
+            if len(self.known) + len(missing) > self.most:
+                self.known = dict(self.frequent)
+                missing = [u for u in set(units) if u not in self.known]
+            self.known.update(zip(missing, self.lengths(missing)))
+        sums = np.zeros(len(units) + 1, np.int64)
+        np.cumsum(np.fromiter(map(self.known.__getitem__, units), np.int64, len(units)), out=sums[1:])
+        return np.diff(sums[np.array([0, *ends])])
+
+
+def pretokens(text: str) -> list[str]:
+    """The pre-tokens of a text, in order, with their leading spaces."""
+    return _UNIT.findall(" " + text.replace(MARK, " "))
 
 
 _loaded: dict[str, Pretokens] = {}
@@ -110,14 +126,14 @@ def frequent_lengths(docs: DataFrame, path: str, text: str = "text", sample_docs
         seen: Counter[str] = Counter()
         for batch in slices(batches, text):
             for t in batch.column(text).to_pylist():
-                seen.update(u for u in _UNIT.findall(" " + (t or "").replace(MARK, " ")) if len(u) <= unit_chars)
+                seen.update(u for u in pretokens(t or "") if len(u) <= unit_chars)
         yield pa.RecordBatch.from_pydict({"unit": pa.array(list(seen), pa.string()),
                                           "n": pa.array(list(seen.values()), pa.int64())})
 
     top = (some.mapInArrow(units, "unit string, n bigint").groupBy("unit").agg(F.sum("n").alias("n"))
            .where("n > 1").orderBy(F.desc("n"), "unit").limit(entries))
-    p = Pretokens(path)
-    return {r.unit: p.length(r.unit) for r in top.collect()}
+    units_ = [r.unit for r in top.collect()]
+    return dict(zip(units_, Pretokens(path).lengths(units_))) if units_ else {}
 
 
 def token_counts(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id",
@@ -134,7 +150,7 @@ def token_counts(docs: DataFrame, path: str, text: str = "text", key: str = "doc
         lengths = _counter(path, table, call)
         for batch in slices(batches, "_text"):
             texts = pc.fill_null(batch.column("_text"), "")
-            n = pa.array([lengths.count(t) for t in texts.to_pylist()], pa.int64())
+            n = pa.array(lengths.counts(texts.to_pylist()), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(key), pc.binary_length(texts).cast(pa.int64()), n, pc.greater(n, limit)],
                 [key, "n_bytes", "n_tokens", "over_limit"])
