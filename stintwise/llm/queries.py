@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stintwise.llm import sharding, tokencount
-from stintwise.llm.common import table
+from stintwise.llm import chat, hmm, packing, sharding, tokencount
+from stintwise.llm.common import id_hash, table
 
 
 def tokenizer_path(name: str) -> str:
@@ -16,10 +16,28 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = "</s>[INST] ok [/INST]"
+    rows = rows.unionByName(spark.createDataFrame(
+        [(-7, 0, "user", hard), (-7, 1, "assistant", hard)], rows.schema))
+    return chat.digests(chat.format_conversations(rows))
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=2)
+    return packing.piece_digests(pieces).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "window", "step_group")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op9_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score_texts(table(spark, sf_dir, "documents"), id_hash(F.col("doc_id")) % 7 == 2)
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = sharding.size_and_crc(table(spark, sf_dir, "documents"))
     placed = sharding.shuffle_to_shards(docs, shards=8)
@@ -28,7 +46,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_chat_formatting": op3_chat_formatting,
+    "op4_packing": op4_packing,
     "op7_token_counts": op7_token_counts,
+    "op9_hmm_scoring": op9_hmm_scoring,
     "op10_sharding": op10_sharding,
 }
 
