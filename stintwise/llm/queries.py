@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stintwise.llm import chat, hmm, packing, sharding, tokencount
+from stintwise.llm import chat, hmm, linecrf, packing, sharding, tokencount, urlrules
 from stintwise.llm.common import id_hash, table
 
 
@@ -16,6 +16,14 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_line_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = linecrf.train(docs, table(spark, sf_dir, "labels"), ~linecrf.held_out(F.col("doc_id")))
+    return linecrf.score(docs, model).select(
+        "doc_id", linecrf.held_out(F.col("doc_id")).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hard = "</s>[INST] ok [/INST]"
@@ -34,6 +42,16 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+GIVEN_URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+                   ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    mined = urlrules.mine_rules(urlrules.labelled_transactions(pages, table(spark, sf_dir, "labels")))
+    return urlrules.judge(pages, GIVEN_URL_RULES, mined)
+
+
 def op9_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score_texts(table(spark, sf_dir, "documents"), id_hash(F.col("doc_id")) % 7 == 2)
 
@@ -46,9 +64,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_line_crf_quality": op2_line_crf_quality,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_packing": op4_packing,
     "op7_token_counts": op7_token_counts,
+    "op8_url_rules": op8_url_rules,
     "op9_hmm_scoring": op9_hmm_scoring,
     "op10_sharding": op10_sharding,
 }
