@@ -162,6 +162,25 @@ def word_counts(docs: DataFrame, text: str, flush: int = 200_000) -> DataFrame:
     return docs.select(text).mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def _most_frequent(counts: DataFrame, limit: int) -> list[tuple[bytes, int]]:
+    """At most ``limit`` words with the highest counts, most frequent first.
+
+    A histogram over steps of the logarithm gives the least count that at most
+    ``limit`` words reach, so only those words come to the driver.
+    """
+    short = counts.where(F.octet_length("word") <= WORD_BYTES)
+    step = F.floor(F.log2("n") * 64)
+    seen, least = 0, None
+    for r in short.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("step")).collect():
+        seen += r.words
+        if seen > limit:
+            break
+        least = r.step
+    if least is None:
+        return []
+    return sorted(((bytes(r.word), r.n) for r in short.where(step >= least).collect()), key=lambda r: (-r[1], r[0]))
+
+
 def _symbol_totals(counts: DataFrame, own: set[bytes], symbols: Symbols) -> tuple[np.ndarray, np.ndarray]:
     """Tokens and distinct words of every symbol."""
 
@@ -306,8 +325,7 @@ def score_texts(docs: DataFrame, held_out: Column, key: str = "doc_id", text: st
     size = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = size.n + ends, size.v + (1 if ends else 0)
 
-    top = [(bytes(r.word), r.n) for r in counts.where(F.octet_length("word") <= WORD_BYTES)
-           .orderBy(F.desc("n"), "word").limit(frequent_words).collect()]
+    top = _most_frequent(counts, frequent_words)
     symbols = Symbols(min(own_words, len(top)), buckets)
     tokens_in, words_in = _symbol_totals(counts, {w for w, _ in top[:symbols.own]}, symbols)
     share = np.ones(symbols.size)               # denominators of the words' shares
