@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stintwise.llm import chat, hmm, linecrf, packing, sharding, tokencount, urlrules
+from stintwise.llm import chat, decontaminate, hmm, linecrf, neardup, packing, sharding, tokencount, urlrules
 from stintwise.llm.common import id_hash, table
 
 
@@ -16,6 +16,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_line_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = linecrf.train(docs, table(spark, sf_dir, "labels"), ~linecrf.held_out(F.col("doc_id")))
@@ -38,6 +42,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "window", "step_group")
 
 
+def op5_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
@@ -64,9 +72,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op2_line_crf_quality": op2_line_crf_quality,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_packing": op4_packing,
+    "op5_prob_minhash": op5_prob_minhash,
     "op7_token_counts": op7_token_counts,
     "op8_url_rules": op8_url_rules,
     "op9_hmm_scoring": op9_hmm_scoring,
