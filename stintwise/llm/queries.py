@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stintwise.llm import chat, decontaminate, hmm, linecrf, neardup, packing, sharding, tokencount, urlrules
+from stintwise.llm import ann, chat, decontaminate, hmm, linecrf, neardup, packing, sharding, tokencount, urlrules
 from stintwise.llm.common import id_hash, table
 
 
@@ -46,6 +46,10 @@ def op5_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
@@ -71,16 +75,24 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_line_crf_quality": op2_line_crf_quality,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_packing": op4_packing,
     "op5_prob_minhash": op5_prob_minhash,
+    "op6_nearest": op6_nearest,
     "op7_token_counts": op7_token_counts,
     "op8_url_rules": op8_url_rules,
     "op9_hmm_scoring": op9_hmm_scoring,
     "op10_sharding": op10_sharding,
+    "pipeline": pipeline,
 }
 
 ORACLE: dict[str, str] = {}
