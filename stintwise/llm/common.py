@@ -26,6 +26,19 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` without the columns whose names an operator gives to its results."""
+    return df.drop(*[c for c in df.columns if c.lower() in names])
+
+
 def id_hash(doc_id: Column) -> Column:
     """crc32 of the id's decimal text (null ids count as the empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
@@ -106,6 +119,6 @@ def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     with np.errstate(over="ignore"):
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(_BYTE_KEYS[data] * _power(_BASE, n), out=sums[1:])
-        h = (sums[ends] - sums[starts]) * _power(_BASE_INV, n)[starts]
+        h = (sums[ends] - sums[starts]) * _power(_BASE_INV, n + 1)[starts]
         h += (ends - starts).astype(np.uint64)
     return mix(h)

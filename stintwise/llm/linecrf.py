@@ -13,7 +13,7 @@ Scoring reads every text whole, in one pass without a shuffle.
 Defined cases: a null or empty text is one empty line and gets a score like any other;
 repeated rows are scored row by row; null labels are not learned from; with no labelled
 row, or only one class, the score is the share of good rows (0.5 without any); an empty
-table gives an empty result; further columns are ignored.
+table gives an empty result; further columns are passed on, a column ``score`` is replaced.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stintwise.llm.common import id_hash, slices, span_hash, text_bytes, words
+from stintwise.llm.common import free_name, id_hash, slices, span_hash, text_bytes, without, words
 
 _CLASSES = {
     "upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ",
@@ -251,19 +251,16 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, key: str = "doc_id
 
 
 def score(docs: DataFrame, model: LineCrf, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with ``score``, the quality of each text."""
-    if "score" in docs.columns:
-        raise ValueError("input already has a column score")
+    """``docs`` with ``score``, the quality of each text, in place of any such column."""
+    docs = without(docs, "score")
     now = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.withColumn("_text", F.coalesce(F.col(text).cast("string"), F.lit("")))
+    own = free_name(docs, "_text")
+    rows = docs.withColumn(own, F.coalesce(F.col(text).cast("string"), F.lit("")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text"):
-            at = batch.schema.get_field_index("_text")
-            s = now.value.score(*text_bytes(batch.column(at)))
-            keep = [i for i in range(batch.num_columns) if i != at]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), pa.array(s)],
-                                             [*(batch.schema.names[i] for i in keep), "score"])
+        for batch in slices(batches, own):
+            s = now.value.score(*text_bytes(batch.column(own)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(s)], [*batch.schema.names[:-1], "score"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return rows.mapInArrow(run, f"{kinds}, score double")

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stintwise.llm.common import mix, slices, span_hash, text_bytes, words
+from stintwise.llm.common import free_name, mix, slices, span_hash, text_bytes, words
 from stintwise.llm.components import components
 from stintwise.session import materialize
 
@@ -381,8 +381,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     return signed.select(F.col("doc_id").alias(key), "key").join(by_key, "key").select(key, "class_id")
 
 
-def keep_one(docs: DataFrame, classes: DataFrame, key: str = "doc_id") -> DataFrame:
-    """One row of each class: that of its least id, and of equal ids one; rows without an id stay."""
-    leads = classes.where(F.col(key) == F.col("class_id")).select(F.col(key).alias("_lead")).distinct()
-    kept = docs.join(leads, F.col(key) == F.col("_lead"), "left_semi").dropDuplicates([key])
-    return kept.unionByName(docs.where(F.col(key).isNull()))
+def keep_one(docs: DataFrame, classes: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of each class that have its least id, one of equal rows (id and text); rows without an id stay."""
+    lead, mark = free_name(docs, "_lead"), free_name(docs, "_mark")
+    leads = classes.where(F.col(key) == F.col("class_id")).select(F.col(key).alias(lead)).distinct()
+    kept = docs.join(leads, F.col(key) == F.col(lead), "left_semi").withColumn(mark, F.xxhash64(text))
+    return kept.dropDuplicates([key, mark]).drop(mark).unionByName(docs.where(F.col(key).isNull()))

@@ -23,7 +23,8 @@ Defined cases: a null text has no bytes (size 1, crc32 0); equal texts are
 independent rows, dealt by themselves (this law keeps no groups together);
 repeated rows and null keys each get a slot of their own; fewer rows than shards
 leave the last shards empty; an empty table gives an empty result.  Further
-columns of the input are carried along; a clash with an output name is an error.
+columns of the input are carried along; columns named like the results (``shard``,
+``slot``) or the working columns (``_at``, ``_cell``, ``_rank``, ``_first``) are replaced.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stintwise.llm.common import without
 from stintwise.session import materialize
 
 _ROW_BITS = 33  # monotonically_increasing_id: partition above, row within the partition below
@@ -98,9 +100,7 @@ def matrix_row(sums: np.ndarray, cells: np.ndarray, part: int, seed: int) -> np.
 
 def shuffle_to_shards(df: DataFrame, shards: int = 8, cell_rows: int = 1 << 16, seed: int = 17) -> DataFrame:
     """``df`` with ``shard`` (int) and ``slot`` (gapless from 0 in each shard), uniformly shuffled."""
-    clash = {"shard", "slot", "_at", "_cell"} & set(df.columns)
-    if clash:
-        raise ValueError(f"input already has columns {sorted(clash)}")
+    df = without(df, "shard", "slot", "_at", "_cell", "_rank", "_first")
     placed = materialize(df.withColumn("_at", F.monotonically_increasing_id()), "shard-rows")
     part = F.shiftrightunsigned(F.col("_at"), _ROW_BITS)
     # One row per input partition: its number and its row count.
