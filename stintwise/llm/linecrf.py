@@ -242,8 +242,9 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, key: str = "doc_id
                 "label": pa.array(label_of[few], pa.int32()),
                 "x": pa.array([x[edge[i]:edge[i + 1]].astype(np.float32).tobytes() for i in few], pa.binary())})
 
-    got = [(r.label, np.frombuffer(r.x, np.float32).reshape(-1, len(NAMES)))
-           for r in rows.mapInArrow(features, "label int, x binary").orderBy("x", "label").collect()]
+    # sorted, so that the fit does not depend on the order in which tasks end
+    sample = sorted((r.label, bytes(r.x)) for r in rows.mapInArrow(features, "label int, x binary").collect())
+    got = [(v, np.frombuffer(x, np.float32).reshape(-1, len(NAMES))) for v, x in sample]
     if not got:
         return fit(np.zeros((1, len(NAMES))), np.zeros(1, np.int64), np.zeros(0, np.int64))
     owner = np.repeat(np.arange(len(got)), [len(x) for _, x in got])
