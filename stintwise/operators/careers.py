@@ -44,11 +44,6 @@ def latest_year(a: DataFrame) -> Column:
     return a.select(F.max(Y)).scalar()
 
 
-def second_latest_year(a: DataFrame) -> Column:
-    """FLT-3: the largest year below the latest one (nested scalar subquery)."""
-    return a.filter(F.col(Y) < latest_year(a)).select(F.max(Y)).scalar()
-
-
 def spans(a: DataFrame) -> DataFrame:
     """AG-3: first and last active year per (driver, constructor)."""
     return (active(a).groupBy(D, C)
@@ -217,6 +212,23 @@ def transfers_with_midseason(a: DataFrame, s: DataFrame | None = None) -> DataFr
             .select(*TRANSFER_COLUMNS))
 
 
+def transfer_ends(s: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The out-spans and in-spans that take part in a Q-7 transfer, without forming the pairs.
+
+    A span is kept if it has at least one partner, so the work follows the spans
+    and not the pairs of a (driver, year).
+    """
+    out, inn = _out_side(s), _in_side(s)
+    reach = out.withColumn("_k", F.explode(F.array(F.col("transfer_out"), F.col("transfer_out") + 1))).alias("o")
+    starts = inn.withColumn("_k", F.col("transfer_in")).alias("i")
+    from_ends = inn.withColumn("_k", F.explode(F.array(F.col("transfer_in") - 1, F.col("transfer_in")))).alias("i")
+    ends = out.withColumn("_k", F.col("transfer_out")).alias("o")
+    partner = ((F.col("o.driverId") == F.col("i.driverId")) & (F.col("o._k") == F.col("i._k"))
+               & (F.col("o.const_out") != F.col("i.const_in")))
+    return (reach.join(starts, partner, "left_semi").drop("_k"),
+            from_ends.join(ends, partner, "left_semi").drop("_k"))
+
+
 def transfers_of_driver(a: DataFrame, driver_id: str) -> DataFrame:
     """Q-12 / FLT-6: Q-7 for one driver.
 
@@ -364,6 +376,19 @@ def breaks(a: DataFrame, midseason: bool = False, s: DataFrame | None = None) ->
     """
     s = spans(a) if s is None else s
     returns, ends, nearest = _nearest_ends(s, midseason)
-    first = nearest.groupBy(D, "break_year").agg(F.min("return_year").alias("return_year"))
+    first = _first_returns(nearest)
     return _with_gap(returns.join(first, [D, "return_year"], "inner")
                      .join(ends.filter(F.col("const_out").isNotNull()), [D, "break_year"], "inner"))
+
+
+def _first_returns(nearest: DataFrame) -> DataFrame:
+    return nearest.groupBy(D, "break_year").agg(F.min("return_year").alias("return_year"))
+
+
+def break_ends(s: DataFrame, midseason: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The out-spans and returns that take part in a Q-11 break, without forming the pairs."""
+    returns, ends, nearest = _nearest_ends(s, midseason)
+    ends = ends.filter(F.col("const_out").isNotNull())
+    first = _first_returns(nearest).join(ends, [D, "break_year"], "left_semi")
+    return (ends.join(first, [D, "break_year"], "left_semi"),
+            returns.join(first, [D, "return_year"], "left_semi"))

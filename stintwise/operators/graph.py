@@ -8,9 +8,13 @@ to MERGE on a null key, so rows with a null name or year make no node/edge.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stintwise.operators.careers import break_ends, transfer_ends
 from stintwise.operators.normalise import with_dense_id
 
 # Node labels and relationship types of the reference's graph.
@@ -51,6 +55,35 @@ def _break_rows(breaks: DataFrame) -> DataFrame:
     return breaks.select(F.explode(pair).alias("e")).select("e.*")
 
 
+def _transfer_end_rows(s: DataFrame) -> DataFrame:
+    out, inn = transfer_ends(s)
+    return (out.select(_edge(TEAM, "const_out", TRANSFER_OUT, DRIVER, "driverId", "transfer_out").alias("e"))
+            .unionByName(inn.select(_edge(DRIVER, "driverId", TRANSFER_IN, TEAM, "const_in", "transfer_in").alias("e")))
+            .select("e.*"))
+
+
+def _break_end_rows(s: DataFrame) -> DataFrame:
+    ends, returns = break_ends(s, midseason=True)
+    return (ends.select(_edge(TEAM, "const_out", BREAK, DRIVER, "driverId", "break_year").alias("e"))
+            .unionByName(returns.select(_edge(DRIVER, "driverId", RETURN, TEAM, "const_in", "return_year").alias("e")))
+            .select("e.*"))
+
+
+def span_edges_transfer(s: DataFrame) -> DataFrame:
+    """GR-3 from spans: the edges of ``edges_transfer`` over Q-7, by semi-joins."""
+    return _finish(_transfer_end_rows(s))
+
+
+def span_edges_break(s: DataFrame) -> DataFrame:
+    """GR-4 from spans: the edges of ``edges_break`` over Q-11, by semi-joins."""
+    return _finish(_break_end_rows(s))
+
+
+def span_graph_edges(debuts: DataFrame, s: DataFrame) -> DataFrame:
+    """GR-5 from spans: all edges without forming transfer or break pairs."""
+    return _finish(_debut_rows(debuts).unionByName(_transfer_end_rows(s)).unionByName(_break_end_rows(s)))
+
+
 def edges_debut(debuts: DataFrame) -> DataFrame:
     """GR-2: (Driver)-[DEBUT {year}]->(Team)."""
     return _finish(_debut_rows(debuts))
@@ -81,9 +114,15 @@ def graph_nodes(edges: DataFrame) -> DataFrame:
 
 def merge_graph(existing: DataFrame, new: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """GR-6: MERGE ``new`` into ``existing``: keep existing, add only absent rows."""
+    return existing.unionByName(merge_added(existing, new, keys))
+
+
+def merge_added(existing: DataFrame, new: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """The rows that a merge adds, for a sink that appends; null keys equal each other."""
     keys = keys or list(existing.columns)
-    added = new.dropDuplicates(keys).join(existing.select(*keys), keys, "left_anti")
-    return existing.unionByName(added)
+    n, e = new.dropDuplicates(keys).alias("n"), existing.select(*keys).alias("e")
+    same = [F.col(f"n.`{k}`").eqNullSafe(F.col(f"e.`{k}`")) for k in keys]
+    return n.join(e, reduce(and_, same), "left_anti")
 
 
 def edge_batches(df: DataFrame, order: list[str], size: int = 500) -> DataFrame:
@@ -135,4 +174,5 @@ def import_tables(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFr
 
 
 __all__ = ["graph_nodes", "graph_edges", "edges_debut", "edges_transfer", "edges_break",
-           "merge_graph", "edge_batches", "send_batches", "import_tables"]
+           "span_edges_transfer", "span_edges_break", "span_graph_edges",
+           "merge_graph", "merge_added", "edge_batches", "send_batches", "import_tables"]

@@ -29,8 +29,8 @@ def career_tables(a: DataFrame, midseason: bool = False,
 
 def career_graph(a: DataFrame, s: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Nodes and edges as the notebook loads them (transfers incl. same season)."""
-    t = career_tables(a, midseason=True, s=s)
-    edges = graph.graph_edges(t["debuts"], t["transfers"], t["breaks"])
+    s = careers.shared_spans(a) if s is None else s
+    edges = graph.span_graph_edges(careers.debuts(a, s), s)
     return graph.graph_nodes(edges), edges
 
 
@@ -46,7 +46,9 @@ def _has_files(spark: SparkSession, pattern: str) -> bool:
     try:
         spark.read.format("binaryFile").load(pattern).select("path")
         return True
-    except AnalysisException:
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":     # anything else is a failure, not an absent folder
+            raise
         return False
 
 

@@ -432,6 +432,25 @@ def q_doc_scan(spark, sf):
     return docs.drop("_path", "_doc")
 
 
+_TEXT_SCHEMA = "doc_id bigint, text string"
+
+
+@register("csv_text_roundtrip", "SELECT doc_id, nullif(text, '') AS text FROM documents")
+def q_csv_text_roundtrip(spark, sf):
+    path = scratch_path(spark, "csv-text")
+    csv_io.write_csv(table(spark, sf, "documents").select("doc_id", "text"), path)
+    return csv_io.read_csv(spark, path, _TEXT_SCHEMA)
+
+
+@register("yaml_text_roundtrip", "SELECT doc_id, text FROM documents")
+def q_yaml_text_roundtrip(spark, sf):
+    path = scratch_path(spark, "yaml-text")
+    fields = {"doc_id": F.col("doc_id").cast("string"), "text": documents.yaml_quote(F.col("text"))}
+    documents.write_yaml(documents.yaml_map_document(table(spark, sf, "documents"), fields), path)
+    docs = documents.read_documents(spark, path, T.StructType.fromDDL(_TEXT_SCHEMA))
+    return docs.drop("_path", "_doc")
+
+
 @register("season_scan", nb.SEASON_FLAT_SQL)
 def q_season_scan(spark, sf):
     path = scratch_path(spark, "yaml-seasons")
@@ -460,7 +479,7 @@ edges AS (SELECT DISTINCT * FROM (SELECT * FROM e_debut UNION ALL SELECT * FROM
 def _graph_inputs(spark, sf):
     a = appearances(spark, sf)
     s = careers.shared_spans(a)
-    return careers.debuts(a, s), careers.transfers_with_midseason(a, s), careers.breaks(a, True, s)
+    return careers.debuts(a, s), s
 
 
 @register("edges_debut", with_appearances(_GRAPH_CTES + "\nSELECT DISTINCT * FROM e_debut"))
@@ -471,32 +490,35 @@ def q_edges_debut(spark, sf):
 @register("edges_transfer", with_appearances(_GRAPH_CTES + "\nSELECT DISTINCT * FROM e_transfer"))
 def q_edges_transfer(spark, sf):
     a = appearances(spark, sf)
-    return graph.edges_transfer(careers.transfers_with_midseason(a, careers.shared_spans(a)))
+    return graph.span_edges_transfer(careers.shared_spans(a))
 
 
 @register("edges_break", with_appearances(_GRAPH_CTES + "\nSELECT DISTINCT * FROM e_break"))
 def q_edges_break(spark, sf):
     a = appearances(spark, sf)
-    return graph.edges_break(careers.breaks(a, True, careers.shared_spans(a)))
+    return graph.span_edges_break(careers.shared_spans(a))
 
 
 @register("graph_edges", with_appearances(_GRAPH_CTES + "\nSELECT * FROM edges"))
 def q_graph_edges(spark, sf):
-    return graph.graph_edges(*_graph_inputs(spark, sf))
+    return graph.span_graph_edges(*_graph_inputs(spark, sf))
 
 
 @register("graph_nodes", with_appearances(_GRAPH_CTES + """
 SELECT DISTINCT * FROM (SELECT src_label AS label, src AS name FROM edges
                         UNION ALL SELECT dst_label, dst FROM edges) n"""))
 def q_graph_nodes(spark, sf):
-    return graph.graph_nodes(graph.graph_edges(*_graph_inputs(spark, sf)))
+    return graph.graph_nodes(graph.span_graph_edges(*_graph_inputs(spark, sf)))
 
 
 @register("graph_merge", with_appearances(_GRAPH_CTES + "\nSELECT * FROM edges"))
 def q_graph_merge(spark, sf):
-    d, t, b = _graph_inputs(spark, sf)
+    d, s = _graph_inputs(spark, sf)
     existing = graph.edges_debut(d)
-    return graph.merge_graph(existing, graph.graph_edges(d, t, b), graph.EDGE_COLUMNS)
+    new = graph.span_edges_transfer(s).unionByName(graph.span_edges_break(s))
+    # the new set lacks most existing rows and repeats the debuts of even years
+    new = new.unionByName(existing.where("year % 2 = 0"))
+    return graph.merge_graph(existing, new, graph.EDGE_COLUMNS)
 
 
 @register("edge_batches", with_appearances(_GRAPH_CTES + """
@@ -504,7 +526,7 @@ SELECT batch, count(*) AS n_rows FROM (
   SELECT (row_number() OVER (ORDER BY type, src, dst, year, src_label, dst_label) - 1) // 500
          AS batch FROM edges) b GROUP BY batch"""))
 def q_edge_batches(spark, sf):
-    edges = graph.graph_edges(*_graph_inputs(spark, sf))
+    edges = graph.span_graph_edges(*_graph_inputs(spark, sf))
     batches = graph.edge_batches(edges, ["type", "src", "dst", "year", "src_label", "dst_label"])
     return batches.select(F.col("batch").cast("bigint").alias("batch"),
                           F.size("rows").cast("bigint").alias("n_rows"))
@@ -515,7 +537,7 @@ SELECT label || ':' || name AS "id:ID", name, label AS ":LABEL" FROM (
   SELECT DISTINCT * FROM (SELECT src_label AS label, src AS name FROM edges
                           UNION ALL SELECT dst_label, dst FROM edges) n) nodes"""))
 def q_graph_import_nodes(spark, sf):
-    edges = graph.graph_edges(*_graph_inputs(spark, sf))
+    edges = graph.span_graph_edges(*_graph_inputs(spark, sf))
     return graph.import_tables(graph.graph_nodes(edges), edges)[0]
 
 
@@ -523,7 +545,7 @@ def q_graph_import_nodes(spark, sf):
 SELECT src_label || ':' || src AS ":START_ID", dst_label || ':' || dst AS ":END_ID",
        type AS ":TYPE", year AS "year:int" FROM edges"""))
 def q_graph_import_relationships(spark, sf):
-    edges = graph.graph_edges(*_graph_inputs(spark, sf))
+    edges = graph.span_graph_edges(*_graph_inputs(spark, sf))
     return graph.import_tables(graph.graph_nodes(edges), edges)[1]
 
 

@@ -14,10 +14,21 @@ from stintwise.schemas import (
 )
 
 
+# Quotes are doubled, line feeds end rows outside quotes only, and white space is kept.
+_TEXT_SAFE = {"quote": '"', "escape": '"', "lineSep": "\n",
+              "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+MAX_RECORDS_PER_FILE = 1_000_000
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Header skipped, declared schema applied by position, malformed cell -> null."""
+    """Header skipped, declared schema applied by position, malformed cell -> null.
+
+    An empty cell is null, also where an empty text was written.  Quoted cells may
+    hold line breaks.  Such files do not split, so ``write_csv``
+    bounds the rows of a file.
+    """
     return (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-            .option("enforceSchema", True).csv(path))
+            .option("enforceSchema", True).options(**_TEXT_SAFE).option("multiLine", True).csv(path))
 
 
 def read_appearances(spark: SparkSession, path: str) -> DataFrame:
@@ -27,7 +38,8 @@ def read_appearances(spark: SparkSession, path: str) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str) -> None:
     """SNK-1/SNK-2: (over)write a CSV folder with a header line."""
-    df.write.csv(path, header=True, mode="overwrite")
+    (df.write.options(**_TEXT_SAFE).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+     .csv(path, header=True, mode="overwrite"))
 
 
 # Sub-folder names of the career tables.

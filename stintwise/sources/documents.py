@@ -22,7 +22,8 @@ from stintwise.operators.normalise import flatten_entries
 from stintwise.schemas import SEASON_ENTRY
 
 PARSED = "_path string, _doc int, _json string"
-YAML_CHUNK_DOCS = 4096  # parsed documents per Arrow batch handed back to the JVM
+YAML_CHUNK_BYTES = 4 << 20  # JSON text per batch handed back to the JVM
+YAML_FILE_DOCS = 2_000      # rows of a written file: a file is parsed by one Python call
 
 
 def document_text(spark: SparkSession, path: str) -> DataFrame:
@@ -46,6 +47,7 @@ def parse_yaml(files: DataFrame) -> DataFrame:
 
         loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
         paths, idx, docs = [], [], []
+        size = 0
 
         def flush():
             out = pandas.DataFrame({"_path": paths, "_doc": pandas.array(idx, dtype="int32"),
@@ -61,8 +63,10 @@ def parse_yaml(files: DataFrame) -> DataFrame:
                     paths.append(path)
                     idx.append(i)
                     docs.append(json.dumps(doc, default=str, ensure_ascii=False))
-                    if len(docs) >= YAML_CHUNK_DOCS:
+                    size += len(docs[-1])
+                    if size >= YAML_CHUNK_BYTES:
                         yield flush()
+                        size = 0
         if docs:
             yield flush()
 
@@ -94,7 +98,8 @@ def read_season_documents(spark: SparkSession, root: str, pattern: str = "*/entr
     off unless the row order of the written table matters.
     """
     rows = season_rows(document_text(spark, f"{root.rstrip('/')}/{pattern}"), flatten)
-    return rows.orderBy("year") if ordered else rows
+    return rows.orderBy("year", *[c for c in rows.columns if c != "year"]) if ordered and flatten else (
+        rows.orderBy("year") if ordered else rows)
 
 
 def season_rows(files: DataFrame, flatten: bool = True) -> DataFrame:
@@ -106,10 +111,17 @@ def season_rows(files: DataFrame, flatten: bool = True) -> DataFrame:
 
 
 # --------------------------------------------------------------- YAML writing
+# Characters that JSON leaves as they are and YAML folds or forbids, with their escapes.
+_YAML_ESCAPES = {"\x7f": "\\u007f", "\x85": "\\u0085", "\u2028": "\\u2028", "\u2029": "\\u2029", "\ufeff": "\\ufeff"}
+
+
 def yaml_quote(c) -> F.Column:
-    """A string as a single-quoted YAML scalar (null -> empty value)."""
-    return F.when(c.isNull(), F.lit("")).otherwise(
-        F.concat(F.lit("'"), F.replace(c.cast("string"), F.lit("'"), F.lit("''")), F.lit("'")))
+    """A string as a double-quoted YAML scalar with JSON escapes (null -> empty value)."""
+    text = F.to_json(F.array(c.cast("string")))
+    text = text.substr(F.lit(2), F.length(text) - 2)
+    for raw, escaped in _YAML_ESCAPES.items():
+        text = F.replace(text, F.lit(raw), F.lit(escaped))
+    return F.when(c.isNull(), F.lit("")).otherwise(text)
 
 
 def yaml_number(c) -> F.Column:
@@ -125,8 +137,8 @@ def yaml_map_document(df: DataFrame, fields: dict[str, F.Column]) -> DataFrame:
 
 
 def write_yaml(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Write the ``yaml`` column as text files (rows joined by newlines)."""
-    w = df.write.mode("overwrite")
+    """Write the ``yaml`` column as text files (rows joined by newlines) of at most ``YAML_FILE_DOCS`` rows."""
+    w = df.write.mode("overwrite").option("maxRecordsPerFile", YAML_FILE_DOCS)
     if partition_by:
         w = w.partitionBy(partition_by)
     w.text(path)
