@@ -96,33 +96,47 @@ def fit_lists(sample: np.ndarray, longest: float, lists: int, k: int, target: fl
     return made, int(needed[min(len(needed) - 1, int(np.ceil(target * len(needed))) - 1)])
 
 
-def scan(query: np.ndarray, vectors: np.ndarray, k: int, columns: int, strictness: float, chunk: int = 512) -> np.ndarray:
-    """Numbers of the rows of ``vectors`` that may be among the ``k`` nearest to ``query`` (rotated)."""
-    n, d = vectors.shape
+class Columns:
+    """Rotated vectors of one unit as contiguous blocks of columns, with each block's squared lengths."""
+
+    def __init__(self, vectors: np.ndarray, width: int):
+        self.rows, self.dims = vectors.shape
+        self.edges = [*range(0, self.dims, width), self.dims]
+        self.blocks = [np.ascontiguousarray(vectors[:, c:e], np.float32) for c, e in zip(self.edges, self.edges[1:])]
+        self.squares = [np.einsum("ij,ij->i", b, b) for b in self.blocks]
+        self.longest = float(sum(self.squares).max()) if self.rows else 0.0
+
+
+def scan(query: np.ndarray, vectors: Columns, k: int, strictness: float, chunk: int = 1024) -> np.ndarray:
+    """Numbers of the vectors that may be among the ``k`` nearest to ``query`` (rotated)."""
     bar, kept, best = np.inf, [], np.zeros(0)
-    for lo in range(0, n, chunk):
-        live = np.arange(lo, min(n, lo + chunk))
-        part = np.zeros(len(live))
-        for c in range(0, d, columns):
-            upto = min(d, c + columns)
-            diff = vectors[live, c:upto] - query[c:upto]
-            part += np.einsum("ij,ij->i", diff, diff)
-            if upto < d and np.isfinite(bar):
+    q = query.astype(np.float32)
+    # distances are sums of single-precision products: what is this close counts as equal
+    slack = 1e-5 * (float(q @ q) + vectors.longest)
+    for lo in range(0, vectors.rows, chunk):
+        hi = min(vectors.rows, lo + chunk)
+        live = part = None                        # None: the whole chunk
+        for c, upto, block, squares in zip(vectors.edges, vectors.edges[1:], vectors.blocks, vectors.squares):
+            own = q[c:upto]
+            x, xx = (block[lo:hi], squares[lo:hi]) if live is None else (block[live], squares[live])
+            more = xx - 2 * (x @ own) + own @ own
+            part = more if part is None else part + more
+            if upto < vectors.dims and np.isfinite(bar):
                 # The whole distance is about part * d / upto; its relative error shrinks with 1 / sqrt(upto).
-                go = part * (d / upto) <= bar * (1 + strictness / np.sqrt(upto)) ** 2
-                live, part = live[go], part[go]
-                if not len(live):
-                    break
-        if len(live):
-            # ties with the k-th best stay: the exact scores and ids decide
-            ok = part <= bar * (1 + 1e-9) + 1e-12
-            live, part = live[ok], part[ok]
-            kept.append(live)
-            best = np.concatenate([best, part])
+                go = part * (vectors.dims / upto) <= bar * (1 + strictness / np.sqrt(upto)) ** 2 + slack
+                if not go.all():
+                    live, part = (np.flatnonzero(go) + lo if live is None else live[go]), part[go]
+                    if not len(live):
+                        break
+        # ties with the k-th best stay: the exact scores and ids decide
+        ok = part <= bar + slack
+        if ok.any():
+            kept.append(np.flatnonzero(ok) + lo if live is None else live[ok])
+            best = np.concatenate([best, part[ok]])
             if len(best) > k:
                 best = np.partition(best, k - 1)[:k]
             if len(best) == k:
-                bar = best.max()
+                bar = float(best.max())
     return np.concatenate(kept) if kept else np.zeros(0, np.int64)
 
 
@@ -213,11 +227,11 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id",
 
         for _, group in groupby(pieces(), key=lambda p: p[0]):
             asks, ids, v, y = (np.concatenate(c) for c in zip(*(p for _, p in group)))
-            vid, vv, vy = ids[~asks], v[~asks], y[~asks]
+            vid, vv, vy = ids[~asks], v[~asks], Columns(y[~asks], columns)
             out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
             for q in np.flatnonzero(asks):
                 # one more than k: the query's own row may be among them
-                near = scan(y[q], vy, k + 1, columns, strictness)
+                near = scan(y[q], vy, k + 1, strictness)
                 near = near[vid[near] != ids[q]]
                 score = (vv[near] * v[q]).sum(axis=1)
                 top = np.lexsort((vid[near], -score))[:k]
