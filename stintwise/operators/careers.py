@@ -32,6 +32,8 @@ from stintwise.schemas import TRANSFER_COLUMNS
 from stintwise.session import materialize
 
 D, C, Y = "driverId", "constructorId", "year"
+N = "_n"            # how many equal appearances a row of ``yearly_entries`` stands for
+_BLOCK = 4096
 
 
 def active(a: DataFrame) -> DataFrame:
@@ -72,29 +74,58 @@ def debuts(a: DataFrame, s: DataFrame | None = None) -> DataFrame:
 
     Duplicated entries stay duplicated and test entries of the debut year are
     kept, as in the reference.  With materialised spans ``s`` the debut year is
-    the smallest span start, which saves a pass over ``a``.
+    the smallest span start, which saves a pass over ``a``; ``a`` may then be the
+    counted ``yearly_entries`` as well.
     """
     if s is None:
         first = active(a).groupBy(D).agg(F.min(Y).alias(Y))
     else:
         first = s.groupBy(D).agg(F.min("first_year").alias(Y))
+    if N in a.columns:
+        return _each(a.select(D, C, Y, N).join(first, [D, Y], "inner"), D, C, Y).select(
+            D, C, F.col(Y).alias("debut_year"))
     return (a.select(D, C, Y).join(first, [D, Y], "inner")
             .select(D, C, F.col(Y).alias("debut_year")))
 
 
-def last_seen_before_max(a: DataFrame) -> DataFrame:
+def yearly_entries(a: DataFrame) -> DataFrame:
+    """One pass over the fact table: counted (driver, constructor, year, tookPart), written once.
+
+    Equal appearances are combined map-side.  The retirement relations (Q-3..Q-5) read
+    maxima, lists and rows from this table instead of scanning ``a`` again for each of
+    them; spans and debuts may read it too.
+    """
+    counted = a.groupBy(D, C, Y, "tookPart").agg(F.count(F.lit(1)).alias(N))
+    return materialize(counted, "yearly-entries")
+
+
+def _each(rows: DataFrame, *cols: str) -> DataFrame:
+    """``cols`` of every row as often as its count says.
+
+    Counts are cut into blocks of ``_BLOCK`` copies that are dealt out anew, so the
+    copies of one frequent appearance do not come from one task.
+    """
+    blocks = (rows.select(*cols, N, F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"({N} - 1) div {_BLOCK}")))
+                          .alias("_block"))
+              .repartition(*cols, "_block"))
+    here = F.least(F.lit(_BLOCK), F.col(N) - F.col("_block") * _BLOCK).cast("int")
+    return blocks.select(*cols, F.explode(F.array_repeat(F.lit(0), here)).alias("_copy")).drop("_copy")
+
+
+def last_seen_before_max(a: DataFrame, e: DataFrame | None = None) -> DataFrame:
     """Q-3: per driver the last active year, kept when below the latest year."""
-    return (active(a).groupBy(D).agg(F.max(Y).alias("retirement_year"))
-            .filter(F.col("retirement_year") < latest_year(a))
+    e = yearly_entries(a) if e is None else e
+    return (active(e).groupBy(D).agg(F.max(Y).alias("retirement_year"))
+            .filter(F.col("retirement_year") < latest_year(e))
             .select("retirement_year", D))
 
 
-def retirements(a: DataFrame) -> DataFrame:
+def retirements(a: DataFrame, e: DataFrame | None = None) -> DataFrame:
     """Q-4: Q-3 joined back to all appearances of that driver and year."""
-    last = (active(a).groupBy(D).agg(F.max(Y).alias(Y))
-            .filter(F.col(Y) < latest_year(a)))
-    return (a.select(D, C, Y).join(last, [D, Y], "inner")
-            .select(D, C, F.col(Y).alias("retirement_year")))
+    e = yearly_entries(a) if e is None else e
+    last = last_seen_before_max(a, e).withColumnRenamed("retirement_year", Y)
+    return _each(e.select(D, C, Y, N).join(last, [D, Y], "inner"), D, C, Y).select(
+        D, C, F.col(Y).alias("retirement_year"))
 
 
 def announced_only(a: DataFrame) -> DataFrame:
@@ -133,41 +164,47 @@ def flag_listed(df: DataFrame, key: str, values: DataFrame, value_col: str) -> D
     return df.join(keys, key, "left")
 
 
-def year_summary(a: DataFrame) -> DataFrame:
-    """One row per year with the announced-only counts, written once (tiny: years).
+def year_summary(e: DataFrame) -> DataFrame:
+    """One row per year with the announced-only counts of ``yearly_entries``, written once (tiny: years).
 
-    The latest and second-latest year and the NOT IN guards all read this
-    instead of scanning the fact table again for every scalar subquery.
+    The latest and second-latest year and the NOT IN guards all read this.
     """
     announced = F.col("tookPart") == F.lit(False)
     return materialize(
-        a.groupBy(Y).agg(F.count_if(announced).alias("n_announced"),
+        e.groupBy(Y).agg(F.count_if(announced).alias("n_announced"),
                          F.count_if(announced & F.col(D).isNull()).alias("n_announced_null")),
         "year-summary")
 
 
-def retirements_announced(a: DataFrame) -> DataFrame:
+def second_latest_year(ys: DataFrame) -> DataFrame:
+    """FLT-3: the largest year below the latest one (null if there is none), from one row per year."""
+    return ys.filter(F.col(Y) < latest_year(ys)).agg(F.max(Y).alias("second_latest_year"))
+
+
+def retirements_announced(a: DataFrame, e: DataFrame | None = None) -> DataFrame:
     """Q-5: retirements where the latest season may be announced only.
 
     ``ry`` is the last active year below the latest year; the row is kept when
     ``ry`` is below the second-latest year, or the driver is NOT IN the
     announced-only list of the latest season.  The NOT IN under OR becomes a
     left join to the distinct list plus a null-aware flag, not a nested loop.
+    The fact table is read once, by ``yearly_entries``.
     """
-    ys = year_summary(a)
-    mx = ys.select(F.max(Y)).scalar()
-    second = ys.filter(F.col(Y) < mx).select(F.max(Y)).scalar()
+    e = yearly_entries(a) if e is None else e
+    ys = year_summary(e)
+    mx = latest_year(ys)
+    second = second_latest_year(ys).scalar()
     latest = ys.filter(F.col(Y) == mx)
     n_all = latest.select(F.coalesce(F.sum("n_announced"), F.lit(0))).scalar()
     n_null = latest.select(F.coalesce(F.sum("n_announced_null"), F.lit(0))).scalar()
-    act = active(a.filter(F.col(Y) < mx))
+    act = active(e.filter(F.col(Y) < mx))
     last = act.groupBy(D).agg(F.max(Y).alias(Y))
-    rows = act.select(D, C, Y).join(last, [D, Y], "inner")
-    announced = a.filter((F.col(Y) == mx) & (F.col("tookPart") == F.lit(False))).select(D)
+    rows = act.select(D, C, Y, N).join(last, [D, Y], "inner")
+    announced = e.filter((F.col(Y) == mx) & (F.col("tookPart") == F.lit(False))).select(D)
     flagged = flag_listed(rows, D, announced, D)
     listed_out = F.col(D).isNotNull() & F.col("_listed").isNull() & (n_null == 0)
     keep = (F.col(Y) < second) | (n_all == 0) | listed_out
-    return flagged.filter(keep).select(D, C, F.col(Y).alias("retirement_year"))
+    return _each(flagged.filter(keep), D, C, Y).select(D, C, F.col(Y).alias("retirement_year"))
 
 
 def retirements_top(a: DataFrame, n: int = 1500) -> DataFrame:
@@ -233,9 +270,10 @@ def transfers_of_driver(a: DataFrame, driver_id: str) -> DataFrame:
     """Q-12 / FLT-6: Q-7 for one driver.
 
     The filter is applied before the spans, so on a stored fact table it is a
-    pushed parquet filter and only that driver's rows are aggregated.
+    pushed parquet filter and only that driver's rows are aggregated, once.
     """
-    return transfers_with_midseason(a.filter(F.col(D) == F.lit(driver_id)))
+    a = a.filter(F.col(D) == F.lit(driver_id))
+    return transfers_with_midseason(a, shared_spans(a))
 
 
 def gap_pairs(a: DataFrame, s: DataFrame | None = None) -> DataFrame:

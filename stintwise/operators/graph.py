@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stintwise.operators.careers import break_ends, transfer_ends
-from stintwise.operators.normalise import with_dense_id
+from stintwise.operators.normalise import numbered_batches
 
 # Node labels and relationship types of the reference's graph.
 DRIVER, TEAM = "Driver", "Team"
@@ -126,17 +126,12 @@ def merge_added(existing: DataFrame, new: DataFrame, keys: list[str] | None = No
 
 
 def edge_batches(df: DataFrame, order: list[str], size: int = 500) -> DataFrame:
-    """GR-7: consecutive slices of ``size`` rows, one row per batch ``(batch, rows)``.
+    """GR-7: consecutive slices of ``size`` rows of any relation, one row per batch ``(batch, rows)``.
 
-    Row positions come from the two-pass dense id; each batch is at most
-    ``size`` rows, so the ``collect_list`` per batch is bounded.
+    Rows are sorted and numbered once; batches are cut where the rows lie, and only
+    those that cross a partition border are shuffled.
     """
-    cols = list(df.columns)
-    numbered = with_dense_id(df, order, "_row")
-    return (numbered.withColumn("batch", F.expr(f"_row div {int(size)}"))
-            .groupBy("batch")
-            .agg(F.sort_array(F.collect_list(F.struct(F.col("_row"), *cols))).alias("rows"))
-            .select("batch", F.transform("rows", lambda r: r.dropFields("_row")).alias("rows")))
+    return numbered_batches(df, order, size)
 
 
 def send_batches(batches: DataFrame, open_sink) -> None:

@@ -17,12 +17,13 @@ from stintwise.sources.tables import read_fact_table, write_fact_table
 
 def career_tables(a: DataFrame, midseason: bool = False,
                   s: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The four tables of the transfer-graph job (SNK-3), spans shared."""
-    s = careers.shared_spans(a) if s is None else s
+    """The four tables of the transfer-graph job (SNK-3): one pass over ``a``, spans shared."""
+    e = careers.yearly_entries(a)
+    s = careers.shared_spans(e) if s is None else s
     transfers = (careers.transfers_with_midseason(a, s) if midseason
                  else careers.transfers_consecutive(a, s))
-    return {"debuts": careers.debuts(a, s),
-            "retirements": careers.retirements(a),
+    return {"debuts": careers.debuts(e, s),
+            "retirements": careers.retirements(a, e),
             "transfers": transfers,
             "breaks": careers.breaks(a, midseason, s)}
 
@@ -103,13 +104,8 @@ def ingest_entities(spark: SparkSession, source_dir: str, out_dir: str,
     if _has_files(spark, f"{folder}/*"):
         _, rec, flat = _entity_table(spark, folder, "chronology", strict)
         write("constructors", schema.drop_nested(rec, "chronology").select(*flat))
-        chains = normalise.dedupe_chains(
-            rec.select("id", F.from_json("chronology", T.ArrayType(CHRONOLOGY_ITEM)).alias("chain")),
-            "id", "chain")
-        write("rebranding_history",
-              normalise.chain_edges(chains, "chain", "constructorId", ["yearFrom", "yearTo"],
-                                    from_col="constructorIdFrom", to_col="constructorIdTo")
-              .select("constructorIdFrom", "constructorIdTo", "yearFrom", "yearTo"))
+        chains = rec.select("id", F.from_json("chronology", T.ArrayType(CHRONOLOGY_ITEM)).alias("chain"))
+        write("rebranding_history", normalise.rebranding_history(chains, "id", "chain"))
 
     seasons = f"{root}/seasons"
     if _has_files(spark, f"{seasons}/*/entrants.yml"):

@@ -16,7 +16,8 @@ from pyspark.sql import types as T
 
 from stintwise.operators import careers, graph, normalise, schema
 from stintwise.plans.build import career_tables
-from stintwise.session import scratch_path
+from stintwise.plans.views import register_career_views
+from stintwise.session import materialize, scratch_path
 from stintwise.sources import csv as csv_io
 from stintwise.sources import documents
 from stintwise.sources import nested_bindings as nb
@@ -171,8 +172,7 @@ SELECT MAX(year) AS second_latest_year FROM appearances
 WHERE year < (SELECT MAX(year) FROM appearances)""")
 def q_second_latest(spark, sf):
     a = appearances(spark, sf)
-    return a.filter(F.col("year") < careers.latest_year(a)).agg(
-        F.max("year").alias("second_latest_year"))
+    return careers.second_latest_year(materialize(a.select("year").distinct(), "years"))
 
 
 @register("not_in_announced", with_appearances("""d AS (SELECT DISTINCT driverId FROM appearances)
@@ -185,15 +185,30 @@ def q_not_in_announced(spark, sf):
                                  careers.announced_only(a), "driverId")
 
 
-@register("not_in_null_aware", with_appearances("""d AS (SELECT DISTINCT driverId FROM appearances)
-SELECT driverId FROM d
-WHERE driverId NOT IN (SELECT CASE WHEN testDriver THEN NULL ELSE driverId END FROM appearances
-                       WHERE year = (SELECT MAX(year) FROM appearances) AND tookPart = FALSE)"""))
+# The list once as it is (with nulls, so nothing is kept), once without nulls (null keys go),
+# once empty (everything stays, null keys too).
+_NOT_IN_CASES = """keyed AS (SELECT DISTINCT CASE WHEN testDriver AND year % 2 = 0 THEN NULL ELSE driverId END AS driverId
+                          FROM appearances),
+listed AS (SELECT CASE WHEN testDriver THEN NULL ELSE driverId END AS driverId FROM appearances
+           WHERE year = (SELECT MAX(year) FROM appearances) AND tookPart = FALSE)
+SELECT 'nulls' AS list_kind, driverId FROM keyed WHERE driverId NOT IN (SELECT driverId FROM listed)
+UNION ALL
+SELECT 'no nulls', driverId FROM keyed
+WHERE driverId NOT IN (SELECT driverId FROM listed WHERE driverId IS NOT NULL)
+UNION ALL
+SELECT 'empty', driverId FROM keyed WHERE driverId NOT IN (SELECT driverId FROM listed WHERE driverId = '')"""
+
+
+@register("not_in_null_aware", with_appearances(_NOT_IN_CASES))
 def q_not_in_null_aware(spark, sf):
     a = appearances(spark, sf)
-    listed = careers.announced_only(
-        a.withColumn("driverId", F.when(F.col("testDriver"), F.lit(None)).otherwise(F.col("driverId"))))
-    return careers.filter_not_in(a.select("driverId").distinct(), "driverId", listed, "driverId")
+    null_if = lambda c: F.when(c, F.lit(None)).otherwise(F.col("driverId")).alias("driverId")
+    keyed = a.select(null_if(F.col("testDriver") & (F.col("year") % 2 == 0))).distinct()
+    listed = careers.announced_only(a.withColumn("driverId", null_if(F.col("testDriver"))))
+    cases = {"nulls": listed, "no nulls": listed.where("driverId IS NOT NULL"), "empty": listed.where("driverId = ''")}
+    parts = [careers.filter_not_in(keyed, "driverId", values, "driverId")
+             .select(F.lit(kind).alias("list_kind"), "driverId") for kind, values in cases.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @register("transfers_consecutive", with_appearances(",\n".join([_SP, _TNEXT]) + "\nSELECT * FROM t_next"))
@@ -211,7 +226,7 @@ def q_transfers_midseason(spark, sf):
 @register("transfers_of_driver", with_appearances(
     ",\n".join([_SP, _TANY]) + "\nSELECT * FROM t_any WHERE driverId = '1'"))
 def q_transfers_of_driver(spark, sf):
-    return careers.transfers_of_driver(appearances(spark, sf), "1")
+    return careers.transfers_of_driver(appearances(spark, sf, driver_id="1"), "1")
 
 
 @register("gap_pairs", with_appearances(",\n".join([_SP, _GAPS]) + "\nSELECT * FROM gaps"))
@@ -259,11 +274,15 @@ def q_breaks7(spark, sf):
 # ---------------------------------------------------------------- normalisation
 
 
-@register("dense_id", """
-SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber) - 1 AS id, l_orderkey, l_linenumber
+_LINE_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+
+
+# (l_orderkey, l_linenumber) repeats; the other columns tell the ties apart.
+@register("dense_id", f"""
+SELECT row_number() OVER (ORDER BY {", ".join(_LINE_COLUMNS)}) - 1 AS id, {", ".join(_LINE_COLUMNS)}
 FROM lineitem""")
 def q_dense_id(spark, sf):
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    li = table(spark, sf, "lineitem").select(*_LINE_COLUMNS)
     return normalise.with_dense_id(li, ["l_orderkey", "l_linenumber"])
 
 
@@ -301,7 +320,7 @@ def q_chain_edges(spark, sf):
             .select("conv_id", "roleFrom", "roleTo", "turn"))
 
 
-@register("chain_dedupe", """
+_CHAINS = """
 WITH li AS (
   SELECT l_orderkey, l_linenumber, CAST(l_suppkey AS VARCHAR) AS c,
          CAST(year(l_shipdate) AS INTEGER) AS yf,
@@ -313,7 +332,10 @@ chains AS (
               ORDER BY l_linenumber, c, yf NULLS FIRST, yt NULLS FIRST) AS chain
   FROM li GROUP BY l_orderkey),
 uniq AS (SELECT chain, min(owner) AS chain_id FROM chains GROUP BY chain),
-items AS (SELECT chain_id, unnest(chain) AS e, generate_subscripts(chain, 1) - 1 AS pos FROM uniq)
+items AS (SELECT chain_id, unnest(chain) AS e, generate_subscripts(chain, 1) - 1 AS pos FROM uniq)"""
+
+
+@register("chain_dedupe", _CHAINS + """
 SELECT chain_id, lag(e.c) OVER (PARTITION BY chain_id ORDER BY pos) AS constructorIdFrom,
        e.c AS constructorIdTo, e.yf AS yearFrom, e.yt AS yearTo, pos
 FROM items""")
@@ -325,6 +347,14 @@ def q_chain_dedupe(spark, sf):
             .withColumnRenamed("_pos", "pos"))
 
 
+@register("rebranding_history", _CHAINS + """
+SELECT lag(e.c) OVER (PARTITION BY chain_id ORDER BY pos) AS "constructorIdFrom",
+       e.c AS "constructorIdTo", e.yf AS "yearFrom", e.yt AS "yearTo"
+FROM items""")
+def q_rebranding_history(spark, sf):
+    return normalise.rebranding_history(nb.order_chains(spark, sf), "owner", "chain")
+
+
 @register("flatten_entries", nb.SEASON_FLAT_SQL)
 def q_flatten_entries(spark, sf):
     return normalise.flatten_entries(nb.season_entries(spark, sf))
@@ -405,25 +435,41 @@ def q_appearances_csv(spark, sf):
 
 @register("career_tables", with_appearances(",\n".join([
     _FIRST, _LAST, _SP, _TNEXT, _GAPS, _unexplained("t_next"), _NEAR, _BRK]) + """
-SELECT 'debuts' AS table_name, count(*) AS row_count
+SELECT 'debuts' AS table_name, x.driverId, x.constructorId AS const_a, f.debut_year AS year_a,
+       CAST(NULL AS VARCHAR) AS const_b, CAST(NULL AS INTEGER) AS year_b
   FROM appearances x JOIN first_seen f USING (driverId) WHERE x.year = f.debut_year
-UNION ALL SELECT 'retirements', count(*)
+UNION ALL SELECT 'retirements', x.driverId, x.constructorId, l.retirement_year, NULL, NULL
   FROM appearances x JOIN last_seen l USING (driverId) WHERE x.year = l.retirement_year
-UNION ALL SELECT 'transfers', count(*) FROM t_next
-UNION ALL SELECT 'breaks', count(*) FROM brk"""))
+UNION ALL SELECT 'transfers', driverId, const_out, transfer_out, const_in, transfer_in FROM t_next
+UNION ALL SELECT 'breaks', driverId, const_out, break_year, const_in, return_year FROM brk"""))
 def q_career_tables(spark, sf):
-    a = appearances(spark, sf)
-    paths = csv_io.write_career_tables(career_tables(a), scratch_path(spark, "career"))
-    counts = [csv_io.read_csv(spark, p, spark.read.option("header", True).csv(p).schema)
-              .agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"),
-                                                                "row_count")
-              for n, p in paths.items()]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
+    """Every row of the four written tables, read back from CSV with the tables' own types."""
+    paths = csv_io.write_career_tables(career_tables(appearances(spark, sf)), scratch_path(spark, "career"))
+    pair = "driverId string, const_a string, year_a int"
+    parts = [csv_io.read_csv(spark, path, pair if name in ("debuts", "retirements")
+                             else pair + ", const_b string, year_b int")
+             .select(F.lit(name).alias("table_name"), "*") for name, path in paths.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
     return out
 
 
+@register("career_views", with_appearances(",\n".join([
+    _SP, _TNEXT, _GAPS, _unexplained("t_next"), _NEAR, _BRK]) + """
+SELECT b.driverId, b.const_out, b.break_year, b.return_year, t.const_in AS next_team, t.transfer_in AS next_year
+FROM brk b LEFT JOIN t_next t ON t.driverId = b.driverId AND t.transfer_out = b.return_year
+WHERE b.gap > 2"""))
+def q_career_views(spark, sf):
+    """SRC-5: the relations as views, one of them replaced by a query over itself, joined in SQL."""
+    names = register_career_views(appearances(spark, sf), global_views=False)
+    spark.sql(f"SELECT * FROM {names['breaks']} WHERE gap > 2").createOrReplaceTempView(names["breaks"])
+    return spark.sql(f"""
+        SELECT b.driverId, b.const_out, b.break_year, b.return_year, t.const_in AS next_team, t.transfer_in AS next_year
+        FROM {names['breaks']} b
+        LEFT JOIN {names['transfers']} t ON t.driverId = b.driverId AND t.transfer_out = b.return_year""")
+
+
 @register("doc_scan", "SELECT * FROM supplier")
 def q_doc_scan(spark, sf):
     path = scratch_path(spark, "yaml-supplier")
@@ -521,15 +567,28 @@ def q_graph_merge(spark, sf):
     return graph.merge_graph(existing, new, graph.EDGE_COLUMNS)
 
 
+def _batch_rows(batches):
+    return batches.select("batch", F.posexplode("rows").alias("pos", "r")).select(
+        "batch", F.col("pos").cast("bigint").alias("pos"), "r.*")
+
+
 @register("edge_batches", with_appearances(_GRAPH_CTES + """
-SELECT batch, count(*) AS n_rows FROM (
-  SELECT (row_number() OVER (ORDER BY type, src, dst, year, src_label, dst_label) - 1) // 500
-         AS batch FROM edges) b GROUP BY batch"""))
+SELECT rn // 500 AS batch, rn % 500 AS pos, src_label, src, type, dst_label, dst, year FROM (
+  SELECT *, row_number() OVER (ORDER BY type, src, dst, year, src_label, dst_label) - 1 AS rn FROM edges) b"""))
 def q_edge_batches(spark, sf):
     edges = graph.span_graph_edges(*_graph_inputs(spark, sf))
-    batches = graph.edge_batches(edges, ["type", "src", "dst", "year", "src_label", "dst_label"])
-    return batches.select(F.col("batch").cast("bigint").alias("batch"),
-                          F.size("rows").cast("bigint").alias("n_rows"))
+    return _batch_rows(graph.edge_batches(edges, ["type", "src", "dst", "year", "src_label", "dst_label"]))
+
+
+@register("transfer_batches", with_appearances(",\n".join([_SP, _TANY]) + """
+SELECT rn // 500 AS batch, rn % 500 AS pos, driverId, const_out, transfer_out, const_in, transfer_in FROM (
+  SELECT *, row_number() OVER (ORDER BY driverId, transfer_in, const_in, const_out, transfer_out) - 1 AS rn
+  FROM t_any) b"""))
+def q_transfer_batches(spark, sf):
+    """GR-7 for one relation: each row carries the parameters of both edges of a transfer."""
+    a = appearances(spark, sf)
+    transfers = careers.transfers_with_midseason(a, careers.shared_spans(a))
+    return _batch_rows(graph.edge_batches(transfers, ["driverId", "transfer_in", "const_in", "const_out"]))
 
 
 @register("graph_import_nodes", with_appearances(_GRAPH_CTES + """

@@ -28,16 +28,17 @@ VIEW_NAMES = {
 
 def career_relations(a: DataFrame, midseason: bool = False) -> dict[str, DataFrame]:
     """All career relations over one appearance table, spans materialised once."""
-    s = careers.shared_spans(a)
+    e = careers.yearly_entries(a)
+    s = careers.shared_spans(e)
     transfers = (careers.transfers_with_midseason(a, s) if midseason
                  else careers.transfers_consecutive(a, s))
     return {
         "appearances": a,
-        "debut_years": careers.debut_years(a),
-        "debuts": careers.debuts(a, s),
-        "last_seen_before_max": careers.last_seen_before_max(a),
-        "retirements": careers.retirements(a),
-        "retirements_announced": careers.retirements_announced(a),
+        "debut_years": careers.debut_years(e),
+        "debuts": careers.debuts(e, s),
+        "last_seen_before_max": careers.last_seen_before_max(a, e),
+        "retirements": careers.retirements(a, e),
+        "retirements_announced": careers.retirements_announced(a, e),
         "transfers": transfers,
         "gap_pairs": careers.gap_pairs(a, s),
         "gaps_unexplained": careers.gaps_unexplained(a, midseason, s),

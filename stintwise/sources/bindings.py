@@ -29,10 +29,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def appearances(spark: SparkSession, sf_dir: str) -> DataFrame:
+def appearances(spark: SparkSession, sf_dir: str, driver_id: str | None = None) -> DataFrame:
+    """The fact table; with ``driver_id`` only that driver's rows, filtered on the raw key in the scan."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_returnflag", "l_linestatus")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    if driver_id is not None:
+        key = o.schema["o_custkey"].dataType
+        o = o.filter((F.col("o_custkey") == F.lit(driver_id).try_cast(key))
+                     & (F.col("o_custkey").cast("string") == F.lit(driver_id)))
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     # nullif(l_returnflag, 'R') IS NOT NULL, spelled so the filter reaches the parquet scan.
     took_part = F.col("l_returnflag").isNotNull() & (F.col("l_returnflag") != F.lit("R"))

@@ -14,8 +14,12 @@ from stintwise.schemas import APPEARANCES
 
 
 def write_fact_table(a: DataFrame, path: str) -> None:
-    """Write appearances partitioned by year (one folder per season)."""
-    a.select(*APPEARANCES.fieldNames()).write.mode("overwrite").partitionBy("year").parquet(path)
+    """Write appearances partitioned by year (one folder per season).
+
+    Rows are rebalanced by year first, so a season has few files however many tasks
+    made its rows; AQE splits the share of a large season over several tasks.
+    """
+    a.select(*APPEARANCES.fieldNames()).hint("rebalance", "year").write.mode("overwrite").partitionBy("year").parquet(path)
 
 
 def read_fact_table(spark: SparkSession, path: str) -> DataFrame:

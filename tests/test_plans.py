@@ -52,14 +52,26 @@ def test_breaks_window_is_per_driver_over_distinct_years(spark):
     assert re.search(r"\], \[driverId#\d+\], \[_y#\d+ ASC", windows[0])
 
 
-def test_year_partitions_pruned_by_latest_year(spark):
+@pytest.mark.parametrize("name", ["last_seen_before_max", "retirements", "retirements_announced", "career_tables"])
+def test_one_fact_scan_per_query(spark, monkeypatch, name):
+    """Scans of lineitem in the written tables and in the result together."""
     from stintwise.operators import careers
-    from stintwise.session import scratch_path
+    written = []
+
+    def recording(df, label):
+        written.append(plan_text(df, "simple"))
+        return materialize(df, label)
+
+    materialize = careers.materialize
+    monkeypatch.setattr(careers, "materialize", recording)
+    result = QUERIES[name](spark, SF001)
+    texts = written + ([plan_text(result, "simple")] if name != "career_tables" else [])
+    assert sum("FileScan" in line and "l_orderkey" in line for t in texts for line in t.splitlines()) == 1
+
+
+def test_driver_filter_reaches_the_orders_scan(spark):
     from stintwise.sources.bindings import appearances
-    from stintwise.sources.tables import read_fact_table, write_fact_table
-    path = scratch_path(spark, "fact-plan")
-    write_fact_table(appearances(spark, SF001), path)
-    df = careers.retirements_announced(read_fact_table(spark, path))
-    filters = [line for line in plan_text(df).splitlines() if "PartitionFilters" in line]
-    assert any("year" in f and "< " in f and "Subquery" in f for f in filters)
-    assert any("year" in f and "= " in f and "Subquery" in f for f in filters)
+    text = plan_text(appearances(spark, SF001, driver_id="1"))
+    assert "EqualTo(o_custkey,1)" in text
+    assert appearances(spark, SF001, driver_id="01").count() == 0
+    assert appearances(spark, SF001, driver_id="x").count() == 0
