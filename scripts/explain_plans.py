@@ -37,19 +37,19 @@ def trimmed(df) -> str:
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = local_session(8, 8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     fact = scratch_path(spark, "plans-fact")
     write_fact_table(appearances(spark, sf), fact)
     cases = [(name, registry.QUERIES[name](spark, sf)) for name in
-             ["transfers_with_midseason", "gap_pairs", "breaks", "debuts", "flatten_entries"]]
-    cases.append(("retirements_announced (on the year-partitioned fact table)",
-                  careers.retirements_announced(read_fact_table(spark, fact))))
+             ["transfers_with_midseason", "gap_pairs", "breaks", "debuts", "flatten_entries", "graph_edges", "transfers_of_driver"]]
+    a = read_fact_table(spark, fact)
+    e = careers.yearly_entries(a)
+    cases.append(("retirements_announced (from the counted entries)", careers.retirements_announced(a, e)))
     out = ["# Physical plans", "",
            f"Generated by `scripts/explain_plans.py` at `{os.path.basename(sf)}`, local[8].",
            "These are the adaptive plans as planned; AQE may still re-plan at run time.",
-           "Scratch paths are elided. Broadcast joins appear because the materialised",
-           "span tables are small at this size (their measured size is below",
-           "`spark.sql.autoBroadcastJoinThreshold`); on large inputs the same joins are",
-           "sort-merge joins on the same keys.", ""]
+           "Scratch paths are elided. Static broadcasting is off, as `cluster_conf` sets it, so",
+           "the joins are those of large inputs.", ""]
     for name, df in cases:
         out += [f"## {name}", "", "```", trimmed(df), "```", ""]
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))),

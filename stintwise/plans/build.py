@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,6 +72,13 @@ def ingest_entities(spark: SparkSession, source_dir: str, out_dir: str,
                     strict: bool = False) -> dict[str, str]:
     """YAML entity folders -> CSV tables (SRC-1, SCH-1..5, NRM-1..5, SNK-1)."""
     out: dict[str, str] = {}
+    absent = []
+
+    def present(name: str, pattern: str) -> bool:
+        found = _has_files(spark, pattern)
+        if not found:
+            absent.append(name)
+        return found
 
     def write(name, df):
         path = f"{out_dir.rstrip('/')}/{name}"
@@ -79,12 +88,12 @@ def ingest_entities(spark: SparkSession, source_dir: str, out_dir: str,
     root = source_dir.rstrip("/")
     for name in SIMPLE_ENTITIES:
         folder = f"{root}/{name}"
-        if _has_files(spark, f"{folder}/*"):
+        if present(folder.rsplit("/", 1)[1], f"{folder}/*"):
             _, rec, flat = _entity_table(spark, folder, None, strict)
             write(name, rec.select(*flat))
 
     folder = f"{root}/circuits"
-    if _has_files(spark, f"{folder}/*"):
+    if present(folder.rsplit("/", 1)[1], f"{folder}/*"):
         _, rec, flat = _entity_table(spark, folder, "previousNames", strict)
         write("circuits", schema.drop_nested(rec, "previousNames").select(*flat))
         names = rec.select("id", F.from_json("previousNames", T.ArrayType(T.StringType())).alias("pn"))
@@ -92,7 +101,7 @@ def ingest_entities(spark: SparkSession, source_dir: str, out_dir: str,
               normalise.explode_child(names, "id", "pn", out_parent="circuitId", item="previousName"))
 
     folder = f"{root}/drivers"
-    if _has_files(spark, f"{folder}/*"):
+    if present(folder.rsplit("/", 1)[1], f"{folder}/*"):
         _, rec, flat = _entity_table(spark, folder, "familyRelationships", strict)
         write("drivers", schema.drop_nested(rec, "familyRelationships").select(*flat))
         rel = rec.select("id", F.from_json("familyRelationships", T.ArrayType(RELATION)).alias("fr"))
@@ -101,16 +110,18 @@ def ingest_entities(spark: SparkSession, source_dir: str, out_dir: str,
                                       fields={"relationId": "driverId", "type": "type"}))
 
     folder = f"{root}/constructors"
-    if _has_files(spark, f"{folder}/*"):
+    if present(folder.rsplit("/", 1)[1], f"{folder}/*"):
         _, rec, flat = _entity_table(spark, folder, "chronology", strict)
         write("constructors", schema.drop_nested(rec, "chronology").select(*flat))
         chains = rec.select("id", F.from_json("chronology", T.ArrayType(CHRONOLOGY_ITEM)).alias("chain"))
         write("rebranding_history", normalise.rebranding_history(chains, "id", "chain"))
 
     seasons = f"{root}/seasons"
-    if _has_files(spark, f"{seasons}/*/entrants.yml"):
-        apps = read_season_documents(spark, seasons)
+    if present("seasons", f"{seasons}/*/entrants.yml"):
+        apps = read_season_documents(spark, seasons, strict=strict)
         write("driversAllYears", apps.withColumnRenamed("driverId", "driverID"))
+    if absent:
+        warnings.warn(f"no files, not built: {', '.join(absent)}", stacklevel=2)
     return out
 
 
@@ -121,8 +132,10 @@ def build_all(spark: SparkSession, source_dir: str, out_dir: str,
     The appearance table is written as CSV (the ingest output) and as parquet
     partitioned by year; the career relations read the parquet copy, so their
     ``year < latest`` filters prune partitions and scans read only used columns.
-    ``strict`` fails the job on a document that lacks a discovered key, as the
-    reference does; by default the cell is null.
+    ``strict`` fails the job on a document that lacks a discovered key and on a season
+    entry without constructor, driver or ``rounds`` key, as the
+    reference does; by default the cell is null.  Datasets whose folder is absent
+    are named in a warning.
     """
     out = ingest_entities(spark, source_dir, out_dir, strict=strict)
     if "driversAllYears" in out:

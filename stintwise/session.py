@@ -93,22 +93,32 @@ def materialize(df, name: str):
     return spark.read.schema(df.schema).parquet(path)
 
 
-def cluster_conf(input_bytes: int, total_cores: int,
-                 partition_bytes: int = 256 << 20) -> dict[str, str]:
-    """Session settings for a large cluster, sized from the bytes the jobs read.
+STATUS_BYTES = 4 << 30      # driver memory that one shuffle's map statuses may take
+
 
-    Shuffle partitions start at about ``input / partition_bytes`` (at least two
-    per core) and AQE coalesces them at run time; AQE also splits skewed join
-    partitions and turns a join into a broadcast only when the measured side
-    is under the threshold.
+def cluster_conf(input_bytes: int, total_cores: int, shuffled_bytes: int | None = None,
+                 partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Session settings for a large cluster, sized from the bytes the jobs read and shuffle.
+
+    The shuffles carry a few columns after partial aggregation; ``shuffled_bytes`` is
+    an eighth of the input unless given.  Shuffle partitions start at
+    ``shuffled_bytes / partition_bytes`` (at least two per core) and AQE coalesces them
+    at run time.  The status of one map task holds up to one bit per partition, so
+    scan tasks and partitions are kept to ``STATUS_BYTES`` together; partitions then
+    grow and spill, no work is left out.  Joins become broadcasts only by the size that AQE
+    measures, not by that of compressed files.
     """
-    partitions = max(2 * total_cores, input_bytes // partition_bytes)
+    shuffled_bytes = input_bytes // 8 if shuffled_bytes is None else shuffled_bytes
+    scan_bytes = 2 * partition_bytes
+    scan_tasks = max(1, input_bytes // scan_bytes)
+    partitions = min(max(2 * total_cores, shuffled_bytes // partition_bytes), 8 * STATUS_BYTES // scan_tasks)
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(partition_bytes // 2),
-        "spark.sql.autoBroadcastJoinThreshold": str(32 << 20),
+        "spark.sql.files.maxPartitionBytes": str(scan_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 << 20),
     }

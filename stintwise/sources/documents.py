@@ -21,7 +21,7 @@ from stintwise.functions.columns import year_from_path
 from stintwise.operators.normalise import flatten_entries
 from stintwise.schemas import SEASON_ENTRY
 
-PARSED = "_path string, _doc int, _json string"
+PARSED = "_path string, _doc int, _item int, _json string"
 YAML_CHUNK_BYTES = 4 << 20  # JSON text per batch handed back to the JVM
 YAML_FILE_DOCS = 2_000      # rows of a written file: a file is parsed by one Python call
 
@@ -32,8 +32,11 @@ def document_text(spark: SparkSession, path: str) -> DataFrame:
             .select(F.col("_metadata.file_path").alias("_path"), F.col("value").alias("_text")))
 
 
-def parse_yaml(files: DataFrame) -> DataFrame:
-    """``(_path, _text)`` -> ``(_path, _doc, _json)``: one row per document.
+def parse_yaml(files: DataFrame, items: bool = False) -> DataFrame:
+    """``(_path, _text)`` -> ``(_path, _doc, _item, _json)``: one row per document.
+
+    With ``items`` a document that is a list gives one row per element instead, so
+    no row holds a whole season.
 
     The parser is defined here so it is shipped to the Python workers by
     value: they need ``yaml`` and ``pandas``, not this package on their path.
@@ -46,13 +49,13 @@ def parse_yaml(files: DataFrame) -> DataFrame:
         import yaml
 
         loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
-        paths, idx, docs = [], [], []
+        paths, idx, places, docs = [], [], [], []
         size = 0
 
         def flush():
             out = pandas.DataFrame({"_path": paths, "_doc": pandas.array(idx, dtype="int32"),
-                                    "_json": docs})
-            paths.clear(), idx.clear(), docs.clear()
+                                    "_item": pandas.array(places, dtype="int32"), "_json": docs})
+            paths.clear(), idx.clear(), places.clear(), docs.clear()
             return out
 
         for pdf in batches:
@@ -60,13 +63,15 @@ def parse_yaml(files: DataFrame) -> DataFrame:
                 for i, doc in enumerate(yaml.load_all(text, Loader=loader)):
                     if doc is None:
                         continue
-                    paths.append(path)
-                    idx.append(i)
-                    docs.append(json.dumps(doc, default=str, ensure_ascii=False))
-                    size += len(docs[-1])
-                    if size >= YAML_CHUNK_BYTES:
-                        yield flush()
-                        size = 0
+                    for k, part in enumerate(doc if items and isinstance(doc, list) else [doc]):
+                        paths.append(path)
+                        idx.append(i)
+                        places.append(k)
+                        docs.append(json.dumps(part, default=str, ensure_ascii=False))
+                        size += len(docs[-1])
+                        if size >= YAML_CHUNK_BYTES:
+                            yield flush()
+                            size = 0
         if docs:
             yield flush()
 
@@ -88,26 +93,66 @@ def read_document_maps(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_season_documents(spark: SparkSession, root: str, pattern: str = "*/entrants.yml",
-                          flatten: bool = True, ordered: bool = False) -> DataFrame:
+                          flatten: bool = True, ordered: bool = False, strict: bool = False) -> DataFrame:
     """SRC-2: ``<root>/<year>/entrants.yml`` (a list of entries) -> appearances.
 
     The year is the folder name (``1995`` or ``year=1995``), cast to int.
     With ``flatten`` the two nesting levels are expanded (NRM-6..9).
-    ``ordered`` (SRT-1) sorts the output by numeric year, as the reference
-    writes seasons in folder order; it costs a range-partitioned sort, so it is
-    off unless the row order of the written table matters.
+    ``ordered`` (SRT-1) sorts the output by numeric year, then path and place in the
+    file, as the reference writes seasons in folder order.  It costs a range-partitioned
+    sort, so it is off unless the row order of the written table matters; a large
+    season spreads over several tasks.
+    ``strict`` fails on an incomplete entry (see ``season_defect``).
+    """
+    return season_rows(document_text(spark, f"{root.rstrip('/')}/{pattern}"), flatten, ordered, strict)
+
+
+def season_defect(entry: F.Column) -> F.Column:
+    """What an entry's JSON text lacks, or null: a constructor, a driver or the key ``rounds``.
+
+    A null under the key ``rounds`` is complete: the driver did not take part.
     """
-    rows = season_rows(document_text(spark, f"{root.rstrip('/')}/{pattern}"), flatten)
-    return rows.orderBy("year", *[c for c in rows.columns if c != "year"]) if ordered and flatten else (
-        rows.orderBy("year") if ordered else rows)
+    def has(node, key):
+        return F.array_contains(F.json_object_keys(node), key)
+
+    def listed(node, key):
+        return F.from_json(node, f"{key} array<string>").getField(key)
+
+    def no_rounds(node):
+        return F.when(~F.coalesce(has(node, "driverId"), F.lit(False)), "driverId").when(~has(node, "rounds"), "rounds")
+
+    def below(node):
+        drivers = listed(node, "drivers")
+        return (F.when(has(node, "driverId"), no_rounds(node))
+                .when(drivers.isNull(), F.lit("drivers"))
+                .otherwise(F.try_element_at(F.filter(F.transform(drivers, no_rounds), lambda d: d.isNotNull()), F.lit(1))))
+
+    constructors = listed(entry, "constructors")
+
+    def constructor(node):
+        return F.when(~F.coalesce(has(node, "constructorId"), F.lit(False)), "constructorId").otherwise(below(node))
+
+    return (F.when(~F.coalesce(has(entry, "entrantId"), F.lit(False)), "entrantId")
+            .when(has(entry, "constructorId"), below(entry))
+            .when(constructors.isNull(), F.lit("constructors"))
+            .otherwise(F.try_element_at(F.filter(F.transform(constructors, constructor), lambda d: d.isNotNull()),
+                                        F.lit(1))))
 
 
-def season_rows(files: DataFrame, flatten: bool = True) -> DataFrame:
+def season_rows(files: DataFrame, flatten: bool = True, ordered: bool = False, strict: bool = False) -> DataFrame:
     """``(_path, _text)`` of season files (batch or stream) -> entries or appearances."""
-    parsed = parse_yaml(files)
-    entries = parsed.select(year_from_path("_path").alias("year"),
-                            F.explode(F.from_json("_json", T.ArrayType(SEASON_ENTRY))).alias("entry"))
-    return flatten_entries(entries) if flatten else entries
+    parsed = parse_yaml(files, items=True)
+    text = F.col("_json")
+    if strict:
+        defect = season_defect(text)
+        message = F.concat(F.lit("season entry lacks "), defect, F.lit(": "), F.col("_path"), F.lit(" "), text)
+        text = F.when(defect.isNotNull(), F.raise_error(message).cast("string")).otherwise(text)
+    place = ["_path", "_doc", "_item"]
+    entries = parsed.select(year_from_path("_path").alias("year"), *place,
+                            F.from_json(text, SEASON_ENTRY).alias("entry"))
+    rows = flatten_entries(entries, order_cols=place) if flatten else entries
+    places = [*place, "_c_pos", "_d_pos"] if flatten else place
+    return (rows.orderBy("year", *places) if ordered else rows).drop(*places)
 
 
 # --------------------------------------------------------------- YAML writing

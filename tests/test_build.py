@@ -94,13 +94,62 @@ def test_graph_import_tables(spark, built):
 
 
 def test_cluster_conf_sizes_partitions():
-    from stintwise.session import cluster_conf
+    from stintwise.session import STATUS_BYTES, cluster_conf
     conf = cluster_conf(100 * 2**40, 8000)
     assert conf["spark.sql.adaptive.enabled"] == "true"
-    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 << 20)
+    partitions = int(conf["spark.sql.shuffle.partitions"])
+    assert partitions == 100 * 2**40 // 8 // (256 << 20)
+    scan_tasks = 100 * 2**40 // int(conf["spark.sql.files.maxPartitionBytes"])
+    assert scan_tasks * partitions / 8 <= STATUS_BYTES
+    assert conf["spark.sql.autoBroadcastJoinThreshold"] == "-1"
     assert int(cluster_conf(1 << 20, 16)["spark.sql.shuffle.partitions"]) == 32
 
 
+@pytest.mark.parametrize("entry, lacks", [
+    ("- entrantId: e1\n  constructorId: c1\n  driverId: d1\n", "rounds"),
+    ("- entrantId: e1\n", "constructors"),
+    ("- entrantId: e1\n  constructorId: c1\n", "drivers"),
+    ("- entrantId: e1\n  constructors:\n  - constructorId: c1\n    drivers:\n    - driverId: d1\n", "rounds"),
+    ("- entrantId: e1\n  constructors:\n  - driverId: d1\n    rounds: 1\n", "constructorId"),
+    ("- constructorId: c1\n  driverId: d1\n  rounds: 1\n", "entrantId"),
+])
+def test_strict_seasons_fail_on_incomplete_entries(spark, tmp_path, entry, lacks):
+    from stintwise.sources.documents import read_season_documents
+    whole = "- entrantId: e0\n  constructorId: c0\n  drivers:\n  - driverId: d0\n    rounds:\n"
+    (tmp_path / "2001").mkdir()
+    (tmp_path / "2001" / "entrants.yml").write_text(whole)
+    got = [tuple(r) for r in read_season_documents(spark, str(tmp_path), strict=True).collect()]
+    assert got == [(2001, "e0", "c0", "d0", False, False)]
+    (tmp_path / "2001" / "entrants.yml").write_text(whole + entry)
+    with pytest.raises(Exception, match=f"lacks {lacks}"):
+        read_season_documents(spark, str(tmp_path), strict=True).collect()
+    assert read_season_documents(spark, str(tmp_path)).count() == 2
+
+
+def test_ordered_seasons_keep_year_path_and_place(spark, tmp_path):
+    from stintwise.sources.documents import read_season_documents
+    want = []
+    for year in (998, 1001, 2000):
+        (tmp_path / str(year)).mkdir()
+        for file in ("a.yml", "b.yml"):
+            text = ""
+            for i in range(40):
+                text += f"- entrantId: e{i}\n  constructorId: c\n  drivers:\n"
+                for d in ("z", "a"):
+                    text += f"  - driverId: {d}{file[0]}\n    rounds: 1\n"
+                    want.append((year, f"e{i}", d + file[0]))
+            (tmp_path / str(year) / file).write_text(text)
+    rows = read_season_documents(spark, str(tmp_path), pattern="*/*.yml", ordered=True)
+    assert [(r.year, r.entrantId, r.driverId) for r in rows.collect()] == want
+
+
+def test_absent_datasets_are_named(spark, tmp_path):
+    (tmp_path / "continents").mkdir()
+    (tmp_path / "continents" / "a.yml").write_text("id: a\ncode: AA\n")
+    with pytest.warns(UserWarning, match="not built: .*circuits.*seasons"):
+        build_all(spark, str(tmp_path), scratch_path(spark, "absent"))
+
+
 def test_command_line_build(spark, capsys):
     from stintwise.__main__ import main
     main(["build", SOURCE, scratch_path(spark, "cli-build")])
