@@ -230,3 +230,33 @@ def test_send_batches_reaches_every_edge_once(spark):
     graph.send_batches(batches, open_sink)
     assert sent_rows.value == edges.count()
     assert sent_batches.value == batches.count()
+
+
+def test_repeated_appearances_keep_their_number(spark):
+    """Counts above one block of copies come back as that many rows, and nulls of the flag count too."""
+    once = [(2000, "e", "A", "d1", True, False), (2000, "e", "B", "d1", None, False), (2003, "e", "A", "d2", True, False)]
+    a = spark.createDataFrame(once, APPEARANCES)
+    many = a.crossJoin(spark.range(9001)).drop("id")
+    got = {tuple(r) for r in careers.retirements(many).groupBy("driverId", "constructorId", "retirement_year").count().collect()}
+    assert got == {("d1", "A", 2000, 9001), ("d1", "B", 2000, 9001)}
+    e = careers.yearly_entries(many)
+    assert e.count() == 3
+    got = {tuple(r) for r in careers.debuts(e, careers.spans(e)).groupBy("driverId", "constructorId").count().collect()}
+    assert got == {("d1", "A", 9001), ("d1", "B", 9001), ("d2", "A", 9001)}
+
+
+@pytest.mark.parametrize("size, n", [(1, 5), (7, 500), (500, 499), (64, 0)])
+def test_batches_are_consecutive_and_do_not_depend_on_layout(spark, size, n):
+    rows = [(f"k{i * 37 % max(n, 1) % 50}", i) for i in range(n)]
+    want = sorted(rows)
+    for parts in (1, 3):
+        df = spark.createDataFrame(rows, "k string, v long").repartition(parts)
+        got = {r["batch"]: [tuple(x) for x in r["rows"]] for r in graph.edge_batches(df, ["k"], size).collect()}
+        assert got == {b: want[b * size:(b + 1) * size] for b in range(-(-n // size))}
+
+
+def test_dense_ids_do_not_depend_on_layout(spark):
+    df = spark.createDataFrame([(i % 3, i % 7, str(i)) for i in range(200)], "a long, b long, c string")
+    ids = [sorted(tuple(r) for r in normalise.with_dense_id(x, ["a"]).collect())
+           for x in (df.repartition(1), df.repartition(5, "c").orderBy("c"))]
+    assert ids[0] == ids[1]
