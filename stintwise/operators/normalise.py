@@ -87,39 +87,44 @@ def numbered_batches(df: DataFrame, order: Sequence[str], size: int) -> DataFram
     crosses = (F.col("batch") * size < first) | ((F.col("batch") + 1) * size > end)
     item = numbered.schema["_row"].dataType
     out = T.StructType([T.StructField("batch", T.LongType()), T.StructField("rows", T.ArrayType(item))])
-    within = numbered.where(~crosses).select("batch", "_row").mapInArrow(_cut, out)
+    within = numbered.where(~crosses).select("batch", "_row").mapInArrow(_cutter(), out)
     across = (numbered.where(crosses).groupBy("batch")
               .agg(F.sort_array(F.collect_list(F.struct("_id", "_row"))).alias("_rows"))
               .select("batch", F.transform("_rows", lambda r: r["_row"]).alias("rows")))
     return within.unionByName(across)
 
 
-def _cut(batches):
-    """Runs of equal ``batch`` as one row each; a run may go on in the next Arrow batch."""
-    import numpy as np
-    import pyarrow as pa
-
-    def lists(ids, rows, last):
-        """The runs that end in ``ids`` (all if ``last``) and the first row of the unfinished one."""
-        starts = np.flatnonzero(np.diff(ids, prepend=ids[0] - 1))
-        edges = [*starts.tolist(), len(ids)] if last else starts.tolist()
-        if len(edges) < 2:
-            return None, 0
-        values = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), rows)
-        return pa.RecordBatch.from_arrays([pa.array(ids[edges[:-1]]), values], ["batch", "rows"]), edges[-1]
-
-    held_ids, held_rows = np.zeros(0, np.int64), None
-    for b in batches:
-        if b.num_rows == 0:
-            continue
-        ids = np.concatenate([held_ids, b.column(0).to_numpy()])
-        rows = b.column(1) if held_rows is None else pa.concat_arrays([held_rows, b.column(1)])
-        made, at = lists(ids, rows, False)
-        if made is not None:
-            yield made
-        held_ids, held_rows = ids[at:], rows.slice(at)
-    if len(held_ids):
-        yield lists(held_ids, held_rows, True)[0]
+def _cutter():
+    """The function that cuts sorted rows into batches; nested, so workers get it by value."""
+
+    def cut(batches):
+        """Runs of equal ``batch`` as one row each; a run may go on in the next Arrow batch."""
+        import numpy as np
+        import pyarrow as pa
+
+        def lists(ids, rows, last):
+            """The runs that end in ``ids`` (all if ``last``) and the first row of the unfinished one."""
+            starts = np.flatnonzero(np.diff(ids, prepend=ids[0] - 1))
+            edges = [*starts.tolist(), len(ids)] if last else starts.tolist()
+            if len(edges) < 2:
+                return None, 0
+            values = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), rows)
+            return pa.RecordBatch.from_arrays([pa.array(ids[edges[:-1]]), values], ["batch", "rows"]), edges[-1]
+
+        held_ids, held_rows = np.zeros(0, np.int64), None
+        for b in batches:
+            if b.num_rows == 0:
+                continue
+            ids = np.concatenate([held_ids, b.column(0).to_numpy()])
+            rows = b.column(1) if held_rows is None else pa.concat_arrays([held_rows, b.column(1)])
+            made, at = lists(ids, rows, False)
+            if made is not None:
+                yield made
+            held_ids, held_rows = ids[at:], rows.slice(at)
+        if len(held_ids):
+            yield lists(held_ids, held_rows, True)[0]
+
+    return cut
 
 
 def explode_child(df: DataFrame, parent_key: str, list_col: str, out_parent: str,
