@@ -11,9 +11,11 @@ columns of a rotated difference estimate its whole length.
 2. A query probes its ``probes`` nearest lists.  Queries of a block are cut too, and each
    (list, vector block, query block) is one unit of work, sorted and streamed in a task.
 3. Within a unit, candidates are scanned in blocks of ``columns`` rotated columns.  After each
-   block a hypothesis test compares the partial distance with the query's k-th best so far:
-   a candidate whose partial distance is too long for its whole one to be shorter, but
-   with a small error probability, is abandoned.
+   block a hypothesis test compares the partial distance with the query's bar, the k-th best
+   distance so far: a candidate whose partial distance is too long for its whole one to be
+   shorter, but with a small error probability, is abandoned.  The nearest lists, those that
+   hold a query's first k candidates, are scanned first, from an open bar; the others
+   start at the bar that these left.
 4. The survivors' scores are computed from the original vectors in double precision; each
    unit gives its best k, and a window over those gives the query's best k.
 
@@ -22,8 +24,9 @@ own queries find ``target`` of their true neighbours.
 
 Defined cases: vectors that are null, empty, zero, of another length than most, or hold null or
 non-finite components take no part; equal scores are ranked by the smaller id; the
-candidates are all rows but the query's own id; a query with fewer than k candidates probes
-every list; an empty table gives an empty result; further columns are ignored.
+candidates are all rows but those of the query's own id, repeated rows each; a query id that
+repeats asks once, with its least vector; a query probes further lists until they hold k
+candidates; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,6 +42,8 @@ from pyspark.sql import functions as F
 
 from stintwise.session import materialize
 
+QUERIES = 64                # queries scanned together
+
 
 @dataclass
 class Lists:
@@ -107,37 +112,60 @@ class Columns:
         self.longest = float(sum(self.squares).max()) if self.rows else 0.0
 
 
-def scan(query: np.ndarray, vectors: Columns, k: int, strictness: float, chunk: int = 1024) -> np.ndarray:
-    """Numbers of the vectors that may be among the ``k`` nearest to ``query`` (rotated)."""
-    bar, kept, best = np.inf, [], np.zeros(0)
-    q = query.astype(np.float32)
+def scan(queries: np.ndarray, bars: np.ndarray, vectors: Columns, k: int, strictness: float, own: np.ndarray,
+         chunk: int = 1024) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Numbers of queries (rotated) and of the vectors that may be among their ``k`` nearest, chunk by chunk.
+
+    ``bars``: squared distances beyond which a vector is none of them; ``own[i, j]``: vector j is query i itself.
+    """
+    q = queries.astype(np.float32)
+    bars = bars.astype(np.float32)
+    best = np.full((len(q), k), np.inf, np.float32)
     # distances are sums of single-precision products: what is this close counts as equal
-    slack = 1e-5 * (float(q @ q) + vectors.longest)
+    slack = (1e-5 * (np.einsum("ij,ij->i", q, q) + vectors.longest)).astype(np.float32)
+    blocks = list(zip(vectors.edges, vectors.edges[1:], vectors.blocks, vectors.squares))
+    lengths = [np.einsum("ij,ij->i", q[:, c:e], q[:, c:e]) for c, e, _, _ in blocks]
     for lo in range(0, vectors.rows, chunk):
         hi = min(vectors.rows, lo + chunk)
-        live = part = None                        # None: the whole chunk
-        for c, upto, block, squares in zip(vectors.edges, vectors.edges[1:], vectors.blocks, vectors.squares):
-            own = q[c:upto]
-            x, xx = (block[lo:hi], squares[lo:hi]) if live is None else (block[live], squares[live])
-            more = xx - 2 * (x @ own) + own @ own
-            part = more if part is None else part + more
-            if upto < vectors.dims and np.isfinite(bar):
-                # The whole distance is about part * d / upto; its relative error shrinks with 1 / sqrt(upto).
-                go = part * (vectors.dims / upto) <= bar * (1 + strictness / np.sqrt(upto)) ** 2 + slack
-                if not go.all():
-                    live, part = (np.flatnonzero(go) + lo if live is None else live[go]), part[go]
-                    if not len(live):
-                        break
+        live = ~own[:, lo:hi]
+        part = np.zeros(live.shape, np.float32)
+        who = None                               # None: all pairs of the chunk; later the live pairs alone
+        for (c, upto, block, squares), length in zip(blocks, lengths):
+            # The whole distance is about part * d / upto; its relative error shrinks with 1 / sqrt(upto).
+            short = np.float32(upto / vectors.dims * (1 + strictness / np.sqrt(upto)) ** 2)
+            last = upto == vectors.dims
+            if who is None:
+                part += squares[lo:hi] + length[:, None] - 2 * (q[:, c:upto] @ block[lo:hi].T)
+                live &= part <= ((bars if last else bars * short) + slack)[:, None]
+                if not last and np.count_nonzero(live) < live.size // 8:
+                    who, which = np.nonzero(live)
+                    part = part[who, which]
+            elif len(who):
+                x = block[lo + which]
+                part = part + squares[lo + which] + length[who] - 2 * np.einsum("ij,ij->i", x, q[who, c:upto])
+                go = part <= (bars if last else bars * short)[who] + slack[who]
+                who, which, part = who[go], which[go], part[go]
+        if who is None:
+            who, which = np.nonzero(live)
+            part = part[who, which]
+        if not len(who):
+            continue
+        # the k-th best of what was kept so far lowers the bar
+        met = np.unique(who)
+        found = np.full((len(met), hi - lo), np.inf, np.float32)
+        found[np.searchsorted(met, who), which] = part
+        best[met] = np.partition(np.concatenate([best[met], found], axis=1), k - 1, axis=1)[:, :k]
+        bars[met] = np.minimum(bars[met], best[met, k - 1])
         # ties with the k-th best stay: the exact scores and ids decide
-        ok = part <= bar + slack
-        if ok.any():
-            kept.append(np.flatnonzero(ok) + lo if live is None else live[ok])
-            best = np.concatenate([best, part[ok]])
-            if len(best) > k:
-                best = np.partition(best, k - 1)[:k]
-            if len(best) == k:
-                bar = float(best.max())
-    return np.concatenate(kept) if kept else np.zeros(0, np.int64)
+        ok = part <= bars[who] + slack[who]
+        yield who[ok], lo + which[ok]
+
+
+def best_scores(who: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
+    """Places of every query's ``k`` best rows, by score and then by id."""
+    order = np.lexsort((ids, -scores, who))
+    first = np.searchsorted(who[order], who[order], side="left")
+    return order[np.arange(len(order)) - first < k]
 
 
 def _usable(rows: DataFrame, key: str, vector: str) -> DataFrame:
@@ -179,39 +207,43 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id",
         lists = max(1, min(256, int(np.sqrt(n) / 2)))
     made, probes = fit_lists(np.array([r.v for r in got]), longest, lists, k, target, seed)
     lists = len(made.centres)
-    if n <= 4 * k or n < 2048:
+    if n < 2048:
         probes = lists
     shared = spark.sparkContext.broadcast(made)
-    filed_schema = "id bigint, v array<double>, y array<double>, list int"
+    filed_schema = "id bigint, v array<double>, y array<double>, first boolean, list int"
+
+    def filed(batch: pa.RecordBatch, y: np.ndarray, at: np.ndarray, first: np.ndarray, lists_: np.ndarray) -> pa.RecordBatch:
+        at = pa.array(at)
+        ys = pa.FixedSizeListArray.from_arrays(pa.array(y.ravel()), y.shape[1]).cast(pa.list_(pa.float64()))
+        return pa.RecordBatch.from_arrays([batch.column("id").take(at), batch.column("v").take(at), ys.take(at),
+                                           pa.array(first), pa.array(lists_.astype(np.int32))],
+                                          ["id", "v", "y", "first", "list"])
 
-    def file(batches: Iterator[pa.RecordBatch], count: int, query: bool) -> Iterator[pa.RecordBatch]:
+    def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            y = shared.value.rotate(_matrix(batch.column("v")), query)
-            near = shared.value.nearest(y, count)
-            at = pa.array(np.repeat(np.arange(len(y)), near.shape[1]))
-            ys = pa.FixedSizeListArray.from_arrays(pa.array(y.ravel()), y.shape[1]).cast(pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([batch.column("id").take(at), batch.column("v").take(at), ys.take(at),
-                                              pa.array(near.ravel().astype(np.int32))], ["id", "v", "y", "list"])
-
-    vectors = materialize(rows.mapInArrow(lambda b: file(b, 1, False), filed_schema), "ann-vectors")
-    queries = rows.where(is_query).mapInArrow(lambda b: file(b, probes, True), filed_schema)
+            if batch.num_rows:
+                y = shared.value.rotate(_matrix(batch.column("v")), query=False)
+                yield filed(batch, y, np.arange(len(y)), np.ones(len(y), bool), shared.value.nearest(y, 1)[:, 0])
+
+    vectors = materialize(rows.mapInArrow(file, filed_schema), "ann-vectors")
+    held = np.zeros(lists, np.int64)
+    for r in vectors.groupBy("list").agg(F.count(F.lit(1)).alias("c")).collect():      # one row per list
+        held[r.list] = r.c
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # few rows at a time: each becomes a row per list
+        for batch in (b.slice(lo, 256) for b in batches for lo in range(0, b.num_rows, 256)):
+            y = shared.value.rotate(_matrix(batch.column("v")), query=True)
+            near = shared.value.nearest(y, lists)
+            # first: the lists that hold the query's own rows and k more
+            before = np.cumsum(held[near], axis=1) - held[near]
+            first = before < k + batch.column("n").to_numpy()[:, None]
+            at, depth = np.nonzero(first | (np.arange(lists) < probes))
+            yield filed(batch, y, at, first[at, depth], near[at, depth])
+
+    queries = rows.where(is_query).groupBy("id").agg(F.min("v").alias("v"), F.count(F.lit(1)).alias("n")).mapInArrow(ask, filed_schema)
     queries = materialize(queries, "ann-queries")
-    blocks = lambda c, most: F.ceil(F.col(c) / F.lit(float(most))).cast("int")
-    plan = (vectors.groupBy("list").agg(F.count(F.lit(1)).alias("c"))
-            .join(queries.groupBy("list").agg(F.count(F.lit(1)).alias("q")), "list")
-            .select("list", blocks("c", block_rows).alias("vb"), blocks("q", query_rows).alias("qb")))
-    # one row per list, at most `lists`
-    plan = F.broadcast(plan)
-    own = lambda c: F.pmod(F.xxhash64("id", F.col("list")), F.col(c).cast("bigint")).cast("int")
-    units = (vectors.join(plan, "list").withColumn("i", own("vb"))
-             .withColumn("j", F.explode(F.expr("sequence(0, qb - 1)"))).withColumn("asks", F.lit(False)))
-    asked = (queries.join(plan, "list").withColumn("j", own("qb"))
-             .withColumn("i", F.explode(F.expr("sequence(0, vb - 1)"))).withColumn("asks", F.lit(True)))
-    names = ["list", "i", "j", "asks", "id", "v", "y"]
-    units = (units.select(names).unionByName(asked.select(names))
-             .repartition("list", "i", "j").sortWithinPartitions("list", "i", "j", "asks", "id"))
+    piece = max(1, (1 << 22) // d)          # pairs scored at a time
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pieces():
@@ -223,25 +255,53 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id",
                 for lo, hi in zip([0, *edge], [*edge, len(names_)]):
                     p = b.slice(lo, hi - lo)
                     yield tuple(names_[lo]), (p.column("asks").to_numpy(zero_copy_only=False), p.column("id").to_numpy(),
-                                              _matrix(p.column("v")), _matrix(p.column("y")))
+                                              _matrix(p.column("v")), _matrix(p.column("y")), p.column("bar").to_numpy())
 
         for _, group in groupby(pieces(), key=lambda p: p[0]):
-            asks, ids, v, y = (np.concatenate(c) for c in zip(*(p for _, p in group)))
+            asks, ids, v, y, bar = (np.concatenate(c) for c in zip(*(p for _, p in group)))
             vid, vv, vy = ids[~asks], v[~asks], Columns(y[~asks], columns)
-            out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-            for q in np.flatnonzero(asks):
-                # one more than k: the query's own row may be among them
-                near = scan(y[q], vy, k + 1, strictness)
-                near = near[vid[near] != ids[q]]
-                score = (vv[near] * v[q]).sum(axis=1)
-                top = np.lexsort((vid[near], -score))[:k]
-                out.append((np.full(len(top), ids[q]), vid[near[top]], score[top]))
-            if out:
-                qs, cs, ss = (np.concatenate(c) for c in zip(*out))
-                yield pa.RecordBatch.from_pydict({"query_id": pa.array(qs, pa.int64()), "vec_id": pa.array(cs, pa.int64()),
-                                                  "score": pa.array(ss, pa.float64())})
-
-    found = units.mapInArrow(search, "query_id bigint, vec_id bigint, score double")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-            .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
+            asking = np.flatnonzero(asks)
+            for q in np.split(asking, range(QUERIES, len(asking), QUERIES)):
+                rows_: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+                # the k-th best inner product as a squared distance
+                bars = longest ** 2 + (y[q] * y[q]).sum(axis=1) - 2 * bar[q]
+                for who, which in scan(y[q], bars, vy, k, strictness, ids[q][:, None] == vid):
+                    for lo in range(0, len(who), piece):
+                        a, b = who[lo:lo + piece], which[lo:lo + piece]
+                        rows_.append((a, vid[b], (vv[b] * v[q[a]]).sum(axis=1)))
+                if rows_:
+                    who, cand, score = (np.concatenate(c) for c in zip(*rows_))
+                    top = best_scores(who, cand, score, k)
+                    yield pa.RecordBatch.from_pydict({"query_id": pa.array(ids[q][who[top]], pa.int64()),
+                                                      "vec_id": pa.array(cand[top], pa.int64()),
+                                                      "score": pa.array(score[top], pa.float64())})
+
+    blocks = lambda c, most: F.ceil(F.col(c) / F.lit(float(most))).cast("int")
+    own = lambda c: F.pmod(F.xxhash64("id", F.col("list")), F.col(c).cast("bigint")).cast("int")
+    names = ["list", "i", "j", "asks", "id", "v", "y", "bar"]
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+
+    def searched(asking: DataFrame) -> DataFrame:
+        """Every unit's best rows for the (query, list) rows of ``asking``, whose ``bar`` is an inner product."""
+        plan = (vectors.groupBy("list").agg(F.count(F.lit(1)).alias("c"))
+                .join(asking.groupBy("list").agg(F.count(F.lit(1)).alias("q")), "list")
+                .select("list", blocks("c", block_rows).alias("vb"), blocks("q", query_rows).alias("qb")))
+        # one row per list, at most `lists`
+        plan = F.broadcast(plan)
+        units = (vectors.join(plan, "list").withColumn("i", own("vb")).withColumn("bar", F.lit(0.0))
+                 .withColumn("j", F.explode(F.expr("sequence(0, qb - 1)"))).withColumn("asks", F.lit(False)))
+        asked = (asking.join(plan, "list").withColumn("j", own("qb"))
+                 .withColumn("i", F.explode(F.expr("sequence(0, vb - 1)"))).withColumn("asks", F.lit(True)))
+        units = (units.select(names).unionByName(asked.select(names))
+                 .repartition("list", "i", "j").sortWithinPartitions("list", "i", "j", "asks", "id"))
+        return units.mapInArrow(search, "query_id bigint, vec_id bigint, score double")
+
+    def best(found: DataFrame) -> DataFrame:
+        return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+    near = searched(queries.where("first").withColumn("bar", F.lit(float("-inf"))))
+    near = materialize(best(near).select("query_id", "vec_id", "score"), "ann-near")
+    # a query that has further lists has found k rows by now
+    bars = near.groupBy(F.col("query_id").alias("id")).agg(F.min("score").alias("bar"))
+    far = searched(queries.where("not first").join(bars, "id"))
+    return best(near.unionByName(far)).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

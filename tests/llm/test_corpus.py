@@ -9,6 +9,8 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -207,6 +209,47 @@ def test_nearest_with_few_rows_is_exact(spark):
     assert ann.nearest(df.limit(1), F.col("id") == 0).count() == 0
 
 
+def test_nearest_finds_k_when_near_lists_hold_few(spark):
+    rng = np.random.default_rng(8)
+    v = rng.normal(size=(3000, 8))
+    v[:30] = 40 * rng.normal(size=(30, 8))             # far out: lists of one or two vectors
+    v[30:2500] = v[30]                                 # one list holds most rows
+    rows = [(i, x.tolist()) for i, x in enumerate(v)]
+    rows += rows[:60]                                  # repeated rows
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = collections.defaultdict(list)
+    for r in ann.nearest(df, F.col("id") % 20 == 0, k=20, target=0.05, block_rows=512).collect():
+        got[r.query_id].append((r.rank, r.vec_id, r.score))
+    assert set(got) == set(range(0, 3000, 20))
+    for q, best in got.items():
+        best = sorted(best)
+        assert [r for r, _, _ in best] == list(range(1, 21))
+        seen = collections.Counter(i for _, i, _ in best)
+        assert q not in seen and all(c <= 1 + (i < 60) for i, c in seen.items())
+        assert [(-s, i) for _, i, s in best] == sorted((-s, i) for _, i, s in best)
+
+
+@settings(max_examples=20, deadline=None, derandomize=True)
+@given(st.integers(0, 10_000), st.integers(1, 25), st.booleans())
+def test_scan_without_abandoning_is_exact(seed, k, ties):
+    rng = np.random.default_rng(seed)
+    x, q = rng.normal(size=(300, 20)), rng.normal(size=(7, 20))
+    if ties:
+        x, q = x.round(0), q.round(0)
+    own = rng.random((7, 300)) < 0.01
+    far = ((q[:, None] - x) ** 2).sum(axis=2)
+    far[own] = np.inf
+    kept = [set() for _ in q]
+    bars = np.where(rng.random(7) < 0.5, np.inf, np.sort(far, axis=1)[:, 40])
+    for who, which in ann.scan(q, bars, ann.Columns(x, 6), k, 1e6, own, chunk=64):
+        for a, b in zip(who, which):
+            kept[a].add(int(b))
+    for i in range(7):
+        bar = np.sort(far[i])[k - 1]
+        assert {int(j) for j in np.flatnonzero(far[i] <= bar)} <= kept[i]
+        assert not kept[i] & set(np.flatnonzero(own[i]))
+
+
 # --- language model
 
 def test_forward_recursion_equals_enumeration():
