@@ -24,6 +24,8 @@ Scale notes
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,6 +43,19 @@ def active(a: DataFrame) -> DataFrame:
     return a.filter(is_active())
 
 
+def with_names(relation: Callable[..., DataFrame], rows: DataFrame, *args, entity: str = D, group: str = C,
+               period: str = Y, active: str = "tookPart", **options) -> DataFrame:
+    """A relation of this module over a table with column names of its own.
+
+    ``with_names(breaks, staff, entity="person", group="team", period="season", active="played", midseason=True)``:
+    the four columns are renamed on the way in, entity and group are renamed back in the
+    result; further columns of ``rows`` are not read.
+    """
+    a = rows.select(F.col(entity).alias(D), F.col(group).alias(C), F.col(period).alias(Y),
+                    F.col(active).alias("tookPart"))
+    return relation(a, *args, **options).withColumnsRenamed({D: entity, C: group})
+
+
 def latest_year(a: DataFrame) -> Column:
     """AG-4: ``(SELECT MAX(year) FROM a)`` over *all* appearances."""
     return a.select(F.max(Y)).scalar()

@@ -34,3 +34,17 @@ def test_transfers_of_driver(toy):
 
 def test_debuts_from_shared_spans(toy):
     assert set(rows(careers.debuts(toy, careers.shared_spans(toy)))) == EXPECTED["debuts"]
+
+
+@pytest.mark.parametrize("name", ["debuts", "retirements_announced", "transfers_with_midseason", "gap_pairs", "breaks"])
+def test_own_column_names(toy, name):
+    own = toy.selectExpr("driverId AS person", "constructorId AS team", "year AS season", "tookPart AS played",
+                         "'x' AS driverId", "testDriver AS year")
+    got = careers.with_names(getattr(careers, name), own, entity="person", group="team", period="season", active="played")
+    assert got.columns[0] == "person" and "driverId" not in got.columns
+    assert set(rows(got)) == EXPECTED[name]
+
+
+def test_own_column_names_pass_arguments(toy):
+    own = toy.withColumnRenamed("driverId", "person")
+    assert rows(careers.with_names(careers.transfers_of_driver, own, "d1", entity="person")) == [("d1", "A", 2019, "B", 2019)]
