@@ -47,7 +47,7 @@ _ENDED = re.compile(rb"([a-z]+)([^\sa-z0-9'\x80-\xff]+)")
 class WordIds:
     """Ids of texts under a tokenizer file, through a bounded cache of words (ids as uint16 bytes)."""
 
-    def __init__(self, path: str, cache_entries: int = 500_000):
+    def __init__(self, path: str, cache_entries: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
