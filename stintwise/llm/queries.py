@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stintwise.llm import ann, chat, decontaminate, hmm, linecrf, neardup, packing, sharding, tokencount, urlrules
 from stintwise.llm.common import id_hash, table
+from stintwise.session import scratch_path
 
 
 def tokenizer_path(name: str) -> str:
@@ -69,8 +70,10 @@ def op9_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = sharding.size_and_crc(table(spark, sf_dir, "documents"))
-    placed = sharding.shuffle_to_shards(docs, shards=8)
+    placed = sharding.shuffle_to_shards(table(spark, sf_dir, "documents"), shards=8)
+    path = scratch_path(spark, "shards")
+    sharding.write_shards(placed, path)
+    placed = sharding.size_and_crc(sharding.read_shards(placed, path), more=("shard", "slot"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
 

@@ -4,8 +4,9 @@ Three steps, all bounded per task:
 
 1. every input partition is counted, and the number of its rows that go to each
    *cell* is drawn from the exact (multivariate hypergeometric) law.  A cell is
-   a run of at most ``cell_rows`` output slots of one shard, so the target sizes
-   are exact and no task ever holds a whole shard;
+   a run of at most ``cell_rows`` output slots of one shard, fewer where the mean
+   row is so long that they would pass ``cell_bytes``, so the target sizes
+   are exact and no task holds more than a cell (which Spark sorts, spilling);
 2. every partition permutes its own rows and deals them to the cells by that
    row of the matrix;
 3. the rows are exchanged by cell, and each cell orders its rows at random.
@@ -16,7 +17,8 @@ partitions form the leaves of a binary tree, a node splits its cell counts
 between its two halves with a generator seeded by the node, and a task draws
 only the nodes on the path to its own partition.
 
-The rows' places are read from a table written once to the shared folder, so a
+Whole rows are exchanged, texts included, and ``write_shards`` writes them as files
+that ``read_shards`` reads back.  The rows' places are read from a table written once to the shared folder, so a
 recomputed task sees the same partitions, counts and order.
 
 Defined cases: a null text has no bytes (size 1, crc32 0); equal texts are
@@ -24,15 +26,17 @@ independent rows, dealt by themselves (this law keeps no groups together);
 repeated rows and null keys each get a slot of their own; fewer rows than shards
 leave the last shards empty; an empty table gives an empty result.  Further
 columns of the input are carried along; columns named like the results (``shard``,
-``slot``) or the working columns (``_at``, ``_cell``, ``_rank``, ``_first``) are replaced.
+``slot``) or the working columns (``_at``, ``_cell``, ``_rank``, ``_first``, ``_to``, ``_bytes``) are replaced.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -98,22 +102,33 @@ def matrix_row(sums: np.ndarray, cells: np.ndarray, part: int, seed: int) -> np.
     return have
 
 
-def shuffle_to_shards(df: DataFrame, shards: int = 8, cell_rows: int = 1 << 16, seed: int = 17) -> DataFrame:
-    """``df`` with ``shard`` (int) and ``slot`` (gapless from 0 in each shard), uniformly shuffled."""
-    df = without(df, "shard", "slot", "_at", "_cell", "_rank", "_first")
-    placed = materialize(df.withColumn("_at", F.monotonically_increasing_id()), "shard-rows")
+def shuffle_to_shards(df: DataFrame, shards: int = 8, cell_rows: int = 1 << 16, seed: int = 17,
+                      cell_bytes: int = 32 << 20) -> DataFrame:
+    """``df`` with ``shard`` (int) and ``slot`` (gapless from 0 in each shard), uniformly shuffled.
+
+    One task holds one cell; tasks are numbered by shard and first slot.
+    """
+    df = without(df, "shard", "slot", "_at", "_cell", "_rank", "_first", "_to", "_bytes")
+    size_of = reduce(add, (F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)).cast("bigint")
+                           for c in df.columns), F.lit(0).cast("bigint"))
+    placed = materialize(df.withColumn("_bytes", size_of).withColumn("_at", F.monotonically_increasing_id()),
+                         "shard-rows", compression="zstd")
     part = F.shiftrightunsigned(F.col("_at"), _ROW_BITS)
-    # One row per input partition: its number and its row count.
-    parts = placed.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).orderBy("p").collect()
+    # One row per input partition: its number, its row count and its bytes.
+    parts = (placed.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n"), F.sum("_bytes").alias("b"))
+             .orderBy("p").collect())
     total = sum(r.n for r in parts)
-    shard, first, size = shard_cells(total, shards, cell_rows)
+    mean = max(1, sum(r.b for r in parts) // max(1, total))
+    shard, first, size = shard_cells(total, shards, max(1, min(cell_rows, cell_bytes // mean)))
     numbers = np.array([r.p for r in parts], np.int64)
     sums = np.concatenate([[0], np.cumsum([r.n for r in parts])]).astype(np.int64)
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # Only the rows' places go through Python; the rows themselves wait in the JVM.
+    @F.pandas_udf("cell int, shard int, first bigint")
+    def deal(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         dealt: dict[int, np.ndarray] = {}
         for batch in batches:
-            at = batch.column("_at").to_numpy()
+            at = batch.to_numpy()
             cell = np.empty(len(at), np.int32)
             own = at >> _ROW_BITS
             for p in np.unique(own):
@@ -124,29 +139,33 @@ def shuffle_to_shards(df: DataFrame, shards: int = 8, cell_rows: int = 1 << 16,
                     dealt[p] = np.random.default_rng([seed, 1, i]).permutation(row)
                 mine = own == p
                 cell[mine] = dealt[p][at[mine] & ((1 << _ROW_BITS) - 1)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell)], [*batch.schema.names, "_cell"])
-
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in placed.schema.fields)
-    rows = placed.mapInArrow(deal, f"{kinds}, _cell int")
-    spark = df.sparkSession
-    cells = spark.createDataFrame(
-        [(int(i), int(s), int(f)) for i, (s, f) in enumerate(zip(shard, first))],
-        "_cell int, shard int, _first bigint")
+            yield pd.DataFrame({"cell": cell, "shard": shard[cell].astype(np.int32), "first": first[cell]})
+
+    rows = placed.drop("_bytes").withColumn("_to", deal("_at"))
+    rows = rows.select("*", F.col("_to.cell").alias("_cell")).repartitionById(len(size), F.col("_cell"))
     order = Window.partitionBy("_cell").orderBy(F.xxhash64(F.lit(seed), F.col("_at")), "_at")
-    rows = rows.withColumn("_rank", F.row_number().over(order) - 1)
-    # One row per cell, at most (rows / cell_rows + shards) of them.
-    rows = rows.join(cells, "_cell")
-    return rows.withColumn("slot", F.col("_first") + F.col("_rank")).drop("_cell", "_first", "_rank", "_at")
+    return rows.withColumn("_rank", F.row_number().over(order) - 1).select(
+        *[F.col(f"`{c}`") for c in df.columns], F.col("_to.shard").alias("shard"),
+        (F.col("_to.first") + F.col("_rank")).alias("slot"))
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
-    """Write ``shard=<n>`` folders of parquet files, rows in slot order within and across files."""
-    (sharded.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
-     .write.partitionBy("shard").parquet(path))
+    """Write ``shard=<n>`` folders of parquet files, rows in slot order within and across files.
+
+    ``sharded`` comes from ``shuffle_to_shards``, whose tasks follow the slots: each writes its cell
+    as one file, and the rows are not exchanged again.
+    """
+    sharded.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path, compression="zstd")
+
+
+def read_shards(sharded: DataFrame, path: str) -> DataFrame:
+    """What ``write_shards`` wrote of ``sharded``, read back."""
+    return sharded.sparkSession.read.schema(sharded.schema).parquet(path).select(
+        *[F.col(f"`{c}`") for c in sharded.columns])
 
 
-def size_and_crc(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key``, ``size`` (UTF-8 bytes plus one) and ``text_crc32`` of every row; null texts are empty."""
+def size_and_crc(docs: DataFrame, key: str = "doc_id", text: str = "text", more: tuple[str, ...] = ()) -> DataFrame:
+    """``key``, ``size`` (UTF-8 bytes plus one), ``text_crc32`` and ``more`` of every row; null texts are empty."""
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     return docs.select(F.col(key), (F.octet_length(t) + 1).cast("bigint").alias("size"),
-                       F.crc32(t.cast("binary")).alias("text_crc32"))
+                       F.crc32(t.cast("binary")).alias("text_crc32"), *more)

@@ -80,16 +80,16 @@ def reliable_checkpoint(df):
     return df.checkpoint(eager=True)
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, compression: str | None = None):
     """Write ``df`` once as a parquet table in the shared folder and read it back.
 
     Cuts the lineage like a checkpoint; the table is columnar and its file
     sizes let the planner size joins against it.  The write runs at once, while
-    the caller's plan is built.
+    the caller's plan is built.  ``compression`` is the session's unless given.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

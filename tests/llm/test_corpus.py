@@ -1,6 +1,7 @@
 """Operators that look at the corpus as a whole, against brute force."""
 
 import collections
+import glob
 import itertools
 import math
 import random
@@ -8,6 +9,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -326,6 +328,40 @@ def test_shards_are_exact_and_rows_whole(odd_docs, no_docs):
     assert again.count() == len(got)
 
 
+def test_written_shards_hold_the_texts(spark, monkeypatch):
+    written = []
+    write = sharding.write_shards
+    monkeypatch.setattr(sharding, "write_shards", lambda df, path: (written.append(path), write(df, path)))
+    got = queries.op10_sharding(spark, SF001).collect()
+    assert len(written) == 1
+    seen, texts = set(), []
+    for s in range(8):
+        files = sorted(glob.glob(f"{written[0]}/shard={s}/*.parquet"))
+        rows = [r for f in files for r in pq.ParquetFile(f).read().to_pylist()]
+        assert [r["slot"] for r in rows] == list(range(len(rows)))
+        texts += [(r["doc_id"], r["text"]) for r in rows]
+        seen |= {(r["doc_id"], zlib.crc32(r["text"].encode()), s, r["slot"]) for r in rows}
+    docs = table(spark, SF001, "documents").collect()
+    assert sorted(texts) == sorted((r.doc_id, r.text) for r in docs)
+    assert {(r.doc_id, r.text_crc32, r.shard, r.slot) for r in got} == seen and len(got) == len(docs)
+
+
+def test_cells_are_bounded_by_bytes_and_shards_read_back(odd_docs, no_docs, tmp_path):
+    placed = sharding.shuffle_to_shards(odd_docs, shards=2, cell_bytes=20_000)
+    assert placed.rdd.getNumPartitions() > 2
+    sharding.write_shards(placed, f"{tmp_path}/some")
+    back = sharding.read_shards(placed, f"{tmp_path}/some")
+    assert back.columns == placed.columns
+    rows = back.collect()
+    assert collections.Counter((r.doc_id, r.text, r.lang, r.score, r._text) for r in rows) == collections.Counter(
+        (r.doc_id, r.text, r.lang, r.score, r._text) for r in odd_docs.collect())
+    for s in range(2):
+        assert sorted(r.slot for r in rows if r.shard == s) == list(range(len(rows) // 2))
+    empty = sharding.shuffle_to_shards(no_docs, shards=2)
+    sharding.write_shards(empty, f"{tmp_path}/none")
+    assert sharding.read_shards(empty, f"{tmp_path}/none").collect() == []
+
+
 def test_matrix_rows_add_up_and_are_uniform():
     sums = np.array([0, 5, 5, 30, 31, 64])
     cells = np.array([20, 20, 24])
