@@ -561,9 +561,8 @@ def q_graph_nodes(spark, sf):
 def q_graph_merge(spark, sf):
     d, s = _graph_inputs(spark, sf)
     existing = graph.edges_debut(d)
-    new = graph.span_edges_transfer(s).unionByName(graph.span_edges_break(s))
-    # the new set lacks most existing rows and repeats the debuts of even years
-    new = new.unionByName(existing.where("year % 2 = 0"))
+    # the new set is every edge: it repeats all existing rows, which lack transfers and breaks
+    new = graph.span_graph_edges(d, s)
     return graph.merge_graph(existing, new, graph.EDGE_COLUMNS)
 
 

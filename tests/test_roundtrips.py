@@ -4,9 +4,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stintwise.operators import careers, graph
+from stintwise.plans import registry
 from stintwise.session import scratch_path
 from stintwise.sources import csv as csv_io
 from stintwise.sources import documents
+from tests.conftest import SF001
 
 HARD = ["a\nb", 'say "x"', "it's", "tab\there", " lead and trail ", "a,b;c", "back\\slash \\n", '"', "#x: [y]", "é 日本 😀",
         "line\n\n", "\x85next\u2028line", "- item", "null", "0x1f", "NO", "c:\\\"d"]
@@ -46,3 +48,15 @@ def test_merge_is_idempotent_with_null_keys(spark):
     g = spark.createDataFrame([("a", None, 1), (None, None, None), ("b", "c", 2)], "src string, dst string, year int")
     assert graph.merge_graph(g, g).count() == 3
     assert graph.merge_added(g, spark.createDataFrame([("a", None, 1), ("x", None, 1)], g.schema)).count() == 1
+
+
+def test_graph_merge_query_merges_all_edges(spark, monkeypatch):
+    sides = []
+    merge = graph.merge_graph
+    monkeypatch.setattr(graph, "merge_graph", lambda old, new, on: (sides.append((old, new)), merge(old, new, on))[1])
+    merged = registry.QUERIES["graph_merge"](spark, SF001)
+    old, new = sides[0]
+    assert old.exceptAll(new).count() == 0 and old.count() > 0
+    assert new.exceptAll(merged).count() == 0 and merged.exceptAll(new).count() == 0
+    assert {r.type for r in new.select("type").distinct().collect()} == {
+        "DEBUT", "TRANSFER_OUT", "TRANSFER_IN", "BREAK", "RETURN"}
