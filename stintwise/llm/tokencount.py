@@ -1,7 +1,8 @@
 """Token counts: map-side two-tier lookup of pre-token lengths.
 
 Tier one is a broadcast table ``pre-token -> number of tokens`` of the most
-frequent pre-tokens; tier two is a cache in every Python worker that encodes a
+frequent pre-tokens, counted over all documents: in every task, then summed by a
+shuffle on the pre-token; tier two is a cache in every Python worker that encodes a
 missed pre-token once.  A document's count is the sum over its pre-tokens, so
 no pre-token is ever shuffled in the counting pass.
 
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as model_pb2
 
 from stintwise.llm.common import slices
+from stintwise.session import materialize
 
 MARK = "▁"
 _UNIT = re.compile(r" ?[^ \n]+|\n| +[^ \n]*")
@@ -109,31 +111,51 @@ def _counter(path: str, broadcast, call: str) -> Pretokens:
     return _loaded[call]
 
 
-def frequent_lengths(docs: DataFrame, path: str, text: str = "text", sample_docs: int = 4096,
-                     entries: int = 1 << 16, unit_chars: int = 32) -> dict[str, int]:
-    """Lengths of the pre-tokens most frequent in about ``sample_docs`` documents.
-
-    At most ``entries`` pre-tokens of at most ``unit_chars`` characters, so the
-    table stays under 16 MB.  It only saves work: a pre-token that it lacks is
-    encoded by the worker, with the same result.
-    """
-    n = docs.count()
-    if n == 0:
-        return {}
-    some = docs.select(text).sample(fraction=min(1.0, sample_docs / n), seed=7)
+def pretoken_counts(docs: DataFrame, text: str = "text", unit_chars: int = 32, flush: int = 200_000) -> DataFrame:
+    """``unit``, ``n``: counts of the pre-tokens of at most ``unit_chars`` characters over all rows."""
 
     def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[str] = Counter()
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"unit": pa.array(list(seen), pa.string()),
+                                               "n": pa.array(list(seen.values()), pa.int64())})
+
         for batch in slices(batches, text):
             for t in batch.column(text).to_pylist():
-                seen.update(u for u in pretokens(t or "") if len(u) <= unit_chars)
-        yield pa.RecordBatch.from_pydict({"unit": pa.array(list(seen), pa.string()),
-                                          "n": pa.array(list(seen.values()), pa.int64())})
-
-    top = (some.mapInArrow(units, "unit string, n bigint").groupBy("unit").agg(F.sum("n").alias("n"))
-           .where("n > 1").orderBy(F.desc("n"), "unit").limit(entries))
-    units_ = [r.unit for r in top.collect()]
-    return dict(zip(units_, Pretokens(path).lengths(units_))) if units_ else {}
+                seen.update(pretokens(t or ""))
+            if len(seen) > flush:
+                seen = Counter({u: n for u, n in seen.items() if len(u) <= unit_chars})
+                yield out()
+                seen = Counter()
+        seen = Counter({u: n for u, n in seen.items() if len(u) <= unit_chars})
+        yield out()
+
+    return docs.select(text).mapInArrow(units, "unit string, n bigint").groupBy("unit").agg(F.sum("n").alias("n"))
+
+
+def frequent_lengths(docs: DataFrame, path: str, text: str = "text", entries: int = 1 << 16,
+                     unit_chars: int = 32) -> dict[str, int]:
+    """Lengths of the pre-tokens most frequent over all documents.
+
+    At most ``entries`` pre-tokens of at most ``unit_chars`` characters, so the
+    table stays under 16 MB.  A histogram over steps of the logarithm gives the
+    least count that at most ``entries`` pre-tokens reach, so only those come to
+    the driver.  The table only saves work: a pre-token that it lacks is
+    encoded by the worker, with the same result.
+    """
+    counts = materialize(pretoken_counts(docs, text, unit_chars).where("n > 1"), "pretoken-counts")
+    step = F.floor(F.log2("n") * 64)
+    seen, least = 0, None
+    for r in counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("units")).orderBy(F.desc("step")).collect():
+        seen += r.units
+        if seen > entries:
+            break
+        least = r.step
+    if least is None:
+        return {}
+    units_ = [r.unit for r in counts.where(step >= least).collect()]
+    return dict(zip(units_, Pretokens(path).lengths(units_)))
 
 
 def token_counts(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id",

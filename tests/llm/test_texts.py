@@ -31,6 +31,17 @@ def test_pretoken_lengths_add_up_to_the_library():
     assert got.tolist() == [len(sp.encode(t)) for t in texts]
 
 
+def test_frequent_pretokens_are_counted_over_all_documents(spark):
+    texts = [f"w{i // 2} {'x' * 40} once{i}" for i in range(12_000)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    units = collections.Counter(u for t in texts for u in tokencount.pretokens(t) if len(u) <= 32)
+    got = tokencount.frequent_lengths(df, PIECES)
+    assert set(got) == {u for u, n in units.items() if n > 1} and len(got) == 6_000
+    assert got == dict(zip(got, tokencount.Pretokens(PIECES).lengths(list(got))))
+    few = spark.createDataFrame([("a a a a b b",), ("a b c c d",)], "text string")
+    assert set(tokencount.frequent_lengths(few, PIECES, entries=2)) == {" a", " b"}
+
+
 def test_token_counts_of_odd_rows(odd_docs, no_docs):
     sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     want = collections.Counter()
