@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stintwise.llm import (ann, chat, decontaminate, hmm, linecrf, neardup, packing, prefixtrie, sharding, tokencount,
-                           urlrules)
+from stintwise.llm import (ann, chat, decontaminate, hmm, jaccardjoin, linecrf, neardup, packing, prefixtrie, sharding,
+                           tokencount, urlrules)
 from stintwise.llm.common import id_hash, table
 from stintwise.session import scratch_path
 
@@ -79,6 +79,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccardjoin.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     steps, members = prefixtrie.place_turns(table(spark, sf_dir, "conversations"))
     return prefixtrie.trie(*prefixtrie.shared_openings(steps, members, id_hash(F.col("conv")) % 9, every=5))
@@ -101,6 +105,7 @@ QUERIES = {
     "op8_url_rules": op8_url_rules,
     "op9_hmm_scoring": op9_hmm_scoring,
     "op10_sharding": op10_sharding,
+    "op12_jaccard_join": op12_jaccard_join,
     "op13_prefix_trie": op13_prefix_trie,
     "pipeline": pipeline,
 }

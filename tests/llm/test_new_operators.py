@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -9,8 +10,9 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from stintwise.llm import prefixtrie, queries
+from stintwise.llm import jaccardjoin, prefixtrie, queries
 from tests.conftest import SF001
+from tests.llm.conftest import DOCS, prose
 
 TRIE = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
 
@@ -94,3 +96,93 @@ def test_op13_rebuilds_conversations(spark):
         h = zlib.crc32(str(c).encode()) % 9
         built[c] = convs.get(c - c % 5, [])[:h] + turns[h:]
     assert trie_rows(queries.op13_prefix_trie(spark, SF001)) == brute_trie(built)
+
+
+# --- Jaccard join
+
+def word_set(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    ws = re.findall(r"[^\x20\x09-\x0D]+", low)
+    return {tuple(ws[i:i + 4]) for i in range(max(len(ws) - 3, 1))} if ws else set()
+
+
+def brute_components(rows):
+    """(id, set size, component) of every row, sorted."""
+    sets = [(i, frozenset(word_set(t))) for i, t in rows]
+    up = list(range(len(sets)))
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i, (_, a) in enumerate(sets):
+        for j in range(i):
+            b = sets[j][1]
+            both = len(a & b) if a and b else 0
+            if both and 100 * both >= 85 * len(a | b):
+                up[find(i)] = find(j)
+    least = {}
+    for i, (doc, _) in enumerate(sets):
+        if doc is not None:
+            least[find(i)] = min(doc, least.get(find(i), doc))
+    return sorted(((doc, len(s), least.get(find(i))) for i, (doc, s) in enumerate(sets)), key=repr)
+
+
+def found_components(df):
+    return sorted(((r.doc_id, r.n_shingles, r.component_id) for r in df.collect()), key=repr)
+
+
+def copies(rnd, base, n, edits):
+    out = []
+    for _ in range(n):
+        ws = base.split()
+        for _ in range(rnd.randint(0, edits)):
+            ws[rnd.randrange(len(ws))] = rnd.choice(["zzz", "yyy", "xxx"]) + str(rnd.randrange(50))
+        out.append(" ".join(ws))
+    return out
+
+
+@pytest.mark.parametrize("most", [1, 6])
+def test_jaccard_components_equal_brute_force(spark, most):
+    rnd = random.Random(most)
+    texts = []
+    for size, edits in ((8, 1), (40, 2), (40, 3), (120, 6), (120, 12), (400, 16)):
+        for _ in range(3):
+            texts += copies(rnd, prose(rnd, size), rnd.randint(2, 12), edits)
+    shared = prose(rnd, 60)
+    texts += [f"{prose(rnd, rnd.randint(0, 30))} {shared} {prose(rnd, rnd.randint(0, 20))}" for _ in range(30)]
+    texts += [prose(rnd, rnd.randint(1, 6)) for _ in range(40)]
+    rnd.shuffle(texts)
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    assert found_components(jaccardjoin.jaccard_components(df, most=most)) == brute_components(rows)
+
+
+def test_jaccard_components_of_odd_rows(spark, odd_docs, no_docs):
+    rows = [(r.doc_id, r.text) for r in odd_docs.select("doc_id", "text").collect()]
+    assert found_components(jaccardjoin.jaccard_components(odd_docs)) == brute_components(rows)
+    assert jaccardjoin.jaccard_components(no_docs).count() == 0
+
+
+def test_ten_thousand_equal_rows_and_a_large_loose_group(spark):
+    rnd = random.Random(9)
+    base = prose(rnd, 30)
+    rows = [(None, base)] * 10_000 + [(7, base), (8, base + " and more")]
+    rows += [(100 + i, t) for i, t in enumerate(copies(rnd, prose(rnd, 25), 120, 2))]
+    got = Counter(found_components(jaccardjoin.jaccard_components(spark.createDataFrame(rows, DOCS.split(", lang")[0]))))
+    small = brute_components([r for r in rows if r[0] is not None])
+    assert got.pop((None, len(word_set(base)), 7)) == 10_000
+    assert sorted(got.elements(), key=repr) == small
+
+
+def test_frequency_cells_count_every_document(spark):
+    docs = spark.createDataFrame([("a b c d",)] * 50 + [("e f g h i",)] * 3 + [(None,)], "_text string").repartition(7)
+    cells = jaccardjoin.frequency_cells(docs)
+    assert sorted(cells[cells > 0].tolist()) == [3, 3, 50]
+
+
+def test_op12_equals_brute_force(spark):
+    table = pq.read_table(f"{SF001}/documents.parquet").to_pydict()
+    assert (found_components(queries.op12_jaccard_join(spark, SF001))
+            == brute_components(list(zip(table["doc_id"], table["text"]))))
