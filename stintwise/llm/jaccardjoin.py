@@ -15,8 +15,8 @@ their intersection and union are at least as 85 to 100 (``least``), compared in
 3. Postings meet by shingle in one exchange that a worker reads in order; shingles with one
    posting end there, the others carry the least document of their list.
 4. Large groups of copies are never made into pairs.  Every document is first compared with
-   one document only, the list head that it shares most prefix shingles with; the links
-   found make classes.  Then only documents of different classes can add a link that
+   one document at most, the list head that it shares most prefix shingles with (l at
+   least); the links found make classes.  Then only documents of different classes can add a link that
    matters: in each list, those outside its largest class meet the list, matches are counted
    per pair, and pairs with l matches or more are compared exactly.  Every link is thus
    either inside a class or compared.
@@ -231,6 +231,23 @@ def _linked(pairs: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFr
     return both.mapInArrow(compare, "a bigint, b bigint")
 
 
+def _sets(docs: DataFrame, firsts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``node`` and ``codes``, the whole set, of the documents in ``pairs``."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    named = firsts.join(nodes, "node", "left_semi").select("node", F.col("doc_id").alias("id"), "text_key")
+    texts = (docs.join(named, (F.col("_key") == F.col("text_key")) & F.col("_id").eqNullSafe(F.col("id")))
+             .groupBy("node").agg(F.first("_text").alias("_text")))
+
+    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "_text"):
+            code, edge = word_sets(*text_bytes(batch.column("_text")))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array([code[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary())],
+                ["node", "codes"])
+
+    return materialize(texts.mapInArrow(sets_of, "node bigint, codes binary"), "join-sets")
+
+
 def _across(shared: DataFrame, labels: DataFrame, least: tuple[int, int]) -> DataFrame:
     """Pairs of different labels with enough matches: l of the larger set, in both l-prefixes."""
     s, u = least
@@ -269,31 +286,16 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     firsts = signed.join(nodes.select(F.col("node").alias("row"), F.col("node")), "row")
     shared = _postings(firsts)
 
-    # the sets of the documents that share a prefix shingle with another one
-    met = shared.select("node").distinct()
-    named = firsts.join(met, "node", "left_semi").select("node", F.col("doc_id").alias("id"), "text_key")
-    texts = (docs.join(named, (F.col("_key") == F.col("text_key")) & F.col("_id").eqNullSafe(F.col("id")))
-             .groupBy("node").agg(F.first("_text").alias("_text")))
-
-    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text"):
-            code, edge = word_sets(*text_bytes(batch.column("_text")))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array([code[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary())],
-                ["node", "codes"])
-
-    sets = materialize(texts.mapInArrow(sets_of, "node bigint, codes binary"), "join-sets")
-
     heads = (shared.where("node <> head").where(F.least("n", "head_n") * least[1] >= F.greatest("n", "head_n") * least[0])
-             .groupBy("node", "head").agg(F.count(F.lit(1)).alias("c"))
-             .groupBy(F.col("node").alias("a")).agg(F.max(F.struct("c", -F.col("head")))["col2"].alias("b"))
+             .groupBy("node", "head").agg(F.count(F.lit(1)).alias("c"), F.first("l").alias("l")).where("c >= l")
+             .groupBy(F.col("node").alias("a")).agg(F.max(F.struct(F.col("c"), (-F.col("head")).alias("b")))["b"].alias("b"))
              .select("a", (-F.col("b")).alias("b")))
-    links = materialize(_linked(heads, sets, least), "join-links")
-    classes = components(links).select(F.col("a").alias("node"), F.col("b").alias("label"))
-    pairs = materialize(_across(shared, classes, least), "join-candidates")
-    more = materialize(_linked(pairs, sets, least), "join-links")
-    classes = components(classes.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more)).select(
-        F.col("a").alias("node"), F.col("b").alias("label"))
+    heads = materialize(heads, "join-candidates")
+    links = materialize(_linked(heads, _sets(docs, firsts, heads), least), "join-links")
+    classes = components(links)
+    pairs = materialize(_across(shared, classes.toDF("node", "label"), least), "join-candidates")
+    more = materialize(_linked(pairs, _sets(docs, firsts, pairs), least), "join-links")
+    classes = components(classes.unionByName(more)).toDF("node", "label")
 
     named = nodes.join(classes, "node", "left").withColumn("label", F.coalesce("label", "node"))
     ids = named.groupBy("label").agg(F.min("least_id").alias("component_id"))
