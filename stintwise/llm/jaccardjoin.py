@@ -10,16 +10,17 @@ their intersection and union are at least as 85 to 100 (``least``), compared in
    least overlap of a link.  Linked sets share at least l shingles in their l-prefixes.  Each
    document picks its own l: a longer prefix means more postings to read, but a candidate
    must then share l of them, and postings / l bounds the candidates.  The l of least
-   estimated cost wins.  A pair goes by the l of its larger set, as probe; the smaller set
-   offers the places of its prefix up to the same l.
+   estimated cost wins.  A pair goes by the l of its larger set, as probe; of both prefixes
+   only the places count that the least overlap for their two sizes leaves.
 3. Postings meet by shingle in one exchange that a worker reads in order; shingles with one
-   posting end there, the others carry the least document of their list.
-4. Large groups of copies are never made into pairs.  Every document is first compared with
-   one document at most, the list head that it shares most prefix shingles with (l at
-   least); the links found make classes.  Then only documents of different classes can add a link that
-   matters: in each list, those outside its largest class meet the list, matches are counted
-   per pair, and pairs with l matches or more are compared exactly.  Every link is thus
-   either inside a class or compared.
+   posting end there, the others are numbered within their list.
+4. Large groups of copies are never made into pairs.  A list's heads are the ``HEADS`` documents
+   with the most shared prefix shingles, so the least edited ones and much the same ones in all
+   lists of a group; matches are first counted between heads and documents only.  Of the pairs with l matches or more each
+   document's best is compared exactly, and links make classes; then the pairs that are
+   still apart.  After that only documents of different classes can add a link that
+   matters: in each list, those outside its largest class meet the list, and pairs with l
+   matches or more are compared.  Every link is thus either inside a class or compared.
 5. Components of all links found are the components of all links.
 
 Exact sets (64-bit shingle hashes) decide every link.  Documents with equal sets are one
@@ -41,7 +42,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stintwise.llm.common import mix, slices, span_hash, text_bytes, words
@@ -54,6 +55,7 @@ LEAST = (85, 100)           # intersection : union
 CELLS = 1 << 18             # cells of the frequency estimate
 PIECE = 1 << 12             # cells that travel together
 MOST_MATCHES = 6            # the largest l
+HEADS = 24                  # documents of a list that all of it is compared with first
 VERIFY_SHARE = 4            # comparing two sets of n costs as much as reading n / 4 postings
 
 
@@ -119,19 +121,13 @@ def estimates(cells: np.ndarray) -> np.ndarray:
     return np.maximum(cells - cells.mean(), 0).astype(np.float32)
 
 
-def least_overlap(n, least: tuple[int, int] = LEAST):
-    """Fewest shared shingles of a link for a set of ``n``, as the larger and as the smaller set."""
-    s, u = least
-    return -(-s * n // u), -(-2 * s * n // (s + u))
-
-
 def adaptive_prefix(code: np.ndarray, expected: np.ndarray, most: int = MOST_MATCHES,
                     least: tuple[int, int] = LEAST) -> tuple[np.ndarray, int]:
     """The longest prefix a set of ascending hashes may need, rare shingles first, and the l it probes with."""
     n = len(code)
     here = expected[cell(code)]
     order = np.argsort(np.log2(here + 1).astype(np.uint8), kind="stable")
-    overlap = least_overlap(n, least)[0]
+    overlap = -(-least[0] * n // least[1])      # shared with a set that is not larger, at least
     reach = np.arange(1, min(most, overlap) + 1)
     postings = np.cumsum(here[order], dtype=np.float64)[n - overlap + reach - 1]
     best = int(np.argmin(postings * (1 + n / VERIFY_SHARE / reach)))
@@ -163,7 +159,7 @@ def _signed(docs: DataFrame, expected, least: tuple[int, int], most: int) -> Dat
 
 
 def _postings(nodes: DataFrame) -> DataFrame:
-    """``token``, ``node``, ``n``, ``l``, ``pos`` and the list's least node ``head`` (its ``head_n``), for shared tokens."""
+    """``token``, ``node``, ``n``, ``l``, ``pos`` and a place ``rank`` in the list, for shared tokens."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -178,37 +174,30 @@ def _postings(nodes: DataFrame) -> DataFrame:
                     [pa.array(np.frombuffer(b"".join(own), np.int64)), take("node"), take("n"), take("l"),
                      pa.array(pos, pa.int32())], ["token", "node", "n", "l", "pos"])
 
-    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sorted postings: single ones go; a list may go on over any number of batches."""
-        last, head, head_n, met = None, None, None, False      # the list of the last row, and whether a row of it left
-        held = None                                            # its first row, not yet written
+        last, seen, held = None, 0, None       # token of the last row, rows of its list so far, its only row
         for batch in batches:
             if not batch.num_rows:
                 continue
-            token, node, n = (batch.column(c).to_numpy() for c in ("token", "node", "n"))
+            token = batch.column("token").to_numpy()
             start = np.ones(len(token), bool)
             start[1:] = token[1:] != token[:-1]
             start[0] = last is None or token[0] != last
             first = np.maximum.accumulate(np.where(start, np.arange(len(token)), -1))
-            goes_on = first < 0                                # rows of the list of the last batch
-            heads_ = np.where(goes_on, head if head is not None else 0, node[np.maximum(first, 0)])
-            sizes_ = np.where(goes_on, head_n if head_n is not None else 0, n[np.maximum(first, 0)])
-            follows = np.append(~start[1:], False)
-            keep = ~start | follows
-            ends_open = start[-1]                              # a first row at the end may yet have followers
-            out = pa.RecordBatch.from_arrays([*batch.columns, pa.array(heads_), pa.array(sizes_)],
-                                             [*batch.schema.names, "head", "head_n"])
-            if held is not None and goes_on[0] and not met:
+            rank = np.where(first < 0, np.arange(len(token)) + seen, np.arange(len(token)) - first)
+            if held is not None and not start[0]:
                 yield held
+            keep = ~start | np.append(~start[1:], False)
+            out = pa.RecordBatch.from_arrays([*batch.columns, pa.array(rank)], [*batch.schema.names, "rank"])
             yield out.filter(pa.array(keep))
-            met = not ends_open
-            held = out.slice(len(token) - 1) if ends_open else None
-            last, head, head_n = token[-1], heads_[-1], sizes_[-1]
+            held = out.slice(len(token) - 1) if start[-1] else None
+            last, seen = token[-1], int(rank[-1]) + 1
 
     kind = "token bigint, node bigint, n bigint, l int, pos int"
     rows = nodes.select("node", "n", "l", "prefix").mapInArrow(spread, kind)
-    rows = rows.repartition("token").sortWithinPartitions("token", "node")
-    return materialize(rows.mapInArrow(heads, kind + ", head bigint, head_n bigint"), "join-postings")
+    rows = rows.repartition("token").sortWithinPartitions("token")
+    return materialize(rows.mapInArrow(ranked, kind + ", rank bigint"), "join-postings")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFrame:
@@ -231,10 +220,9 @@ def _linked(pairs: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFr
     return both.mapInArrow(compare, "a bigint, b bigint")
 
 
-def _sets(docs: DataFrame, firsts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``node`` and ``codes``, the whole set, of the documents in ``pairs``."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    named = firsts.join(nodes, "node", "left_semi").select("node", F.col("doc_id").alias("id"), "text_key")
+def _sets(docs: DataFrame, firsts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node`` and ``codes``, the whole set, of ``nodes``."""
+    named = firsts.join(nodes.distinct(), "node", "left_semi").select("node", F.col("doc_id").alias("id"), "text_key")
     texts = (docs.join(named, (F.col("_key") == F.col("text_key")) & F.col("_id").eqNullSafe(F.col("id")))
              .groupBy("node").agg(F.first("_text").alias("_text")))
 
@@ -248,29 +236,43 @@ def _sets(docs: DataFrame, firsts: DataFrame, pairs: DataFrame) -> DataFrame:
     return materialize(texts.mapInArrow(sets_of, "node bigint, codes binary"), "join-sets")
 
 
-def _across(shared: DataFrame, labels: DataFrame, least: tuple[int, int]) -> DataFrame:
-    """Pairs of different labels with enough matches: l of the larger set, in both l-prefixes."""
+def _matches(some: DataFrame, rows: DataFrame, which: Column, least: tuple[int, int]) -> DataFrame:
+    """Pairs with l matches or more: ``a`` (the larger set, whose l counts), ``b``, ``matches``, and ``one`` of ``some``.
+
+    Columns of ``some`` are called ``_r`` in ``which``, the condition on a pair of postings.
+    """
     s, u = least
+    mine = some.select(*[F.col(c).alias(f"{c}_r") for c in some.columns])
+    ahead = F.struct("n_r", "node_r") > F.struct("n", "node")
+    pick = lambda yes, no: F.when(ahead, F.col(yes)).otherwise(F.col(no))
+    met = (mine.join(rows, F.col("token") == F.col("token_r")).where(which)
+           .where(F.least("n", "n_r") * u >= F.greatest("n", "n_r") * s)
+           .select(pick("node_r", "node").alias("a"), pick("node", "node_r").alias("b"), pick("l_r", "l").alias("l"),
+                   pick("n_r", "n").alias("na"), pick("n", "n_r").alias("nb"),
+                   pick("pos_r", "pos").alias("pa"), pick("pos", "pos_r").alias("pb"), F.col("node_r").alias("one")))
+    overlap = f"({s} * (na + nb) + {s + u - 1}) div {s + u}"            # of a link between sets of these sizes
+    return (met.where(f"pa < na - {overlap} + l AND pb < nb - {overlap} + l")
+            .groupBy("a", "b").agg(F.count(F.lit(1)).alias("matches"), F.min("l").alias("l"), F.min("one").alias("one"))
+            .where("matches >= l").select("a", "b", "matches", "one"))
+
+
+def _across(shared: DataFrame, labels: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """Pairs ``a``, ``b`` of different labels with enough matches."""
     rows = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     rows = materialize(rows.select("token", "node", "n", "l", "pos", "label"), "join-labelled")
     tops = (rows.groupBy("token", "label").agg(F.count(F.lit(1)).alias("c"))
             .groupBy("token").agg(F.max(F.struct("c", "label"))["label"].alias("top"), F.count(F.lit(1)).alias("labels"))
             .where("labels > 1").select("token", "top"))
     rows = materialize(rows.join(tops, "token"), "join-mixed")
-    mine = rows.where("label <> top").select(*[F.col(c).alias(f"{c}_r") for c in ("token", "node", "n", "l", "pos", "label")])
-    ahead = F.struct("n_r", "node_r") > F.struct("n", "node")         # the larger set probes
-    pick = lambda yes, no: F.when(ahead, F.col(yes)).otherwise(F.col(no))
-    met = (mine.join(rows, F.col("token") == F.col("token_r"))
-           .where("label <> label_r AND (label = top OR node_r < node)")
-           .where(F.least("n", "n_r") * u >= F.greatest("n", "n_r") * s)
-           .select(pick("node_r", "node").alias("a"), pick("node", "node_r").alias("b"), pick("l_r", "l").alias("l"),
-                   pick("n_r", "n").alias("na"), pick("n", "n_r").alias("nb"),
-                   pick("pos_r", "pos").alias("pa"), pick("pos", "pos_r").alias("pb")))
-    probe = F.expr(f"na - ({s} * na + {u - 1}) div {u} + l")
-    offer = F.expr(f"nb - ({2 * s} * nb + {s + u - 1}) div {s + u} + l")
-    return (met.where((F.col("pa") < probe) & (F.col("pb") < offer))
-            .groupBy("a", "b").agg(F.count(F.lit(1)).alias("matches"), F.first("l").alias("l"))
-            .where("matches >= l").select("a", "b"))
+    return _matches(rows.where("label <> top"), rows,
+                    F.expr("label <> label_r AND (label = top OR node_r < node)"), least).select("a", "b")
+
+
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs whose nodes have different labels."""
+    of = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
+    both = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    return both.where(F.coalesce("a_label", "a") != F.coalesce("b_label", "b")).select("a", "b")
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", least: tuple[int, int] = LEAST,
@@ -286,16 +288,25 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     firsts = signed.join(nodes.select(F.col("node").alias("row"), F.col("node")), "row")
     shared = _postings(firsts)
 
-    heads = (shared.where("node <> head").where(F.least("n", "head_n") * least[1] >= F.greatest("n", "head_n") * least[0])
-             .groupBy("node", "head").agg(F.count(F.lit(1)).alias("c"), F.first("l").alias("l")).where("c >= l")
-             .groupBy(F.col("node").alias("a")).agg(F.max(F.struct(F.col("c"), (-F.col("head")).alias("b")))["b"].alias("b"))
-             .select("a", (-F.col("b")).alias("b")))
-    heads = materialize(heads, "join-candidates")
-    links = materialize(_linked(heads, _sets(docs, firsts, heads), least), "join-links")
+    common = shared.groupBy("node").agg(F.count(F.lit(1)).alias("common"))
+    ordered = materialize(shared.join(common, "node"), "join-ordered")
+    first = Window.partitionBy("token").orderBy(F.desc("common"), "node")
+    heads = ordered.withColumn("at", F.row_number().over(first)).where(F.col("at") <= HEADS).drop("at")
+    behind = F.expr("common_r < common OR (common_r = common AND node_r > node)")
+    pairs = materialize(_matches(ordered, heads, behind, least), "join-candidates")
+    # whoever may be in a pair: those of these pairs, and those of lists with rows that are no heads
+    long = shared.join(shared.where(F.col("rank") == HEADS).select("token"), "token", "left_semi").select("node")
+    sets = _sets(docs, firsts, pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(long))
+
+    best = pairs.groupBy("one").agg(F.max(F.struct("matches", "a", "b")).alias("best")).select("best.a", "best.b")
+    links = materialize(_linked(best, sets, least), "join-links")
     classes = components(links)
-    pairs = materialize(_across(shared, classes.toDF("node", "label"), least), "join-candidates")
-    more = materialize(_linked(pairs, _sets(docs, firsts, pairs), least), "join-links")
-    classes = components(classes.unionByName(more)).toDF("node", "label")
+    for apart in (lambda labels: _apart(pairs, labels), lambda labels: _across(shared, labels, least)):
+        found = materialize(apart(classes.toDF("node", "label")), "join-candidates")
+        more = materialize(_linked(found, sets, least), "join-links")
+        if not more.isEmpty():
+            classes = components(classes.unionByName(more))
+    classes = classes.toDF("node", "label")
 
     named = nodes.join(classes, "node", "left").withColumn("label", F.coalesce("label", "node"))
     ids = named.groupBy("label").agg(F.min("least_id").alias("component_id"))
