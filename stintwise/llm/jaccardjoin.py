@@ -55,7 +55,8 @@ LEAST = (85, 100)           # intersection : union
 CELLS = 1 << 18             # cells of the frequency estimate
 PIECE = 1 << 12             # cells that travel together
 MOST_MATCHES = 6            # the largest l
-HEADS = 24                  # documents of a list that all of it is compared with first
+HEADS = 8                   # documents of a list that all of it is compared with first
+KEY_BITS = 25               # of the table of wanted text keys: 4 MB
 VERIFY_SHARE = 4            # comparing two sets of n costs as much as reading n / 4 postings
 
 
@@ -159,7 +160,7 @@ def _signed(docs: DataFrame, expected, least: tuple[int, int], most: int) -> Dat
 
 
 def _postings(nodes: DataFrame) -> DataFrame:
-    """``token``, ``node``, ``n``, ``l``, ``pos`` and a place ``rank`` in the list, for shared tokens."""
+    """``token``, ``node`` and ``pos`` of the tokens in more than one prefix."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -169,14 +170,13 @@ def _postings(nodes: DataFrame) -> DataFrame:
                 sizes = np.array([len(p) // 8 for p in own])
                 which = np.repeat(np.arange(a, a + len(own)), sizes)
                 pos = np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                take = lambda c: batch.column(c).take(pa.array(which))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.frombuffer(b"".join(own), np.int64)), take("node"), take("n"), take("l"),
-                     pa.array(pos, pa.int32())], ["token", "node", "n", "l", "pos"])
+                    [pa.array(np.frombuffer(b"".join(own), np.int64)), batch.column("node").take(pa.array(which)),
+                     pa.array(pos, pa.int32())], ["token", "node", "pos"])
 
-    def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sorted postings: single ones go; a list may go on over any number of batches."""
-        last, seen, held = None, 0, None       # token of the last row, rows of its list so far, its only row
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sorted postings without the single ones; a list may go on over any number of batches."""
+        last, held = None, None                # token of the last row, and that row if it is its list's first
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -184,20 +184,15 @@ def _postings(nodes: DataFrame) -> DataFrame:
             start = np.ones(len(token), bool)
             start[1:] = token[1:] != token[:-1]
             start[0] = last is None or token[0] != last
-            first = np.maximum.accumulate(np.where(start, np.arange(len(token)), -1))
-            rank = np.where(first < 0, np.arange(len(token)) + seen, np.arange(len(token)) - first)
             if held is not None and not start[0]:
                 yield held
-            keep = ~start | np.append(~start[1:], False)
-            out = pa.RecordBatch.from_arrays([*batch.columns, pa.array(rank)], [*batch.schema.names, "rank"])
-            yield out.filter(pa.array(keep))
-            held = out.slice(len(token) - 1) if start[-1] else None
-            last, seen = token[-1], int(rank[-1]) + 1
-
-    kind = "token bigint, node bigint, n bigint, l int, pos int"
-    rows = nodes.select("node", "n", "l", "prefix").mapInArrow(spread, kind)
+            yield batch.filter(pa.array(~start | np.append(~start[1:], False)))
+            last, held = token[-1], batch.slice(len(token) - 1) if start[-1] else None
+
+    kind = "token bigint, node bigint, pos int"
+    rows = nodes.select("node", "prefix").mapInArrow(spread, kind)
     rows = rows.repartition("token").sortWithinPartitions("token")
-    return materialize(rows.mapInArrow(ranked, kind + ", rank bigint"), "join-postings")
+    return materialize(rows.mapInArrow(shared, kind), "join-postings")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFrame:
@@ -220,9 +215,29 @@ def _linked(pairs: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFr
     return both.mapInArrow(compare, "a bigint, b bigint")
 
 
-def _sets(docs: DataFrame, firsts: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node`` and ``codes``, the whole set, of ``nodes``."""
-    named = firsts.join(nodes.distinct(), "node", "left_semi").select("node", F.col("doc_id").alias("id"), "text_key")
+def _sets(docs: DataFrame, firsts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``node`` and ``codes``, the whole set, of the documents in ``pairs``.
+
+    Texts are first held against a bit table of the wanted text keys, of a fixed size, so that
+    few others are shuffled while the wanted ones are few.
+    """
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    named = materialize(firsts.join(nodes, "node", "left_semi").select("node", F.col("doc_id").alias("id"), "text_key"),
+                        "join-wanted")
+    place = F.expr(f"shiftright(cast(conv(hex(substring(text_key, 1, 4)), 16, 10) as bigint), {32 - KEY_BITS})")
+    bits = named.select(F.shiftright(place, 6).alias("word"),
+                        F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(63).cast("int")).alias("bit"))
+    table = np.zeros(1 << (KEY_BITS - 6), np.int64)
+    got = bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()      # at most the table's words
+    table[got.column("word").to_numpy()] = got.column("bits").to_numpy()
+    wanted = docs.sparkSession.sparkContext.broadcast(table)
+
+    def maybe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key = np.frombuffer(b"".join(batch.column("_key").to_pylist()), ">u4")[::4].astype(np.int64) >> (32 - KEY_BITS)
+            yield batch.filter(pa.array((wanted.value[key >> 6] >> (key & 63)) & 1 == 1))
+
+    docs = docs.mapInArrow(maybe, docs.schema)
     texts = (docs.join(named, (F.col("_key") == F.col("text_key")) & F.col("_id").eqNullSafe(F.col("id")))
              .groupBy("node").agg(F.first("_text").alias("_text")))
 
@@ -289,24 +304,23 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     shared = _postings(firsts)
 
     common = shared.groupBy("node").agg(F.count(F.lit(1)).alias("common"))
-    ordered = materialize(shared.join(common, "node"), "join-ordered")
+    sizes = firsts.select("node", "n", "l").join(common, "node")
+    shared = materialize(shared.join(sizes, "node"), "join-ordered")
     first = Window.partitionBy("token").orderBy(F.desc("common"), "node")
-    heads = ordered.withColumn("at", F.row_number().over(first)).where(F.col("at") <= HEADS).drop("at")
+    heads = shared.withColumn("at", F.row_number().over(first)).where(F.col("at") <= HEADS).drop("at")
     behind = F.expr("common_r < common OR (common_r = common AND node_r > node)")
-    pairs = materialize(_matches(ordered, heads, behind, least), "join-candidates")
-    # whoever may be in a pair: those of these pairs, and those of lists with rows that are no heads
-    long = shared.join(shared.where(F.col("rank") == HEADS).select("token"), "token", "left_semi").select("node")
-    sets = _sets(docs, firsts, pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(long))
+    pairs = materialize(_matches(shared, heads, behind, least), "join-candidates")
+    sets = _sets(docs, firsts, pairs)
 
     best = pairs.groupBy("one").agg(F.max(F.struct("matches", "a", "b")).alias("best")).select("best.a", "best.b")
-    links = materialize(_linked(best, sets, least), "join-links")
-    classes = components(links)
-    for apart in (lambda labels: _apart(pairs, labels), lambda labels: _across(shared, labels, least)):
-        found = materialize(apart(classes.toDF("node", "label")), "join-candidates")
-        more = materialize(_linked(found, sets, least), "join-links")
-        if not more.isEmpty():
-            classes = components(classes.unionByName(more))
-    classes = classes.toDF("node", "label")
+    classes = components(materialize(_linked(best, sets, least), "join-links"))
+    more = materialize(_linked(materialize(_apart(pairs, classes.toDF("node", "label")), "join-candidates"), sets, least),
+                       "join-links")
+    classes = components(classes.unionByName(more))
+    found = _across(shared, classes.toDF("node", "label"), least).join(pairs, ["a", "b"], "left_anti")
+    found = materialize(found, "join-candidates")
+    more = materialize(_linked(found, _sets(docs, firsts, found), least), "join-links")
+    classes = components(classes.unionByName(more)).toDF("node", "label")
 
     named = nodes.join(classes, "node", "left").withColumn("label", F.coalesce("label", "node"))
     ids = named.groupBy("label").agg(F.min("least_id").alias("component_id"))

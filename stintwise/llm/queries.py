@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stintwise.llm import (ann, chat, decontaminate, hmm, jaccardjoin, linecrf, neardup, packing, prefixtrie, sharding,
-                           tokencount, urlrules)
+                           tokenalign, tokencount, urlrules)
 from stintwise.llm.common import id_hash, table
 from stintwise.session import scratch_path
 
@@ -79,6 +79,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenalign.align(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
+                            tokenizer_path("piece_bpe_32k.model"))
+
+
 def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccardjoin.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -105,6 +110,7 @@ QUERIES = {
     "op8_url_rules": op8_url_rules,
     "op9_hmm_scoring": op9_hmm_scoring,
     "op10_sharding": op10_sharding,
+    "op11_token_alignment": op11_token_alignment,
     "op12_jaccard_join": op12_jaccard_join,
     "op13_prefix_trie": op13_prefix_trie,
     "pipeline": pipeline,

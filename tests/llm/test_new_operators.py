@@ -1,5 +1,7 @@
 """The prefix trie, the Jaccard join and the cross-tokenizer alignment, against brute force."""
 
+import base64
+import functools
 import hashlib
 import random
 import re
@@ -10,7 +12,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from stintwise.llm import jaccardjoin, prefixtrie, queries
+from stintwise.llm import jaccardjoin, prefixtrie, queries, tokenalign
 from tests.conftest import SF001
 from tests.llm.conftest import DOCS, prose
 
@@ -186,3 +188,117 @@ def test_op12_equals_brute_force(spark):
     table = pq.read_table(f"{SF001}/documents.parquet").to_pydict()
     assert (found_components(queries.op12_jaccard_join(spark, SF001))
             == brute_components(list(zip(table["doc_id"], table["text"]))))
+
+
+# --- cross-tokenizer alignment
+
+ALIGN = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+PATHS = queries.tokenizer_path("byte_bpe_50k.json"), queries.tokenizer_path("piece_bpe_32k.model")
+
+
+@functools.cache
+def libraries():
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a = Tokenizer.from_file(PATHS[0])
+    a.encode_special_tokens = True
+    with open(queries.tokenizer_path("byte_bpe_50k.tiktoken"), "rb") as f:
+        table = {int(n): base64.b64decode(t) for t, n in map(bytes.split, f)}
+    return a, table, sentencepiece.SentencePieceProcessor(model_file=PATHS[1])
+
+
+def brute_groups(text):
+    """Groups of a text as (A ids, B ids), or none."""
+    a, table, b = libraries()
+    if not text:
+        return []
+    xa = a.encode(" " + text, add_special_tokens=False).ids
+    xb = b.encode(text)
+    bytes_b = []
+    for i in xb:
+        p = b.id_to_piece(i)
+        bytes_b.append(bytes([int(p[3:5], 16)]) if re.fullmatch("<0x[0-9A-F]{2}>", p) else p.replace("\u2581", " ").encode())
+    if b"".join(table[i] for i in xa) != (" " + text).encode() or b"".join(bytes_b) != (" " + text).encode():
+        return []
+    out, ga, gb, ea, eb = [], [], [], 0, 0
+    ia, ib = iter(xa), iter(zip(xb, bytes_b))
+    while True:
+        if ea <= eb:
+            i = next(ia, None)
+            if i is None:
+                return out
+            ga.append(i)
+            ea += len(table[i])
+        else:
+            i, raw = next(ib)
+            gb.append(i)
+            eb += len(raw)
+        if ea == eb:
+            out.append((ga, gb))
+            ga, gb = [], []
+
+
+def brute_align(texts):
+    per = [brute_groups(t) for t in texts]
+    links = [Counter((x, y) for ga, gb in g for x in ga for y in gb) for g in per]
+    count = Counter(p for c in links for p in c)
+    best = defaultdict(int)
+    for (x, _), n in count.items():
+        best[x] = max(best[x], n)
+    rows = []
+    for g, c in zip(per, links):
+        text = ";".join(",".join(map(str, ga)) + "|" + ",".join(map(str, gb)) for ga, gb in g)
+        rows.append((sum(len(ga) for ga, _ in g), sum(len(gb) for _, gb in g), len(g), sum(c.values()),
+                     sum(n for p, n in c.items() if count[p] == best[p[0]]), sum(n * count[p] for p, n in c.items()),
+                     hashlib.sha256(text.encode()).hexdigest() if g else ""))
+    return rows
+
+
+def aligned_rows(df):
+    return sorted(((r.doc_id, *(r[c] for c in ALIGN)) for r in df.collect()), key=repr)
+
+
+def hostile(rnd, n):
+    parts = ["word", "Word's", " ", "  ", "\n", "\t", "é", "漢字", "🙂", "12345", "...", "<|endoftext|>", "</s>", "<0x41>", "aaaaaaa", "I'll", "\u00a0", "=====", "\x1c"]
+    return "".join(rnd.choice(parts) + rnd.choice(["", " ", " "]) for _ in range(n))
+
+
+@pytest.mark.parametrize("span, piece, fan, frequent", [(32 << 10, 8 << 10, 16, 1 << 18), (64, 40, 2, 20), (7, 30, 3, 0)])
+def test_alignment_equals_brute_force(spark, span, piece, fan, frequent):
+    rnd = random.Random(span)
+    texts = [None, "", "x", "a\u2581b", " lead", "trail ", "a" * 301, "b" * 64 + " " + "-" * 333, " " * 50, "\n" * 33, "same", "same"]
+    texts += [hostile(rnd, rnd.randint(1, 60)) for _ in range(60)] + [prose(rnd, rnd.randint(1, 80)) for _ in range(20)]
+    df = spark.createDataFrame([(i, t, 1, 2) for i, t in enumerate(texts)], "doc_id bigint, text string, n_a int, row int")
+    got = aligned_rows(tokenalign.align(df, *PATHS, span=span, piece_chars=piece, fan=fan, frequent=frequent))
+    assert got == sorted(((i, *r) for i, r in enumerate(brute_align(texts))), key=repr)
+
+
+def test_alignment_of_odd_rows(spark, odd_docs, no_docs):
+    rows = odd_docs.select("doc_id", "text").collect()
+    want = sorted(((r.doc_id, *b) for r, b in zip(rows, brute_align([r.text for r in rows]))), key=repr)
+    assert aligned_rows(tokenalign.align(odd_docs, *PATHS)) == want
+    assert tokenalign.align(no_docs, *PATHS).count() == 0
+
+
+def test_fragments_compose_in_any_order():
+    rnd = random.Random(2)
+    pair = tokenalign.Pair(*PATHS)
+    for _ in range(40):
+        text = hostile(rnd, 40)
+        (a,), (b,), (same,) = pair.encode([text])
+        assert same
+        parts = [f for _, f, _ in tokenalign.fragments_of(a, b, 0, pair, rnd.randint(1, 40))]
+        left = functools.reduce(tokenalign.compose, parts, tokenalign.Fragment())
+        while len(parts) > 1:
+            i = rnd.randrange(len(parts) - 1)
+            parts[i:i + 2] = [tokenalign.compose(*parts[i:i + 2])]
+        assert parts[0] == left
+        links = Counter((x << 16) | y for ga, gb in brute_groups(text)[1:] for x in ga for y in gb)
+        assert left.links == links and not left.suffix[0] and not left.suffix[1]
+
+
+def test_op11_equals_brute_force(spark):
+    table = pq.read_table(f"{SF001}/documents.parquet").to_pydict()
+    want = sorted(((i, *r) for i, r in zip(table["doc_id"], brute_align(table["text"]))), key=repr)
+    assert aligned_rows(queries.op11_token_alignment(spark, SF001)) == want
