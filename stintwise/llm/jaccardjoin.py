@@ -56,6 +56,7 @@ CELLS = 1 << 18             # cells of the frequency estimate
 PIECE = 1 << 12             # cells that travel together
 MOST_MATCHES = 6            # the largest l
 HEADS = 8                   # documents of a list that all of it is compared with first
+SLICE = 1 << 19             # bytes of text that a worker looks at together
 KEY_BITS = 25               # of the table of wanted text keys: 4 MB
 VERIFY_SHARE = 4            # comparing two sets of n costs as much as reading n / 4 postings
 
@@ -94,7 +95,7 @@ def frequency_cells(docs: DataFrame, text: str = "_text") -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CELLS, np.int64)
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, SLICE):
             total += np.bincount(cell(word_sets(*text_bytes(batch.column(text)))[0]), minlength=CELLS)
         used = np.flatnonzero(total.reshape(-1, PIECE).any(axis=1))
         yield pa.RecordBatch.from_pydict({
@@ -141,7 +142,7 @@ def _signed(docs: DataFrame, expected, least: tuple[int, int], most: int) -> Dat
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = expected.value
-        for batch in slices(batches, "_text"):
+        for batch in slices(batches, "_text", SLICE):
             code, edge = word_sets(*text_bytes(batch.column("_text")))
             keys, sizes, ell, prefix = [], np.diff(edge), [], []
             for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
@@ -242,7 +243,7 @@ def _sets(docs: DataFrame, firsts: DataFrame, pairs: DataFrame) -> DataFrame:
              .groupBy("node").agg(F.first("_text").alias("_text")))
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text"):
+        for batch in slices(batches, "_text", SLICE):
             code, edge = word_sets(*text_bytes(batch.column("_text")))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node"), pa.array([code[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary())],

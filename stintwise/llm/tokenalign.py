@@ -1,7 +1,8 @@
 """Cross-tokenizer alignment: groups of tokens of two tokenizers, by an associative fragment monoid.
 
-Tokenizer A (byte-level BPE) encodes a space and the text, tokenizer B (sentencepiece) the
-text, before which it puts a space itself, so both spell the same bytes.  Byte offsets at
+Tokenizer A (byte-level BPE, run by tiktoken from the file's own vocabulary) encodes a space
+and the text, tokenizer B (sentencepiece) the text, before which it puts a space itself, so
+both spell the same bytes.  Byte offsets at
 which a token of A and a token of B end cut the text into groups.
 
 * Texts are cut into pieces at places that both tokenizers are known to keep: a single
@@ -38,10 +39,10 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as model_pb2
-from tokenizers import Tokenizer
 
 from stintwise.llm.common import slices
 from stintwise.session import materialize
@@ -52,6 +53,8 @@ FAN = 16                    # fragments that are composed in one step
 FREQUENT = 1 << 18          # id pairs that may be broadcast
 COUNTED = 4 << 20           # links a worker gathers before it hands on partial counts
 MARK = "▁"
+# Fixed value: how a byte-level tokenizer file with ``use_regex`` splits a text.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _SAFE = re.compile(r"(?<=[^\s▁]) (?=\S)")
 
 
@@ -61,9 +64,11 @@ class Pair:
     def __init__(self, a_path: str, b_path: str):
         with open(a_path, encoding="utf-8") as f:
             spec = json.load(f)
-        pre = spec["pre_tokenizer"] or {}
-        if spec["normalizer"] is not None or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex"):
-            raise ValueError(f"{a_path}: pieces of a text do not encode on their own under this tokenizer")
+        pre, vocab = spec["pre_tokenizer"] or {}, spec["model"]["vocab"]
+        merges = ["".join(m if isinstance(m, list) else m.split(" ")) for m in spec["model"]["merges"]]
+        if (spec["normalizer"] is not None or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space")
+                or not pre.get("use_regex") or any(vocab[m] != 256 + i for i, m in enumerate(merges))):
+            raise ValueError(f"{a_path}: not a byte-level BPE whose merges are in the order of their ids")
         proto = model_pb2.ModelProto()
         with open(b_path, "rb") as f:
             proto.ParseFromString(f.read())
@@ -72,13 +77,12 @@ class Pair:
                 or proto.trainer_spec.treat_whitespace_as_suffix
                 or any(re.search(f"[^{MARK}]{MARK}", p.piece) for p in proto.pieces)):
             raise ValueError(f"{b_path}: pieces of a text do not encode on their own under this model")
-        self.a = Tokenizer.from_file(a_path)
-        self.a.encode_special_tokens = True
-        self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         byte_of = _byte_level()
-        self.a_bytes = [b""] * self.a.get_vocab_size(with_added_tokens=True)
-        for token, i in self.a.get_vocab(with_added_tokens=True).items():
-            self.a_bytes[i] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
+        ranks = {bytes(byte_of[c] for c in token): i for token, i in vocab.items() if i < 256 + len(merges)}
+        # the same merges in the same order; special tokens are plain text
+        self.a = tiktoken.Encoding(a_path, pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+        self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
+        self.a_bytes = sorted(ranks, key=ranks.get)
         kind = model_pb2.ModelProto.SentencePiece.BYTE
         self.b_bytes = [bytes([int(p.piece[3:5], 16)]) if p.type == kind else p.piece.replace(MARK, " ").encode()
                         for p in proto.pieces]
@@ -87,7 +91,7 @@ class Pair:
 
     def encode(self, pieces: list[str]) -> tuple[list, list, list[bool]]:
         """Ids of A (of a space and each piece), ids of B, and whether both spell the piece's bytes."""
-        a = [e.ids for e in self.a.encode_batch_fast([" " + p for p in pieces], add_special_tokens=False)]
+        a = [self.a.encode_ordinary(" " + p) for p in pieces]
         b = self.b.encode(pieces, num_threads=1)
         same = []
         for p, x, y in zip(pieces, a, b):
@@ -333,7 +337,7 @@ def _short(docs: DataFrame, paths: tuple[str, str], kind: str) -> DataFrame:
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = _pair(*paths)
-        for batch in slices(batches, "_text"):
+        for batch in slices(batches, "_text", 1 << 20):
             texts = batch.column("_text").to_pylist()
             out = [_NONE] * len(texts)
             full = [i for i, t in enumerate(texts) if t]
