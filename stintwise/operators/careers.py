@@ -110,8 +110,12 @@ def yearly_entries(a: DataFrame) -> DataFrame:
     maxima, lists and rows from this table instead of scanning ``a`` again for each of
     them; spans and debuts may read it too.
     """
-    counted = a.groupBy(D, C, Y, "tookPart").agg(F.count(F.lit(1)).alias(N))
-    return materialize(counted, "yearly-entries")
+    return materialize(count_entries(a), "yearly-entries")
+
+
+def count_entries(a: DataFrame) -> DataFrame:
+    """Appearances as counted (driver, constructor, year, tookPart); counts of parts of a table add up."""
+    return a.groupBy(D, C, Y, "tookPart").agg(F.count(F.lit(1)).alias(N))
 
 
 def _each(rows: DataFrame, *cols: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from pyspark.sql import types as T
 
-from stintwise.operators import careers, graph, normalise, schema
+from stintwise.operators import careers, graph, graph_store, normalise, schema
 from stintwise.plans.build import career_tables
 from stintwise.plans.views import register_career_views
 from stintwise.session import materialize, scratch_path
@@ -23,7 +23,7 @@ from stintwise.sources import documents
 from stintwise.sources import nested_bindings as nb
 from stintwise.sources.bindings import APPEARANCES_SQL, appearances, table
 from stintwise.sources.tables import read_fact_table, write_fact_table
-from stintwise.streaming import season_stream
+from stintwise.streaming import career_stream, read_career_state, season_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -566,6 +566,34 @@ def q_graph_merge(spark, sf):
     return graph.merge_graph(existing, new, graph.EDGE_COLUMNS)
 
 
+@register("graph_store_merge", with_appearances(_GRAPH_CTES + """
+SELECT e.*, (SELECT count(*) FROM edges) - (SELECT count(DISTINCT (src, dst, year)) FROM e_debut) AS added_second,
+       CAST(0 AS BIGINT) AS added_third
+FROM edges e"""))
+def q_graph_store_merge(spark, sf):
+    """Debut edges are stored, all edges merged into them, then all edges once more."""
+    d, s = _graph_inputs(spark, sf)
+    path = scratch_path(spark, "edge-store")
+    edges = materialize(graph.span_graph_edges(d, s), "edges")
+    graph_store.merge_edges(path, edges.where(F.col("type") == graph.DEBUT))
+    added = [graph_store.merge_edges(path, edges) for _ in range(2)]
+    return graph_store.read_edges(spark, path).select(
+        "*", F.lit(added[0]).cast("long").alias("added_second"), F.lit(added[1]).cast("long").alias("added_third"))
+
+
+@register("edges_loaded", with_appearances(_GRAPH_CTES + "\nSELECT * FROM edges"))
+def q_edges_loaded(spark, sf):
+    """GR-7: every edge reaches a client in batches; a second run finds all of them in the ledger."""
+    edges = graph.span_graph_edges(*_graph_inputs(spark, sf))
+    batches = materialize(graph.edge_batches(edges, ["type", "src", "dst", "year", "src_label", "dst_label"]), "batches")
+    target, ledger = scratch_path(spark, "client"), graph_store.new_ledger(spark)
+    graph_store.send_batches_once(batches, graph_store.folder_client(target), ledger)
+    again = graph_store.send_batches_once(batches, graph_store.folder_client(target), ledger).count()
+    if again:
+        raise RuntimeError(f"{again} batches were sent twice")
+    return spark.read.schema(edges.schema).json(target)
+
+
 def _batch_rows(batches):
     return batches.select("batch", F.posexplode("rows").alias("pos", "r")).select(
         "batch", F.col("pos").cast("bigint").alias("pos"), "r.*")
@@ -616,6 +644,41 @@ def q_season_stream(spark, sf):
     return read_fact_table(spark, sink)
 
 
+_FLAT_CAREERS = "WITH appearances AS (" + nb.SEASON_FLAT_SQL.strip().rstrip(";") + "),\n"
+_CAREER_COLUMNS = "relation string, driverId string, const_a string, year_a int, const_b string, year_b int"
+
+
+@register("career_stream", _FLAT_CAREERS + ",\n".join([_FIRST, _LAST, _SP, _TNEXT, _TANY, _ANNOUNCED]) + """
+SELECT 'debut_years' AS relation, driverId, CAST(NULL AS VARCHAR) AS const_a, debut_year AS year_a,
+       CAST(NULL AS VARCHAR) AS const_b, CAST(NULL AS INTEGER) AS year_b FROM first_seen
+UNION ALL SELECT 'debuts', x.driverId, x.constructorId, f.debut_year, NULL, NULL
+  FROM appearances x JOIN first_seen f USING (driverId) WHERE x.year = f.debut_year
+UNION ALL SELECT 'last_seen', driverId, NULL, retirement_year, NULL, NULL FROM last_seen
+UNION ALL SELECT 'retirements', x.driverId, x.constructorId, l.retirement_year, NULL, NULL
+  FROM appearances x JOIN last_seen l USING (driverId) WHERE x.year = l.retirement_year
+UNION ALL SELECT 'announced', driverId, constructorId, retirement_year, NULL, NULL FROM announced
+UNION ALL SELECT 'consecutive', driverId, const_out, transfer_out, const_in, transfer_in FROM t_next
+UNION ALL SELECT 'midseason', driverId, const_out, transfer_out, const_in, transfer_in FROM t_any""")
+def q_career_stream(spark, sf):
+    """Q-1 to Q-7 from the state of a stream that takes the season files in several micro-batches."""
+    src, state, ckpt = (scratch_path(spark, x) for x in ("career-src", "career-state", "career-ckpt"))
+    documents.write_yaml(nb.season_yaml(nb.season_entries(spark, sf)), src, partition_by="year")
+    career_stream(spark, src, state, ckpt, pattern="*/*.txt", available_now=True, max_files_per_trigger=4).awaitTermination()
+    e = read_career_state(spark, state)
+    s = careers.shared_spans(e)
+    parts = {"debut_years": careers.debut_years(e).select("driverId", F.lit(None), "debut_year"),
+             "debuts": careers.debuts(e, s), "last_seen": careers.last_seen_before_max(e, e).select("driverId", F.lit(None), "retirement_year"),
+             "retirements": careers.retirements(e, e), "announced": careers.retirements_announced(e, e),
+             "consecutive": careers.transfers_consecutive(e, s), "midseason": careers.transfers_with_midseason(e, s)}
+    out = None
+    for name, df in parts.items():
+        cols = [F.col(f"`{c}`") for c in df.columns] + [F.lit(None)] * (5 - len(df.columns))
+        types = [part.split(" ") for part in _CAREER_COLUMNS.split(", ")]
+        rows = df.select(*[c.cast(t).alias(n) for c, (n, t) in zip([F.lit(name), *cols], types)])
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @register("fact_table", "SELECT * FROM (" + APPEARANCES_SQL + ") t")
 def q_fact_table(spark, sf):
     path = scratch_path(spark, "fact-table")

@@ -1,11 +1,14 @@
 """Folders of YAML entity documents as Spark scans (SRC-1, SRC-2).
 
-Files are read on the executors with ``text(wholetext=True)`` (Spark packs
-many small files into one task); each file is parsed once in a
-``mapInPandas`` worker (the YAML parser is the only Python on this path) and
-handed back as JSON text, which ``from_json`` turns into typed columns with
-a declared schema.  A file may hold one document (the reference's layout) or
-a ``---``-separated stream of documents.
+Files are read on the executors by Spark's text source with a record delimiter, so one
+large file is cut into splits like any other text: a stream of documents at its ``---``
+lines, a season at the items of its top-level list.  Each record is parsed once in a
+``mapInPandas`` worker (the YAML parser is the only Python on this path) and handed back
+as JSON text, which ``from_json`` turns into typed columns with a declared schema.
+
+What cannot be parsed record by record fails with a message that names the file and
+``whole=True``, which parses every file in one piece: a list item that uses an anchor of another
+item, and a split that begins at a line which only looks like a ``---`` line (``---x``).
 """
 
 from __future__ import annotations
@@ -21,26 +24,39 @@ from stintwise.functions.columns import year_from_path
 from stintwise.operators.normalise import flatten_entries
 from stintwise.schemas import SEASON_ENTRY
 
-PARSED = "_path string, _doc int, _item int, _json string"
+PARSED = "_path string, _doc bigint, _item int, _json string"
 YAML_CHUNK_BYTES = 4 << 20  # JSON text per batch handed back to the JVM
 YAML_FILE_DOCS = 2_000      # rows of a written file: a file is parsed by one Python call
 
 
-def document_text(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file: ``(_path, _text)``."""
-    return (spark.read.text(path, wholetext=True)
-            .select(F.col("_metadata.file_path").alias("_path"), F.col("value").alias("_text")))
+# What begins a document of a stream, and an item of a top-level list.
+DOCUMENT_MARK, ITEM_MARK = "---", "- "
 
 
-def parse_yaml(files: DataFrame, items: bool = False) -> DataFrame:
-    """``(_path, _text)`` -> ``(_path, _doc, _item, _json)``: one row per document.
+def document_text(spark: SparkSession, path: str, mark: str | None = None) -> DataFrame:
+    """``(_path, _start, _text)``: one row per file, or per record that a line beginning with ``mark`` starts.
 
-    With ``items`` a document that is a list gives one row per element instead, so
-    no row holds a whole season.
+    ``_start`` is the byte at which the split begins that a record lies in; the records of a
+    split keep their order.
+    """
+    reader = spark.read if mark is None else spark.read.option("lineSep", "\n" + mark)
+    return (reader.text(path, wholetext=mark is None)
+            .select(F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_start"),
+                    F.col("value").alias("_text")))
+
+
+def parse_yaml(files: DataFrame, items: bool = False, mark: str | None = None) -> DataFrame:
+    """``(_path, _start, _text)`` -> ``(_path, _doc, _item, _json)``: one row per document.
+
+    ``_doc`` orders the documents of a file: their number, counted on from the first byte of
+    the split (so it is dense in a file of one split).  With ``items`` a document that is a
+    list gives one row per element instead, so no row holds a whole season.  ``mark`` is
+    what the records were cut at.
 
     The parser is defined here so it is shipped to the Python workers by
     value: they need ``yaml`` and ``pandas``, not this package on their path.
     """
+    chunk_bytes, item_mark = YAML_CHUNK_BYTES, ITEM_MARK
 
     def yaml_to_json(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import json
@@ -53,58 +69,99 @@ def parse_yaml(files: DataFrame, items: bool = False) -> DataFrame:
         size = 0
 
         def flush():
-            out = pandas.DataFrame({"_path": paths, "_doc": pandas.array(idx, dtype="int32"),
+            out = pandas.DataFrame({"_path": paths, "_doc": pandas.array(idx, dtype="int64"),
                                     "_item": pandas.array(places, dtype="int32"), "_json": docs})
             paths.clear(), idx.clear(), places.clear(), docs.clear()
             return out
 
-        for pdf in batches:
-            for path, text in zip(pdf["_path"], pdf["_text"]):
-                for i, doc in enumerate(yaml.load_all(text, Loader=loader)):
-                    if doc is None:
+        def records():
+            """Records as YAML text, with what the delimiter took; lines that only look like one are put back."""
+            now, held = None, None
+            for pdf in batches:
+                for path, start, text in zip(pdf["_path"], pdf["_start"], pdf["_text"]):
+                    if mark is None:
+                        yield path, start, text
                         continue
-                    for k, part in enumerate(doc if items and isinstance(doc, list) else [doc]):
-                        paths.append(path)
-                        idx.append(i)
-                        places.append(k)
-                        docs.append(json.dumps(part, default=str, ensure_ascii=False))
-                        size += len(docs[-1])
-                        if size >= YAML_CHUNK_BYTES:
-                            yield flush()
-                            size = 0
+                    new = (path, start) != now
+                    if mark != item_mark and text[:1].strip() and not (new and start == 0):     # ---x
+                        if new:
+                            raise ValueError(f"{path}: the split at byte {start} begins inside a document; read with whole=True")
+                        held += "\n" + mark + text
+                        continue
+                    if held is not None:
+                        yield *now, held
+                    now, held = (path, start), text if new and start == 0 else mark + text
+            if held is not None:
+                yield *now, held
+
+        count, last, single = 0, None, None
+        for path, start, text in records():
+            if path == single:
+                raise ValueError(f"{path}: a list below a top-level map; read with whole=True")
+            if (path, start) != last:
+                count, last = 0, (path, start)
+            if mark is not None and mark != item_mark:
+                kept = text.rstrip().split("\n")
+                while kept and kept[-1].startswith("%"):            # directives of the next document
+                    kept.pop()
+                    text = "\n".join(kept)
+            try:
+                parsed = list(yaml.load_all(text, Loader=loader)) if mark is not None else yaml.load_all(text, Loader=loader)
+            except yaml.composer.ComposerError as exc:
+                raise ValueError(f"{path}: {exc}; an anchor of another record needs whole=True") from exc
+            if mark == item_mark and any(isinstance(doc, dict) for doc in parsed):
+                single = path
+            for doc in parsed:
+                place, count = start + count, count + 1
+                if doc is None:
+                    continue
+                for k, part in enumerate(doc if items and isinstance(doc, list) else [doc]):
+                    paths.append(path)
+                    idx.append(place)
+                    places.append(k)
+                    docs.append(json.dumps(part, default=str, ensure_ascii=False))
+                    size += len(docs[-1])
+                    if size >= chunk_bytes:
+                        yield flush()
+                        size = 0
         if docs:
             yield flush()
 
     return files.mapInPandas(yaml_to_json, PARSED)
 
 
-def read_documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _parsed(spark: SparkSession, path: str, whole: bool) -> DataFrame:
+    mark = None if whole else DOCUMENT_MARK
+    return parse_yaml(document_text(spark, path, mark), mark=mark)
+
+
+def read_documents(spark: SparkSession, path: str, schema: T.StructType, whole: bool = False) -> DataFrame:
     """SRC-1: map documents -> one typed row each, plus ``_path`` and ``_doc``."""
-    parsed = parse_yaml(document_text(spark, path))
-    return (parsed.select("_path", "_doc", F.from_json("_json", schema).alias("r"))
+    return (_parsed(spark, path, whole).select("_path", "_doc", F.from_json("_json", schema).alias("r"))
             .select("_path", "_doc", "r.*"))
 
 
-def read_document_maps(spark: SparkSession, path: str) -> DataFrame:
+def read_document_maps(spark: SparkSession, path: str, whole: bool = False) -> DataFrame:
     """Map documents as ``map<string,string>`` in ``doc`` (keys in document order)."""
-    parsed = parse_yaml(document_text(spark, path))
-    return parsed.select("_path", "_doc",
-                         F.from_json("_json", T.MapType(T.StringType(), T.StringType())).alias("doc"))
+    return _parsed(spark, path, whole).select(
+        "_path", "_doc", F.from_json("_json", T.MapType(T.StringType(), T.StringType())).alias("doc"))
 
 
 def read_season_documents(spark: SparkSession, root: str, pattern: str = "*/entrants.yml",
-                          flatten: bool = True, ordered: bool = False, strict: bool = False) -> DataFrame:
+                          flatten: bool = True, ordered: bool = False, strict: bool = False,
+                          whole: bool = False) -> DataFrame:
     """SRC-2: ``<root>/<year>/entrants.yml`` (a list of entries) -> appearances.
 
     The year is the folder name (``1995`` or ``year=1995``), cast to int.
     With ``flatten`` the two nesting levels are expanded (NRM-6..9).
     ``ordered`` (SRT-1) sorts the output by numeric year, then path and place in the
     file, as the reference writes seasons in folder order.  It costs a range-partitioned
-    sort, so it is off unless the row order of the written table matters; a large
-    season spreads over several tasks.
+    sort, so it is off unless the row order of the written table matters.  A season is
+    cut at the items of its list, so a large one is read by several tasks.
     ``strict`` fails on an incomplete entry (see ``season_defect``).
     """
-    return season_rows(document_text(spark, f"{root.rstrip('/')}/{pattern}"), flatten, ordered, strict)
+    mark = None if whole else ITEM_MARK
+    return season_rows(document_text(spark, f"{root.rstrip('/')}/{pattern}", mark), flatten, ordered, strict, mark)
 
 
 def season_defect(entry: F.Column) -> F.Column:
@@ -139,9 +196,10 @@ def season_defect(entry: F.Column) -> F.Column:
                                         F.lit(1))))
 
 
-def season_rows(files: DataFrame, flatten: bool = True, ordered: bool = False, strict: bool = False) -> DataFrame:
-    """``(_path, _text)`` of season files (batch or stream) -> entries or appearances."""
-    parsed = parse_yaml(files, items=True)
+def season_rows(files: DataFrame, flatten: bool = True, ordered: bool = False, strict: bool = False,
+                mark: str | None = None) -> DataFrame:
+    """``(_path, _start, _text)`` of season files (batch or stream) -> entries or appearances."""
+    parsed = parse_yaml(files, items=True, mark=mark)
     text = F.col("_json")
     if strict:
         defect = season_defect(text)
