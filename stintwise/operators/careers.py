@@ -89,9 +89,11 @@ def debuts(a: DataFrame, s: DataFrame | None = None) -> DataFrame:
 
     Duplicated entries stay duplicated and test entries of the debut year are
     kept, as in the reference.  With materialised spans ``s`` the debut year is
-    the smallest span start, which saves a pass over ``a``; ``a`` may then be the
-    counted ``yearly_entries`` as well.
+    the smallest span start; without them ``a`` is read once, by ``yearly_entries``,
+    which ``a`` may be itself.
     """
+    if s is None and N not in a.columns:
+        a = yearly_entries(a)
     if s is None:
         first = active(a).groupBy(D).agg(F.min(Y).alias(Y))
     else:
@@ -121,14 +123,20 @@ def count_entries(a: DataFrame) -> DataFrame:
 def _each(rows: DataFrame, *cols: str) -> DataFrame:
     """``cols`` of every row as often as its count says.
 
-    Counts are cut into blocks of ``_BLOCK`` copies that are dealt out anew, so the
-    copies of one frequent appearance do not come from one task.
+    Counts above ``_BLOCK`` are cut into blocks that are dealt out anew, so the copies of
+    one frequent appearance do not come from one task; all others are repeated where
+    they lie.  The filter on the count reaches the scan of the counted table.
     """
-    blocks = (rows.select(*cols, N, F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"({N} - 1) div {_BLOCK}")))
-                          .alias("_block"))
+    def repeated(part: DataFrame, times: Column) -> DataFrame:
+        return part.select(*cols, F.explode(F.array_repeat(F.lit(0), times.cast("int"))).alias("_copy")).drop("_copy")
+
+    blocks = (rows.where(F.col(N) > _BLOCK)
+              .select(*cols, N, F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"({N} - 1) div {_BLOCK}")))
+                      .alias("_block"))
               .repartition(*cols, "_block"))
-    here = F.least(F.lit(_BLOCK), F.col(N) - F.col("_block") * _BLOCK).cast("int")
-    return blocks.select(*cols, F.explode(F.array_repeat(F.lit(0), here)).alias("_copy")).drop("_copy")
+    few = rows.where(F.col(N) <= _BLOCK)
+    return repeated(few, F.col(N)).unionByName(
+        repeated(blocks, F.least(F.lit(_BLOCK), F.col(N) - F.col("_block") * _BLOCK)))
 
 
 def last_seen_before_max(a: DataFrame, e: DataFrame | None = None) -> DataFrame:

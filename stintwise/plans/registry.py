@@ -180,9 +180,9 @@ SELECT driverId FROM d
 WHERE driverId NOT IN (SELECT driverId FROM appearances
                        WHERE year = (SELECT MAX(year) FROM appearances) AND tookPart = FALSE)"""))
 def q_not_in_announced(spark, sf):
-    a = appearances(spark, sf)
-    return careers.filter_not_in(a.select("driverId").distinct(), "driverId",
-                                 careers.announced_only(a), "driverId")
+    e = careers.yearly_entries(appearances(spark, sf))      # the one pass over the facts
+    return careers.filter_not_in(e.select("driverId").distinct(), "driverId",
+                                 careers.announced_only(e), "driverId")
 
 
 # The list once as it is (with nulls, so nothing is kept), once without nulls (null keys go),
@@ -201,7 +201,8 @@ SELECT 'empty', driverId FROM keyed WHERE driverId NOT IN (SELECT driverId FROM
 
 @register("not_in_null_aware", with_appearances(_NOT_IN_CASES))
 def q_not_in_null_aware(spark, sf):
-    a = appearances(spark, sf)
+    a = appearances(spark, sf).select("driverId", "year", "tookPart", "testDriver").distinct()
+    a = materialize(a, "not-in-facts")                       # the one pass over the facts
     null_if = lambda c: F.when(c, F.lit(None)).otherwise(F.col("driverId")).alias("driverId")
     keyed = a.select(null_if(F.col("testDriver") & (F.col("year") % 2 == 0))).distinct()
     listed = careers.announced_only(a.withColumn("driverId", null_if(F.col("testDriver"))))
@@ -488,6 +489,13 @@ def q_csv_text_roundtrip(spark, sf):
     return csv_io.read_csv(spark, path, _TEXT_SCHEMA)
 
 
+@register("csv_split_roundtrip", "SELECT doc_id, text FROM documents")
+def q_csv_split_roundtrip(spark, sf):
+    path = scratch_path(spark, "csv-split")
+    csv_io.write_split_csv(table(spark, sf, "documents").select("doc_id", "text"), path)
+    return csv_io.read_split_csv(spark, path, _TEXT_SCHEMA)
+
+
 @register("yaml_text_roundtrip", "SELECT doc_id, text FROM documents")
 def q_yaml_text_roundtrip(spark, sf):
     path = scratch_path(spark, "yaml-text")
@@ -504,6 +512,14 @@ def q_season_scan(spark, sf):
     return documents.read_season_documents(spark, path, pattern="*/*.txt")
 
 
+@register("season_order", "SELECT year, row_number() OVER (ORDER BY year) - 1 AS place FROM (" + nb.SEASON_FLAT_SQL + ") t")
+def q_season_order(spark, sf):
+    """SRT-1: rows of season files numbered in numeric year order, then by their place in the files."""
+    path = scratch_path(spark, "yaml-ordered")
+    documents.write_yaml(nb.season_yaml(nb.season_entries(spark, sf)), path, partition_by="year")
+    return documents.read_season_documents(spark, path, pattern="*/*.txt", position="place").select("year", "place")
+
+
 # ---------------------------------------------------------------- graph
 _GRAPH_CTES = ",\n".join([_FIRST, _SP, _TANY, _GAPS, _unexplained("t_any"), _NEAR, _BRK]) + """,
 debut_rows AS (""" + _DEBUT_ROWS + """),
@@ -699,7 +715,10 @@ _NULL_LISTED = """appearances_n AS (
     + "\nSELECT * FROM announced"))
 def q_retirements_null_listed(spark, sf):
     """Q-5 when the latest season's list holds nulls: NOT IN is never true, the OR still keeps rows."""
-    a = appearances(spark, sf)
+    keys = ["driverId", "constructorId", "year", "tookPart"]
+    a = appearances(spark, sf).groupBy(*keys, "testDriver").agg(F.count(F.lit(1)).alias(careers.N))
+    a = materialize(a, "null-listed")                        # the one pass over the facts
     latest_test = (F.col("year") == careers.latest_year(a)) & F.col("testDriver")
-    return careers.retirements_announced(
-        a.withColumn("driverId", F.when(latest_test, F.lit(None)).otherwise(F.col("driverId"))))
+    named = a.withColumn("driverId", F.when(latest_test, F.lit(None)).otherwise(F.col("driverId")))
+    e = materialize(named.groupBy(*keys).agg(F.sum(careers.N).alias(careers.N)), "yearly-entries")
+    return careers.retirements_announced(e, e)

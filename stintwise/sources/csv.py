@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stintwise.schemas import (
@@ -31,6 +32,44 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
             .option("enforceSchema", True).options(**_TEXT_SAFE).option("multiLine", True).csv(path))
 
 
+# Fixed value: the cell of a null in a splittable file; no text is written like it.
+NULL_CELL = "\\N"
+# What a splittable file writes for a character, in the order of writing; read back in the other order.
+_ESCAPES = [("\\", "\\b"), ("\n", "\\n"), ("\r", "\\r")]
+
+
+def _each_text(df: DataFrame, change) -> DataFrame:
+    return df.select(*[change(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")
+                       for f in df.schema.fields])
+
+
+def write_split_csv(df: DataFrame, path: str) -> None:
+    """A CSV folder whose rows are lines: backslashes and line breaks in texts are escaped, nulls are ``\\N``.
+
+    Any text reads back as it was, empty ones apart from nulls, and files split, so their
+    size is not bounded.
+    """
+    def escaped(c: Column) -> Column:
+        for raw, cell in _ESCAPES:
+            c = F.replace(c, F.lit(raw), F.lit(cell))
+        return c
+
+    (_each_text(df, escaped).write.options(**_TEXT_SAFE).option("nullValue", NULL_CELL)
+     .csv(path, header=True, mode="overwrite"))
+
+
+def read_split_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """What ``write_split_csv`` wrote; a large file is read by several tasks."""
+    def plain(c: Column) -> Column:
+        for raw, cell in reversed(_ESCAPES):
+            c = F.replace(c, F.lit(cell), F.lit(raw))
+        return c
+
+    rows = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", True)
+            .options(**_TEXT_SAFE).option("nullValue", NULL_CELL).option("emptyValue", "").csv(path))
+    return _each_text(rows, plain)
+
+
 def read_appearances(spark: SparkSession, path: str) -> DataFrame:
     """SRC-3: the appearance fact table (header ``driverID`` and ``driverId`` both fit)."""
     return read_csv(spark, path, APPEARANCES)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stintwise.functions.columns import year_from_path
-from stintwise.operators.normalise import flatten_entries
+from stintwise.operators.normalise import flatten_entries, with_dense_id
 from stintwise.schemas import SEASON_ENTRY
 
 PARSED = "_path string, _doc bigint, _item int, _json string"
@@ -149,7 +149,7 @@ def read_document_maps(spark: SparkSession, path: str, whole: bool = False) -> D
 
 def read_season_documents(spark: SparkSession, root: str, pattern: str = "*/entrants.yml",
                           flatten: bool = True, ordered: bool = False, strict: bool = False,
-                          whole: bool = False) -> DataFrame:
+                          whole: bool = False, position: str | None = None) -> DataFrame:
     """SRC-2: ``<root>/<year>/entrants.yml`` (a list of entries) -> appearances.
 
     The year is the folder name (``1995`` or ``year=1995``), cast to int.
@@ -158,10 +158,13 @@ def read_season_documents(spark: SparkSession, root: str, pattern: str = "*/entr
     file, as the reference writes seasons in folder order.  It costs a range-partitioned
     sort, so it is off unless the row order of the written table matters.  A season is
     cut at the items of its list, so a large one is read by several tasks.
+    ``position`` names a column that numbers the rows from 0 in that order instead, for
+    tables whose row order is not kept.
     ``strict`` fails on an incomplete entry (see ``season_defect``).
     """
     mark = None if whole else ITEM_MARK
-    return season_rows(document_text(spark, f"{root.rstrip('/')}/{pattern}", mark), flatten, ordered, strict, mark)
+    files = document_text(spark, f"{root.rstrip('/')}/{pattern}", mark)
+    return season_rows(files, flatten, ordered, strict, mark, position)
 
 
 def season_defect(entry: F.Column) -> F.Column:
@@ -197,7 +200,7 @@ def season_defect(entry: F.Column) -> F.Column:
 
 
 def season_rows(files: DataFrame, flatten: bool = True, ordered: bool = False, strict: bool = False,
-                mark: str | None = None) -> DataFrame:
+                mark: str | None = None, position: str | None = None) -> DataFrame:
     """``(_path, _start, _text)`` of season files (batch or stream) -> entries or appearances."""
     parsed = parse_yaml(files, items=True, mark=mark)
     text = F.col("_json")
@@ -210,6 +213,8 @@ def season_rows(files: DataFrame, flatten: bool = True, ordered: bool = False, s
                             F.from_json(text, SEASON_ENTRY).alias("entry"))
     rows = flatten_entries(entries, order_cols=place) if flatten else entries
     places = [*place, "_c_pos", "_d_pos"] if flatten else place
+    if position is not None:
+        return with_dense_id(rows, ["year", *places], position).drop(*places)
     return (rows.orderBy("year", *places) if ordered else rows).drop(*places)
 
 

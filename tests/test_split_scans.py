@@ -176,3 +176,24 @@ def test_career_state_after_two_batches_equals_a_rebuild(spark, tmp_path):
     assert rows(careers.debuts(e, s)) == rows(careers.debuts(a)) != []
     assert rows(careers.retirements_announced(e, e)) == rows(careers.retirements_announced(a))
     assert rows(careers.transfers_with_midseason(e, s)) == rows(careers.transfers_with_midseason(a, full)) != []
+
+
+def test_splittable_csv_keeps_every_text(spark, tmp_path, small_splits):
+    from stintwise.sources import csv
+
+    texts = [None, "", " ", "\\N", "\\", "\\n", "a\nb", "a\r\nb\\", '"q", "r"', "\\b\n\\r", "é,\t;", "#x", "x" * 900]
+    rows = [(i, t, None if i % 2 else i) for i, t in enumerate(texts * 10)]
+    schema = "id int, `a text` string, n int"
+    csv.write_split_csv(spark.createDataFrame(rows, schema).coalesce(1), str(tmp_path / "t"))
+    got = csv.read_split_csv(spark, str(tmp_path / "t"), schema)
+    assert got.rdd.getNumPartitions() > 5
+    assert sorted(map(tuple, got.collect())) == rows
+
+
+def test_large_counts_are_dealt_out_and_small_ones_stay(spark, monkeypatch):
+    from stintwise.operators import careers
+
+    monkeypatch.setattr(careers, "_BLOCK", 10)
+    rows = spark.createDataFrame([("a", 3), ("b", 10), ("c", 11), ("d", 25), (None, 1)], "driverId string, _n bigint")
+    got = careers._each(rows, "driverId").groupBy("driverId").count().collect()
+    assert {r[0]: r[1] for r in got} == {"a": 3, "b": 10, "c": 11, "d": 25, None: 1}
