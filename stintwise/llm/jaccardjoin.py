@@ -204,6 +204,8 @@ def _linked(pairs: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFr
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not batch.num_rows:
+                continue
             good = []
             for x, y in zip(batch.column("sa"), batch.column("sb")):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
@@ -211,7 +213,10 @@ def _linked(pairs: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFr
                 joint.sort(kind="stable")
                 shared = int((joint[1:] == joint[:-1]).sum())
                 good.append(u * shared >= s * (len(joint) - shared))
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+            out = batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+            del batch, x, y, joint
+            pa.default_memory_pool().release_unused()
+            yield out
 
     return both.mapInArrow(compare, "a bigint, b bigint")
 
@@ -233,12 +238,12 @@ def _sets(docs: DataFrame, firsts: DataFrame, pairs: DataFrame) -> DataFrame:
     table[got.column("word").to_numpy()] = got.column("bits").to_numpy()
     wanted = docs.sparkSession.sparkContext.broadcast(table)
 
-    def maybe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            key = np.frombuffer(b"".join(batch.column("_key").to_pylist()), ">u4")[::4].astype(np.int64) >> (32 - KEY_BITS)
-            yield batch.filter(pa.array((wanted.value[key >> 6] >> (key & 63)) & 1 == 1))
+    @F.arrow_udf("boolean")
+    def maybe(keys: pa.Array) -> pa.Array:          # only the keys go to the worker
+        key = np.frombuffer(b"".join(keys.to_pylist()), ">u4")[::4].astype(np.int64) >> (32 - KEY_BITS)
+        return pa.array((wanted.value[key >> 6] >> (key & 63)) & 1 == 1)
 
-    docs = docs.mapInArrow(maybe, docs.schema)
+    docs = docs.where(maybe("_key"))
     texts = (docs.join(named, (F.col("_key") == F.col("text_key")) & F.col("_id").eqNullSafe(F.col("id")))
              .groupBy("node").agg(F.first("_text").alias("_text")))
 
