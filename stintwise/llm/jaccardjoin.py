@@ -23,7 +23,7 @@ their intersection and union are at least as 85 to 100 (``least``), compared in
    matches or more are compared.  Every link is thus either inside a class or compared.
 5. Components of all links found are the components of all links.
 
-Exact sets (64-bit shingle hashes) decide every link.  Documents with equal sets are one
+Exact sets (64-bit shingle hashes, compared by Spark row by row) decide every link.  Documents with equal sets are one
 node throughout.  The second part of step 4 is quadratic where very many documents share
 rare shingles without being linked; those postings are the join's own work and Spark splits
 their lists.
@@ -200,25 +200,10 @@ def _linked(pairs: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFr
     """The pairs ``a``, ``b`` whose sets link."""
     s, u = least
     both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("codes").alias("sa")), "a")
-            .join(sets.select(F.col("node").alias("b"), F.col("codes").alias("sb")), "b").select("a", "b", "sa", "sb"))
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            good = []
-            for x, y in zip(batch.column("sa"), batch.column("sb")):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                joint = np.concatenate([x, y])
-                joint.sort(kind="stable")
-                shared = int((joint[1:] == joint[:-1]).sum())
-                good.append(u * shared >= s * (len(joint) - shared))
-            out = batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-            del batch, x, y, joint
-            pa.default_memory_pool().release_unused()
-            yield out
-
-    return both.mapInArrow(compare, "a bigint, b bigint")
+            .join(sets.select(F.col("node").alias("b"), F.col("codes").alias("sb")), "b"))
+    both = both.select("a", "b", (F.size("sa") + F.size("sb")).cast("bigint").alias("total"),
+                       F.size(F.array_intersect("sa", "sb")).cast("bigint").alias("joint"))
+    return both.where(F.col("joint") * u >= (F.col("total") - F.col("joint")) * s).select("a", "b")
 
 
 def _sets(docs: DataFrame, firsts: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -250,11 +235,10 @@ def _sets(docs: DataFrame, firsts: DataFrame, pairs: DataFrame) -> DataFrame:
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text", SLICE):
             code, edge = word_sets(*text_bytes(batch.column("_text")))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array([code[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary())],
-                ["node", "codes"])
+            codes = pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(code.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("node"), codes], ["node", "codes"])
 
-    return materialize(texts.mapInArrow(sets_of, "node bigint, codes binary"), "join-sets")
+    return materialize(texts.mapInArrow(sets_of, "node bigint, codes array<bigint>"), "join-sets")
 
 
 def _matches(some: DataFrame, rows: DataFrame, which: Column, least: tuple[int, int]) -> DataFrame:
