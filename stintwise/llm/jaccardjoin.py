@@ -16,7 +16,8 @@ their intersection and union are at least as 85 to 100 (``least``), compared in
    posting end there, the others are numbered within their list.
 4. Large groups of copies are never made into pairs.  A list's heads are the ``HEADS`` documents
    with the most shared prefix shingles, so the least edited ones and much the same ones in all
-   lists of a group; matches are first counted between heads and documents only.  Of the pairs with l matches or more each
+   lists of a group; matches are first counted between heads and documents only, one row a
+   posting and head.  Of the pairs with l matches or more each
    document's best is compared exactly, and links make classes; then the pairs that are
    still apart.  After that only documents of different classes can add a link that
    matters: in each list, those outside its largest class meet the list, and pairs with l
@@ -55,7 +56,7 @@ LEAST = (85, 100)           # intersection : union
 CELLS = 1 << 18             # cells of the frequency estimate
 PIECE = 1 << 12             # cells that travel together
 MOST_MATCHES = 6            # the largest l
-HEADS = 8                   # documents of a list that all of it is compared with first
+HEADS = 1                   # documents of a list that all of it is compared with first
 SLICE = 1 << 19             # bytes of text that a worker looks at together
 KEY_BITS = 25               # of the table of wanted text keys: 4 MB
 VERIFY_SHARE = 4            # comparing two sets of n costs as much as reading n / 4 postings
