@@ -1,10 +1,11 @@
 """Token counts: map-side two-tier lookup of pre-token lengths.
 
 Tier one is a broadcast table ``pre-token -> number of tokens`` of the most
-frequent pre-tokens, counted over all documents: in every task, then summed by a
-shuffle on the pre-token; tier two is a cache in every Python worker that encodes a
-missed pre-token once.  A document's count is the sum over its pre-tokens, so
-no pre-token is ever shuffled in the counting pass.
+frequent pre-tokens, counted over all documents: every task keeps a Misra-Gries
+summary of a fixed number of counters, and summaries, one row each, are merged as a
+tree; tier two is a cache in every Python worker that encodes a missed pre-token
+once.  A document's count is the sum over its pre-tokens, so no exchange has a
+pre-token as its key.
 
 Pre-tokens are cut so that the sum is exact.  The model's pieces never hold a
 line feed and never hold a space mark after another character, so merges cannot
@@ -32,7 +33,6 @@ from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as model_pb2
 
 from stintwise.llm.common import slices
-from stintwise.session import materialize
 
 MARK = "▁"
 _UNIT = re.compile(r" ?[^ \n]+|\n| +[^ \n]*")
@@ -111,27 +111,69 @@ def _counter(path: str, broadcast, call: str) -> Pretokens:
     return _loaded[call]
 
 
-def pretoken_counts(docs: DataFrame, text: str = "text", unit_chars: int = 32, flush: int = 200_000) -> DataFrame:
-    """``unit``, ``n``: counts of the pre-tokens of at most ``unit_chars`` characters over all rows."""
+class Summary:
+    """Misra-Gries counts of pre-tokens: at most ``counters`` stay at a cut.
+
+    A count is never above the true one, and below it by less than all
+    occurrences seen, in merged summaries too, over ``counters``.
+    """
+
+    def __init__(self, counters: int, unit_chars: int):
+        self.seen: Counter[str] = Counter()
+        self.counters, self.unit_chars = counters, unit_chars
+
+    def cut(self) -> None:
+        """Drop what is too long; beyond the bound, take the first count that finds no place from all others."""
+        kept = {u: n for u, n in self.seen.items() if len(u) <= self.unit_chars}
+        if len(kept) > self.counters:
+            over = len(kept) - self.counters - 1
+            less = int(np.partition(np.fromiter(kept.values(), np.int64, len(kept)), over)[over])
+            kept = {u: n - less for u, n in kept.items() if n > less}
+        self.seen = Counter(kept)
+
+    def batch(self) -> pa.RecordBatch:
+        self.cut()
+        return pa.RecordBatch.from_pydict({"units": pa.array([list(self.seen)], pa.list_(pa.string())),
+                                           "counts": pa.array([list(self.seen.values())], pa.list_(pa.int64()))})
 
-    def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[str] = Counter()
 
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pydict({"unit": pa.array(list(seen), pa.string()),
-                                               "n": pa.array(list(seen.values()), pa.int64())})
+def pretoken_summary(docs: DataFrame, text: str = "text", counters: int = 1 << 17, unit_chars: int = 32,
+                     fan: int = 32, cut_chars: int = 1 << 24) -> dict[str, int]:
+    """Summary of the pre-tokens of at most ``unit_chars`` characters over all rows.
 
+    A task holds its own counters and reads the summaries of up to ``fan`` others one by one;
+    the driver gets the last one, of at most ``counters`` entries.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, read = Summary(counters, unit_chars), 0
         for batch in slices(batches, text):
             for t in batch.column(text).to_pylist():
-                seen.update(pretokens(t or ""))
-            if len(seen) > flush:
-                seen = Counter({u: n for u, n in seen.items() if len(u) <= unit_chars})
-                yield out()
-                seen = Counter()
-        seen = Counter({u: n for u, n in seen.items() if len(u) <= unit_chars})
-        yield out()
-
-    return docs.select(text).mapInArrow(units, "unit string, n bigint").groupBy("unit").agg(F.sum("n").alias("n"))
+                own.seen.update(pretokens(t or ""))
+                read += len(t or "")
+                if read > cut_chars or len(own.seen) > 4 * counters:
+                    own.cut()
+                    read = 0
+        yield own.batch()
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Summary(counters, unit_chars)
+        for batch in batches:
+            for units, counts in zip(batch.column("units"), batch.column("counts")):
+                own.seen.update(dict(zip(units.as_py(), counts.as_py())))
+                own.cut()
+        yield own.batch()
+
+    kind = "units array<string>, counts array<bigint>"
+    parts = docs.rdd.getNumPartitions()
+    rows = docs.select(text).mapInArrow(count, kind)
+    while parts > 1:
+        parts = -(-parts // fan)
+        rows = rows.repartition(parts).mapInArrow(merge, kind)
+    total: Counter[str] = Counter()
+    for r in rows.collect():        # one row, none of an empty table
+        total.update(dict(zip(r.units, r.counts)))
+    return total
 
 
 def frequent_lengths(docs: DataFrame, path: str, text: str = "text", entries: int = 1 << 16,
@@ -139,23 +181,13 @@ def frequent_lengths(docs: DataFrame, path: str, text: str = "text", entries: in
     """Lengths of the pre-tokens most frequent over all documents.
 
     At most ``entries`` pre-tokens of at most ``unit_chars`` characters, so the
-    table stays under 16 MB.  A histogram over steps of the logarithm gives the
-    least count that at most ``entries`` pre-tokens reach, so only those come to
-    the driver.  The table only saves work: a pre-token that it lacks is
-    encoded by the worker, with the same result.
+    table stays under 16 MB.  The summary has twice as many counters.  The table
+    only saves work: a pre-token that it lacks is encoded by the worker, with the
+    same result.
     """
-    counts = materialize(pretoken_counts(docs, text, unit_chars).where("n > 1"), "pretoken-counts")
-    step = F.floor(F.log2("n") * 64)
-    seen, least = 0, None
-    for r in counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("units")).orderBy(F.desc("step")).collect():
-        seen += r.units
-        if seen > entries:
-            break
-        least = r.step
-    if least is None:
-        return {}
-    units_ = [r.unit for r in counts.where(step >= least).collect()]
-    return dict(zip(units_, Pretokens(path).lengths(units_)))
+    total = pretoken_summary(docs, text, 2 * entries, unit_chars)
+    units = sorted((u for u, n in total.items() if n > 1), key=lambda u: (-total[u], u))[:entries]
+    return dict(zip(units, Pretokens(path).lengths(units)))
 
 
 def token_counts(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id",

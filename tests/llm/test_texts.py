@@ -42,6 +42,17 @@ def test_frequent_pretokens_are_counted_over_all_documents(spark):
     assert set(tokencount.frequent_lengths(few, PIECES, entries=2)) == {" a", " b"}
 
 
+def test_summaries_hold_their_bound_when_merged(spark):
+    rnd = random.Random(4)
+    words = [f"w{int(rnd.paretovariate(0.6)) % 5000}" for _ in range(60_000)]
+    df = spark.createDataFrame([(" ".join(words[i:i + 20]),) for i in range(0, 60_000, 20)], "text string").repartition(9)
+    true = collections.Counter(f" {w}" for w in words)
+    got = tokencount.pretoken_summary(df, counters=200, fan=2, cut_chars=3000)
+    assert len(got) <= 200 and all(true[u] - len(words) / 200 <= n <= true[u] for u, n in got.items())
+    assert all(u in got for u, n in true.items() if n > len(words) / 200)
+    assert tokencount.pretoken_summary(df.limit(0)) == {}
+
+
 def test_token_counts_of_odd_rows(odd_docs, no_docs):
     sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     want = collections.Counter()
