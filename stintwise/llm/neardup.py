@@ -323,8 +323,12 @@ def _verify(rows: DataFrame, keys: list[str], similarity: float, least: float) -
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
-                    bucket_block: int = 1024, group_rows: int = 2048, group_shingles: int = 2_000_000) -> DataFrame:
-    """``doc_id`` and ``class_id`` of every row; see the module's text."""
+                    bucket_block: int = 1024, group_rows: int = 2048, group_shingles: int = 2_000_000,
+                    with_keys: bool = False) -> DataFrame:
+    """``doc_id`` and ``class_id`` of every row; see the module's text.
+
+    ``with_keys`` adds ``class_key``, a number for the class, and ``text_key``.
+    """
     docs = docs.select(F.col(key).alias("_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
     docs = docs.withColumn("_key", text_key(F.col("_text")))
     signed = _sign(docs)
@@ -377,13 +381,24 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     named = nodes.select("key", "node", "least_id").join(classes, "node", "left").withColumn(
         "label", F.coalesce("label", "node"))
     ids = named.groupBy("label").agg(F.min("least_id").alias("class_id"))
-    by_key = named.join(ids, "label").select("key", "class_id")
-    return signed.select(F.col("doc_id").alias(key), "key").join(by_key, "key").select(key, "class_id")
+    by_key = named.join(ids, "label").select("key", "class_id", F.col("label").alias("class_key"))
+    rows = signed.select(F.col("doc_id").alias(key), "key").join(by_key, "key")
+    names = [key, "class_id"] if not with_keys else [key, "class_id", "class_key", F.col("key").alias("text_key")]
+    return rows.select(names)
 
 
 def keep_one(docs: DataFrame, classes: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of each class that have its least id, one of equal rows (id and text); rows without an id stay."""
-    lead, mark = free_name(docs, "_lead"), free_name(docs, "_mark")
-    leads = classes.where(F.col(key) == F.col("class_id")).select(F.col(key).alias(lead)).distinct()
-    kept = docs.join(leads, F.col(key) == F.col(lead), "left_semi").withColumn(mark, F.xxhash64(text))
-    return kept.dropDuplicates([key, mark]).drop(mark).unionByName(docs.where(F.col(key).isNull()))
+    """One row of each class: that of the least id, ties by the text's key; equal rows are one row.
+
+    ``classes`` is the result of ``near_duplicates`` over the same rows, ``class_key`` included:
+    a class is found by the text, so rows without an id and ids with several texts are kept once
+    a class too.
+    """
+    mine, lead, lead_text = (free_name(docs, c) for c in ("_key", "_lead", "_lead_text"))
+    texts = docs.withColumn(mine, text_key(F.coalesce(F.col(text).cast("string"), F.lit(""))))
+    # the least row of each class; a row without an id comes after those with one
+    order = F.struct(F.col(key).isNull(), F.col(key), F.col("text_key"))
+    leads = classes.groupBy("class_key").agg(F.min(order).alias("least"))
+    leads = leads.select(F.col("least")[key].alias(lead), F.col("least.text_key").alias(lead_text))
+    same = F.col(lead).eqNullSafe(F.col(key)) & (F.col(lead_text) == F.col(mine))
+    return texts.join(leads, same, "left_semi").dropDuplicates([key, mine]).drop(mine)

@@ -149,12 +149,24 @@ def test_near_duplicate_classes_equal_brute_force(spark, limits):
     docs = [(i, t) for i, (_, t) in enumerate(docs)]
     docs += [(500, None), (501, ""), (502, "  "), (503, "  "), (None, "alone without id"), (None, docs[0][1]), (504, docs[0][1].upper())]
     df = spark.createDataFrame([(d, t, "x", "y") for d, t in docs], "doc_id bigint, text string, key string, class_id string")
-    got = neardup.near_duplicates(df, **limits)
-    assert got.columns == ["doc_id", "class_id"]
+    keyed = neardup.near_duplicates(df, **limits, with_keys=True)
+    got = keyed.select("doc_id", "class_id")
     want = _classes(docs)
     assert collections.Counter(map(tuple, got.collect())) == want
-    kept = neardup.keep_one(df, got).collect()
+    kept = neardup.keep_one(df, keyed).collect()
     assert sorted(r.doc_id for r in kept if r.doc_id is not None) == sorted({c for _, c in want if c is not None})
+    assert [r.text for r in kept if r.doc_id is None] == ["alone without id"]
+
+
+def test_keep_one_with_null_and_repeated_ids(spark):
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(None, a)] * 50 + [(7, b), (7, a), (7, b), (9, b), (None, "no id"), (None, "no id"), (8, None), (3, "")]
+    df = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id bigint, text string, text_key string")
+    kept = neardup.keep_one(df, neardup.near_duplicates(df, with_keys=True))
+    assert kept.columns == df.columns
+    # one id with two texts leads both classes; empty and null texts are one class
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == sorted(
+        [("7", a), ("7", b), ("None", "no id"), ("3", "")])
 
 
 def test_near_duplicates_of_nothing(no_docs):
