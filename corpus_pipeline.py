@@ -6,12 +6,13 @@ columns of ``documents``.
 
 * quality: a line CRF is fitted on the labelled rows outside the held-out third; documents
   scored under 0.5 go;
-* near_dedup: one document of each near-duplicate class stays, that of the least id;
+* near_dedup: one document of each near-duplicate class stays, that of the least id
+  (without any id in the class, that of the least text key);
 * decontaminate: documents that hold a benchmark text go;
 * pack: the rest is cut into token sequences.
 
 Null and empty texts are scored, deduplicated (equal texts are one class) and packed like
-any others; rows that repeat an id are one document to near_dedup; empty tables pass
+any others; equal rows are one document to near_dedup, classes go by the text and not by the id; empty tables pass
 through; further columns stay up to the last stage.
 """
 
@@ -34,7 +35,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class."""
-    return neardup.keep_one(docs, neardup.near_duplicates(docs))
+    return neardup.keep_one(docs, neardup.near_duplicates(docs, with_keys=True))
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
