@@ -7,10 +7,9 @@ is turn k's span; an output that does not begin with the one before shows a
 template that rewrites history.  The text's place within a span is found the same
 way, from two renderings of the turn with different texts.
 
-Conversations over ``exact_turns`` turns are rendered in windows (the first turn and
-the last ``window`` ones) to avoid quadratic work.  The windows' spans are kept only
-if they add up to the rendering of the whole conversation; otherwise all prefixes
-are rendered.
+Every prefix of every conversation is rendered, so a template that rewrites only in
+between is found at any length; the characters rendered grow with the square of a
+conversation's turns.
 
 Defined cases: a null text or role is empty; turns are ordered by turn number
 (nulls first), then role and text, so ties and repeated rows have a fixed order and
@@ -98,7 +97,8 @@ class Located:
     rewritten_at: int | None = None      # first turn whose rendering changes earlier output
 
 
-def _by_prefixes(render, turns: list[Turn]) -> Located:
+def locate_turns(render, turns: list[Turn]) -> Located:
+    """Each turn's span in the rendered conversation, by rendering all its prefixes."""
     before, spans, rewritten = "", [], None
     for k in range(1, len(turns) + 1):
         now = render(turns[:k])
@@ -109,22 +109,6 @@ def _by_prefixes(render, turns: list[Turn]) -> Located:
     return Located(before, spans if rewritten is None else None, rewritten)
 
 
-def locate_turns(render, turns: list[Turn], exact_turns: int = 64, window: int = 4) -> Located:
-    """Each turn's span in the rendered conversation."""
-    if len(turns) <= exact_turns:
-        return _by_prefixes(render, turns)
-    whole, at, spans = render(turns), 0, []
-    for k in range(len(turns)):
-        near = turns[:1] + turns[max(1, k - window):k] if k else []
-        before, now = (render(near) if near else ""), render(near + [turns[k]])
-        added = now[len(before):]
-        if not now.startswith(before) or not whole.startswith(added, at):
-            return _by_prefixes(render, turns)
-        spans.append((at, at + len(added)))
-        at += len(added)
-    return Located(whole, spans) if at == len(whole) else _by_prefixes(render, turns)
-
-
 def _common(a: str, b: str) -> int:
     n = min(len(a), len(b))
     return next((i for i in range(n) if a[i] != b[i]), n)

@@ -149,21 +149,30 @@ class Rewriting(chat.InstTemplate):
 
 
 class Aware(chat.InstTemplate):
-    """A turn's rendering depends on the number of turns before it: windows do not add up."""
+    """A turn's rendering depends on the number of turns before it."""
 
     def render(self, turns):
         return "".join(f"#{i}" + chat.InstTemplate.render(self, [t]) for i, t in enumerate(turns))
 
 
+class Wavering(chat.InstTemplate):
+    """Rewrites the first turn in the prefix of 150 turns alone; the whole conversation does not show it."""
+
+    def render(self, turns):
+        return ("!" if len(turns) == 150 else "") + chat.InstTemplate.render(self, turns)
+
+
 @pytest.mark.parametrize("n", [5, 200])
-def test_rewriting_is_detected_and_windows_are_verified(n):
+def test_rewriting_is_detected_at_any_length(n):
     turns = [(("user", "assistant")[i % 2], f"text {i}") for i in range(n)]
     assert chat.locate_turns(Rewriting().render, turns).spans is None
     assert chat.locate_turns(Rewriting().render, turns).rewritten_at == 3
     for template in (chat.InstTemplate(), Aware()):
         got = chat.locate_turns(template.render, turns)
+        ends = [len(template.render(turns[:k])) for k in range(n + 1)]
         assert got.text == template.render(turns)
-        assert got.spans == chat._by_prefixes(template.render, turns).spans
+        assert got.spans == list(zip(ends, ends[1:]))
+    assert chat.locate_turns(Wavering().render, turns).rewritten_at == (149 if n > 150 else None)
 
 
 def test_chat_rows_with_nulls_ties_and_repeats(spark):
