@@ -5,8 +5,10 @@ the largest norm, a query q becomes (q, 0); then the nearest vector has the larg
 inner product.  The vectors are rotated by one random orthogonal matrix, so the first
 columns of a rotated difference estimate its whole length.
 
-1. Centres: k-means over a sample of about ``sample_rows`` vectors, in the driver.  Every
-   vector, of the sample or not, is filed in the list of its nearest centre; a list is cut
+1. Centres: k-means over a sample of vectors, in the driver.  There are ``sqrt(n) / 2`` lists for n
+   vectors, and the sample holds ``rows_per_list`` vectors for each and ``sample_rows`` at least; it is
+   bounded by ``most_sample_rows``, so beyond about 4 million vectors (with the defaults) the lists grow
+   longer, not more.  Every vector, of the sample or not, is filed in the list of its nearest centre; a list is cut
    into blocks of about ``block_rows``, so a list that holds a third of all vectors is spread.
 2. A query probes its ``probes`` nearest lists.  Queries of a block are cut too, and each
    (list, vector block, query block) is one unit of work, sorted and streamed in a task.
@@ -19,8 +21,8 @@ columns of a rotated difference estimate its whole length.
 4. The survivors' scores are computed from the original vectors in double precision; each
    unit gives its best k, and a window over those gives the query's best k.
 
-``probes`` comes from the same sample: the least number of lists at which the sample's
-own queries find ``target`` of their true neighbours.
+``probes`` comes from the same sample, for tables of any size: the least number of lists at which the
+sample's own queries find ``target`` of their true neighbours.
 
 Defined cases: vectors that are null, empty, zero, of another length than most, or hold null or
 non-finite components take no part; equal scores are ranked by the smaller id; the
@@ -183,7 +185,8 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 def nearest(rows: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", vector: str = "embedding",
             lists: int | None = None, sample_rows: int = 8192, target: float = 0.97, block_rows: int = 8192,
-            query_rows: int = 1024, columns: int = 16, strictness: float = 2.1, seed: int = 11) -> DataFrame:
+            query_rows: int = 1024, columns: int = 16, strictness: float = 2.1, seed: int = 11,
+            rows_per_list: int = 32, most_sample_rows: int = 1 << 15) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score`` of the ``k`` nearest found for every query row.
 
     ``is_query`` is a condition over the column ``id``.
@@ -197,18 +200,17 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id",
     n, d = widths.n, widths.d
     rows = rows.where(F.size("v") == d)
     longest = rows.agg(F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)))).first()[0]
+    if lists is None:
+        lists = max(1, min(int(np.sqrt(n) / 2), most_sample_rows // rows_per_list))
+    sample_rows = min(most_sample_rows, max(sample_rows, rows_per_list * lists))
     part = (sample_rows << 30) // n
     sample = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < part) if n > sample_rows else rows
     # about sample_rows vectors; a repeated id counts once, so the bound holds whatever repeats
-    got = sample.groupBy("id").agg(F.min("v").alias("v")).orderBy("id").collect()
-    if not got:
+    got = sample.groupBy("id").agg(F.min("v").alias("v")).orderBy("id").toArrow()
+    if not got.num_rows:
         return empty
-    if lists is None:
-        lists = max(1, min(256, int(np.sqrt(n) / 2)))
-    made, probes = fit_lists(np.array([r.v for r in got]), longest, lists, k, target, seed)
+    made, probes = fit_lists(_matrix(got.column("v").combine_chunks()), longest, lists, k, target, seed)
     lists = len(made.centres)
-    if n < 2048:
-        probes = lists
     shared = spark.sparkContext.broadcast(made)
     filed_schema = "id bigint, v array<double>, y array<double>, first boolean, list int"
 
