@@ -1,7 +1,7 @@
 """Language-model scoring: a hidden Markov model over word symbols.
 
 Tokens are the words ``[^\\x20\\x09-\\x0D]+`` of the text with A-Z lower-cased,
-then one end token.  The model emits *symbols*: the ``own_words`` most frequent
+then one end token; a word over 64 bytes goes by its 16-byte digest and last two bytes.  The model emits *symbols*: the ``own_words`` most frequent
 training words and the end have one each, all other words share ``buckets``
 symbols by a hash of their last two bytes.  Within a shared symbol a word has
 probability ``(c + 1) / (N_s + V_s + 1)``, with c its training count, N_s and V_s
@@ -12,17 +12,19 @@ recursion over the whole text, of any length.
 
 Jobs, in order:
 
-* word counts of the training rows: counted in every task, summed by a shuffle
-  on the word and written once;
-* the ``frequent_words`` most frequent words (at most 64 bytes each, so the table
-  is bounded) are broadcast; every text is encoded once into symbols, with the
-  sums over frequent words, and its rarer words with their counts in the text;
+* word counts, of all rows and of the training rows: counted in every task, summed by a
+  shuffle on the word and written once;
+* the ``frequent_words`` most frequent training words, and as many that only other rows
+  hold, are broadcast (words are short, so the table is bounded); every text is encoded
+  once into symbols, with the sums over frequent words, and its rarer words with their
+  counts in the text;
 * the rarer words meet their training counts in a join on the word.  None of
-  them is frequent, so no key of that join is hot in training text;
+  them is frequent, so no key of that join is hot;
 * Baum-Welch: each task runs forward-backward over its texts and emits expected
   counts, which a shuffle by symbol sums; only the summed model (states x
-  symbols) reaches the driver.  All training tokens are used; a text is cut into
-  runs of ``run_tokens`` that count as sequences of their own in training;
+  symbols) reaches the driver.  All training tokens are used, each text as one
+  sequence: a long text is laid out in runs of ``run_tokens`` that are worked through side by
+  side, with the exact forward and backward state carried over their borders;
 * scoring by the forward recursion, uncut.
 
 Defined cases: null and empty texts hold the end token only; repeated rows and
@@ -32,6 +34,7 @@ gives an empty result; without training rows all symbols are equally likely.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -50,8 +53,11 @@ WORD_BYTES = 64
 
 
 def tokens(text: str | None) -> list[bytes]:
-    """The words of a text (bytes.lower and bytes.split know ASCII only)."""
-    return (text or "").encode().lower().split()
+    """The words of a text (bytes.lower and bytes.split know ASCII only), long ones as digests."""
+    out = (text or "").encode().lower().split()
+    if max(map(len, out), default=0) > WORD_BYTES:
+        out = [w if len(w) <= WORD_BYTES else b"\0" + hashlib.blake2b(w, digest_size=16).digest() + w[-2:] for w in out]
+    return out
 
 
 @dataclass(frozen=True)
@@ -99,11 +105,14 @@ class Runs:
         self.row[at] = d
         self.n = len(sequences)
 
-    def forward(self, m: Model, keep: bool) -> tuple[np.ndarray, np.ndarray | None]:
-        """Scale factors of every token, and the scaled forward variables if they are kept."""
+    def forward(self, m: Model, keep: bool, enter: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None]:
+        """Scale factors of every token, and the scaled forward variables if they are kept.
+
+        ``enter``: each sequence's state probabilities before its first token, if not ``m.start``.
+        """
         scale = np.empty(len(self.symbol))
         kept = np.empty((len(self.symbol), len(m.start)), np.float32) if keep else None
-        a = m.start[None, :]
+        a = m.start[None, :] if enter is None else enter[self.order]
         for t, k in enumerate(self.active):
             lo, hi = self.first[t], self.first[t] + k
             a = (a[:k] @ m.move if t else a) * m.emit[self.symbol[lo:hi]]
@@ -121,64 +130,125 @@ class Runs:
         out[self.order] = np.bincount(self.row, np.log10(scale), minlength=self.n)
         return out
 
-    def expected(self, m: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Expected starts, moves and emissions (forward-backward)."""
-        scale, alpha = self.forward(m, keep=True)
+    def transfers(self, m: Model) -> np.ndarray:
+        """Per sequence the matrix from the state before its first token to that at its last one, up to a factor."""
+        states = len(m.start)
+        out = np.empty((self.n, states, states))
+        now = np.broadcast_to(np.eye(states), (self.n, states, states))
+        for t, k in enumerate(self.active):
+            lo = self.first[t]
+            now = (now[:k] @ m.move if t else now) * m.emit[self.symbol[lo:lo + k]][:, None, :]
+            now /= now.sum(axis=(1, 2), keepdims=True)
+            out[self.order[:k]] = now
+        return out
+
+    def expected(self, m: Model, enter: np.ndarray | None = None, leave: np.ndarray | None = None,
+                 heads: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Expected starts, moves and emissions (forward-backward).
+
+        ``enter``: as in ``forward``; ``leave``: the backward variables of each sequence's last
+        token, ones if its text ends there, up to a factor; ``heads``: the sequences that begin
+        a text, if not all.
+        """
+        scale, alpha = self.forward(m, keep=True, enter=enter)
         states = len(m.start)
         moves = np.zeros((states, states))
-        beta = np.ones((self.active[-1], states))
+        ends = np.ones((self.n, states)) if leave is None else leave[self.order]
+        beta = np.zeros((0, states))
         for t in range(len(self.active) - 1, -1, -1):
             lo, k = self.first[t], self.active[t]
-            if t + 1 < len(self.active):
-                nxt, after = self.first[t + 1], self.active[t + 1]
+            after = len(beta)
+            # sequences whose last token this is: the posterior there sums to one
+            last = ends[after:k] / (alpha[lo + after:lo + k] * ends[after:k]).sum(axis=1, keepdims=True)
+            if after:
+                nxt = self.first[t + 1]
                 v = m.emit[self.symbol[nxt:nxt + after]] * beta / scale[nxt:nxt + after, None]
                 moves += alpha[lo:lo + after].T @ v
-                beta = np.ones((k, states))
-                beta[:after] = v @ m.move.T
+                last = np.concatenate([v @ m.move.T, last])
+            beta = last
             # alpha becomes the posterior of the state in place
             alpha[lo:lo + k] *= beta
         emits = np.stack([np.bincount(self.symbol, alpha[:, s], minlength=len(m.emit)) for s in range(states)], 1)
-        return alpha[: self.active[0]].sum(axis=0, dtype=np.float64), moves * m.move, emits
+        starts = alpha[: self.n] if heads is None else alpha[: self.n][heads[self.order]]
+        return starts.sum(axis=0, dtype=np.float64), moves * m.move, emits
 
 
-def word_counts(docs: DataFrame, text: str, flush: int = 200_000) -> DataFrame:
-    """``word`` (binary), ``n``: counts over all rows."""
+def expected_counts(texts: list[np.ndarray], m: Model, run_tokens: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Expected starts, moves and emissions of whole texts.
+
+    A text over ``run_tokens`` symbols is laid out in runs.  Their transfer matrices, chained from
+    run to run, give the exact state at every border, so the counts are those of the uncut text.
+    """
+    pieces = [[s[i:i + run_tokens] for i in range(0, len(s), run_tokens)] for s in texts]
+    runs = [r for p in pieces for r in p]
+    n = np.array([len(p) for p in pieces])
+    head = np.cumsum(n) - n                     # each text's first run
+    states = len(m.start)
+    enter, leave = np.tile(m.start, (len(runs), 1)), np.ones((len(runs), states))
+    border = np.zeros((states, states))
+    split = np.flatnonzero(n > 1)
+    inside = np.concatenate([np.arange(head[d], head[d] + n[d]) for d in split]) if len(split) else np.zeros(0, np.int64)
+    if len(inside):
+        across = dict(zip(inside.tolist(), Runs([runs[r] for r in inside]).transfers(m)))
+        for d in split:
+            for r in range(head[d], head[d] + n[d] - 1):
+                at_end = enter[r] @ across[r]
+                enter[r + 1] = at_end @ m.move / at_end.sum()
+            for r in range(head[d] + n[d] - 1, head[d], -1):
+                before = across[r] @ leave[r]    # backward variables ahead of run r's first token
+                leave[r - 1] = m.move @ before / before.sum()
+                # the move into run r: states at the end of r - 1, times the move, times what follows
+                at_end = enter[r - 1] @ across[r - 1]
+                joint = at_end[:, None] * m.move * before[None, :]
+                border += joint / joint.sum()
+    heads = np.zeros(len(runs), bool)
+    heads[head] = True
+    starts, moves, emits = Runs(runs).expected(m, enter, leave, heads)
+    return starts, moves + border, emits
+
+
+def word_counts(docs: DataFrame, text: str, held: str, flush: int = 200_000) -> DataFrame:
+    """``word`` (binary), ``n`` and ``other``: counts over the rows where ``held`` is false, and over the rest."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[bytes] = Counter()
+        seen: tuple[Counter[bytes], Counter[bytes]] = (Counter(), Counter())
 
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pydict({"word": pa.array(list(seen), pa.binary()),
-                                               "n": pa.array(list(seen.values()), pa.int64())})
+        def out() -> Iterator[pa.RecordBatch]:
+            for i, name in enumerate(("n", "other")):
+                size, counts = len(seen[i]), pa.array(list(seen[i].values()), pa.int64())
+                zeros = pa.array(np.zeros(size, np.int64))
+                yield pa.RecordBatch.from_pydict({"word": pa.array(list(seen[i]), pa.binary()),
+                                                  "n": zeros if i else counts, "other": counts if i else zeros})
+                seen[i].clear()
 
         for batch in slices(batches, text):
-            for t in batch.column(text).to_pylist():
-                seen.update(tokens(t))
-            if len(seen) > flush:
-                yield out()
-                seen = Counter()
-        yield out()
+            for t, i in zip(batch.column(text).to_pylist(), batch.column(held).to_pylist()):
+                seen[i].update(tokens(t))
+            if len(seen[0]) + len(seen[1]) > flush:
+                yield from out()
+        yield from out()
 
-    return docs.select(text).mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return (docs.select(text, held).mapInArrow(count, "word binary, n bigint, other bigint")
+            .groupBy("word").agg(F.sum("n").alias("n"), F.sum("other").alias("other")))
 
 
-def _most_frequent(counts: DataFrame, limit: int) -> list[tuple[bytes, int]]:
-    """At most ``limit`` words with the highest counts, most frequent first.
+def _most_frequent(counts: DataFrame, limit: int, by: str = "n") -> list[tuple[bytes, int]]:
+    """At most ``limit`` words with the highest counts ``by``, most frequent first.
 
     A histogram over steps of the logarithm gives the least count that at most
     ``limit`` words reach, so only those words come to the driver.
     """
-    short = counts.where(F.octet_length("word") <= WORD_BYTES)
-    step = F.floor(F.log2("n") * 64)
+    step = F.floor(F.log2(by) * 64)
     seen, least = 0, None
-    for r in short.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("step")).collect():
+    for r in counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("step")).collect():
         seen += r.words
         if seen > limit:
             break
         least = r.step
     if least is None:
         return []
-    return sorted(((bytes(r.word), r.n) for r in short.where(step >= least).collect()), key=lambda r: (-r[1], r[0]))
+    rows = counts.where(step >= least).select("word", by).collect()
+    return sorted(((bytes(r.word), r[by]) for r in rows), key=lambda r: (-r[1], r[0]))
 
 
 def _symbol_totals(counts: DataFrame, own: set[bytes], symbols: Symbols) -> tuple[np.ndarray, np.ndarray]:
@@ -205,7 +275,7 @@ def _symbol_totals(counts: DataFrame, own: set[bytes], symbols: Symbols) -> tupl
 def _encode(rows: DataFrame, top: list[tuple[bytes, int]], symbols: Symbols, share: np.ndarray) -> DataFrame:
     """Every text as symbols, sums over its frequent words, and its rarer words.
 
-    ``known``: tokens found in ``top``; ``base_sum``: sum of log10(c + 1) over them;
+    ``known``: tokens found in ``top`` with a count; ``base_sum``: sum of log10(c + 1) over them;
     ``class_sum``: log10 shares of words in shared symbols, without log10(c + 1) of rarer words.
     """
     spark = rows.sparkSession
@@ -231,7 +301,7 @@ def _encode(rows: DataFrame, top: list[tuple[bytes, int]], symbols: Symbols, sha
                 sym[rare] = [symbols.shared(w) for w in rest]
                 hits = code[found]
                 syms.append(sym.astype(np.uint16).tobytes())
-                known.append(len(hits))
+                known.append(int(np.count_nonzero(logs[hits])))
                 base.append(float(logs[hits].sum()))
                 klass.append(float(logs[hits[hits >= symbols.own]].sum() - log_share[sym].sum()))
                 tally = Counter(rest)
@@ -280,11 +350,8 @@ def baum_welch(coded: DataFrame, model: Model, iterations: int, run_tokens: int)
             m = now.value
             starts, moves, emits = np.zeros(len(m.start)), np.zeros(m.move.shape), np.zeros(m.emit.shape)
             for block in _blocks(batches):
-                runs = []
-                for b in block.column("syms").to_pylist():
-                    s = np.frombuffer(b, np.uint16).astype(np.int64)
-                    runs += [s[i:i + run_tokens] for i in range(0, len(s), run_tokens)]
-                a, b, c = Runs(runs).expected(m)
+                texts = [np.frombuffer(b, np.uint16).astype(np.int64) for b in block.column("syms").to_pylist()]
+                a, b, c = expected_counts(texts, m, run_tokens)
                 starts, moves, emits = starts + a, moves + b, emits + c
             used = np.flatnonzero(emits.any(axis=1))
             rows = [starts, *moves, *emits[used]]
@@ -320,7 +387,8 @@ def score_texts(docs: DataFrame, held_out: Column, key: str = "doc_id", text: st
     rows = docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text"),
                        F.coalesce(held_out, F.lit(False)).alias("_held"))
     train = rows.where(~F.col("_held"))
-    counts = materialize(word_counts(train, "_text"), "hmm-counts")
+    everywhere = materialize(word_counts(rows, "_text", "_held"), "hmm-counts")
+    counts = everywhere.where("n > 0")
     ends = train.count()
     size = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = size.n + ends, size.v + (1 if ends else 0)
@@ -330,7 +398,9 @@ def score_texts(docs: DataFrame, held_out: Column, key: str = "doc_id", text: st
     tokens_in, words_in = _symbol_totals(counts, {w for w, _ in top[:symbols.own]}, symbols)
     share = np.ones(symbols.size)               # denominators of the words' shares
     share[symbols.own + 1:] = (tokens_in + words_in + 1)[symbols.own + 1:]
-    coded = _encode(rows, top, symbols, share)
+    # words of other rows alone count 0; with them in the table none of the rarer words is frequent anywhere
+    strange = _most_frequent(everywhere.where("n = 0"), frequent_words, by="other")
+    coded = _encode(rows, top + [(w, 0) for w, _ in strange], symbols, share)
 
     symbol_counts = tokens_in.astype(np.float64)
     symbol_counts[:symbols.own] = [c for _, c in top[:symbols.own]]

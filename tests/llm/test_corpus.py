@@ -223,6 +223,22 @@ def test_nearest_with_few_rows_is_exact(spark):
     assert ann.nearest(df.limit(1), F.col("id") == 0).count() == 0
 
 
+@pytest.mark.parametrize("n", [300, 5000])
+def test_recall_and_lists_at_small_and_larger_sizes(spark, n):
+    """Probes are fitted and lists grow with the root of n at any size; no table is searched in full."""
+    rng = np.random.default_rng(12)
+    v = rng.normal(size=(n, 16)) + 3 * rng.normal(size=(10, 16))[rng.integers(0, 10, n)]
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id bigint, embedding array<double>")
+    got = collections.defaultdict(set)
+    for r in ann.nearest(df, F.col("id") % 20 == 0, sample_rows=256, rows_per_list=16).collect():
+        got[r.query_id].add(r.vec_id)
+    assert set(got) == set(range(0, n, 20))
+    s = v[::20] @ v.T
+    s[np.arange(len(s)), np.arange(0, n, 20)] = -np.inf
+    true = np.argsort(-s, axis=1)[:, :20]
+    assert np.mean([len(got[20 * i] & set(t.tolist())) / 20 for i, t in enumerate(true)]) >= 0.9
+
+
 def test_nearest_finds_k_when_near_lists_hold_few(spark):
     rng = np.random.default_rng(8)
     v = rng.normal(size=(3000, 8))
@@ -286,6 +302,39 @@ def test_forward_recursion_equals_enumeration():
         assert np.allclose(got, want, atol=1e-5)
 
 
+@pytest.mark.parametrize("run", [1, 2, 7, 64])
+def test_counts_do_not_depend_on_the_runs(run):
+    rng = np.random.default_rng(6)
+    m = hmm.Model(rng.dirichlet(np.ones(3)), rng.dirichlet(np.ones(3), 3), rng.dirichlet(np.ones(9), 3).T)
+    texts = [rng.integers(0, 9, n) for n in (1, 40, 7, 300, 8, 1, 14)]
+    got = hmm.expected_counts(texts, m, run)
+    for a, b in zip(got, hmm.Runs(texts).expected(m)):
+        assert np.allclose(a, b, rtol=1e-4, atol=1e-4)
+    assert got[0].sum() == pytest.approx(len(texts), rel=1e-5)          # every text starts once
+    assert got[1].sum() == pytest.approx(sum(len(t) - 1 for t in texts), rel=1e-5)
+
+
+def test_long_words_and_words_of_held_out_texts_are_frequent(spark):
+    line, strange = "=" * 100, "only-held-out"
+    rows = [(i, f"{line} {strange if i % 7 == 2 else 'common'} w{i}") for i in range(700)] + [(9, line + "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    counts = hmm.word_counts(docs.withColumn("held", F.col("doc_id") % 7 == 2), "text", "held")
+    key, = hmm.tokens(line)
+    assert len(key) == 19 and key != hmm.tokens(line + "x")[0]
+    assert hmm._most_frequent(counts.where("n > 0"), 2) == [(key, 600), (b"common", 600)]
+    assert hmm._most_frequent(counts.where("n = 0"), 50, by="other") == [(strange.encode(), 100)]
+    held = F.col("doc_id") % 7 == 2
+    some, all_ = (hmm.score_texts(docs, held, frequent_words=n, own_words=2, buckets=16, iterations=2) for n in (2, 1 << 17))
+    # of held-out texts the line and the end are known; 9 % 7 == 2, so row 9's second text has a new word and the end
+    want = {i: [2] if i % 7 == 2 else [4] for i, _ in rows}
+    want[9] = [1, 2]
+    for got in (some, all_):
+        found = collections.defaultdict(list)
+        for r in got.collect():
+            found[r.doc_id].append(r.n_known)
+        assert {i: sorted(v) for i, v in found.items()} == {i: sorted(v) for i, v in want.items()}
+
+
 def test_scores_of_odd_rows(odd_docs, no_docs):
     held = F.col("doc_id") % 7 == 2
     # no word is frequent enough for the first tier, then all are
