@@ -114,10 +114,24 @@ def probability_jaccard(a_ids, a_weight, b_ids, b_weight) -> float:
     for r, t in zip(ratios, times):
         # for an element with y/x = r: 1 / sum(max(x' / x, y' / y)), up to its own y
         both = np.maximum(x * r, y).sum() + only_a * r + only_b
-        total += (y[y / x == r] / both).sum() if t else 0.0
+        total += y[y / x == r].sum() / both if t else 0.0
     return float(total)
 
 
+def _most_similar(x: np.ndarray, y: np.ndarray, owner: np.ndarray, x_total: float, y_total: np.ndarray) -> np.ndarray:
+    """Upper bounds of the similarity of one set with several; exact where shared elements weigh the same in both.
+
+    ``y``: the weights of the several sets' elements, of set ``owner``; ``x``: those of the same
+    elements in the one set, 0 if absent.  The sum of max(x' / x, y' / y) over all elements is at
+    least that of y' / y over the other set's and of x' / x over this set's alone.
+    """
+    n = len(y_total)
+    alone = x_total - np.bincount(owner, x, minlength=n)
+    hit = x > 0
+    x, y, owner = x[hit], y[hit], owner[hit]
+    return np.bincount(owner, y / (y_total[owner] + alone[owner] * (y / x)), minlength=n)
+
+
 def text_key(text: Column) -> Column:
     """16 bytes that stand for a text."""
     return F.unhex(F.substring(F.sha2(text.cast("binary"), 256), 1, 32))
@@ -283,24 +297,41 @@ def _verify(rows: DataFrame, keys: list[str], similarity: float, least: float) -
             flat = [r for g in groups for r in g]
             row, ids, weight = shingles(*text_bytes(pa.array([r[k + 4] for r in flat], pa.large_string())))
             edge = np.searchsorted(row, np.arange(len(flat) + 1))
+            code = np.unique(ids, return_inverse=True)[1]
+            mine = np.zeros(len(code) + 1)              # the weights of one set's elements, by code
+            total = np.bincount(row, weight, minlength=len(flat))
             sig = np.frombuffer(b"".join(r[k + 3] for r in flat), np.uint32).reshape(len(flat), -1)
+
+            def bounds(i: int, others: np.ndarray) -> np.ndarray:
+                size = edge[others + 1] - edge[others]
+                owner = np.repeat(np.arange(len(others)), size)
+                place = np.arange(len(owner)) + (edge[others] - np.cumsum(size) + size)[owner]
+                return _most_similar(mine[code[place]], weight[place].astype(np.float64), owner, total[i], total[others])
+
             at = 0
             for g in groups:
-                tied, n = _Groups({r[k + 1] for r in g}), len(g)
+                n = len(g)
                 own = sig[at:at + n]
+                root = np.unique([r[k + 1] for r in g], return_inverse=True)[1]
                 split = sum(1 for r in g if not r[k]) if g[0][k] is not None else None
                 for i in range(split if split is not None else 1, n):
                     upto = split if split is not None else i
                     agree = (own[:upto] == own[i]).mean(axis=1)
-                    near = np.flatnonzero(agree >= least)
-                    for j in near[np.argsort(-agree[near], kind="stable")]:
-                        a, b = g[i], g[j]
-                        if tied.find(a[k + 1]) == tied.find(b[k + 1]):
-                            continue
-                        x, y = slice(edge[at + i], edge[at + i + 1]), slice(edge[at + j], edge[at + j + 1])
-                        if probability_jaccard(ids[x], weight[x], ids[y], weight[y]) >= similarity:
-                            tied.join(a[k + 1], b[k + 1])
-                            out.append((a[k + 2], b[k + 2]))
+                    near = np.flatnonzero((agree >= least) & (root[:upto] != root[i]))
+                    near = near[np.argsort(-agree[near], kind="stable")]
+                    x = slice(edge[at + i], edge[at + i + 1])
+                    mine[code[x]] = weight[x]
+                    some = 4                            # sets looked at together; a link leaves fewer to look at
+                    while len(near):
+                        part, near = near[:some], near[some:]
+                        for j in part[bounds(at + i, at + part) >= similarity - 1e-9]:
+                            y = slice(edge[at + j], edge[at + j + 1])
+                            if root[i] != root[j] and probability_jaccard(ids[x], weight[x], ids[y], weight[y]) >= similarity:
+                                root[root == root[j]] = root[i]
+                                out.append((g[i][k + 2], g[j][k + 2]))
+                        near = near[root[near] != root[i]]
+                        some = min(256, 4 * some)
+                    mine[code[x]] = 0
                 at += n
 
         held, size = [], 0

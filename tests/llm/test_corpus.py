@@ -138,6 +138,25 @@ def test_probability_jaccard_and_its_estimate():
         assert (sig[i] == sig[j]).mean() == pytest.approx(exact, abs=0.05)
 
 
+def test_similarity_bound_holds_and_is_tight_for_equal_weights():
+    rng = np.random.default_rng(2)
+    for heavy in (1, 4):
+        sets = []
+        for _ in range(40):
+            ids = np.sort(rng.choice(30, rng.integers(1, 25), replace=False)).astype(np.uint64)
+            sets.append((ids, rng.integers(1, heavy + 1, len(ids))))
+        weights = np.zeros(30)
+        weights[sets[0][0].astype(int)] = sets[0][1]
+        rest = sets[1:]
+        owner = np.repeat(np.arange(len(rest)), [len(i) for i, _ in rest])
+        ids, y = (np.concatenate(c) for c in zip(*rest))
+        got = neardup._most_similar(weights[ids.astype(int)], y.astype(float), owner, weights.sum(),
+                                    np.bincount(owner, y, minlength=len(rest)))
+        true = np.array([neardup.probability_jaccard(*sets[0], *s) for s in rest])
+        assert (got >= true - 1e-12).all()
+        assert heavy > 1 or np.allclose(got, true)
+
+
 @pytest.mark.parametrize("limits", [{}, {"bucket_block": 3, "group_rows": 4}])
 def test_near_duplicate_classes_equal_brute_force(spark, limits):
     rnd = random.Random(9)
