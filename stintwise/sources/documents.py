@@ -3,8 +3,9 @@
 Files are read on the executors by Spark's text source with a record delimiter, so one
 large file is cut into splits like any other text: a stream of documents at its ``---``
 lines, a season at the items of its top-level list.  Each record is parsed once in a
-``mapInPandas`` worker (the YAML parser is the only Python on this path) and handed back
-as JSON text, which ``from_json`` turns into typed columns with a declared schema.
+``mapInArrow`` worker (the YAML parser is the only Python on this path) and handed back
+as JSON text, which ``from_json`` turns into typed columns with a declared schema.  Records of
+the simplest block form (see ``block_reader``) are read line by line, all others by the YAML library.
 
 What cannot be parsed record by record fails with a message that names the file and
 ``whole=True``, which parses every file in one piece: a list item that uses an anchor of another
@@ -15,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +27,7 @@ from stintwise.schemas import SEASON_ENTRY
 
 PARSED = "_path string, _doc bigint, _item int, _json string"
 YAML_CHUNK_BYTES = 4 << 20  # JSON text per batch handed back to the JVM
+PARSE_ROWS = 64             # records that a worker has as Python strings at once
 YAML_FILE_DOCS = 2_000      # rows of a written file: a file is parsed by one Python call
 
 
@@ -45,6 +47,76 @@ def document_text(spark: SparkSession, path: str, mark: str | None = None) -> Da
                     F.col("value").alias("_text")))
 
 
+def block_reader():
+    """A function that reads a document of the simplest block form, and gives None for any other text.
+
+    That form: maps and lists of maps, one ``key: value`` a line, a value being a double-quoted
+    scalar with JSON's escapes, a short decimal integer, ``true``, ``false`` or nothing, at the
+    indents that block style asks for.  On it the result is that of the YAML library, which
+    spends most of its time on objects for every token; comments, plain or folded scalars,
+    anchors, tags, flow style and whatever else fails to match a line are left to the library.
+    """
+    import json
+    import re
+
+    # Keys that are no strings as plain scalars are left out, as are the surrogates' escapes.
+    line_form = re.compile(
+        r'^( *)(- )?(?!(?i:yes|no|on|off|true|false|null):)([A-Za-z_][A-Za-z0-9_]{0,63}):'
+        r'(?: (0|-?[1-9][0-9]{0,17}|true|false'
+        r'|"(?:[^"\\\x00-\x1f\x7f-\x9f\u2028\u2029\ud800-\udfff\ufeff\ufffe\uffff]++'
+        r'|\\["\\bfnrt]|\\u(?![dD][89a-fA-F])[0-9a-fA-F]{4})*+")?)? *$', re.MULTILINE)
+
+    flags = {"true", "false"}
+
+    def block(text: str):
+        text = text.rstrip("\n")
+        if text.startswith("---"):
+            first, _, text = text.partition("\n")
+            if first.rstrip(" ") != "---":
+                return None
+        lines = line_form.findall(text)
+        if len(lines) != text.count("\n") + 1:
+            return None
+        root = [] if lines[0][1] else {}
+        stack, pending = [(0, root)], None          # (column, list or map); a key without a value yet
+        here, node = stack[0]
+        if lines[0][0]:
+            return None
+        for spaces, dash, key, value in lines:
+            column = len(spaces)
+            if column == here and not dash:
+                pass                                # the next key of the same map
+            elif pending is not None and column >= here:
+                child = [] if dash else {}
+                node[pending] = child
+                stack.append((column, child))
+                here, node = column, child
+            else:
+                kind = list if dash else dict
+                while here > column or here == column and type(node) is not kind:
+                    stack.pop()
+                    if not stack:
+                        return None
+                    here, node = stack[-1]
+                if here != column:
+                    return None
+            if dash:
+                item = {}
+                node.append(item)
+                here, node = column + 2, item
+                stack.append((here, node))
+            pending = None
+            if value[:1] == '"':
+                node[key] = json.loads(value) if "\\" in value else value[1:-1]
+            elif not value:
+                node[key], pending = None, key
+            else:
+                node[key] = value == "true" if value in flags else int(value)
+        return root
+
+    return block
+
+
 def parse_yaml(files: DataFrame, items: bool = False, mark: str | None = None) -> DataFrame:
     """``(_path, _start, _text)`` -> ``(_path, _doc, _item, _json)``: one row per document.
 
@@ -54,43 +126,53 @@ def parse_yaml(files: DataFrame, items: bool = False, mark: str | None = None) -
     what the records were cut at.
 
     The parser is defined here so it is shipped to the Python workers by
-    value: they need ``yaml`` and ``pandas``, not this package on their path.
+    value: they need ``yaml`` and ``pyarrow``, not this package on their path.  A worker takes
+    ``PARSE_ROWS`` records at a time out of an Arrow batch, so what it holds follows neither
+    the split nor the batch in Python objects.
     """
-    chunk_bytes, item_mark = YAML_CHUNK_BYTES, ITEM_MARK
+    chunk_bytes, item_mark, parse_rows = YAML_CHUNK_BYTES, ITEM_MARK, PARSE_ROWS
+    block = block_reader()
 
-    def yaml_to_json(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def yaml_to_json(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import json
 
-        import pandas
+        import pyarrow
         import yaml
 
         loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
+        to_json = json.JSONEncoder(default=str, ensure_ascii=False).encode
         paths, idx, places, docs = [], [], [], []
         size = 0
 
         def flush():
-            out = pandas.DataFrame({"_path": paths, "_doc": pandas.array(idx, dtype="int64"),
-                                    "_item": pandas.array(places, dtype="int32"), "_json": docs})
+            out = pyarrow.RecordBatch.from_pydict(
+                {"_path": pyarrow.array(paths, pyarrow.string()), "_doc": pyarrow.array(idx, pyarrow.int64()),
+                 "_item": pyarrow.array(places, pyarrow.int32()), "_json": pyarrow.array(docs, pyarrow.string())})
             paths.clear(), idx.clear(), places.clear(), docs.clear()
             return out
 
+        def rows():
+            for batch in batches:
+                for at in range(0, batch.num_rows, parse_rows):
+                    part = batch.slice(at, parse_rows)
+                    yield from zip(*(part.column(c).to_pylist() for c in ("_path", "_start", "_text")))
+
         def records():
             """Records as YAML text, with what the delimiter took; lines that only look like one are put back."""
             now, held = None, None
-            for pdf in batches:
-                for path, start, text in zip(pdf["_path"], pdf["_start"], pdf["_text"]):
-                    if mark is None:
-                        yield path, start, text
-                        continue
-                    new = (path, start) != now
-                    if mark != item_mark and text[:1].strip() and not (new and start == 0):     # ---x
-                        if new:
-                            raise ValueError(f"{path}: the split at byte {start} begins inside a document; read with whole=True")
-                        held += "\n" + mark + text
-                        continue
-                    if held is not None:
-                        yield *now, held
-                    now, held = (path, start), text if new and start == 0 else mark + text
+            for path, start, text in rows():
+                if mark is None:
+                    yield path, start, text
+                    continue
+                new = (path, start) != now
+                if mark != item_mark and text[:1].strip() and not (new and start == 0):     # ---x
+                    if new:
+                        raise ValueError(f"{path}: the split at byte {start} begins inside a document; read with whole=True")
+                    held += "\n" + mark + text
+                    continue
+                if held is not None:
+                    yield *now, held
+                now, held = (path, start), text if new and start == 0 else mark + text
             if held is not None:
                 yield *now, held
 
@@ -105,8 +187,10 @@ def parse_yaml(files: DataFrame, items: bool = False, mark: str | None = None) -
                 while kept and kept[-1].startswith("%"):            # directives of the next document
                     kept.pop()
                     text = "\n".join(kept)
+            simple = block(text) if mark is not None else None
             try:
-                parsed = list(yaml.load_all(text, Loader=loader)) if mark is not None else yaml.load_all(text, Loader=loader)
+                parsed = ([simple] if simple is not None else list(yaml.load_all(text, Loader=loader)) if mark is not None
+                          else yaml.load_all(text, Loader=loader))
             except yaml.composer.ComposerError as exc:
                 raise ValueError(f"{path}: {exc}; an anchor of another record needs whole=True") from exc
             if mark == item_mark and any(isinstance(doc, dict) for doc in parsed):
@@ -119,7 +203,7 @@ def parse_yaml(files: DataFrame, items: bool = False, mark: str | None = None) -
                     paths.append(path)
                     idx.append(place)
                     places.append(k)
-                    docs.append(json.dumps(part, default=str, ensure_ascii=False))
+                    docs.append(to_json(part))
                     size += len(docs[-1])
                     if size >= chunk_bytes:
                         yield flush()
@@ -127,7 +211,7 @@ def parse_yaml(files: DataFrame, items: bool = False, mark: str | None = None) -
         if docs:
             yield flush()
 
-    return files.mapInPandas(yaml_to_json, PARSED)
+    return files.mapInArrow(yaml_to_json, PARSED)
 
 
 def _parsed(spark: SparkSession, path: str, whole: bool) -> DataFrame:
@@ -224,12 +308,17 @@ _YAML_ESCAPES = {"\x7f": "\\u007f", "\x85": "\\u0085", "\u2028": "\\u2028", "\u2
 
 
 def yaml_quote(c) -> F.Column:
-    """A string as a double-quoted YAML scalar with JSON escapes (null -> empty value)."""
-    text = F.to_json(F.array(c.cast("string")))
+    """A string as a double-quoted YAML scalar with JSON escapes (null -> empty value).
+
+    A text of printable ASCII without quote and backslash has no escapes; it is only quoted.
+    """
+    plain = c.cast("string")
+    text = F.to_json(F.array(plain))
     text = text.substr(F.lit(2), F.length(text) - 2)
     for raw, escaped in _YAML_ESCAPES.items():
         text = F.replace(text, F.lit(raw), F.lit(escaped))
-    return F.when(c.isNull(), F.lit("")).otherwise(text)
+    return (F.when(c.isNull(), F.lit("")).when(plain.rlike(r"\A[ !#-\[\]-~]*\z"), F.concat(F.lit('"'), plain, F.lit('"')))
+            .otherwise(text))
 
 
 def yaml_number(c) -> F.Column:
