@@ -28,7 +28,7 @@ from stintwise.schemas import SEASON_ENTRY
 PARSED = "_path string, _doc bigint, _item int, _json string"
 YAML_CHUNK_BYTES = 4 << 20  # JSON text per batch handed back to the JVM
 PARSE_ROWS = 64             # records that a worker has as Python strings at once
-YAML_FILE_DOCS = 2_000      # rows of a written file: a file is parsed by one Python call
+YAML_FILE_DOCS = 2_000      # rows of a written file that is not below a partition folder
 
 
 # What begins a document of a stream, and an item of a top-level list.
@@ -334,8 +334,14 @@ def yaml_map_document(df: DataFrame, fields: dict[str, F.Column]) -> DataFrame:
 
 
 def write_yaml(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Write the ``yaml`` column as text files (rows joined by newlines) of at most ``YAML_FILE_DOCS`` rows."""
-    w = df.write.mode("overwrite").option("maxRecordsPerFile", YAML_FILE_DOCS)
+    """Write the ``yaml`` column as text files, rows joined by newlines.
+
+    Files have at most ``YAML_FILE_DOCS`` rows.  With ``partition_by`` the rows are rebalanced
+    first, so a folder has one file for each share that AQE cuts it into, however many tasks
+    made its rows: readers cut the files at their records, and a stream that takes some
+    files at a time has few micro-batches.
+    """
     if partition_by:
-        w = w.partitionBy(partition_by)
-    w.text(path)
+        df.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).text(path)
+    else:
+        df.write.mode("overwrite").option("maxRecordsPerFile", YAML_FILE_DOCS).text(path)

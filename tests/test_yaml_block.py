@@ -1,10 +1,13 @@
 """The line reader of block records against the YAML library, and the files of written seasons."""
 
+import glob
 import random
 
+import pytest
 import yaml
 
 from stintwise.plans import registry
+from stintwise.session import scratch_path
 from stintwise.sources import documents
 from stintwise.sources import nested_bindings as nb
 from tests.conftest import SF001
@@ -53,6 +56,15 @@ def test_records_of_registered_queries_need_no_library(spark):
         assert read(r.yaml) == yaml.safe_load(r.yaml) is not None
 
 
+@pytest.mark.parametrize("tasks", [1, 12])
+def test_a_season_has_few_files_whatever_its_tasks(spark, tasks):
+    rows = [(y, f'- entrantId: "{y}-{i}"') for y in (2001, 2002) for i in range(3_000)]
+    path = scratch_path(spark, "few-files").removeprefix("file://")
+    documents.write_yaml(spark.createDataFrame(rows, "year int, yaml string").repartition(tasks), path, partition_by="year")
+    assert len(glob.glob(f"{path}/*/*.txt")) == 2
+    assert sorted(spark.read.text(path).select("year", "value").collect()) == sorted(rows)
+
+
 def test_a_worker_takes_few_records_at_a_time(spark, monkeypatch):
     """An Arrow batch of many records becomes Python strings piece by piece, with the same result."""
     frame = spark.createDataFrame([("p", 0, f'id: {i}\n') for i in range(300)], "_path string, _start bigint, _text string").coalesce(1)
