@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from stintwise.functions.columns import year_from_path
 from stintwise.operators.normalise import flatten_entries, with_dense_id
 from stintwise.schemas import SEASON_ENTRY
+from stintwise.session import materialize
 
 PARSED = "_path string, _doc bigint, _item int, _json string"
 YAML_CHUNK_BYTES = 4 << 20  # JSON text per batch handed back to the JVM
@@ -298,6 +299,8 @@ def season_rows(files: DataFrame, flatten: bool = True, ordered: bool = False, s
     rows = flatten_entries(entries, order_cols=place) if flatten else entries
     places = [*place, "_c_pos", "_d_pos"] if flatten else place
     if position is not None:
+        # Written once: the numbering reads its rows twice, for the range borders and for the sort.
+        rows = materialize(rows, "season-rows")
         return with_dense_id(rows, ["year", *places], position).drop(*places)
     return (rows.orderBy("year", *places) if ordered else rows).drop(*places)
 

@@ -79,3 +79,26 @@ def test_quoted_scalars_read_back_whatever_they_hold(spark):
         documents.F.concat(documents.F.lit("t: "), documents.yaml_quote(documents.F.col("t"))).alias("y")).collect()
     assert [yaml.safe_load(r.y)["t"] for r in rows] == texts
     assert [documents.block_reader()(r.y)["t"] for r in rows] == texts
+
+
+def test_numbered_seasons_are_parsed_once(spark, tmp_path):
+    (tmp_path / "2001").mkdir()
+    (tmp_path / "2001" / "entrants.yml").write_text('- entrantId: "e"\n  constructorId: "c"\n  driverId: "d"\n  rounds: "1"\n' * 50)
+    parsed = spark.sparkContext.accumulator(0)
+    plain = documents.parse_yaml
+
+    def counted(files, items=False, mark=None):
+        rows = plain(files, items, mark)
+
+        def count(batches):
+            for b in batches:
+                parsed.add(b.num_rows)
+                yield b
+        return rows.mapInArrow(count, rows.schema)
+
+    documents.parse_yaml = counted
+    try:
+        got = documents.read_season_documents(spark, str(tmp_path), position="place").collect()
+    finally:
+        documents.parse_yaml = plain
+    assert sorted(r.place for r in got) == list(range(50)) and parsed.value == 50
