@@ -11,7 +11,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stintwise.operators.careers import break_ends, transfer_ends
@@ -79,9 +79,83 @@ def span_edges_break(s: DataFrame) -> DataFrame:
     return _finish(_break_end_rows(s))
 
 
+def _year_flags(s: DataFrame) -> DataFrame:
+    """Per driver a map from year to what the edges of a span that starts or ends in it depend on.
+
+    Whether a span has a partner of another constructor follows from the least and the
+    greatest constructor that start or end near its years, so the spans meet in one
+    aggregate per (driver, year) and one window per driver over distinct years.
+
+    ``in_low``, ``in_high``: constructors of the spans that start this year or the next.
+    ``out_low``, ``out_high``: of those that end this year or the one before.
+    ``breaks``: spans that end this year are the start of a break; ``returns``: those that
+    start this year and are no arrival of a transfer are the end of one.
+    """
+    c, lone = F.col("constructorId"), F.col("first_year") == F.col("last_year")
+    none = F.lit(None).cast("string")
+    ends = F.array(F.struct(F.col("first_year").alias("y"), c.alias("i"), none.alias("o"), F.lit(False).alias("end"),
+                            F.when(lone, c).alias("one")),
+                   F.struct(F.col("last_year").alias("y"), none.alias("i"), c.alias("o"), F.lit(True).alias("end"),
+                            none.alias("one")))
+    years = (s.select("driverId", F.explode(ends).alias("e")).select("driverId", "e.*")
+             .where(F.col("y").isNotNull()).groupBy("driverId", "y")
+             .agg(F.min("i").alias("i_low"), F.max("i").alias("i_high"), F.min("o").alias("o_low"),
+                  F.max("o").alias("o_high"), F.max("end").alias("end"), F.max("one").alias("one")))
+    w = Window.partitionBy("driverId").orderBy("y")
+    last, now, soon = w.rangeBetween(-1, 0), w.rangeBetween(0, 1), w.rangeBetween
+    end_year = F.when(F.col("end"), F.col("y"))
+    years = years.select(
+        "*", F.min("i_low").over(now).alias("in_low"), F.max("i_high").over(now).alias("in_high"),
+        F.min("o_low").over(last).alias("out_low"), F.max("o_high").over(last).alias("out_high"),
+        F.max(F.when(F.col("end"), F.struct(F.col("y"), F.col("o_low").isNotNull().alias("named")))).over(
+            soon(Window.unboundedPreceding, -2)).alias("nearest"),
+        F.min(end_year).over(soon(1, Window.unboundedFollowing)).alias("next_end"))
+    # A start is no arrival if no other constructor's span ends near it; where one constructor ends, that
+    # is so for its own span alone, which then starts and ends this year.
+    unexplained = F.col("i_low").isNotNull() & (
+        F.col("out_low").isNull() | ((F.col("out_low") == F.col("out_high")) & F.col("one").isNotNull()))
+    years = years.withColumn("free", F.when(unexplained, F.col("y")))
+    years = years.select("*", F.max("free").over(soon(Window.unboundedPreceding, -1)).alias("free_before"),
+                         F.min("free").over(soon(2, Window.unboundedFollowing)).alias("free_after"))
+    # A year's breaks return in the first such start whose latest end two years before or earlier is that year.
+    flags = F.struct(
+        "in_low", "in_high", "out_low", "out_high",
+        F.coalesce(F.col("end") & (F.col("free_after") <= F.coalesce(F.col("next_end") + 1, F.col("free_after"))),
+                   F.lit(False)).alias("breaks"),
+        F.coalesce(F.col("free").isNotNull() & F.col("nearest.named")
+                   & (F.coalesce(F.col("free_before") <= F.col("nearest.y") + 1, F.lit(True))),
+                   F.lit(False)).alias("returns"))
+    return years.groupBy("driverId").agg(F.map_from_entries(F.collect_list(F.struct("y", flags))).alias("years"))
+
+
+def _span_end_rows(s: DataFrame) -> DataFrame:
+    """The transfer and break edges of spans; a span is one row per (driver, constructor), so no edge comes twice."""
+    c = F.col("constructorId")
+    # One shuffle for both sides and every aggregate; a driver has at most one span for each constructor.
+    s = s.where(F.col("driverId").isNotNull()).repartition("driverId")
+    rows = s.join(_year_flags(s), "driverId")
+    rows = rows.select("driverId", "constructorId", "first_year", "last_year",
+                       F.element_at("years", F.col("first_year")).alias("f"),
+                       F.element_at("years", F.col("last_year")).alias("l"))
+    out = F.coalesce((F.col("l.in_low") != c) | (F.col("l.in_high") != c), F.lit(False))
+    arrival = F.coalesce((F.col("f.out_low") != c) | (F.col("f.out_high") != c), F.lit(False))
+    found = F.array(
+        F.when(out, _edge(TEAM, "constructorId", TRANSFER_OUT, DRIVER, "driverId", "last_year")),
+        F.when(arrival, _edge(DRIVER, "driverId", TRANSFER_IN, TEAM, "constructorId", "first_year")),
+        F.when(F.col("l.breaks") & c.isNotNull(), _edge(TEAM, "constructorId", BREAK, DRIVER, "driverId", "last_year")),
+        F.when(~arrival & F.col("f.returns") & c.isNotNull(), _edge(DRIVER, "driverId", RETURN, TEAM, "constructorId", "first_year")))
+    return rows.select(F.explode(F.array_compact(found)).alias("e")).select("e.*")
+
+
 def span_graph_edges(debuts: DataFrame, s: DataFrame) -> DataFrame:
-    """GR-5 from spans: all edges without forming transfer or break pairs."""
-    return _finish(_debut_rows(debuts).unionByName(_transfer_end_rows(s)).unionByName(_break_end_rows(s)))
+    """GR-5 from spans: all edges without forming transfer or break pairs.
+
+    ``s`` has one row per (driver, constructor).  Edges of different types differ and a span
+    has at most one of each type, so only the debuts are deduplicated, before their labels are added.
+    """
+    key = ["driverId", "constructorId", "debut_year"]
+    first = debuts.select(*key).dropna(subset=key).dropDuplicates(key)
+    return _debut_rows(first).unionByName(_span_end_rows(s))
 
 
 def edges_debut(debuts: DataFrame) -> DataFrame:

@@ -539,7 +539,8 @@ edges AS (SELECT DISTINCT * FROM (SELECT * FROM e_debut UNION ALL SELECT * FROM
 
 
 def _graph_inputs(spark, sf):
-    a = appearances(spark, sf)
+    """Debuts and spans of the facts, whose joins run once: both read the written columns."""
+    a = materialize(appearances(spark, sf).select("driverId", "constructorId", "year", "tookPart"), "facts")
     s = careers.shared_spans(a)
     return careers.debuts(a, s), s
 
