@@ -191,10 +191,13 @@ def merge_graph(existing: DataFrame, new: DataFrame, keys: list[str] | None = No
     return existing.unionByName(merge_added(existing, new, keys))
 
 
-def merge_added(existing: DataFrame, new: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """The rows that a merge adds, for a sink that appends; null keys equal each other."""
+def merge_added(existing: DataFrame, new: DataFrame, keys: list[str] | None = None, unique: bool = False) -> DataFrame:
+    """The rows that a merge adds, for a sink that appends; null keys equal each other.
+
+    With ``unique`` no key comes twice in ``new``, so it is not deduplicated once more.
+    """
     keys = keys or list(existing.columns)
-    n, e = new.dropDuplicates(keys).alias("n"), existing.select(*keys).alias("e")
+    n, e = (new if unique else new.dropDuplicates(keys)).alias("n"), existing.select(*keys).alias("e")
     same = [F.col(f"n.`{k}`").eqNullSafe(F.col(f"e.`{k}`")) for k in keys]
     return n.join(e, reduce(and_, same), "left_anti")
 

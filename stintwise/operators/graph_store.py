@@ -63,7 +63,7 @@ def merge_edges(path: str, new: DataFrame, buckets: int = BUCKETS) -> int:
     here = F.lit(False)
     for kind, found in sorted(by_type.items()):
         here = here | ((F.col("type") == kind) & F.col("bucket").isin(sorted(found)))
-    added = materialize(merge_added(_stored(spark, path).where(here), rows, EDGE_COLUMNS), "merge-added")
+    added = materialize(merge_added(_stored(spark, path).where(here), rows, EDGE_COLUMNS, unique=True), "merge-added")
     count = added.count()
     if count:
         added.hint("rebalance", "type", "bucket").write.mode("append").partitionBy("type", "bucket").parquet(path)

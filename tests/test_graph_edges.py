@@ -37,3 +37,23 @@ def test_spans_are_shuffled_for_years_and_drivers_only(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert sum("Exchange hashpartitioning" in line for line in text.splitlines()) <= 8
+
+
+def test_a_stored_merge_deduplicates_its_rows_once(spark, monkeypatch):
+    from stintwise.operators import graph_store
+    from stintwise.session import scratch_path
+
+    made = []
+    plain = graph.merge_added
+
+    def recorded(*args, **options):
+        made.append(plain(*args, **options))
+        return made[-1]
+
+    monkeypatch.setattr(graph_store, "merge_added", recorded)
+    rows = [("Driver", f"d{i % 7}", "DEBUT", "Team", "t", 1) for i in range(20)]
+    new = spark.createDataFrame(rows, "src_label string, src string, type string, dst_label string, dst string, year int")
+    path = scratch_path(spark, "once")
+    assert [graph_store.merge_edges(path, new) for _ in range(2)] == [7, 0]
+    assert "Aggregate" not in made[-1]._jdf.queryExecution().analyzed().toString()
+    assert "Deduplicate" not in made[-1]._jdf.queryExecution().analyzed().toString()
