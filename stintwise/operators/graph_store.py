@@ -81,13 +81,24 @@ def send_batches_once(batches: DataFrame, open_sink, ledger: str) -> DataFrame:
     A task that dies between the client's answer and that file sends one batch
     again; ``batch`` is a key by which a client can refuse it.  ``ledger`` is a URI (or
     path) that ``pyarrow.fs`` opens on every executor.
+
+    Batches that are listed when a task comes to them are left out by their number, before
+    their rows go to a Python worker; the others are looked up once more when it is their turn.
     """
 
+    @F.arrow_udf("boolean")
+    def unsent(numbers: pa.Array) -> pa.Array:
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(ledger) if "://" in ledger else (fs.LocalFileSystem(), ledger)
+        found = store.get_file_info([f"{root.rstrip('/')}/{n // 1000}/{n}" for n in numbers.to_pylist()])
+        return pa.array([f.type != fs.FileType.File for f in found], pa.bool_())
+
     def send_all(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
         store, root = fs.FileSystem.from_uri(ledger) if "://" in ledger else (fs.LocalFileSystem(), ledger)
-        send = None
+        send, made = None, set()
         try:
             for part in parts:
                 numbers, lists = part.column("batch").to_pylist(), part.column("rows")
@@ -98,9 +109,12 @@ def send_batches_once(batches: DataFrame, open_sink, ledger: str) -> DataFrame:
                         continue
                     if send is None:
                         send = open_sink()
-                    rows = lists[i].as_py()
+                    columns = lists[i].values            # row by row, scalars cost most of the time
+                    rows = [dict(zip(columns.type.names, r)) for r in zip(*(c.to_pylist() for c in columns.flatten()))]
                     send(number, rows)
-                    store.create_dir(folder, recursive=True)
+                    if folder not in made:
+                        store.create_dir(folder, recursive=True)
+                        made.add(folder)
                     with store.open_output_stream(f"{folder}/{number}") as f:
                         f.write(str(len(rows)).encode())
                     sent.append((number, len(rows)))
@@ -111,7 +125,8 @@ def send_batches_once(batches: DataFrame, open_sink, ledger: str) -> DataFrame:
             if close is not None:
                 close()
 
-    return materialize(batches.select("batch", "rows").mapInArrow(send_all, "batch bigint, rows bigint"), "receipts")
+    rest = batches.select("batch", "rows").where(unsent("batch"))
+    return materialize(rest.mapInArrow(send_all, "batch bigint, rows bigint"), "receipts")
 
 
 def folder_client(uri: str):
@@ -122,10 +137,11 @@ def folder_client(uri: str):
 
         store, root = fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
         store.create_dir(root, recursive=True)
+        to_json = json.JSONEncoder(ensure_ascii=False).encode
 
         def send(batch: int, rows: list[dict]) -> None:
             with store.open_output_stream(f"{root.rstrip('/')}/{batch}.json") as f:
-                f.write("".join(json.dumps(r, ensure_ascii=False) + "\n" for r in rows).encode())
+                f.write("".join(to_json(r) + "\n" for r in rows).encode())
 
         return send
 
