@@ -14,20 +14,24 @@ their intersection and union are at least as 85 to 100 (``least``), compared in
    only the places count that the least overlap for their two sizes leaves.
 3. Postings meet by shingle in one exchange that a worker reads in order; shingles with one
    posting end there, the others are numbered within their list.
-4. Large groups of copies are never made into pairs.  A list's heads are the ``HEADS`` documents
+4. A set's digest is the parity of its hashes' low bits, as many bits as it has shingles or
+   some more.  Two digests differ in no more bits than the sets differ in shingles, and the sizes
+   say how many those are at most in a link.  Pairs beyond that are dropped before their sets are
+   fetched; no link is among them.
+5. Large groups of copies are never made into pairs.  A list's heads are the ``HEADS`` documents
    with the most shared prefix shingles, so the least edited ones and much the same ones in all
    lists of a group; matches are first counted between heads and documents only, one row a
-   posting and head.  Of the pairs with l matches or more each
-   document's best is compared exactly, and links make classes; then the pairs that are
-   still apart.  After that only documents of different classes can add a link that
-   matters: in each list, those outside its largest class meet the list, and pairs with l
-   matches or more are compared.  Every link is thus either inside a class or compared.
-5. Components of all links found are the components of all links.
+   posting and head.  Of the pairs with l matches or more each document's best is compared exactly,
+   and links make classes.  After that only documents of different classes can add a link that
+   matters: the other pairs with heads that are still apart, and in each list those outside its
+   largest class, which meet the list where digests folded to ``NARROW`` bits leave room for a
+   link; pairs with l matches or more are compared.  Every link is thus inside a class or compared.
+6. Components of all links found are the components of all links.
 
 Exact sets (64-bit shingle hashes, compared by Spark row by row) decide every link.  Documents with equal sets are one
-node throughout.  The second part of step 4 is quadratic where very many documents share
-rare shingles without being linked; those postings are the join's own work and Spark splits
-their lists.
+node throughout.  The second part of step 5 looks at each pair of postings of a list, which is
+quadratic where very many documents share rare shingles without being linked; rows are made
+only of those pairs that their digests let pass, and Spark splits the lists.
 
 Defined cases: null texts are empty; a text without words has an empty set, links with
 nothing and is its own component; fewer words than a shingle are one shingle of all words;
@@ -57,6 +61,8 @@ CELLS = 1 << 18             # cells of the frequency estimate
 PIECE = 1 << 12             # cells that travel together
 MOST_MATCHES = 6            # the largest l
 HEADS = 1                   # documents of a list that all of it is compared with first
+NARROW = 256                # bits of a digest beside a posting
+NARROW_WORDS = [f"d{i}" for i in range(NARROW // 64)]
 SLICE = 1 << 19             # bytes of text that a worker looks at together
 KEY_BITS = 25               # of the table of wanted text keys: 4 MB
 VERIFY_SHARE = 4            # comparing two sets of n costs as much as reading n / 4 postings
@@ -137,27 +143,48 @@ def adaptive_prefix(code: np.ndarray, expected: np.ndarray, most: int = MOST_MAT
     return code[order[:min(n, n - overlap + most)]], int(reach[best])
 
 
+def digest(code: np.ndarray) -> bytes:
+    """Parity of the hashes in each cell of their low bits: ``NARROW`` bits, doubled until there are as many as hashes."""
+    width = max(NARROW, 1 << max(len(code) - 1, 0).bit_length())
+    count = np.bincount((code & np.uint64(width - 1)).astype(np.int64), minlength=width)
+    return np.packbits((count & 1).astype(np.uint8)).tobytes()
+
+
+def folded(own: bytes, size: int) -> bytes:
+    """A digest as if taken with ``size`` bytes."""
+    return np.bitwise_xor.reduce(np.frombuffer(own, np.uint8).reshape(-1, size), axis=0).tobytes()
+
+
+def differing(a: bytes, b: bytes) -> int:
+    """Bits in which two digests differ, the longer one folded; the sets differ in that many shingles or more."""
+    size = min(len(a), len(b))
+    return (int.from_bytes(folded(a, size), "big") ^ int.from_bytes(folded(b, size), "big")).bit_count()
+
+
 def _signed(docs: DataFrame, expected, least: tuple[int, int], most: int) -> DataFrame:
-    """Per row: id, text key, set key, size, l and prefix; numbered and written once."""
+    """Per row: id, text key, set key, size, l, prefix, digest and narrow digest; numbered and written once."""
     kind = docs.schema["_id"].dataType.simpleString()
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = expected.value
         for batch in slices(batches, "_text", SLICE):
             code, edge = word_sets(*text_bytes(batch.column("_text")))
-            keys, sizes, ell, prefix = [], np.diff(edge), [], []
+            keys, sizes, ell, prefix, bits = [], np.diff(edge), [], [], []
             for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
                 own = code[a:b]
                 keys.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
                 first, reach = adaptive_prefix(own, table, most, least) if b > a else (own, 0)
                 ell.append(reach)
                 prefix.append(first.tobytes())
+                bits.append(digest(own))
+            narrow = np.frombuffer(b"".join(folded(b, NARROW // 8) for b in bits), np.int64).reshape(len(bits), -1).T.copy()
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_id"), batch.column("_key"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()),
-                 pa.array(ell, pa.int32()), pa.array(prefix, pa.binary())],
-                ["doc_id", "text_key", "key", "n", "l", "prefix"])
+                 pa.array(ell, pa.int32()), pa.array(prefix, pa.binary()), pa.array(bits, pa.binary()), *(pa.array(d) for d in narrow)],
+                ["doc_id", "text_key", "key", "n", "l", "prefix", "digest", *NARROW_WORDS])
 
-    rows = docs.mapInArrow(sign, f"doc_id {kind}, text_key binary, key binary, n bigint, l int, prefix binary")
+    kind = f"doc_id {kind}, text_key binary, key binary, n bigint, l int, prefix binary, digest binary"
+    rows = docs.mapInArrow(sign, ", ".join([kind, *(f"{d} bigint" for d in NARROW_WORDS)]))
     return materialize(rows.withColumn("row", F.monotonically_increasing_id()), "join-signed")
 
 
@@ -197,6 +224,24 @@ def _postings(nodes: DataFrame) -> DataFrame:
     return materialize(rows.mapInArrow(shared, kind), "join-postings")
 
 
+def _room(n: str, m: str, bits: Column, least: tuple[int, int]) -> Column:
+    """Whether sets of these sizes that differ in so many shingles may link."""
+    s, u = least
+    return bits * (u + s) <= (F.col(n) + F.col(m)) * (u - s)
+
+
+def _plausible(pairs: DataFrame, known: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """The pairs ``a``, ``b`` whose digests leave room for a link."""
+
+    @F.arrow_udf("bigint")
+    def bits(a: pa.Array, b: pa.Array) -> pa.Array:
+        return pa.array([differing(x, y) for x, y in zip(a.to_pylist(), b.to_pylist())], pa.int64())
+
+    of = lambda c: known.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("digest").alias(f"d_{c}"))
+    both = pairs.join(of("a"), "a").join(of("b"), "b")
+    return both.where(_room("n_a", "n_b", bits("d_a", "d_b"), least)).select(*pairs.columns)
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFrame:
     """The pairs ``a``, ``b`` whose sets link."""
     s, u = least
@@ -207,14 +252,14 @@ def _linked(pairs: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFr
     return both.where(F.col("joint") * u >= (F.col("total") - F.col("joint")) * s).select("a", "b")
 
 
-def _sets(docs: DataFrame, firsts: DataFrame, pairs: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, known: DataFrame, pairs: DataFrame) -> DataFrame:
     """``node`` and ``codes``, the whole set, of the documents in ``pairs``.
 
     Texts are first held against a bit table of the wanted text keys, of a fixed size, so that
     few others are shuffled while the wanted ones are few.
     """
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    named = materialize(firsts.join(nodes, "node", "left_semi").select("node", F.col("doc_id").alias("id"), "text_key"),
+    named = materialize(known.join(nodes, "node", "left_semi").select("node", F.col("doc_id").alias("id"), "text_key"),
                         "join-wanted")
     place = F.expr(f"shiftright(cast(conv(hex(substring(text_key, 1, 4)), 16, 10) as bigint), {32 - KEY_BITS})")
     bits = named.select(F.shiftright(place, 6).alias("word"),
@@ -262,16 +307,19 @@ def _matches(some: DataFrame, rows: DataFrame, which: Column, least: tuple[int,
             .where("matches >= l").select("a", "b", "matches", "one"))
 
 
-def _across(shared: DataFrame, labels: DataFrame, least: tuple[int, int]) -> DataFrame:
-    """Pairs ``a``, ``b`` of different labels with enough matches."""
+def _across(shared: DataFrame, labels: DataFrame, known: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """Pairs ``a``, ``b`` of different labels with enough matches, as far as narrow digests leave room for a link."""
     rows = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    rows = materialize(rows.select("token", "node", "n", "l", "pos", "label"), "join-labelled")
+    rows = rows.join(known.select("node", *NARROW_WORDS), "node")
+    rows = materialize(rows.select("token", "node", "n", "l", "pos", "label", *NARROW_WORDS), "join-labelled")
     tops = (rows.groupBy("token", "label").agg(F.count(F.lit(1)).alias("c"))
             .groupBy("token").agg(F.max(F.struct("c", "label"))["label"].alias("top"), F.count(F.lit(1)).alias("labels"))
             .where("labels > 1").select("token", "top"))
     rows = materialize(rows.join(tops, "token"), "join-mixed")
-    return _matches(rows.where("label <> top"), rows,
-                    F.expr("label <> label_r AND (label = top OR node_r < node)"), least).select("a", "b")
+    bits = sum((F.bit_count(F.col(d).bitwiseXOR(F.col(f"{d}_r"))) for d in NARROW_WORDS[1:]),
+               F.bit_count(F.col("d0").bitwiseXOR(F.col("d0_r"))))
+    which = F.expr("label <> label_r AND (label = top OR node_r < node)") & _room("n", "n_r", bits, least)
+    return _matches(rows.where("label <> top"), rows, which, least).select("a", "b")
 
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -293,24 +341,24 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
                         "join-nodes")
     firsts = signed.join(nodes.select(F.col("node").alias("row"), F.col("node")), "row")
     shared = _postings(firsts)
+    known = materialize(firsts.select("node", "doc_id", "text_key", "n", "l", "digest", *NARROW_WORDS), "join-known")
 
     common = shared.groupBy("node").agg(F.count(F.lit(1)).alias("common"))
-    sizes = firsts.select("node", "n", "l").join(common, "node")
+    sizes = known.select("node", "n", "l").join(common, "node")
     shared = materialize(shared.join(sizes, "node"), "join-ordered")
     first = Window.partitionBy("token").orderBy(F.desc("common"), "node")
     heads = shared.withColumn("at", F.row_number().over(first)).where(F.col("at") <= HEADS).drop("at")
     behind = F.expr("common_r < common OR (common_r = common AND node_r > node)")
-    pairs = materialize(_matches(shared, heads, behind, least), "join-candidates")
-    sets = _sets(docs, firsts, pairs)
+    pairs = materialize(_matches(shared, heads, behind, least), "join-met")
+    pairs = materialize(_plausible(pairs, known, least), "join-candidates")
 
     best = pairs.groupBy("one").agg(F.max(F.struct("matches", "a", "b")).alias("best")).select("best.a", "best.b")
-    classes = components(materialize(_linked(best, sets, least), "join-links"))
-    more = materialize(_linked(materialize(_apart(pairs, classes.toDF("node", "label")), "join-candidates"), sets, least),
-                       "join-links")
-    classes = components(classes.unionByName(more))
-    found = _across(shared, classes.toDF("node", "label"), least).join(pairs, ["a", "b"], "left_anti")
-    found = materialize(found, "join-candidates")
-    more = materialize(_linked(found, _sets(docs, firsts, found), least), "join-links")
+    best = materialize(best, "join-best")
+    classes = components(materialize(_linked(best, _sets(docs, known, best), least), "join-links"))
+    labels = classes.toDF("node", "label")
+    found = materialize(_across(shared, labels, known, least).join(pairs, ["a", "b"], "left_anti"), "join-met")
+    found = materialize(_plausible(found, known, least).unionByName(_apart(pairs, labels)), "join-candidates")
+    more = materialize(_linked(found, _sets(docs, known, found), least), "join-links")
     classes = components(classes.unionByName(more)).toDF("node", "label")
 
     named = nodes.join(classes, "node", "left").withColumn("label", F.coalesce("label", "node"))

@@ -8,6 +8,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -178,6 +179,35 @@ def test_ten_thousand_equal_rows_and_a_large_loose_group(spark):
     assert sorted(got.elements(), key=repr) == small
 
 
+def test_digests_differ_in_no_more_bits_than_sets():
+    rnd = np.random.default_rng(5)
+    for n in (1, 3, 40, 300, 600, 3000):
+        for gone in (0, 1, n // 9, n // 2, n):
+            a = rnd.integers(0, 1 << 63, n).astype(np.uint64)
+            b = np.concatenate([a[gone:], rnd.integers(0, 1 << 63, gone // 2).astype(np.uint64)])
+            x, y = jaccardjoin.digest(a), jaccardjoin.digest(b)
+            apart = len(np.setxor1d(a, b))
+            assert jaccardjoin.differing(x, y) == jaccardjoin.differing(y, x) <= apart
+            size = jaccardjoin.NARROW // 8
+            assert jaccardjoin.differing(jaccardjoin.folded(x, size), jaccardjoin.folded(y, size)) <= apart
+
+
+def test_unlinked_documents_with_a_common_line_are_seldom_compared(spark, monkeypatch):
+    rnd = random.Random(4)
+    line = prose(rnd, 30)
+    texts = [f"{line} own{i} other{i} last{i}" for i in range(150)] + copies(rnd, prose(rnd, 60), 5, 1)
+    rows, compared, linked = list(enumerate(texts)), [], jaccardjoin._linked
+
+    def counted(pairs, sets, least):
+        compared.append(pairs.count())
+        return linked(pairs, sets, least)
+
+    monkeypatch.setattr(jaccardjoin, "_linked", counted)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    assert found_components(jaccardjoin.jaccard_components(df)) == brute_components(rows)
+    assert sum(compared) < 2500     # all pairs of the 150 are 11,175
+
+
 def test_frequency_cells_count_every_document(spark):
     docs = spark.createDataFrame([("a b c d",)] * 50 + [("e f g h i",)] * 3 + [(None,)], "_text string").repartition(7)
     cells = jaccardjoin.frequency_cells(docs)
